@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.operators import billing
+from meterflow.operators import billing, dashboard, points as pts
 from meterflow.plans import sql as S
 from meterflow.session import ensure_utc
 from meterflow.sources import tables
@@ -69,3 +69,266 @@ def q_house_power_usage(spark, sf_dir):
 def q_demo_slot_usage(spark, sf_dir):
     """Single meter with 3-minute ``demo-{h}-{m//3}`` slots that resume each day."""
     return _usage_out(_billed(spark, sf_dir, house=True, cycle="demo_slot"))
+
+
+# --- point tables, rollovers, final bills: B16, E3, D13 ------------------------------------
+
+@register("monthly_billing", f"""
+    WITH {S.billed_sql(False, 'calendar_month')}
+    SELECT meter_id, tie, date_trunc('second', event_time) AS time, month_key,
+           CAST(cum AS DOUBLE) AS kwh, CAST(vnd_dec AS DOUBLE) AS vnd
+    FROM b""")
+def q_monthly_billing(spark, sf_dir):
+    mb = billing.monthly_billing(_billed(spark, sf_dir))
+    return mb.select("meter_id", "tie", ntz("time"), "month_key", dbl("kwh"), dbl("vnd"))
+
+
+def _rollover_sql(house: bool, cycle: str) -> str:
+    return f"""
+    WITH {S.billed_sql(house, cycle)},
+    seq AS (
+      SELECT *, lag(month_key) OVER (PARTITION BY meter_id ORDER BY event_time, tie) AS prev_key,
+             lag(cum) OVER (PARTITION BY meter_id ORDER BY event_time, tie) AS prev_cum,
+             row_number() OVER (PARTITION BY meter_id, month_key ORDER BY event_time, tie) AS k_rn
+      FROM b)
+    SELECT meter_id, event_time AS time, tie, prev_key, CAST(prev_cum AS DOUBLE) AS prev_kwh,
+           CAST({S.tier_sql('prev_cum')} AS DOUBLE) AS prev_vnd, month_key AS new_key
+    FROM seq WHERE k_rn = 1 AND prev_key IS NOT NULL"""
+
+
+def _rollovers(spark, sf_dir, house, cycle):
+    r = billing.rollovers(_billed(spark, sf_dir, house=house, cycle=cycle))
+    return r.select("meter_id", ntz("time"), "tie", "prev_key", dbl("prev_kwh"), dbl("prev_vnd"),
+                    "new_key")
+
+
+@register("rollovers", _rollover_sql(False, "calendar_month"))
+def q_rollovers(spark, sf_dir):
+    """Per meter, calendar months (none inside one month of data: an empty but exact check)."""
+    return _rollovers(spark, sf_dir, False, "calendar_month")
+
+
+@register("demo_slot_rollovers", _rollover_sql(True, "demo_slot"))
+def q_demo_slot_rollovers(spark, sf_dir):
+    """Single meter, 3-minute slots: the first sighting of each of the 480 slots."""
+    return _rollovers(spark, sf_dir, True, "demo_slot")
+
+
+@register("meter_slot_rollovers", _rollover_sql(False, "demo_slot"))
+def q_meter_slot_rollovers(spark, sf_dir):
+    """Per meter, 3-minute slots."""
+    return _rollovers(spark, sf_dir, False, "demo_slot")
+
+
+def _final_bills_sql(house: bool, cycle: str) -> str:
+    return f"""
+    WITH r AS (SELECT *, {S.cycle_sql(cycle)} AS month_key FROM ({S.readings_sql(house)}))
+    SELECT meter_id, month_key, CAST(sum(kwh) AS DOUBLE) AS kwh, count(*) AS readings,
+           min(event_time) AS first_time, max(event_time) AS last_time,
+           CAST({S.tier_sql('sum(kwh)')} AS DOUBLE) AS vnd
+    FROM r GROUP BY meter_id, month_key"""
+
+
+def _final_bills(spark, sf_dir, house, cycle):
+    ensure_utc(spark)
+    r = billing.with_cycle(tables.readings(spark, sf_dir, house=house), cycle)
+    fb = billing.final_bills(r)
+    return fb.select("meter_id", "month_key", dbl("kwh"), "readings", ntz("first_time"),
+                     ntz("last_time"), dbl("vnd"))
+
+
+@register("final_bills", _final_bills_sql(False, "calendar_month"))
+def q_final_bills(spark, sf_dir):
+    return _final_bills(spark, sf_dir, False, "calendar_month")
+
+
+@register("demo_slot_final_bills", _final_bills_sql(True, "demo_slot"))
+def q_demo_slot_final_bills(spark, sf_dir):
+    return _final_bills(spark, sf_dir, True, "demo_slot")
+
+
+# --- dashboard reads over the single-meter point tables: B19-B22, D3-D7, D12, E6, E7, F2 -----
+# The panel range ($timeFilter) covers the whole month of test data.
+FROM_TS = "2024-01-01 00:00:00"
+TO_TS = "2024-01-31 00:00:00"
+RANGE_SQL = f"time >= TIMESTAMP '{FROM_TS}' AND time <= TIMESTAMP '{TO_TS}'"
+
+
+def _house_usage(spark, sf_dir):
+    return billing.power_usage(_billed(spark, sf_dir, house=True), extra=("tie", "month_key"))
+
+
+def _last_sql(field: str, table: str = "pu", where: str = RANGE_SQL) -> str:
+    return (f"(SELECT {field} FROM {table} WHERE {field} IS NOT NULL AND {where} "
+            f"ORDER BY time DESC, tie DESC LIMIT 1)")
+
+
+@register("billing_latest", f"""
+    WITH {S.usage_cte(True)}
+    SELECT CAST({_last_sql('vnd_cumulative')} AS DOUBLE) AS vnd,
+           CAST({_last_sql('kwh_cumulative')} AS DOUBLE) AS kwh""")
+def q_billing_latest(spark, sf_dir):
+    """D3: LAST(vnd), LAST(kwh) of monthly_billing in the panel range."""
+    mb = billing.monthly_billing(_billed(spark, sf_dir, house=True))
+    out = dashboard.latest(mb, ["vnd", "kwh"], FROM_TS, TO_TS)
+    return out.select(dbl("vnd"), dbl("kwh"))
+
+
+@register("bill_peak", f"""
+    WITH {S.usage_cte(False)}
+    SELECT meter_id, CAST(max(vnd_cumulative) AS DOUBLE) AS max_vnd FROM pu GROUP BY meter_id""")
+def q_bill_peak(spark, sf_dir):
+    """All-time MAX(vnd) per meter (no time filter)."""
+    mb = billing.monthly_billing(_billed(spark, sf_dir))
+    return dashboard.peak(mb, "vnd", keys=["meter_id"], alias="max_vnd").select(
+        "meter_id", dbl("max_vnd"))
+
+
+@register("load_gauge", f"""
+    WITH {S.usage_cte(True)}, l AS (SELECT {_last_sql('kw')} AS kw)
+    SELECT kw, CASE WHEN kw IS NULL THEN NULL WHEN kw >= 8.0 THEN 'red' ELSE 'green' END AS band,
+           least(greatest(kw, 0.0::DOUBLE), 10.0::DOUBLE) AS gauge_kw,
+           (least(greatest(kw, 0.0::DOUBLE), 10.0::DOUBLE) - 0.0::DOUBLE) / 10.0::DOUBLE * 100.0::DOUBLE
+             AS gauge_pct
+    FROM l""")
+def q_load_gauge(spark, sf_dir):
+    """D3 + B19: LAST(kw) with its gauge band (green < 8 <= red) on the 0..10 scale."""
+    return dashboard.load_gauge(dashboard.time_range(_house_usage(spark, sf_dir), FROM_TS, TO_TS))
+
+
+@register("load_mix", f"""
+    WITH {S.usage_cte(True)},
+    l AS (SELECT {_last_sql('sub1_pct')} AS kitchen, {_last_sql('sub2_pct')} AS laundry,
+                 {_last_sql('sub3_pct')} AS water_heater),
+    t AS (SELECT *, 0.0::DOUBLE + coalesce(kitchen, 0.0::DOUBLE) + coalesce(laundry, 0.0::DOUBLE)
+                    + coalesce(water_heater, 0.0::DOUBLE) AS tot FROM l)
+    SELECT kitchen, laundry, water_heater,
+      CASE WHEN tot > 0 THEN coalesce(kitchen, 0.0::DOUBLE) / tot * 100.0::DOUBLE ELSE 0.0::DOUBLE END AS kitchen_share,
+      CASE WHEN tot > 0 THEN coalesce(laundry, 0.0::DOUBLE) / tot * 100.0::DOUBLE ELSE 0.0::DOUBLE END AS laundry_share,
+      CASE WHEN tot > 0 THEN coalesce(water_heater, 0.0::DOUBLE) / tot * 100.0::DOUBLE ELSE 0.0::DOUBLE END AS water_heater_share
+    FROM t""")
+def q_load_mix(spark, sf_dir):
+    """D4 + D12 + B20: last share of each sub-load and their split of the three."""
+    return dashboard.load_mix(_house_usage(spark, sf_dir), FROM_TS, TO_TS)
+
+
+@register("alert_log", f"""
+    WITH {S.usage_cte(True)}
+    SELECT time, kw, suggestion FROM pu WHERE kw >= 3 ORDER BY time DESC, tie DESC LIMIT 50""")
+def q_alert_log(spark, sf_dir):
+    """F2 + B22: kW >= 3, newest first, 50 rows (the top-k is the feature)."""
+    return dashboard.alert_log(_house_usage(spark, sf_dir)).select(ntz("time"), "kw", "suggestion")
+
+
+def _bucket_sql(interval: str, fill: str, keyed: bool) -> str:
+    key = "meter_id, " if keyed else ""
+    spine_base = "(SELECT DISTINCT meter_id FROM rng)" if keyed else "(SELECT 1 AS one)"
+    q = f"""
+    WITH {S.usage_cte(not keyed)},
+    rng AS (SELECT * FROM pu WHERE {RANGE_SQL}),
+    agg AS (SELECT {key}time_bucket(INTERVAL '{interval}', time) AS bucket,
+                   CAST(sum(CAST(kw AS DECIMAL(28,6))) AS DOUBLE) / count(kw) AS mean_kw
+            FROM rng GROUP BY ALL),
+    spine AS (SELECT {key}unnest(generate_series(time_bucket(INTERVAL '{interval}', TIMESTAMP '{FROM_TS}'),
+                                                 time_bucket(INTERVAL '{interval}', TIMESTAMP '{TO_TS}'),
+                                                 INTERVAL '{interval}')) AS bucket FROM {spine_base}),
+    filled AS (SELECT s.{'meter_id, s.' if keyed else ''}bucket, a.mean_kw
+               FROM spine s LEFT JOIN agg a ON a.bucket = s.bucket {'AND a.meter_id = s.meter_id' if keyed else ''})"""
+    if fill == "linear":
+        return q + f"""
+    SELECT {key}bucket, mean_kw FROM {S.interp_sql('filled', 'meter_id' if keyed else '', 'bucket', 'epoch(bucket)', 'mean_kw')}"""
+    return q + f"""
+    SELECT {key}bucket, mean_kw FROM filled"""
+
+
+def _bucket(spark, sf_dir, interval, fill, keyed):
+    pu = (billing.power_usage(_billed(spark, sf_dir), extra=("tie",)) if keyed
+          else _house_usage(spark, sf_dir))
+    out = dashboard.bucket_mean(pu, ["kw"], interval, FROM_TS, TO_TS,
+                                keys=["meter_id"] if keyed else [], fill=fill, exact=True)
+    return out.select(*(["meter_id"] if keyed else []), ntz("bucket"), "mean_kw")
+
+
+@register("kw_bucket_mean", _bucket_sql("5 minutes", "null", False))
+def q_kw_bucket_mean(spark, sf_dir):
+    """D6 + E6: MEAN(kw) GROUP BY time(5m) over the range, empty buckets NULL."""
+    return _bucket(spark, sf_dir, "5 minutes", "null", False)
+
+
+@register("kw_bucket_linear", _bucket_sql("5 minutes", "linear", False))
+def q_kw_bucket_linear(spark, sf_dir):
+    """D7 + E7: as above with fill(linear) of interior empty buckets."""
+    return _bucket(spark, sf_dir, "5 minutes", "linear", False)
+
+
+@register("meter_hourly_mean", _bucket_sql("1 hour", "null", True))
+def q_meter_hourly_mean(spark, sf_dir):
+    """D6 + E6 per meter: hourly mean kW, every hour of the range for every meter."""
+    return _bucket(spark, sf_dir, "1 hour", "null", True)
+
+
+# --- point-store semantics and stream-job reads: A9, I5, D8, D9, D10 ----------------------
+
+@register("upsert_points", f"""
+    WITH {S.usage_cte(False)}
+    SELECT meter_id, time, alert_level, tie, kw, kwh_cumulative, vnd_cumulative
+    FROM pu QUALIFY row_number() OVER (PARTITION BY meter_id, time, alert_level
+                                       ORDER BY time DESC, tie DESC) = 1""")
+def q_upsert_points(spark, sf_dir):
+    """Points sharing (meter, second, alert level) replace each other; last write wins."""
+    pu = billing.power_usage(_billed(spark, sf_dir)).select(
+        "meter_id", "time", "alert_level", "tie", "kw", "kwh_cumulative", "vnd_cumulative")
+    up = dashboard.upsert_points(pu, ["meter_id", "time", "alert_level"], ["time", "tie"])
+    return up.select("meter_id", ntz("time"), "alert_level", "tie", "kw", dbl("kwh_cumulative"),
+                     dbl("vnd_cumulative"))
+
+
+@register("recover_totals", f"""
+    WITH {S.usage_cte(False)},
+    last AS (SELECT meter_id, time AS last_time FROM pu WHERE kwh_cumulative IS NOT NULL
+             QUALIFY row_number() OVER (PARTITION BY meter_id ORDER BY time DESC, tie DESC) = 1)
+    SELECT l.meter_id, l.last_time, {S.cycle_sql('demo_slot', 'l.last_time')} AS month_key,
+           max(p.kwh_cumulative) AS kwh, {S.tier_sql('max(p.kwh_cumulative)')} AS vnd
+    FROM last l JOIN pu p ON p.meter_id = l.meter_id
+     AND p.time >= date_trunc('month', l.last_time)
+     AND p.time < date_trunc('month', l.last_time) + INTERVAL 1 MONTH
+    GROUP BY ALL""")
+def q_recover_totals(spark, sf_dir):
+    """I5 + D8: last point -> its slot key -> MAX(kwh_cumulative) in that calendar month -> bill."""
+    pu = billing.power_usage(_billed(spark, sf_dir))
+    rec = pts.recover_totals(pu)
+    return rec.select("meter_id", ntz("last_time"), "month_key", "kwh", "vnd")
+
+
+@register("recover_cycles", f"""
+    WITH {S.usage_cte(True, 'demo_slot')}
+    SELECT meter_id, month_key, kwh_cumulative AS kwh, {S.tier_sql('kwh_cumulative')} AS vnd
+    FROM pu QUALIFY row_number() OVER (PARTITION BY meter_id, month_key
+                                       ORDER BY time DESC, tie DESC) = 1""")
+def q_recover_cycles(spark, sf_dir):
+    """I5 per_cycle: the last kWh of every slot key from monthly_billing (initial state)."""
+    mb = billing.monthly_billing(_billed(spark, sf_dir, house=True, cycle="demo_slot"))
+    rec = pts.recover_totals(None, mode="per_cycle", billing=mb.withColumn("kwh", dbl("kwh")))
+    return rec.select("meter_id", "month_key", "kwh", "vnd")
+
+
+@register("batch_summary", f"""
+    WITH {S.usage_cte(True)},
+    agg AS (SELECT date_trunc('hour', time) AS batch_id, count(*) AS points,
+                   count(*) FILTER (WHERE alert_level = 'CRITICAL') AS critical,
+                   max(time) AS last_time
+            FROM pu GROUP BY 1),
+    lastrow AS (SELECT date_trunc('hour', time) AS batch_id, kwh_cumulative AS last_kwh,
+                       vnd_cumulative AS last_vnd
+                FROM pu QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', time)
+                                                   ORDER BY time DESC, tie DESC) = 1)
+    SELECT a.batch_id, a.points, a.critical, a.last_time, l.last_kwh, l.last_vnd
+    FROM agg a JOIN lastrow l ON a.batch_id = l.batch_id""")
+def q_batch_summary(spark, sf_dir):
+    """D9 + D10 with hourly batches: points, CRITICAL count, last time, last kWh and bill."""
+    pu = _house_usage(spark, sf_dir).select(
+        "*", F.date_trunc("hour", "time").alias("batch_id"))
+    pu = pu.withColumns({"kwh_cumulative": dbl("kwh_cumulative"),
+                         "vnd_cumulative": dbl("vnd_cumulative")})
+    return pts.batch_summary(pu).select(ntz("batch_id"), "points", "critical", ntz("last_time"),
+                                        "last_kwh", "last_vnd")

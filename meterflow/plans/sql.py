@@ -77,3 +77,33 @@ def power_usage_sql(house: bool = False, cycle: str = "calendar_month") -> str:
            sub1_pct, sub2_pct, sub3_pct, {advice_sql('alert_level')} AS suggestion,
            month_key
     FROM b"""
+
+
+# --- point tables as CTEs ------------------------------------------------------------
+
+def usage_cte(house: bool = False, cycle: str = "calendar_month") -> str:
+    """CTE ``pu``: the power_usage point table (plus month_key) as the Spark query returns it."""
+    return f"""{billed_sql(house, cycle)},
+    pu AS (
+      SELECT meter_id, tie, event_time, date_trunc('second', event_time) AS time, alert_level, kw,
+             CAST(cum AS DOUBLE) AS kwh_cumulative, CAST(vnd_dec AS DOUBLE) AS vnd_cumulative,
+             sub1_pct, sub2_pct, sub3_pct, {advice_sql('alert_level')} AS suggestion, month_key,
+             kwh
+      FROM b)"""
+
+
+def interp_sql(src: str, keys: str, t: str, tnum: str, v: str, out: str | None = None) -> str:
+    """Linear fill of NULL ``v`` between known neighbours (numpy's order of operations)."""
+    out = out or v
+    part = f"PARTITION BY {keys}" if keys else ""
+    prev = f"OVER ({part} ORDER BY {t} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    nxt = f"OVER ({part} ORDER BY {t} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    return f"""(SELECT * EXCLUDE (_pt, _pv, _nt, _nv, {v}),
+            CASE WHEN {v} IS NOT NULL THEN {v}
+                 ELSE (_nv - _pv) / (_nt - _pt) * ({tnum} - _pt) + _pv END AS {out}
+     FROM (SELECT *,
+             last_value(CASE WHEN {v} IS NOT NULL THEN {tnum} END IGNORE NULLS) {prev} AS _pt,
+             last_value({v} IGNORE NULLS) {prev} AS _pv,
+             first_value(CASE WHEN {v} IS NOT NULL THEN {tnum} END IGNORE NULLS) {nxt} AS _nt,
+             first_value({v} IGNORE NULLS) {nxt} AS _nv
+           FROM {src}))"""
