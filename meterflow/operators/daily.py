@@ -50,8 +50,14 @@ def daily_series(readings: DataFrame, keys=("meter_id",), factor: float = KWH_FA
     return filled
 
 
-def series_profile(daily: DataFrame, keys=("meter_id",)) -> DataFrame:
-    """Days, first/last day, mean and max daily energy per series."""
+def series_profile(daily: DataFrame, keys=("meter_id",), exact: bool = False) -> DataFrame:
+    """Days, first/last day, mean and max daily energy per series.
+
+    ``exact``: the mean adds the (at most one per day) values in ascending
+    order, so it does not depend on how partitions were combined.
+    """
+    mean = (F.aggregate(F.array_sort(F.collect_list("y")), F.lit(0.0), lambda a, x: a + x)
+            / F.count("y")) if exact else F.avg("y")
     return daily.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("days"), F.min("ds").alias("first_day"),
-        F.max("ds").alias("last_day"), F.avg("y").alias("mean_y"), F.max("y").alias("max_y"))
+        F.max("ds").alias("last_day"), mean.alias("mean_y"), F.max("y").alias("max_y"))

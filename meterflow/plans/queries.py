@@ -13,10 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.operators import billing, dashboard, points as pts
+from meterflow.operators import billing, dashboard, daily, forecast as fc, points as pts
 from meterflow.plans import sql as S
 from meterflow.session import ensure_utc
-from meterflow.sources import tables
+from meterflow.sources import files, tables, topic
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -332,3 +332,133 @@ def q_batch_summary(spark, sf_dir):
                          "vnd_cumulative": dbl("vnd_cumulative")})
     return pts.batch_summary(pu).select(ntz("batch_id"), "points", "critical", ntz("last_time"),
                                         "last_kwh", "last_vnd")
+
+
+# --- meter files and topic messages: A1-A4, A6, A10, B1-B7, I8 ----------------------------
+
+@register("strict_readings", f"""
+    WITH f AS ({S.fields_sql()})
+    SELECT tie, event_time, round(TRY_CAST(kwt AS DOUBLE), 4) AS kw,
+           round(CASE WHEN s1t IS NULL OR s1t = '' THEN 0.0::DOUBLE ELSE TRY_CAST(s1t AS DOUBLE) END, 2) AS sub1,
+           round(CASE WHEN s2t IS NULL OR s2t = '' THEN 0.0::DOUBLE ELSE TRY_CAST(s2t AS DOUBLE) END, 2) AS sub2,
+           round(CASE WHEN s3t IS NULL OR s3t = '' THEN 0.0::DOUBLE ELSE TRY_CAST(s3t AS DOUBLE) END, 2) AS sub3
+    FROM f
+    WHERE length(line) > 0 AND line NOT LIKE '%?%' AND dia IS NOT NULL
+      AND np >= CASE WHEN dia = 'txt' THEN 3 ELSE 2 END AND NOT header
+      AND TRY_CAST(kwt AS DOUBLE) IS NOT NULL
+      AND (s1t IS NULL OR s1t = '' OR TRY_CAST(s1t AS DOUBLE) IS NOT NULL)
+      AND (s2t IS NULL OR s2t = '' OR TRY_CAST(s2t AS DOUBLE) IS NOT NULL)
+      AND (s3t IS NULL OR s3t = '' OR TRY_CAST(s3t AS DOUBLE) IS NOT NULL)""")
+def q_strict_readings(spark, sf_dir):
+    """A1-A3 + B1 + B3: mixed-dialect meter lines, replay cleaning."""
+    ensure_utc(spark)
+    lines = tables.meter_lines_from_events(tables.table(spark, sf_dir, "events"))
+    out = files.strict_rows(lines, keep=("tie",))
+    return out.select("tie", ntz("event_time"), "kw", "sub1", "sub2", "sub3")
+
+
+def _na_num(c: str) -> str:
+    return f"TRY_CAST(CASE WHEN trim({c}) IN ('?', '') THEN NULL ELSE trim({c}) END AS DOUBLE)"
+
+
+@register("loose_readings", f"""
+    WITH f AS ({S.fields_sql()})
+    SELECT tie, event_time, {_na_num('kwt')} AS kw, {_na_num('s1t')} AS sub1,
+           {_na_num('s2t')} AS sub2, {_na_num('s3t')} AS sub3
+    FROM f WHERE dia IS NOT NULL AND NOT header AND event_time IS NOT NULL
+      AND {_na_num('kwt')} IS NOT NULL""")
+def q_loose_readings(spark, sf_dir):
+    """A4 + A10 + B2 + B6 + B7: the forecast cleaning (NA markers, coercion to NULL)."""
+    ensure_utc(spark)
+    lines = tables.meter_lines_from_events(tables.table(spark, sf_dir, "events"))
+    out = files.loose_rows(lines, keep=("tie",))
+    return out.select("tie", ntz("event_time"), "kw", "sub1", "sub2", "sub3")
+
+
+@register("decoded_readings", """
+    SELECT event_id AS tie, date_trunc('second', ts) AS event_time, value / 25 AS kw,
+           value / 25 * 1.5::DOUBLE AS kwh,
+           CAST(json_extract_string(props, '$.k') AS INTEGER) * 0.1::DOUBLE AS sub1,
+           CAST(json_extract_string(props, '$.k') AS INTEGER) * 0.05::DOUBLE AS sub2,
+           (99 - CAST(json_extract_string(props, '$.k') AS INTEGER)) * 0.1::DOUBLE AS sub3
+    FROM events WHERE event_type NOT IN ('error', 'signup', 'click')""")
+def q_decoded_readings(spark, sf_dir):
+    """A6 + B4 + B5 + B8: encode readings as JSON messages, decode them back."""
+    ensure_utc(spark)
+    msgs = tables.messages_from_events(tables.table(spark, sf_dir, "events"))
+    good, _ = topic.split_rejects(topic.decode_readings(msgs, keep=("tie",)))
+    return good.select("tie", ntz("event_time"), "kw", "kwh", "sub1", "sub2", "sub3")
+
+
+@register("rejected_messages", """
+    SELECT event_id AS tie, CASE event_type WHEN 'error' THEN 'json' WHEN 'signup' THEN 'time'
+                                 ELSE 'kw' END AS reject
+    FROM events WHERE event_type IN ('error', 'signup', 'click')""")
+def q_rejected_messages(spark, sf_dir):
+    """I8: undecodable messages with the reason (json / time / kw), never a failure."""
+    ensure_utc(spark)
+    msgs = tables.messages_from_events(tables.table(spark, sf_dir, "events"))
+    _, bad = topic.split_rejects(topic.decode_readings(msgs, keep=("tie",)))
+    return bad.select("tie", "reject")
+
+
+# --- daily series: D1, D2, D11, C1, C2, E4, E5 -----------------------------------------------
+
+@register("daily_energy", S.daily_sql(True, 320))
+def q_daily_energy(spark, sf_dir):
+    """D1 + D2: single meter, kWh per day = sum(kW)/60, days with < 320 readings removed."""
+    ensure_utc(spark)
+    d = daily.daily_energy(tables.readings(spark, sf_dir, house=True), min_readings=320)
+    return d.select("meter_id", "ds", "y", "n")
+
+
+def _meter_daily(spark, sf_dir):
+    ensure_utc(spark)
+    return daily.daily_series(tables.readings(spark, sf_dir), min_readings=2)
+
+
+@register("daily_series", S.daily_series_sql(False, 2))
+def q_daily_series(spark, sf_dir):
+    """C2 + E4 + E5: per meter, days with < 2 readings removed, every day of the
+    span re-created and gaps interpolated linearly in time."""
+    return _meter_daily(spark, sf_dir).select("meter_id", "ds", "y")
+
+
+@register("series_profile", f"""
+    SELECT meter_id, count(*) AS days, min(ds) AS first_day, max(ds) AS last_day,
+           list_reduce(list_sort(list(y)), lambda a, x: a + x) / count(*) AS mean_y, max(y) AS max_y
+    FROM ({S.daily_series_sql(False, 2)}) GROUP BY meter_id""")
+def q_series_profile(spark, sf_dir):
+    """Days, span, mean and max daily kWh per series."""
+    return daily.series_profile(_meter_daily(spark, sf_dir), exact=True)
+
+
+# --- forecast: H1-H5 ---------------------------------------------------------------------------
+
+FIXED = (0.3, 0.1, 0.2)
+
+
+@register("forecast_fixed", S.holt_winters_sql(S.daily_series_sql(False, 2), *FIXED))
+def q_forecast_fixed(spark, sf_dir):
+    """H1-H5 with fixed (alpha, beta, gamma): 7 daily steps, band, clip at 0."""
+    fits = fc.fit_fixed(_meter_daily(spark, sf_dir), *FIXED)
+    out = fc.map_horizon(fc.forecast_band(fc.forecast(fits)))
+    return out.select("meter_id", "step", "time", "yhat", "yhat_lower", "yhat_upper")
+
+
+@register("forecast")
+def q_forecast(spark, sf_dir):
+    """H1-H5: parameters by grid search (125 points, then 27 finer), per meter."""
+    fits = fc.fit_seasonal(_meter_daily(spark, sf_dir))
+    out = fc.map_horizon(fc.forecast_band(fc.forecast(fits)))
+    return out.select("meter_id", "step", "time", "yhat", "yhat_lower", "yhat_upper")
+
+
+@register("lineitem_forecast")
+def q_lineitem_forecast(spark, sf_dir):
+    """H1-H5 on the long single series from lineitem (~2,500 days)."""
+    ensure_utc(spark)
+    d = daily.daily_series(tables.lineitem_readings(spark, sf_dir), min_readings=1)
+    fits = fc.fit_seasonal(d)
+    out = fc.map_horizon(fc.forecast_band(fc.forecast(fits)))
+    return out.select("meter_id", "step", "time", "yhat", "yhat_lower", "yhat_upper")

@@ -107,3 +107,101 @@ def interp_sql(src: str, keys: str, t: str, tnum: str, v: str, out: str | None =
              first_value(CASE WHEN {v} IS NOT NULL THEN {tnum} END IGNORE NULLS) {nxt} AS _nt,
              first_value({v} IGNORE NULLS) {nxt} AS _nv
            FROM {src}))"""
+
+
+def meter_lines_sql() -> str:
+    """The mixed TXT/CSV rendering of ``events`` (see sources.tables)."""
+    return """
+    SELECT tie, CASE WHEN event_type IN ('view', 'purchase')
+        THEN concat_ws(',', strftime(ts, '%Y-%m-%d %H:%M:%S'), kwt, '0.100', '240.000', '1.000', s1, s2, s3)
+        ELSE concat_ws(';', strftime(ts, '%-d/%-m/%Y'), strftime(ts, '%H:%M:%S'), kwt, '0.100',
+                       '240.000', '1.000', s1, s2, s3) END AS line
+    FROM (SELECT event_id AS tie, event_type, ts,
+            CASE WHEN event_type = 'error' THEN '?' ELSE printf('%.4f', value / 25) END AS kwt,
+            CASE WHEN event_type = 'purchase' THEN 'x' ELSE printf('%.2f', k * 0.1::DOUBLE) END AS s1,
+            CASE WHEN event_type = 'signup' THEN '?' ELSE printf('%.2f', k * 0.05::DOUBLE) END AS s2,
+            CASE WHEN event_type = 'click' THEN '' ELSE printf('%.2f', (99 - k) * 0.1::DOUBLE) END AS s3
+          FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events))"""
+
+
+def fields_sql() -> str:
+    """Split each rendered line by its dialect (1-based lists)."""
+    return f"""
+    SELECT tie, line, dia, len(p) AS np,
+           CASE WHEN dia = 'txt' THEN p[3] ELSE p[2] END AS kwt,
+           CASE WHEN dia = 'txt' THEN p[7] ELSE p[6] END AS s1t,
+           CASE WHEN dia = 'txt' THEN p[8] ELSE p[7] END AS s2t,
+           CASE WHEN dia = 'txt' THEN p[9] ELSE p[8] END AS s3t,
+           CASE WHEN dia = 'txt' THEN try_strptime(p[1] || ' ' || p[2], '%d/%m/%Y %H:%M:%S')
+                ELSE try_strptime(trim(p[1]), '%Y-%m-%d %H:%M:%S') END AS event_time,
+           trim(p[1]) IN ('Date', 'datetime') AS header
+    FROM (SELECT *, CASE WHEN dia = 'txt' THEN string_split(line, ';')
+                         ELSE string_split(line, ',') END AS p
+          FROM (SELECT tie, trim(line) AS line,
+                       CASE WHEN line LIKE '%;%' THEN 'txt' WHEN line LIKE '%,%' THEN 'csv' END AS dia
+                FROM ({meter_lines_sql()})))"""
+
+
+def daily_sql(house: bool, min_readings: int, factor_text: str = "0.016666666666666666") -> str:
+    return f"""
+    SELECT meter_id, CAST(event_time AS DATE) AS ds,
+           CAST(sum(CAST(kw AS DECIMAL(18,6))) AS DOUBLE) * {factor_text}::DOUBLE AS y, count(*) AS n
+    FROM ({readings_sql(house)}) GROUP BY ALL HAVING count(*) >= {min_readings}"""
+
+
+def daily_series_sql(house: bool, min_readings: int) -> str:
+    """CTE body: densified + interpolated daily series (meter_id, ds, y)."""
+    return f"""
+    SELECT meter_id, ds, y FROM {interp_sql(f"""(
+      SELECT s.meter_id, s.ds, d.y, CAST(s.ds - DATE '1970-01-01' AS DOUBLE) AS tn
+      FROM (SELECT meter_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS ds
+            FROM (SELECT meter_id, min(ds) AS lo, max(ds) AS hi
+                  FROM ({daily_sql(house, min_readings)}) GROUP BY meter_id)) s
+      LEFT JOIN ({daily_sql(house, min_readings)}) d ON d.meter_id = s.meter_id AND d.ds = s.ds)""",
+      'meter_id', 'ds', 'tn', 'y')}"""
+
+
+def holt_winters_sql(series_sql: str, alpha: float, beta: float, gamma: float, horizon: int = 7,
+                     z: float = 1.96, scale: float = 1.5) -> str:
+    """Fixed-parameter additive Holt-Winters as a recursive CTE (weekly season)."""
+    a, c, g = repr(float(alpha)), repr(float(beta)), repr(float(gamma))
+    a1, c1, g1 = repr(1.0 - alpha), repr(1.0 - beta), repr(1.0 - gamma)
+    s1 = " + ".join(f"ys[{i}]" for i in range(1, 8))
+    s2 = " + ".join(f"ys[{i}]" for i in range(8, 15))
+    yhat = "(d.y - (r.l + r.b + r.s[1]))"
+    lnew = f"({a}::DOUBLE * (d.y - r.s[1]) + {a1}::DOUBLE * (r.l + r.b))"
+    mnew = f"(r.mean + ({yhat} - r.mean) / (r.t + 1))"
+    return f"""
+    WITH RECURSIVE
+    dt AS (SELECT meter_id, ds, y, row_number() OVER (PARTITION BY meter_id ORDER BY ds) - 1 AS t,
+                  count(*) OVER (PARTITION BY meter_id) AS n
+           FROM ({series_sql})),
+    ini AS (SELECT meter_id, n, max(ds) AS last_ds, list(y ORDER BY t) AS ys
+            FROM dt GROUP BY meter_id, n HAVING n >= 14),
+    ini2 AS (SELECT *, (0.0::DOUBLE + {s1}) / 7.0::DOUBLE AS l0,
+                    ((0.0::DOUBLE + {s2}) / 7.0::DOUBLE - (0.0::DOUBLE + {s1}) / 7.0::DOUBLE) / 7.0::DOUBLE AS b0
+             FROM ini),
+    rec AS (
+      SELECT meter_id, n, last_ds, 0::BIGINT AS t, l0 AS l, b0 AS b,
+             [{", ".join(f"ys[{i}] - l0" for i in range(1, 8))}] AS s,
+             0.0::DOUBLE AS sse, 0.0::DOUBLE AS mean, 0.0::DOUBLE AS m2
+      FROM ini2
+      UNION ALL
+      SELECT r.meter_id, r.n, r.last_ds, r.t + 1,
+             {lnew},
+             {c}::DOUBLE * ({lnew} - r.l) + {c1}::DOUBLE * r.b,
+             list_append(r.s[2:7], {g}::DOUBLE * (d.y - r.l - r.b) + {g1}::DOUBLE * r.s[1]),
+             r.sse + {yhat} * {yhat},
+             {mnew},
+             r.m2 + ({yhat} - r.mean) * ({yhat} - {mnew})
+      FROM rec r JOIN dt d ON d.meter_id = r.meter_id AND d.t = r.t),
+    fit AS (SELECT meter_id, last_ds, l, b, s, sqrt(m2 / (t - 1)) AS sigma FROM rec WHERE t = n),
+    fc AS (SELECT meter_id, last_ds, sigma, h AS step,
+                  l + CAST(h AS DOUBLE) * b + s[((h - 1) % 7) + 1] AS yh
+           FROM fit, range(1, {horizon + 1}) AS hr(h))
+    SELECT meter_id, step, last_ds + CAST(step AS INTEGER) AS time,
+           CASE WHEN yh * {scale}::DOUBLE < 0 THEN 0.0::DOUBLE ELSE yh * {scale}::DOUBLE END AS yhat,
+           CASE WHEN yh * {scale}::DOUBLE - {z}::DOUBLE * (sigma * {scale}::DOUBLE) < 0 THEN 0.0::DOUBLE
+                ELSE yh * {scale}::DOUBLE - {z}::DOUBLE * (sigma * {scale}::DOUBLE) END AS yhat_lower,
+           yh * {scale}::DOUBLE + {z}::DOUBLE * (sigma * {scale}::DOUBLE) AS yhat_upper
+    FROM fc"""

@@ -24,7 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def readings_from_events(events: DataFrame, house: bool = False,
-                         factor: float = KWH_FACTOR_DEMO, exact: bool = True) -> DataFrame:
+                         factor: float = KWH_FACTOR_DEMO, exact: bool = True,
+                         extra=()) -> DataFrame:
     """Parsed readings (M4) from ``events``; ``kwh`` DECIMAL when ``exact``."""
     k = F.get_json_object("props", "$.k").cast("int")
     kw = F.col("value") / F.lit(KW_DIVISOR)
@@ -38,6 +39,7 @@ def readings_from_events(events: DataFrame, house: bool = False,
         (k * F.lit(0.1)).alias("sub1"),
         (k * F.lit(0.05)).alias("sub2"),
         ((F.lit(99) - k) * F.lit(0.1)).alias("sub3"),
+        *extra,
     )
 
 
@@ -56,3 +58,43 @@ def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("tie"),
         F.col("l_quantity").alias("kw"),
     )
+
+
+# Raw text views of ``events`` for the file and message operators. Every row
+# is rendered; the event type decides the dialect and the defect, so both
+# cleanings and every reject reason are exercised on the whole table:
+#   view, purchase -> CSV dialect line; others -> TXT dialect line
+#   error    -> power field '?'            (both cleanings drop it)
+#   signup   -> Sub_metering_2 field '?'   (strict drops it, loose keeps it)
+#   click    -> Sub_metering_3 field empty (both keep it; strict reads 0.0)
+#   purchase -> Sub_metering_1 field 'x'   (strict drops it, loose keeps it)
+def meter_lines_from_events(events: DataFrame) -> DataFrame:
+    k = F.get_json_object("props", "$.k").cast("int")
+    et = F.col("event_type")
+    kw = F.when(et == "error", F.lit("?")).otherwise(F.format_string("%.4f", F.col("value") / 25))
+    s1 = F.when(et == "purchase", F.lit("x")).otherwise(F.format_string("%.2f", k * F.lit(0.1)))
+    s2 = F.when(et == "signup", F.lit("?")).otherwise(F.format_string("%.2f", k * F.lit(0.05)))
+    s3 = F.when(et == "click", F.lit("")).otherwise(
+        F.format_string("%.2f", (F.lit(99) - k) * F.lit(0.1)))
+    txt = F.concat_ws(";", F.date_format("ts", "d/M/yyyy"), F.date_format("ts", "HH:mm:ss"), kw,
+                      F.lit("0.100"), F.lit("240.000"), F.lit("1.000"), s1, s2, s3)
+    csv = F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), kw, F.lit("0.100"),
+                      F.lit("240.000"), F.lit("1.000"), s1, s2, s3)
+    return events.select(F.col("event_id").alias("tie"),
+                         F.when(et.isin("view", "purchase"), csv).otherwise(txt).alias("value"))
+
+
+#   error  -> text that is not JSON          (reject 'json')
+#   signup -> event_time "bad"               (reject 'time')
+#   click  -> kw "x"                         (reject 'kw')
+def messages_from_events(events: DataFrame) -> DataFrame:
+    from meterflow.sources.topic import encode_readings
+    r = readings_from_events(events, exact=False, extra=("event_type",))
+    enc = encode_readings(r, keys=("tie", "event_type"))
+    txt = F.col("value").cast("string")
+    et = F.col("event_type")
+    bad = (F.when(et == "error", F.lit("{bad"))
+           .when(et == "signup", F.regexp_replace(txt, '"event_time":"[^"]*"', '"event_time":"bad"'))
+           .when(et == "click", F.regexp_replace(txt, '"kw":[^,}]*', '"kw":"x"'))
+           .otherwise(txt))
+    return enc.select("tie", bad.cast("binary").alias("value"))
