@@ -47,62 +47,72 @@ def _field(parts: Column, pos: int) -> Column:
 
 def split_fields(lines: DataFrame, value: str = "value", dialect_hint: str = "auto",
                  keep=()) -> DataFrame:
-    """A2/A3: split each line by its dialect and name the used fields (text)."""
+    """A2/A3: split each line by its dialect and name the used fields (text).
+
+    The split is computed once per line (its own projection), then fields are
+    picked by position, which keeps the generated code small.
+    """
     line = F.trim(F.col(value))
     d = dialect(line) if dialect_hint == "auto" else F.lit(dialect_hint)
-    parts = F.when(d == "txt", F.split(line, ";")).otherwise(F.split(line, ","))
-    txt, csv = d == "txt", d == "csv"
+    base = lines.select(*keep, line.alias("line"), d.alias("dialect"))
+    parts = base.select(*keep, "line", "dialect", F.split(
+        "line", F.when(F.col("dialect") == "txt", F.lit(";")).otherwise(F.lit(","))).alias("_p"))
+    txt = F.col("dialect") == "txt"
 
     def pick(tkey, ckey):
-        return F.when(txt, _field(parts, TXT_POS[tkey]) if tkey else F.lit(None)).when(
-            csv, _field(parts, CSV_POS[ckey]) if ckey else F.lit(None))
+        t = _field(F.col("_p"), TXT_POS[tkey]) if tkey else F.lit(None).cast("string")
+        c = _field(F.col("_p"), CSV_POS[ckey]) if ckey else F.lit(None).cast("string")
+        return F.when(txt, t).otherwise(c)
 
-    return lines.select(
-        *keep, line.alias("line"), d.alias("dialect"), F.size(parts).alias("n_parts"),
+    return parts.select(
+        *keep, "line", "dialect", F.size("_p").alias("n_parts"),
         pick("date", None).alias("date_text"), pick("time", None).alias("time_text"),
         pick(None, "datetime").alias("datetime_text"), pick("kw", "kw").alias("kw_text"),
         pick("sub1", "sub1").alias("sub1_text"), pick("sub2", "sub2").alias("sub2_text"),
         pick("sub3", "sub3").alias("sub3_text"))
 
 
-def _is_header(f: DataFrame) -> Column:
+def _is_header() -> Column:
     first = F.when(F.col("dialect") == "txt", F.col("date_text")).otherwise(F.col("datetime_text"))
     return F.trim(first).isin("Date", "datetime")
 
 
-def _event_time(f: DataFrame) -> Column:
+def _event_time() -> Column:
     return F.when(F.col("dialect") == "txt",
                   parse_day_first(F.col("date_text"), F.col("time_text"))).otherwise(
         parse_event_time(F.trim(F.col("datetime_text"))))
 
 
+SUBS = ("sub1", "sub2", "sub3")
+
+
 def strict_rows(lines: DataFrame, value: str = "value", kw_digits: int = 4,
                 sub_digits: int = 2, keep=()) -> DataFrame:
     """B1 + B3: the replay cleaning. Output: [keep], event_time, kw, sub1..sub3."""
     f = split_fields(lines, value, keep=keep)
     min_parts = F.when(F.col("dialect") == "txt", F.lit(TXT_POS["min_parts"])).otherwise(
         F.lit(CSV_POS["min_parts"]))
-    ok = ((F.length("line") > 0) & ~F.col("line").contains("?") & F.col("dialect").isNotNull()
-            & (F.col("n_parts") >= min_parts) & ~_is_header(f)
-            & to_number("kw_text").isNotNull())
-    for s in ("sub1", "sub2", "sub3"):
-        t = F.col(f"{s}_text")
-        ok = ok & (t.isNull() | (t == "") | to_number(t).isNotNull())
-    kept = f.filter(ok)
-    subs = {s: F.bround(F.when(F.col(f"{s}_text").isNull() | (F.col(f"{s}_text") == ""), F.lit(0.0))
-                        .otherwise(to_number(f"{s}_text")), sub_digits).alias(s)
-            for s in ("sub1", "sub2", "sub3")}
-    return kept.select(*keep, _event_time(f).alias("event_time"),
-                       F.bround(to_number("kw_text"), kw_digits).alias("kw"), *subs.values())
+    pre = (F.col("dialect").isNotNull() & (F.length("line") > 0) & ~F.col("line").contains("?")
+           & (F.col("n_parts") >= min_parts) & ~_is_header())
+    nums = f.filter(pre).select(
+        *keep, _event_time().alias("event_time"), to_number("kw_text").alias("kw"),
+        *[F.when(F.col(f"{c}_text").isNull() | (F.col(f"{c}_text") == ""), F.lit(0.0))
+          .otherwise(to_number(f"{c}_text")).alias(c) for c in SUBS])
+    ok = F.col("kw").isNotNull()
+    for c in SUBS:
+        ok = ok & F.col(c).isNotNull()
+    return nums.filter(ok).select(
+        *keep, "event_time", F.bround("kw", kw_digits).alias("kw"),
+        *[F.bround(c, sub_digits).alias(c) for c in SUBS])
 
 
 def loose_rows(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
     """B2 (+A4, B6, B7): the forecast cleaning. Output: [keep], event_time, kw,
     sub1..sub3 (sub-meters NULL when NA or not numeric)."""
-    f = split_fields(lines, value, keep=keep).filter(F.col("dialect").isNotNull())
-    f = f.filter(~_is_header(f))
-    out = f.select(*keep, _event_time(f).alias("event_time"), to_number(na("kw_text")).alias("kw"),
-                   *[to_number(na(f"{s}_text")).alias(s) for s in ("sub1", "sub2", "sub3")])
+    f = split_fields(lines, value, keep=keep)
+    f = f.filter(F.col("dialect").isNotNull() & ~_is_header())
+    out = f.select(*keep, _event_time().alias("event_time"), to_number(na("kw_text")).alias("kw"),
+                   *[to_number(na(f"{c}_text")).alias(c) for c in SUBS])
     return out.filter(F.col("event_time").isNotNull() & F.col("kw").isNotNull())
 
 

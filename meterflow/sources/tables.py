@@ -71,17 +71,24 @@ def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def meter_lines_from_events(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     et = F.col("event_type")
-    kw = F.when(et == "error", F.lit("?")).otherwise(F.format_string("%.4f", F.col("value") / 25))
-    s1 = F.when(et == "purchase", F.lit("x")).otherwise(F.format_string("%.2f", k * F.lit(0.1)))
-    s2 = F.when(et == "signup", F.lit("?")).otherwise(F.format_string("%.2f", k * F.lit(0.05)))
-    s3 = F.when(et == "click", F.lit("")).otherwise(
-        F.format_string("%.2f", (F.lit(99) - k) * F.lit(0.1)))
-    txt = F.concat_ws(";", F.date_format("ts", "d/M/yyyy"), F.date_format("ts", "HH:mm:ss"), kw,
-                      F.lit("0.100"), F.lit("240.000"), F.lit("1.000"), s1, s2, s3)
-    csv = F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), kw, F.lit("0.100"),
-                      F.lit("240.000"), F.lit("1.000"), s1, s2, s3)
-    return events.select(F.col("event_id").alias("tie"),
-                         F.when(et.isin("view", "purchase"), csv).otherwise(txt).alias("value"))
+    fields = events.select(
+        F.col("event_id").alias("tie"), et.isin("view", "purchase").alias("_csv"),
+        F.date_format("ts", "d/M/yyyy").alias("_d"), F.date_format("ts", "HH:mm:ss").alias("_t"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("_dt"),
+        F.when(et == "error", F.lit("?")).otherwise(
+            F.format_string("%.4f", F.col("value") / 25)).alias("_kw"),
+        F.when(et == "purchase", F.lit("x")).otherwise(
+            F.format_string("%.2f", k * F.lit(0.1))).alias("_s1"),
+        F.when(et == "signup", F.lit("?")).otherwise(
+            F.format_string("%.2f", k * F.lit(0.05))).alias("_s2"),
+        F.when(et == "click", F.lit("")).otherwise(
+            F.format_string("%.2f", (F.lit(99) - k) * F.lit(0.1))).alias("_s3"))
+    csv = F.col("_csv")
+    sep_line_txt = F.concat_ws(";", "_d", "_t", "_kw", F.lit("0.100"), F.lit("240.000"),
+                               F.lit("1.000"), "_s1", "_s2", "_s3")
+    sep_line_csv = F.concat_ws(",", "_dt", "_kw", F.lit("0.100"), F.lit("240.000"),
+                               F.lit("1.000"), "_s1", "_s2", "_s3")
+    return fields.select("tie", F.when(csv, sep_line_csv).otherwise(sep_line_txt).alias("value"))
 
 
 #   error  -> text that is not JSON          (reject 'json')
