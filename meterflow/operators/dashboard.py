@@ -155,11 +155,15 @@ def interpolate_linear(df: DataFrame, keys, time: str, value: str) -> DataFrame:
     """
     keys = list(keys)
     t_num = _t_num(df, time)
-    prev_w = Window.partitionBy(*keys).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
-    next_w = Window.partitionBy(*keys).orderBy(time).rowsBetween(0, Window.unboundedFollowing)
+    # Both neighbours as running frames (linear); a frame reaching to
+    # "unbounded following" would be re-evaluated for every row.
+    prev_w = Window.partitionBy(*keys).orderBy(F.col(time).asc()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    next_w = Window.partitionBy(*keys).orderBy(F.col(time).desc()).rowsBetween(
+        Window.unboundedPreceding, 0)
     known = F.when(F.col(value).isNotNull(), F.struct(t_num.alias("t"), F.col(value).alias("v")))
-    out = df.withColumns({"_p": F.last(known, ignorenulls=True).over(prev_w),
-                          "_n": F.first(known, ignorenulls=True).over(next_w)})
+    out = df.withColumn("_p", F.last(known, ignorenulls=True).over(prev_w)).withColumn(
+        "_n", F.last(known, ignorenulls=True).over(next_w))
     slope = (F.col("_n.v") - F.col("_p.v")) / (F.col("_n.t") - F.col("_p.t"))
     filled = slope * (t_num - F.col("_p.t")) + F.col("_p.v")
     return out.withColumn(value, F.when(F.col(value).isNotNull(), F.col(value)).otherwise(filled)

@@ -4,17 +4,19 @@ series, h-step forecast, residual band, horizon mapping.
 Each series (one row per day after the gap fill) becomes one array row:
 its size is bounded by the days in its span, not by the raw data volume.
 The recurrence runs as a Spark higher-order ``aggregate`` over that array,
-so no Python is involved. Parameters are chosen by least squared one-step
-error over a grid: the grid is exploded next to each series (a generator,
-not a join) so grid points of one series can spread over tasks, and the best
-point is kept with a deterministic ``min`` over (sse, alpha, beta, gamma).
-An optional second, finer grid is centred on the first winner.
-
-Recurrence (period m, season for step t at the head of a rotating array):
-    yhat = l + b + s[0];  e = y - yhat
-    l' = a (y - s[0]) + (1 - a)(l + b)
+with no Python involved. Parameters are chosen by least squared one-step
+error over a grid. That search is the one Arrow-batched pandas UDF: per series
+it runs the same recurrence in numpy, vectorised over all grid points (far
+cheaper than folding each grid point separately), with ties broken by
+(sse, alpha, beta, gamma). An optional second, finer grid is centred on the
+first winner. The chosen parameters are then folded once on the JVM, so the
+final state always comes from the same expression as a fixed-parameter fit.
+
+Recurrence (period m, s0 = season of the current step, rotated each step):
+    yhat = l + b + s0;  e = y - yhat
+    l' = a (y - s0) + (1 - a)(l + b)
     b' = c (l' - l) + (1 - c) b                (c = beta)
-    s' = g (y - l - b) + (1 - g) s[0]          (g = gamma)
+    s' = g (y - l - b) + (1 - g) s0            (g = gamma)
 Start state: l = mean of the first m points, b = (mean of the next m - l)/m,
 s_i = y_i - l. The residual spread (sample std, n - 1) is kept with
 Welford's update in the same fold.
@@ -24,6 +26,8 @@ from __future__ import annotations
 
 import itertools
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,50 +59,106 @@ def _init(y: Column, m: int) -> Column:
     first = F.slice(y, 1, m)
     l0 = _sum(first) / F.lit(float(m))
     b0 = (_sum(F.slice(y, m + 1, m)) / F.lit(float(m)) - l0) / F.lit(float(m))
-    return F.struct(l0.alias("l"), b0.alias("b"), F.transform(first, lambda x: x - l0).alias("s"),
+    seasons = [(F.element_at(y, i + 1) - l0).alias(f"s{i}") for i in range(m)]
+    return F.struct(l0.alias("l"), b0.alias("b"), *seasons,
                     F.lit(0.0).alias("sse"), F.lit(0).cast("long").alias("k"),
                     F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
 
 
 def _fold(y: Column, a: Column, c: Column, g: Column, m: int) -> Column:
-    """The smoothing recurrence over the whole series; returns the final state."""
+    """The smoothing recurrence over the whole series; returns the final state.
+
+    The season is kept as m scalar fields rotated by name, so a step
+    allocates no array.
+    """
     one_a, one_c, one_g = F.lit(1.0) - a, F.lit(1.0) - c, F.lit(1.0) - g
 
     def step(st, x):
-        l, b, s = st["l"], st["b"], st["s"]
-        s0 = F.element_at(s, 1)
+        l, b, s0 = st["l"], st["b"], st["s0"]
         e = x - (l + b + s0)
         l1 = a * (x - s0) + one_a * (l + b)
         b1 = c * (l1 - l) + one_c * b
-        s1 = g * (x - l - b) + one_g * s0
+        s_new = g * (x - l - b) + one_g * s0
         k1 = st["k"] + 1
         d = e - st["mean"]
         mean1 = st["mean"] + d / k1
-        return F.struct(l1.alias("l"), b1.alias("b"),
-                        F.concat(F.slice(s, 2, m - 1), F.array(s1)).alias("s"),
+        rot = [st[f"s{i + 1}"].alias(f"s{i}") for i in range(m - 1)] + [s_new.alias(f"s{m - 1}")]
+        return F.struct(l1.alias("l"), b1.alias("b"), *rot,
                         (st["sse"] + e * e).alias("sse"), k1.alias("k"), mean1.alias("mean"),
                         (st["m2"] + d * (e - mean1)).alias("m2"))
 
     return F.aggregate(y, _init(y, m), step)
 
 
-def _params_grid(grid) -> Column:
-    return F.array(*[F.struct(F.lit(float(a)).alias("alpha"), F.lit(float(b)).alias("beta"),
-                              F.lit(float(g)).alias("gamma")) for a, b, g in grid])
-
-
-def _evaluate(series: DataFrame, keys, params: Column, m: int) -> DataFrame:
-    """Fold every (series, parameter point); keep the least-SSE point per series."""
+def _season(st: str, m: int) -> Column:
+    return F.array(*[F.col(f"{st}.s{i}") for i in range(m)])
+
+
+def sse_grid(y: np.ndarray, grid: np.ndarray, m: int) -> np.ndarray:
+    """One-step squared error of every parameter row of ``grid`` (k x 3) on
+    series ``y``, vectorised over the grid. Same operations in the same order
+    as the Spark fold, so the sums are identical."""
+    a, c, g = grid[:, 0], grid[:, 1], grid[:, 2]
+    one_a, one_c, one_g = 1.0 - a, 1.0 - c, 1.0 - g
+    l0 = 0.0
+    for v in y[:m]:
+        l0 = l0 + v
+    l0 = l0 / float(m)
+    t0 = 0.0
+    for v in y[m:2 * m]:
+        t0 = t0 + v
+    t0 = (t0 / float(m) - l0) / float(m)
+    k = len(grid)
+    lv, bv = np.full(k, l0), np.full(k, t0)
+    season = [np.full(k, y[i] - l0) for i in range(m)]
+    sse = np.zeros(k)
+    for x in y:
+        s0 = season[0]
+        e = x - (lv + bv + s0)
+        l1 = a * (x - s0) + one_a * (lv + bv)
+        b1 = c * (l1 - lv) + one_c * bv
+        s_new = g * (x - lv - bv) + one_g * s0
+        season = season[1:] + [s_new]
+        lv, bv = l1, b1
+        sse = sse + e * e
+    return sse
+
+
+def _best(y: np.ndarray, grid: np.ndarray, m: int):
+    sse = sse_grid(y, grid, m)
+    i = np.lexsort((grid[:, 2], grid[:, 1], grid[:, 0], sse))[0]
+    return grid[i], sse[i]
+
+
+def _search_udf(grid, m: int, refine: bool):
+    coarse = np.asarray(grid, dtype="float64")
+    vals = sorted({float(v) for p in grid for v in p})
+    step = (min(b - a for a, b in zip(vals, vals[1:])) / 2.0) if len(vals) > 1 else 0.05
+
+    @F.pandas_udf("alpha double, beta double, gamma double")
+    def search(ys: pd.Series) -> pd.DataFrame:
+        out = []
+        for y in ys:
+            y = np.asarray(y, dtype="float64")
+            p, _ = _best(y, coarse, m)
+            if refine:
+                axes = [[v + o for o in (-step, 0.0, step) if 0.0 < v + o < 1.0] for v in p]
+                fine = np.array([(x, u, w) for x in axes[0] for u in axes[1] for w in axes[2]])
+                p, _ = _best(y, fine, m)
+            out.append((float(p[0]), float(p[1]), float(p[2])))
+        return pd.DataFrame(out, columns=["alpha", "beta", "gamma"])
+
+    return search
+
+
+def _fit_rows(series: DataFrame, keys, params: Column, m: int) -> DataFrame:
+    """Fold each series once with its (chosen or given) parameters."""
     keys = list(keys)
-    cand = series.select(*keys, "y", "last_ds", "n", F.explode(params).alias("p"))
+    withp = series.select(*keys, "y", "last_ds", "n", params.alias("p"))
     st = _fold(F.col("y"), F.col("p.alpha"), F.col("p.beta"), F.col("p.gamma"), m)
-    scored = cand.select(*keys, "last_ds", "n", "p", st.alias("st"))
-    best = scored.groupBy(*keys).agg(F.min(F.struct(
-        F.col("st.sse").alias("sse"), F.col("p.alpha").alias("alpha"),
-        F.col("p.beta").alias("beta"), F.col("p.gamma").alias("gamma"),
-        F.col("st").alias("st"), F.col("last_ds").alias("last_ds"), F.col("n").alias("n"))
-    ).alias("w"))
-    return best.select(*keys, "w.*")
+    return withp.select(*keys, "last_ds", "n", F.col("p.alpha").alias("alpha"),
+                        F.col("p.beta").alias("beta"), F.col("p.gamma").alias("gamma"),
+                        st.alias("st"))
 
 
 def fit_seasonal(daily: DataFrame, keys=("meter_id",), period: int = SEASON, grid=None,
@@ -112,25 +172,15 @@ def fit_seasonal(daily: DataFrame, keys=("meter_id",), period: int = SEASON, gri
     series = to_series(daily, keys, ds, y)
     ok = series.filter(F.col("n") >= 2 * period)
     grid = grid or default_grid()
-    best = _evaluate(ok, keys, _params_grid(grid), period)
-    if refine:
-        vals = sorted({v for p in grid for v in p})
-        step = (min(b - a for a, b in zip(vals, vals[1:])) / 2.0) if len(vals) > 1 else 0.05
-        offs = F.array(*[F.lit(o) for o in (-step, 0.0, step)])
-
-        def around(c):
-            return F.filter(F.transform(offs, lambda o: F.col(c) + o),
-                            lambda v: (v > F.lit(0.0)) & (v < F.lit(1.0)))
-
-        fine_grid = F.flatten(F.transform(around("alpha"), lambda a: F.flatten(F.transform(
-            around("beta"), lambda b: F.transform(around("gamma"), lambda g: F.struct(
-                a.alias("alpha"), b.alias("beta"), g.alias("gamma")))))))
-        fine = best.select(*keys, fine_grid.alias("_grid"))
-        again = ok.join(fine, keys, "inner")
-        best = _evaluate(again, keys, F.col("_grid"), period)
+    if len(grid) == 1 and not refine:
+        a, b, g = (float(v) for v in grid[0])
+        params = F.struct(F.lit(a).alias("alpha"), F.lit(b).alias("beta"), F.lit(g).alias("gamma"))
+    else:
+        params = _search_udf(grid, period, refine)(F.col("y"))
+    best = _fit_rows(ok, keys, params, period)
     fitted = best.select(
-        *keys, "alpha", "beta", "gamma", "sse", F.col("st.l").alias("level"),
-        F.col("st.b").alias("trend"), F.col("st.s").alias("season"),
+        *keys, "alpha", "beta", "gamma", F.col("st.sse").alias("sse"), F.col("st.l").alias("level"),
+        F.col("st.b").alias("trend"), _season("st", period).alias("season"),
         F.sqrt(F.col("st.m2") / (F.col("st.k") - F.lit(1))).alias("sigma"), "n", "last_ds",
         F.lit(None).cast("string").alias("reason"))
     short = series.filter(F.col("n") < 2 * period).select(
