@@ -19,8 +19,26 @@ KW_DIVISOR = 25.0
 HOUSE = "house"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """One test table. ``spread``: see ``spread``."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_scan(df) if spread else df
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A file with one row group is read by one task, and every per-row
+    expression before the first shuffle (JSON, text, date parsing) then runs
+    on one core. Only in that case the rows are dealt round-robin over
+    ``defaultParallelism`` partitions; a large input already has many splits
+    and is left alone (no extra shuffle). Counting splits plans the scan
+    only; it runs no job.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
 
 
 def readings_from_events(events: DataFrame, house: bool = False,

@@ -56,7 +56,13 @@ def decode_readings(df: DataFrame, value: str = "value", factor: float = KWH_FAC
     unparsable), 'kw' (power missing or not a number), else NULL.
     """
     d = F.from_json(_text(value), MESSAGE)
-    out = df.select(*keep, _text(value).alias("message"), d.alias("d")).select(
+    # A filter over a plain projection is pushed below it with from_json
+    # substituted into the predicate once per referenced field. Emitting the
+    # decoded struct through a one-element generator keeps the reject split
+    # above it, so each message is decoded once (about 6x less CPU here).
+    dec = df.select(*keep, _text(value).alias("message"), F.inline(F.array(F.struct(
+        d.alias("d")))))
+    out = dec.select(
         *keep, "message", parse_event_time(F.col("d.event_time")).alias("event_time"),
         F.col("d.kw").cast("double").alias("kw"), "d.sub1", "d.sub2", "d.sub3",
         F.col("d.event_time").alias("_et"))
