@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from meterflow.operators import billing, dashboard, daily, forecast as fc, points as pts
 from meterflow.plans import sql as S
-from meterflow.session import ensure_utc
+import uuid
+
+from meterflow.session import checkpoint_path, ensure_utc
 from meterflow.sources import files, tables, topic
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -462,3 +464,88 @@ def q_lineitem_forecast(spark, sf_dir):
     fits = fc.fit_seasonal(d)
     out = fc.map_horizon(fc.forecast_band(fc.forecast(fits)))
     return out.select("meter_id", "step", "time", "yhat", "yhat_lower", "yhat_upper")
+
+
+# --- the stream job itself: I1-I4, A5/A7, B4, B5, D9, D10 ------------------------------------
+
+STREAM_RUNS = 3
+
+
+@register("stream_billing", S.power_usage_sql(True, "demo_slot"))
+def q_stream_billing(spark, sf_dir):
+    """The streaming job on the messages of ``events`` (single meter, 3-minute
+    slots): the messages arrive in three time-ordered parts, and after each
+    part the same query is restarted from its checkpoint and drained
+    (``availableNow``). Returns the ``power_usage`` points its sink wrote;
+    state carried across runs in the state store must give the batch result.
+    Files go to the shared folder named by ``spark.checkpoint.dir``."""
+    from meterflow.functions import kwh as kwh_expr
+    from meterflow.streaming import billing as sb
+    ensure_utc(spark)
+    root = checkpoint_path(spark, "meterflow", f"stream_billing-{uuid.uuid4().hex}")
+    msgs = tables.messages_clean(tables.table(spark, sf_dir, "events"))
+    lo, hi = msgs.agg(F.min("event_time"), F.max("event_time")).first()
+    span = (hi - lo) / STREAM_RUNS
+    bounds = [lo + span * i for i in range(1, STREAM_RUNS)]
+    t = F.col("event_time")
+    parts = [t < F.lit(bounds[0])] + [
+        (t >= F.lit(a)) & (t < F.lit(b)) for a, b in zip(bounds, bounds[1:])] + [
+        t >= F.lit(bounds[-1])]
+    schema = "tie long, value binary"
+    for i, cond in enumerate(parts):
+        msgs.filter(cond).select("tie", "value").write.mode("overwrite").parquet(
+            f"{root}/in/part={i}")
+        src = spark.readStream.schema(schema).parquet(f"{root}/in/part=*")
+        good, _ = topic.split_rejects(topic.decode_readings(src, keep=("tie",)))
+        good = good.select(F.lit(tables.HOUSE).alias("meter_id"), "event_time", "tie", "kw",
+                           kwh_expr("kw", exact=True).alias("kwh"), "sub1", "sub2", "sub3")
+        billed = sb.billing_stream(good, cycle="demo_slot", exact=True)
+        q = sb.run_stream(billed, sb.point_sink(f"{root}/out", "r1"), f"{root}/ckpt",
+                          "availableNow")
+        q.awaitTermination()
+    pu = spark.read.parquet(f"{root}/out/power_usage")
+    return pu.select("meter_id", "tie", ntz("time"), "alert_level", "kw", dbl("kwh_cumulative"),
+                     dbl("vnd_cumulative"), "sub1_pct", "sub2_pct", "sub3_pct", "suggestion",
+                     "month_key")
+
+
+@register("alert_feed", f"""
+    SELECT tie, date_trunc('second', event_time) AS time, {S.level_sql()} AS alert_level, kw
+    FROM ({S.readings_sql(True)}) WHERE kw >= 3""")
+def q_alert_feed(spark, sf_dir):
+    """I7 (batch twin): every WARNING and CRITICAL reading."""
+    from meterflow.streaming.billing import alert_stream
+    ensure_utc(spark)
+    a = alert_stream(tables.readings(spark, sf_dir, house=True))
+    return a.select("tie", ntz(F.date_trunc("second", "event_time").alias("time")),
+                    "alert_level", "kw")
+
+
+FC_FROM, FC_TO = "2024-01-25 00:00:00", "2024-02-10 00:00:00"
+
+
+@register("forecast_buckets", f"""
+    WITH p AS ({S.holt_winters_sql(S.daily_series_sql(False, 2), *FIXED)}),
+    pts AS (SELECT meter_id, CAST(time AS TIMESTAMP) AS time, yhat, yhat_lower, yhat_upper FROM p
+            WHERE CAST(time AS TIMESTAMP) >= TIMESTAMP '{FC_FROM}' AND CAST(time AS TIMESTAMP) <= TIMESTAMP '{FC_TO}'),
+    agg AS (SELECT meter_id, time_bucket(INTERVAL '12 hours', time) AS bucket, avg(yhat) AS mean_yhat,
+                   avg(yhat_lower) AS mean_yhat_lower, avg(yhat_upper) AS mean_yhat_upper
+            FROM pts GROUP BY ALL),
+    spine AS (SELECT meter_id, unnest(generate_series(TIMESTAMP '{FC_FROM}', TIMESTAMP '{FC_TO}',
+                                                      INTERVAL '12 hours')) AS bucket
+              FROM (SELECT DISTINCT meter_id FROM pts)),
+    f0 AS (SELECT s.meter_id, s.bucket, a.mean_yhat, a.mean_yhat_lower, a.mean_yhat_upper
+           FROM spine s LEFT JOIN agg a ON a.meter_id = s.meter_id AND a.bucket = s.bucket),
+    f1 AS {S.interp_sql('f0', 'meter_id', 'bucket', 'epoch(bucket)', 'mean_yhat')},
+    f2 AS {S.interp_sql('f1', 'meter_id', 'bucket', 'epoch(bucket)', 'mean_yhat_lower')},
+    f3 AS {S.interp_sql('f2', 'meter_id', 'bucket', 'epoch(bucket)', 'mean_yhat_upper')}
+    SELECT meter_id, bucket, mean_yhat, mean_yhat_lower, mean_yhat_upper FROM f3""")
+def q_forecast_buckets(spark, sf_dir):
+    """D7 + E7: mean of forecast, lower and upper per 12-hour bucket, fill(linear)."""
+    fits = fc.fit_fixed(_meter_daily(spark, sf_dir), *FIXED)
+    pred = fc.map_horizon(fc.forecast_band(fc.forecast(fits))).withColumn(
+        "time", F.col("time").cast("timestamp"))
+    out = dashboard.bucket_mean(pred, ["yhat", "yhat_lower", "yhat_upper"], "12 hours", FC_FROM,
+                                FC_TO, keys=["meter_id"], fill="linear")
+    return out.select("meter_id", ntz("bucket"), "mean_yhat", "mean_yhat_lower",
+                      "mean_yhat_upper")

@@ -123,3 +123,12 @@ def messages_from_events(events: DataFrame) -> DataFrame:
            .when(et == "click", F.regexp_replace(txt, '"kw":[^,}]*', '"kw":"x"'))
            .otherwise(txt))
     return enc.select("tie", bad.cast("binary").alias("value"))
+
+
+def messages_clean(events: DataFrame, house: bool = True) -> DataFrame:
+    """Well-formed reading messages of every event: (tie, event_time, value).
+
+    ``tie`` plays the role of the topic offset (event ids grow with time)."""
+    from meterflow.sources.topic import encode_readings
+    r = readings_from_events(events, house=house, exact=False)
+    return encode_readings(r, keys=("tie", "event_time"))

@@ -59,29 +59,68 @@ class CycleTotals(StatefulProcessor):
     def handleInitialState(self, key, initialState, timerValues) -> None:
         self.total.update((float(initialState[self.value].iloc[0]),))
 
+
+class ExactCycleTotals(CycleTotals):
+    """As ``CycleTotals`` on integer micro-kWh (exact, order-free sums)."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total_micro", "micro long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True)
+        if pdf.empty:
+            return
+        pdf = pdf.sort_values(self.order, kind="mergesort")
+        start = int(self.total.get()[0]) if self.total.exists() else 0
+        cum = start + np.cumsum(pdf[self.value].to_numpy(dtype="int64"))
+        self.total.update((int(cum[-1]),))
+        pdf[self.out] = cum
+        yield pdf[self.columns + [self.out]]
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.total.update((int(initialState[self.value].iloc[0]),))
+
     def close(self) -> None:
         pass
 
 
+MICRO = 10 ** 6
+
+
 def billing_stream(readings: DataFrame, cycle: str = "demo_slot", keys=("meter_id",),
                    initial: DataFrame | None = None, warn: float = WARN_KW,
-                   crit: float = CRIT_KW) -> DataFrame:
+                   crit: float = CRIT_KW, exact: bool = False) -> DataFrame:
     """Readings -> billed readings (running kWh per cycle, bill, alert, shares).
 
     ``initial``: (keys..., month_key, kwh) rows to resume from (I5 per_cycle).
+    ``exact``: carry kWh as integer micro-kWh in the state (DECIMAL(20,6) in
+    and out), so totals equal the batch DECIMAL path bit for bit; otherwise
+    DOUBLE like the original.
     """
     keys = list(keys)
-    df = readings.withColumn("month_key", cycle_key("event_time", cycle)).withColumn(
-        "kwh", F.col("kwh").cast("double"))
+    df = readings.withColumn("month_key", cycle_key("event_time", cycle))
+    if exact:
+        df = df.withColumn("kwh", (F.col("kwh").cast("decimal(20,6)") * F.lit(MICRO))
+                           .cast("long"))
+        out_t, proc = T.LongType(), ExactCycleTotals
+    else:
+        df = df.withColumn("kwh", F.col("kwh").cast("double"))
+        out_t, proc = T.DoubleType(), CycleTotals
     cols = df.columns
-    schema = T.StructType(list(df.schema.fields) + [T.StructField("kwh_cumulative", T.DoubleType())])
+    schema = T.StructType(list(df.schema.fields) + [T.StructField("kwh_cumulative", out_t)])
     init = None
     if initial is not None:
-        init = initial.select(*keys, "month_key", F.col("kwh").cast("double").alias("kwh")) \
+        v = F.col("kwh").cast("decimal(20,6)") * F.lit(MICRO) if exact else F.col("kwh")
+        init = initial.select(*keys, "month_key", v.cast(out_t).alias("kwh")) \
             .groupBy(*keys, "month_key")
     out = df.groupBy(*keys, "month_key").transformWithStateInPandas(
-        statefulProcessor=CycleTotals(cols), outputStructType=schema, outputMode="Append",
+        statefulProcessor=proc(cols), outputStructType=schema, outputMode="Append",
         timeMode="None", initialState=init)
+    if exact:
+        out = out.withColumns({
+            "kwh": (F.col("kwh").cast("decimal(20,0)") / F.lit(MICRO)).cast("decimal(20,6)"),
+            "kwh_cumulative": (F.col("kwh_cumulative").cast("decimal(26,0)") / F.lit(MICRO))
+            .cast("decimal(26,6)")})
     return classify(running_bill(out), warn, crit)
 
 
