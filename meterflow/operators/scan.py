@@ -6,10 +6,10 @@ one task, and one meter (or one billing cycle of a single-meter deployment)
 can hold a third of all rows. Here each key is cut into contiguous
 *segments* of its ordering:
 
-1. One cheap aggregate (key columns and the first order column only) counts
-   rows per key. A key is *hot* when it holds more than a fair task share,
-   ``total / parts`` rows. There are at most ``parts`` hot keys, which bounds
-   the broadcast of that table.
+1. A column-free count and one aggregate over the key and first order
+   columns find the *hot* keys: more rows than a fair task share,
+   ``total / parts``. There are at most ``parts`` of them, which bounds both
+   collecting that summary and broadcasting it.
 2. A hot key's time span is cut into ``ceil(n / share)`` equal slices, and a
    row's segment is its slice. The segment is a deterministic function of the
    row and exact aggregates, so a recomputed task after an executor loss gets
@@ -52,26 +52,40 @@ def _ordinal(df: DataFrame, c: str) -> Column:
 def hot_keys(df: DataFrame, keys, first_order: str, segments: int | None = None) -> DataFrame:
     """Keys with more rows than ``total / parts``, their span and slice count.
 
-    At most ``parts`` rows (each has more than 1/parts of all rows).
+    Two small jobs: a column-free ``count()`` and one partial+final aggregate
+    over the key and time columns. The result has at most ``parts`` rows (each
+    such key holds more than 1/parts of all rows), so it is collected and
+    returned as a local relation: the main plan does not recompute it, and
+    when no key is hot the optimizer drops the segment logic altogether.
     """
     parts = _parts(df, segments)
     t = _ordinal(df, first_order)
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"),
-                                  F.max(t).alias("_hi"))
-    total = stats.agg(F.sum("_n")).first()[0] or 0
+    total = df.count()
     share = max(1, math.ceil(total / parts))
     cond = F.col("_n") > F.lit(share)
     for k in keys:
         cond = cond & F.col(k).isNotNull()
-    return stats.filter(cond).withColumn("_segs", F.ceil(F.col("_n") / F.lit(share)).cast("int"))
-
-
-def with_segments(df: DataFrame, keys, order, segments: int | None = None) -> DataFrame:
-    """Adds ``_seg`` (0 for ordinary keys, time slice for hot keys) and ``_hot``."""
+    stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"),
+                                   F.max(t).alias("_hi"))
+             .filter(cond)
+             .withColumn("_segs", F.ceil(F.col("_n") / F.lit(share)).cast("int"))
+             .select(*keys, "_lo", "_hi", "_segs"))
+    rows = stats.collect()
+    assert len(rows) <= parts
+    if not rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, stats.schema)
+
+
+def with_segments(df: DataFrame, keys, order, segments: int | None = None):
+    """Adds ``_seg`` (0 for ordinary keys, time slice for hot keys) and ``_hot``;
+    None when no key is hot (then the plain window is already balanced)."""
     keys, order = list(keys), list(order)
     hot = hot_keys(df, keys, order[0], segments)
+    if hot is None:
+        return None
     t = _ordinal(df, order[0])
-    tagged = df.join(F.broadcast(hot.select(*keys, "_lo", "_hi", "_segs")), keys, "left")
+    tagged = df.join(F.broadcast(hot), keys, "left")
     width = (F.col("_hi") - F.col("_lo") + F.lit(1.0)) / F.col("_segs")
     seg = F.when(F.col("_segs").isNull(), F.lit(0)).otherwise(
         F.least(F.floor((t - F.col("_lo")) / width).cast("int"), F.col("_segs") - 1))
@@ -87,12 +101,12 @@ def running_total(df: DataFrame, keys, order, value: str, out: str,
     association of the additions (last-bit differences only).
     """
     keys, order = list(keys), list(order)
-    if segments == 0:
+    tagged = None if segments == 0 else with_segments(df, keys, order, segments)
+    if tagged is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.sum(value).over(w))
     cols = df.columns
-    tagged = with_segments(df, keys, order, segments)
     w_local = Window.partitionBy(*keys, SEG).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = tagged.withColumn("_local", F.sum(value).over(w_local))
@@ -111,11 +125,11 @@ def previous_row(df: DataFrame, keys, order, cols, prefix: str = "prev_",
                  segments: int | None = None) -> DataFrame:
     """Adds ``prefix+c`` = value of ``c`` on the previous row of the same key in ``order``."""
     keys, order, cols = list(keys), list(order), list(cols)
-    if segments == 0:
+    tagged = None if segments == 0 else with_segments(df, keys, order, segments)
+    if tagged is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({prefix + c: F.lag(c).over(w) for c in cols})
     base = df.columns
-    tagged = with_segments(df, keys, order, segments)
     w = Window.partitionBy(*keys, SEG).orderBy(*order)
     local = tagged.withColumns({prefix + c: F.lag(c).over(w) for c in cols}).withColumn(
         "_rn", F.row_number().over(w))
