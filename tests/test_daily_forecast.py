@@ -113,3 +113,14 @@ def test_horizon_minutes(spark):
     out = fc.map_horizon(fc.forecast(fits), now="2024-05-01 10:20:37", step="1 minute")
     times = sorted(r["time"] for r in out.collect())
     assert times[0] == dt.datetime(2024, 5, 1, 10, 21) and times[-1] == dt.datetime(2024, 5, 1, 10, 27)
+
+
+def test_write_predictions(spark, scratch):
+    from meterflow.sources.sinks import write_predictions
+    fits = fc.fit_fixed(_series(spark, [float(i % 7) for i in range(21)]), 0.3, 0.1, 0.2)
+    pred = fc.map_horizon(fc.forecast_band(fc.forecast(fits)), now="2024-05-01 10:20:37",
+                          step="1 minute")
+    write_predictions(pred, scratch + "/pred", keys=["meter_id"])
+    back = spark.read.parquet(scratch + "/pred")
+    assert back.count() == 7
+    assert set(back.columns) == {"meter_id", "time", "yhat", "yhat_lower", "yhat_upper", "day"}
