@@ -124,15 +124,15 @@ def bucket_mean(df: DataFrame, fields, interval: str, from_ts=None, to_ts=None,
         raise ValueError("fill needs both range bounds")
     span = F.sequence(_bucket_start_lit(from_ts, interval), _bucket_start_lit(to_ts, interval),
                       F.expr(f"INTERVAL {interval}"))
-    base = df.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
+    # Series keys from the aggregate itself: its exchange is reused by the
+    # join below, so the input is not computed a second time.
+    base = agg.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
     spine = base.select(*keys, F.explode(span).alias("bucket"))
     out = spine.join(agg, [*keys, "bucket"], "left")
     if fill == "null":
         return out
     if fill == "linear":
-        for f in fields:
-            out = interpolate_linear(out, keys, "bucket", f"mean_{f}")
-        return out
+        return interpolate_linear(out, keys, "bucket", [f"mean_{f}" for f in fields])
     raise ValueError(f"unknown fill {fill!r}")
 
 
@@ -146,14 +146,16 @@ def _bucket_start_lit(ts, interval: str) -> Column:
     return _floor_to(F.unix_micros(F.lit(ts).cast("timestamp")), interval)
 
 
-def interpolate_linear(df: DataFrame, keys, time: str, value: str) -> DataFrame:
+def interpolate_linear(df: DataFrame, keys, time: str, value) -> DataFrame:
     """Fill NULLs between two known points linearly in ``time``; ends stay NULL.
 
     slope = (y1 - y0) / (t1 - t0); y = slope * (t - t0) + y0 (numpy's order).
-    Windows run per key over a series that is one row per bucket/day, so the
-    partition size is bounded by the span, not by the data volume.
+    ``value`` may be one column or several; all use the same two windows (one
+    sort each way). The windows run per key over a series of one row per
+    bucket/day, so a partition is bounded by the span, not the data volume.
     """
     keys = list(keys)
+    values = [value] if isinstance(value, str) else list(value)
     t_num = _t_num(df, time)
     # Both neighbours as running frames (linear); a frame reaching to
     # "unbounded following" would be re-evaluated for every row.
@@ -161,13 +163,21 @@ def interpolate_linear(df: DataFrame, keys, time: str, value: str) -> DataFrame:
         Window.unboundedPreceding, 0)
     next_w = Window.partitionBy(*keys).orderBy(F.col(time).desc()).rowsBetween(
         Window.unboundedPreceding, 0)
-    known = F.when(F.col(value).isNotNull(), F.struct(t_num.alias("t"), F.col(value).alias("v")))
-    out = df.withColumn("_p", F.last(known, ignorenulls=True).over(prev_w)).withColumn(
-        "_n", F.last(known, ignorenulls=True).over(next_w))
-    slope = (F.col("_n.v") - F.col("_p.v")) / (F.col("_n.t") - F.col("_p.t"))
-    filled = slope * (t_num - F.col("_p.t")) + F.col("_p.v")
-    return out.withColumn(value, F.when(F.col(value).isNotNull(), F.col(value)).otherwise(filled)
-                          ).drop("_p", "_n")
+
+    def known(v):
+        return F.when(F.col(v).isNotNull(), F.struct(t_num.alias("t"), F.col(v).alias("v")))
+
+    out = df.withColumns({f"_p{i}": F.last(known(v), ignorenulls=True).over(prev_w)
+                          for i, v in enumerate(values)})
+    out = out.withColumns({f"_n{i}": F.last(known(v), ignorenulls=True).over(next_w)
+                           for i, v in enumerate(values)})
+    filled = {}
+    for i, v in enumerate(values):
+        p, n = F.col(f"_p{i}"), F.col(f"_n{i}")
+        slope = (n["v"] - p["v"]) / (n["t"] - p["t"])
+        filled[v] = F.when(F.col(v).isNotNull(), F.col(v)).otherwise(
+            slope * (t_num - p["t"]) + p["v"])
+    return out.withColumns(filled).drop(*[f"_{x}{i}" for x in "pn" for i in range(len(values))])
 
 
 def _t_num(df: DataFrame, time: str) -> Column:

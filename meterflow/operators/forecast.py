@@ -51,43 +51,36 @@ def to_series(daily: DataFrame, keys=("meter_id",), ds: str = "ds", y: str = "y"
                     F.size("_pts").alias("n")))
 
 
-def _sum(arr: Column) -> Column:
-    return F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)
+def _fold_sql(y: str, a: str, c: str, g: str, m: int) -> str:
+    """The recurrence as one SQL ``aggregate`` expression over array ``y``.
 
-
-def _init(y: Column, m: int) -> Column:
-    first = F.slice(y, 1, m)
-    l0 = _sum(first) / F.lit(float(m))
-    b0 = (_sum(F.slice(y, m + 1, m)) / F.lit(float(m)) - l0) / F.lit(float(m))
-    seasons = [(F.element_at(y, i + 1) - l0).alias(f"s{i}") for i in range(m)]
-    return F.struct(l0.alias("l"), b0.alias("b"), *seasons,
-                    F.lit(0.0).alias("sse"), F.lit(0).cast("long").alias("k"),
-                    F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
-
-
-def _fold(y: Column, a: Column, c: Column, g: Column, m: int) -> Column:
-    """The smoothing recurrence over the whole series; returns the final state.
-
-    The season is kept as m scalar fields rotated by name, so a step
-    allocates no array.
+    Written as SQL text so the plan is built in one call (a Column tree of
+    this size costs thousands of driver round trips to assemble). The season
+    is kept as m scalar fields rotated by name, so a step allocates no array.
     """
-    one_a, one_c, one_g = F.lit(1.0) - a, F.lit(1.0) - c, F.lit(1.0) - g
-
-    def step(st, x):
-        l, b, s0 = st["l"], st["b"], st["s0"]
-        e = x - (l + b + s0)
-        l1 = a * (x - s0) + one_a * (l + b)
-        b1 = c * (l1 - l) + one_c * b
-        s_new = g * (x - l - b) + one_g * s0
-        k1 = st["k"] + 1
-        d = e - st["mean"]
-        mean1 = st["mean"] + d / k1
-        rot = [st[f"s{i + 1}"].alias(f"s{i}") for i in range(m - 1)] + [s_new.alias(f"s{m - 1}")]
-        return F.struct(l1.alias("l"), b1.alias("b"), *rot,
-                        (st["sse"] + e * e).alias("sse"), k1.alias("k"), mean1.alias("mean"),
-                        (st["m2"] + d * (e - mean1)).alias("m2"))
-
-    return F.aggregate(y, _init(y, m), step)
+    def total(lo: int, hi: int) -> str:
+        return f"aggregate(slice({y}, {lo}, {hi - lo + 1}), 0.0D, (acc, v) -> acc + v)"
+
+    l0 = f"({total(1, m)} / {float(m)}D)"
+    b0 = f"(({total(m + 1, 2 * m)} / {float(m)}D - {l0}) / {float(m)}D)"
+    init = (f"named_struct('l', {l0}, 'b', {b0}, "
+            + ", ".join(f"'s{i}', element_at({y}, {i + 1}) - {l0}" for i in range(m))
+            + ", 'sse', 0.0D, 'k', 0L, 'mean', 0.0D, 'm2', 0.0D)")
+    e = "(x - (st.l + st.b + st.s0))"
+    l1 = f"({a} * (x - st.s0) + (1.0D - {a}) * (st.l + st.b))"
+    b1 = f"({c} * ({l1} - st.l) + (1.0D - {c}) * st.b)"
+    s_new = f"({g} * (x - st.l - st.b) + (1.0D - {g}) * st.s0)"
+    d = f"({e} - st.mean)"
+    mean1 = f"(st.mean + {d} / (st.k + 1))"
+    rot = ", ".join([f"'s{i}', st.s{i + 1}" for i in range(m - 1)] + [f"'s{m - 1}', {s_new}"])
+    step = (f"named_struct('l', {l1}, 'b', {b1}, {rot}, 'sse', st.sse + {e} * {e}, "
+            f"'k', st.k + 1, 'mean', {mean1}, 'm2', st.m2 + {d} * ({e} - {mean1}))")
+    return f"aggregate({y}, {init}, (st, x) -> {step})"
+
+
+def _fold(y: str, a: str, c: str, g: str, m: int) -> Column:
+    """The smoothing recurrence over the whole series; returns the final state."""
+    return F.expr(_fold_sql(y, a, c, g, m))
 
 
 def _season(st: str, m: int) -> Column:
@@ -155,7 +148,7 @@ def _fit_rows(series: DataFrame, keys, params: Column, m: int) -> DataFrame:
     """Fold each series once with its (chosen or given) parameters."""
     keys = list(keys)
     withp = series.select(*keys, "y", "last_ds", "n", params.alias("p"))
-    st = _fold(F.col("y"), F.col("p.alpha"), F.col("p.beta"), F.col("p.gamma"), m)
+    st = _fold("y", "p.alpha", "p.beta", "p.gamma", m)
     return withp.select(*keys, "last_ds", "n", F.col("p.alpha").alias("alpha"),
                         F.col("p.beta").alias("beta"), F.col("p.gamma").alias("gamma"),
                         st.alias("st"))
