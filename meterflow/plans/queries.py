@@ -479,8 +479,6 @@ def q_stream_billing(spark, sf_dir):
     (``availableNow``). Returns the ``power_usage`` points its sink wrote;
     state carried across runs in the state store must give the batch result.
     Files go to the shared folder named by ``spark.checkpoint.dir``."""
-    from meterflow.functions import kwh as kwh_expr
-    from meterflow.streaming import billing as sb
     ensure_utc(spark)
     root = checkpoint_path(spark, "meterflow", f"stream_billing-{uuid.uuid4().hex}")
     msgs = tables.messages_clean(tables.table(spark, sf_dir, "events"))
@@ -492,6 +490,24 @@ def q_stream_billing(spark, sf_dir):
         (t >= F.lit(a)) & (t < F.lit(b)) for a, b in zip(bounds, bounds[1:])] + [
         t >= F.lit(bounds[-1])]
     schema = "tie long, value binary"
+    # The state of a stream is partitioned once, at its first start, by
+    # spark.sql.shuffle.partitions: size it to the cluster, not to the
+    # session's batch default, and restore the setting afterwards.
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    try:
+        _stream_runs(spark, msgs, parts, schema, root)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+    pu = spark.read.parquet(f"{root}/out/power_usage")
+    return pu.select("meter_id", "tie", ntz("time"), "alert_level", "kw", dbl("kwh_cumulative"),
+                     dbl("vnd_cumulative"), "sub1_pct", "sub2_pct", "sub3_pct", "suggestion",
+                     "month_key")
+
+
+def _stream_runs(spark, msgs, parts, schema, root):
+    from meterflow.functions import kwh as kwh_expr
+    from meterflow.streaming import billing as sb
     for i, cond in enumerate(parts):
         msgs.filter(cond).select("tie", "value").write.mode("overwrite").parquet(
             f"{root}/in/part={i}")
@@ -503,10 +519,6 @@ def q_stream_billing(spark, sf_dir):
         q = sb.run_stream(billed, sb.point_sink(f"{root}/out", "r1"), f"{root}/ckpt",
                           "availableNow")
         q.awaitTermination()
-    pu = spark.read.parquet(f"{root}/out/power_usage")
-    return pu.select("meter_id", "tie", ntz("time"), "alert_level", "kw", dbl("kwh_cumulative"),
-                     dbl("vnd_cumulative"), "sub1_pct", "sub2_pct", "sub3_pct", "suggestion",
-                     "month_key")
 
 
 @register("alert_feed", f"""

@@ -18,7 +18,7 @@ size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``) bounds that memory.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -85,6 +85,16 @@ class ExactCycleTotals(CycleTotals):
 
 
 MICRO = 10 ** 6
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_state_store(spark: SparkSession) -> None:
+    """``transformWithState`` keeps its state in column families, which only
+    the RocksDB state store provides; select it when the session names another
+    provider. A query keeps the provider recorded in its checkpoint."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB:
+        spark.conf.set(key, ROCKSDB)
 
 
 def billing_stream(readings: DataFrame, cycle: str = "demo_slot", keys=("meter_id",),
@@ -98,6 +108,7 @@ def billing_stream(readings: DataFrame, cycle: str = "demo_slot", keys=("meter_i
     DOUBLE like the original.
     """
     keys = list(keys)
+    ensure_state_store(readings.sparkSession)
     df = readings.withColumn("month_key", cycle_key("event_time", cycle))
     if exact:
         df = df.withColumn("kwh", (F.col("kwh").cast("decimal(20,6)") * F.lit(MICRO))
@@ -141,8 +152,7 @@ def decoded_stream(messages: DataFrame, meter_id: str = "house") -> tuple[DataFr
     return good.select("meter_id", "event_time", "tie", "kw", "kwh", "sub1", "sub2", "sub3"), bad
 
 
-def point_sink(root: str, run_id: str, keys=("meter_id",),
-               rejects: Callable[[DataFrame], DataFrame] | None = None):
+def point_sink(root: str, run_id: str, keys=("meter_id",)):
     """A7 + I4 + D9/D10: a ``foreachBatch`` function writing the batch's
     ``power_usage`` and ``monthly_billing`` points and a one-row summary.
 
