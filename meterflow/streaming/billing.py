@@ -34,56 +34,80 @@ from meterflow.schemas import CRIT_KW, WARN_KW
 from meterflow.sources.topic import decode_readings, split_rejects
 
 
+def month_end_ms(month_key: str) -> int:
+    """First instant (UTC, epoch ms) after a ``yyyy-MM`` cycle."""
+    y, m = (int(x) for x in month_key.split("-"))
+    y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return int(pd.Timestamp(year=y, month=m, day=1, tz="UTC").value // 1_000_000)
+
+
 class CycleTotals(StatefulProcessor):
-    """Running kWh per grouping key, kept in a ValueState."""
+    """Running kWh per grouping key (meter, cycle), kept in a ValueState.
+
+    With ``close=True`` (calendar months, event-time mode) a timer at the end
+    of the month fires once the watermark passes it: it emits one row with
+    ``closed = true`` and the cycle's final total, and clears the state, so
+    state stays bounded by the open cycles.
+    """
+
+    dtype, state_schema, zero = "float64", "kwh double", 0.0
 
     def __init__(self, columns: list[str], order=("event_time", "tie"), value: str = "kwh",
-                 out: str = "kwh_cumulative"):
+                 out: str = "kwh_cumulative", close: bool = False):
         self.columns, self.order, self.value, self.out = list(columns), list(order), value, out
+        self.close_cycles = close
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", "kwh double")
+        self.handle = handle
+        self.total = handle.getValueState("total", self.state_schema)
+
+    def _cum(self, start, vals):
+        return np.cumsum(np.concatenate([[start], vals]))[1:]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True)
         if pdf.empty:
             return
         pdf = pdf.sort_values(self.order, kind="mergesort")
-        start = self.total.get()[0] if self.total.exists() else 0.0
-        vals = pdf[self.value].to_numpy(dtype="float64")
-        cum = np.cumsum(np.concatenate([[start], vals]))[1:]
-        self.total.update((float(cum[-1]),))
+        start = self.total.get()[0] if self.total.exists() else self.zero
+        cum = self._cum(start, pdf[self.value].to_numpy(dtype=self.dtype))
+        self.total.update((cum[-1].item(),))
+        if self.close_cycles:
+            self.handle.registerTimer(month_end_ms(key[-1]))
+            pdf["closed"] = False
         pdf[self.out] = cum
-        yield pdf[self.columns + [self.out]]
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.total.update((float(initialState[self.value].iloc[0]),))
-
-
-class ExactCycleTotals(CycleTotals):
-    """As ``CycleTotals`` on integer micro-kWh (exact, order-free sums)."""
+        yield pdf[self._out_cols()]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total_micro", "micro long")
+    def _out_cols(self):
+        return self.columns + [self.out] + (["closed"] if self.close_cycles else [])
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        if pdf.empty:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.total.exists():
             return
-        pdf = pdf.sort_values(self.order, kind="mergesort")
-        start = int(self.total.get()[0]) if self.total.exists() else 0
-        cum = start + np.cumsum(pdf[self.value].to_numpy(dtype="int64"))
-        self.total.update((int(cum[-1]),))
-        pdf[self.out] = cum
-        yield pdf[self.columns + [self.out]]
+        total = self.total.get()[0]
+        self.total.clear()
+        row = {c: None for c in self.columns}
+        row.update({"meter_id": key[0], "month_key": key[-1], self.value: self.zero, "tie": -1,
+                    "event_time": pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs(), unit="ms"),
+                    self.out: total, "closed": True})
+        yield pd.DataFrame([row])[self._out_cols()]
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.total.update((int(initialState[self.value].iloc[0]),))
+        self.total.update((initialState[self.value].iloc[0].item(),))
 
     def close(self) -> None:
         pass
 
 
+class ExactCycleTotals(CycleTotals):
+    """As ``CycleTotals`` on integer micro-kWh (exact, order-free sums)."""
+
+    dtype, state_schema, zero = "int64", "micro long", 0
+
+    def _cum(self, start, vals):
+        return int(start) + np.cumsum(vals)
+
+
 MICRO = 10 ** 6
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -99,16 +123,25 @@ def ensure_state_store(spark: SparkSession) -> None:
 
 def billing_stream(readings: DataFrame, cycle: str = "demo_slot", keys=("meter_id",),
                    initial: DataFrame | None = None, warn: float = WARN_KW,
-                   crit: float = CRIT_KW, exact: bool = False) -> DataFrame:
+                   crit: float = CRIT_KW, exact: bool = False,
+                   close_after: str | None = None) -> DataFrame:
     """Readings -> billed readings (running kWh per cycle, bill, alert, shares).
 
     ``initial``: (keys..., month_key, kwh) rows to resume from (I5 per_cycle).
     ``exact``: carry kWh as integer micro-kWh in the state (DECIMAL(20,6) in
     and out), so totals equal the batch DECIMAL path bit for bit; otherwise
     DOUBLE like the original.
+    ``close_after`` (calendar months only): watermark delay after which a
+    month is closed - one ``closed`` row with its final total is emitted and
+    its state dropped; readings later than the watermark are then dropped.
+    A 3-minute slot resumes every day, so it is never closed.
     """
     keys = list(keys)
     ensure_state_store(readings.sparkSession)
+    if close_after is not None and cycle != "calendar_month":
+        raise ValueError("close_after needs cycle='calendar_month'")
+    if close_after is not None:
+        readings = readings.withWatermark("event_time", close_after)
     df = readings.withColumn("month_key", cycle_key("event_time", cycle))
     if exact:
         df = df.withColumn("kwh", (F.col("kwh").cast("decimal(20,6)") * F.lit(MICRO))
@@ -118,15 +151,18 @@ def billing_stream(readings: DataFrame, cycle: str = "demo_slot", keys=("meter_i
         df = df.withColumn("kwh", F.col("kwh").cast("double"))
         out_t, proc = T.DoubleType(), CycleTotals
     cols = df.columns
-    schema = T.StructType(list(df.schema.fields) + [T.StructField("kwh_cumulative", out_t)])
+    extra = [T.StructField("closed", T.BooleanType())] if close_after is not None else []
+    schema = T.StructType(list(df.schema.fields) + [T.StructField("kwh_cumulative", out_t)]
+                          + extra)
     init = None
     if initial is not None:
         v = F.col("kwh").cast("decimal(20,6)") * F.lit(MICRO) if exact else F.col("kwh")
         init = initial.select(*keys, "month_key", v.cast(out_t).alias("kwh")) \
             .groupBy(*keys, "month_key")
     out = df.groupBy(*keys, "month_key").transformWithStateInPandas(
-        statefulProcessor=proc(cols), outputStructType=schema, outputMode="Append",
-        timeMode="None", initialState=init)
+        statefulProcessor=proc(cols, close=close_after is not None), outputStructType=schema,
+        outputMode="Append", timeMode="EventTime" if close_after is not None else "None",
+        initialState=init)
     if exact:
         out = out.withColumns({
             "kwh": (F.col("kwh").cast("decimal(20,0)") / F.lit(MICRO)).cast("decimal(20,6)"),

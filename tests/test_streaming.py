@@ -130,3 +130,27 @@ def test_live_mean_and_alert_stream(spark, scratch):
     levels = {r[0] for r in spark.sql("SELECT alert_level FROM alerts_t").collect()}
     n_ref = bgood.filter(F.col("kw") >= 3).count()
     assert levels <= {"WARNING", "CRITICAL"} and spark.table("alerts_t").count() == n_ref
+
+
+def test_calendar_month_closes(spark, scratch):
+    """A February reading moves the watermark past January: January is closed
+    with its final total and its state dropped."""
+    src = os.path.join(scratch, "in")
+    write_day_files(src, days=set(range(40)))
+    feb = os.path.join(src, "z_feb.json")
+    with open(feb, "w") as f:
+        f.write(json.dumps({"event_time": "2024-02-02 00:00:00", "kw": 1.0, "sub1": 0.0,
+                            "sub2": 0.0, "sub3": 0.0}) + "\n")
+    os.utime(feb, (2e9, 2e9))
+    good, _ = sb.decoded_stream(sb.message_stream(spark, src, 40))
+    billed = sb.billing_stream(good, cycle="calendar_month", close_after="1 hour")
+    q = (billed.writeStream.format("memory").queryName("closing_t").outputMode("append")
+         .trigger(availableNow=True).option("checkpointLocation", os.path.join(scratch, "c"))
+         .start())
+    q.awaitTermination()
+    out = spark.table("closing_t")
+    closed = out.filter("closed").collect()
+    jan = [r for r in closed if r["month_key"] == "2024-01"]
+    total = out.filter("NOT closed AND month_key = '2024-01'").agg(F.sum("kwh")).first()[0]
+    assert len(jan) == 1 and jan[0]["kwh_cumulative"] == pytest.approx(total, rel=1e-12)
+    assert jan[0]["event_time"] == dt.datetime(2024, 2, 1) and jan[0]["alert_level"] is None
