@@ -26,13 +26,13 @@ def with_cycle(readings: DataFrame, cycle: str = "calendar_month", out: str = "m
 
 def cumulative_kwh(df: DataFrame, keys=("meter_id", "month_key"), order=ORDER,
                    value: str = "kwh", out: str = "kwh_cumulative",
-                   segments: int | None = None) -> DataFrame:
+                   segments: int | None = None, min_rows: int | None = None) -> DataFrame:
     """Running kWh per (meter, cycle) in event-time order (ties by ``tie``).
 
-    Skew-safe by default (range segments, see ``scan``); ``segments=0`` is the
-    plain per-key window.
+    Skew-safe by default: a key above a fair task share and ``min_rows`` is
+    cut into time slices (see ``scan``); ``segments=0`` is the plain window.
     """
-    return running_total(df, keys, order, value, out, segments=segments)
+    return running_total(df, keys, order, value, out, segments=segments, min_rows=min_rows)
 
 
 def running_bill(df: DataFrame, kwh_col: str = "kwh_cumulative", out: str = "vnd_cumulative",
@@ -54,11 +54,12 @@ def classify(df: DataFrame, warn: float = WARN_KW, crit: float = CRIT_KW) -> Dat
 
 def bill_readings(readings: DataFrame, cycle: str = "calendar_month", keys=("meter_id",),
                   order=ORDER, tiers=TIERS, warn: float = WARN_KW, crit: float = CRIT_KW,
-                  segments: int | None = None) -> DataFrame:
+                  segments: int | None = None, min_rows: int | None = None) -> DataFrame:
     """Everything the stream job derives per reading, as one lazy plan:
     cycle key, running kWh, running bill, alert level, advice, shares."""
     df = with_cycle(readings, cycle)
-    df = cumulative_kwh(df, keys=[*keys, "month_key"], order=order, segments=segments)
+    df = cumulative_kwh(df, keys=[*keys, "month_key"], order=order, segments=segments,
+                        min_rows=min_rows)
     df = running_bill(df, tiers=tiers)
     return classify(df, warn, crit)
 
@@ -79,13 +80,14 @@ def monthly_billing(billed: DataFrame, keys=("meter_id",), extra=("tie",)) -> Da
 
 def rollovers(billed: DataFrame, keys=("meter_id",), cycle: str = "month_key", order=ORDER,
               total: str = "kwh_cumulative", tiers=TIERS,
-              segments: int | None = None) -> DataFrame:
+              segments: int | None = None, min_rows: int | None = None) -> DataFrame:
     """A rollover is the first reading ever seen of a cycle key that is not the
     meter's first reading. It reports the previous reading's key, that key's
     running total and bill at that moment, and the new key.
     """
     keys, order = list(keys), list(order)
-    prev = previous_row(billed, keys, order, [cycle, total], prefix="prev_", segments=segments)
+    prev = previous_row(billed, keys, order, [cycle, total], prefix="prev_", segments=segments,
+                        min_rows=min_rows)
     firsts = billed.groupBy(*keys, cycle).agg(F.min(F.struct(*order)).alias("_first"))
     changed = prev.filter(F.col(f"prev_{cycle}").isNotNull()
                           & (F.col(f"prev_{cycle}") != F.col(cycle)))

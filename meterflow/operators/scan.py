@@ -8,8 +8,9 @@ can hold a third of all rows. Here each key is cut into contiguous
 
 1. A column-free count and one aggregate over the key and first order
    columns find the *hot* keys: more rows than a fair task share,
-   ``total / parts``. There are at most ``parts`` of them, which bounds both
-   collecting that summary and broadcasting it.
+   ``total / parts``, and more than ``min_rows`` (a comfortable task). There
+   are at most ``parts`` of them, which bounds both collecting that summary
+   and broadcasting it.
 2. A hot key's time span is cut into ``ceil(n / share)`` equal slices, and a
    row's segment is its slice. The segment is a deterministic function of the
    row and exact aggregates, so a recomputed task after an executor loss gets
@@ -32,6 +33,9 @@ from pyspark.sql import Column, DataFrame, Window  # noqa: F401
 from pyspark.sql import functions as F
 
 SEG = "_seg"
+# A key is split only when it also exceeds this many rows: below it one task
+# sorts and scans the key comfortably (about a 128 MB partition).
+SEGMENT_MIN_ROWS = 1_000_000
 
 
 def _parts(df: DataFrame, segments: int | None) -> int:
@@ -49,8 +53,10 @@ def _ordinal(df: DataFrame, c: str) -> Column:
     return F.col(c).cast("double")
 
 
-def hot_keys(df: DataFrame, keys, first_order: str, segments: int | None = None) -> DataFrame:
-    """Keys with more rows than ``total / parts``, their span and slice count.
+def hot_keys(df: DataFrame, keys, first_order: str, segments: int | None = None,
+             min_rows: int | None = None):
+    """Keys with more rows than ``max(total / parts, min_rows)``, their span
+    and slice count (None when there are none).
 
     Two small jobs: a column-free ``count()`` and one partial+final aggregate
     over the key and time columns. The result has at most ``parts`` rows (each
@@ -59,9 +65,12 @@ def hot_keys(df: DataFrame, keys, first_order: str, segments: int | None = None)
     when no key is hot the optimizer drops the segment logic altogether.
     """
     parts = _parts(df, segments)
+    min_rows = SEGMENT_MIN_ROWS if min_rows is None else min_rows
     t = _ordinal(df, first_order)
     total = df.count()
-    share = max(1, math.ceil(total / parts))
+    share = max(1, min_rows, math.ceil(total / parts))
+    if total <= share:  # no key can exceed the share: skip the key statistics
+        return None
     cond = F.col("_n") > F.lit(share)
     for k in keys:
         cond = cond & F.col(k).isNotNull()
@@ -77,11 +86,12 @@ def hot_keys(df: DataFrame, keys, first_order: str, segments: int | None = None)
     return df.sparkSession.createDataFrame(rows, stats.schema)
 
 
-def with_segments(df: DataFrame, keys, order, segments: int | None = None):
+def with_segments(df: DataFrame, keys, order, segments: int | None = None,
+                  min_rows: int | None = None):
     """Adds ``_seg`` (0 for ordinary keys, time slice for hot keys) and ``_hot``;
     None when no key is hot (then the plain window is already balanced)."""
     keys, order = list(keys), list(order)
-    hot = hot_keys(df, keys, order[0], segments)
+    hot = hot_keys(df, keys, order[0], segments, min_rows)
     if hot is None:
         return None
     t = _ordinal(df, order[0])
@@ -94,14 +104,14 @@ def with_segments(df: DataFrame, keys, order, segments: int | None = None):
 
 
 def running_total(df: DataFrame, keys, order, value: str, out: str,
-                  segments: int | None = None) -> DataFrame:
+                  segments: int | None = None, min_rows: int | None = None) -> DataFrame:
     """``out`` = running sum of ``value`` per key in ``order`` (rows up to the current one).
 
     Exact for DECIMAL input; for DOUBLE input a segment split changes the
     association of the additions (last-bit differences only).
     """
     keys, order = list(keys), list(order)
-    tagged = None if segments == 0 else with_segments(df, keys, order, segments)
+    tagged = None if segments == 0 else with_segments(df, keys, order, segments, min_rows)
     if tagged is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
@@ -122,10 +132,10 @@ def running_total(df: DataFrame, keys, order, value: str, out: str,
 
 
 def previous_row(df: DataFrame, keys, order, cols, prefix: str = "prev_",
-                 segments: int | None = None) -> DataFrame:
+                 segments: int | None = None, min_rows: int | None = None) -> DataFrame:
     """Adds ``prefix+c`` = value of ``c`` on the previous row of the same key in ``order``."""
     keys, order, cols = list(keys), list(order), list(cols)
-    tagged = None if segments == 0 else with_segments(df, keys, order, segments)
+    tagged = None if segments == 0 else with_segments(df, keys, order, segments, min_rows)
     if tagged is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({prefix + c: F.lag(c).over(w) for c in cols})

@@ -15,7 +15,8 @@ def _readings(spark, house):
 def test_running_total_segmented_equals_window(spark):
     for house in (True, False):
         r = _readings(spark, house)
-        a = running_total(r, ["meter_id"], ["event_time", "tie"], "kwh", "c", segments=16)
+        a = running_total(r, ["meter_id"], ["event_time", "tie"], "kwh", "c", segments=16,
+                          min_rows=0)
         b = running_total(r, ["meter_id"], ["event_time", "tie"], "kwh", "ref", segments=0)
         j = a.join(b.select("tie", "ref"), "tie")
         assert j.count() == r.count()
@@ -24,13 +25,15 @@ def test_running_total_segmented_equals_window(spark):
 
 def test_hot_key_is_split(spark):
     r = _readings(spark, True)
-    hot = hot_keys(r, ["meter_id"], "event_time", segments=16).collect()
+    hot = hot_keys(r, ["meter_id"], "event_time", segments=16, min_rows=0).collect()
+    assert hot_keys(r, ["meter_id"], "event_time", segments=16) is None  # under the row budget
     assert len(hot) == 1 and hot[0]["_segs"] >= 16
 
 
 def test_previous_row_segmented_equals_lag(spark):
     r = _readings(spark, True)
-    a = previous_row(r, ["meter_id"], ["event_time", "tie"], ["month_key", "kwh"], segments=16)
+    a = previous_row(r, ["meter_id"], ["event_time", "tie"], ["month_key", "kwh"], segments=16,
+                     min_rows=0)
     b = previous_row(r, ["meter_id"], ["event_time", "tie"], ["month_key", "kwh"], prefix="ref_",
                      segments=0)
     j = a.join(b.select("tie", "ref_month_key", "ref_kwh"), "tie")
@@ -42,7 +45,7 @@ def test_previous_row_segmented_equals_lag(spark):
 
 def test_cycle_deltas_sum_to_final_bill(spark):
     r = billing.with_cycle(tables.readings(spark, SF, house=True), "calendar_month")
-    cum = billing.cumulative_kwh(r)
+    cum = billing.cumulative_kwh(r, min_rows=0)
     last = cum.groupBy("meter_id", "month_key").agg(
         F.max_by("kwh_cumulative", F.struct("event_time", "tie")).alias("last"))
     fin = billing.final_bills(r)
