@@ -3,7 +3,6 @@ checkpoint folder of the cluster."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -67,8 +66,3 @@ def ensure_utc(spark: SparkSession) -> None:
     """Event times are wall-clock UTC (points are written with a ``Z``)."""
     if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "GMT", "+00:00"):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
-def local_dir(prefix: str) -> str:
-    """Scratch folder for single-machine tests only."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))

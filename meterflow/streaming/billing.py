@@ -199,10 +199,13 @@ def point_sink(root: str, run_id: str, keys=("meter_id",)):
     keys = list(keys)
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
+        # Persist before the first action: the batch plan holds the stateful
+        # step, which would otherwise run once for the emptiness check and
+        # again for each write.
         batch_df.persist()
         try:
+            if batch_df.isEmpty():
+                return
             part = f"run_id={run_id}/batch_id={batch_id}"
             power_usage(batch_df, keys, extra=("tie", "month_key")).write.mode("overwrite") \
                 .parquet(f"{root}/power_usage/{part}")
