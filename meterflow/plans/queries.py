@@ -33,8 +33,8 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-def ntz(c):
-    return F.col(c).cast("timestamp_ntz").alias(c) if isinstance(c, str) else c
+def ntz(c: str):
+    return F.col(c).cast("timestamp_ntz").alias(c)
 
 
 def dbl(c: str):
@@ -303,7 +303,7 @@ def q_recover_totals(spark, sf_dir):
     """I5 + D8: last point -> its slot key -> MAX(kwh_cumulative) in that calendar month -> bill."""
     pu = billing.power_usage(_billed(spark, sf_dir))
     rec = pts.recover_totals(pu)
-    return rec.select("meter_id", ntz("last_time"), "month_key", "kwh", "vnd")
+    return rec.select("meter_id", ntz("last_time"), "month_key", dbl("kwh"), "vnd")
 
 
 @register("recover_cycles", f"""
@@ -449,7 +449,8 @@ def q_forecast_fixed(spark, sf_dir):
     """H1-H5 with fixed (alpha, beta, gamma): 7 daily steps, band, clip at 0."""
     fits = fc.fit_fixed(_meter_daily(spark, sf_dir), *FIXED)
     out = fc.map_horizon(fc.forecast_band(fc.forecast(fits)))
-    return out.select("meter_id", "step", "time", "yhat", "yhat_lower", "yhat_upper")
+    return out.select("meter_id", F.col("step").cast("bigint").alias("step"), "time", "yhat",
+                      "yhat_lower", "yhat_upper")
 
 
 @register("forecast")
@@ -533,8 +534,8 @@ def q_alert_feed(spark, sf_dir):
     from meterflow.streaming.billing import alert_stream
     ensure_utc(spark)
     a = alert_stream(tables.readings(spark, sf_dir, house=True))
-    return a.select("tie", ntz(F.date_trunc("second", "event_time").alias("time")),
-                    "alert_level", "kw")
+    return a.select("tie", F.date_trunc("second", "event_time").cast("timestamp_ntz")
+                    .alias("time"), "alert_level", "kw")
 
 
 FC_FROM, FC_TO = "2024-01-25 00:00:00", "2024-02-10 00:00:00"

@@ -44,6 +44,18 @@ def _key(row):
     return tuple((0, "") if x is None else (1, repr(x)) for x in row)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_mismatches(spark_df, con, sql: str) -> dict:
+    """Columns whose Spark type does not map to the oracle's DuckDB type."""
+    st = {c: SPARK_TO_DUCK.get(t, t) for c, t in spark_df.dtypes}
+    dt = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
+
+
 def compare(spark_df, con, sql: str, tol: float = 0.0):
     cols = spark_df.columns
     srows = [tuple(_norm(r[c]) for c in sorted(cols)) for r in spark_df.collect()]
@@ -52,7 +64,7 @@ def compare(spark_df, con, sql: str, tol: float = 0.0):
     drows_raw = res.fetchall()
     drows = [tuple(_norm(r[dcols.index(c)]) for c in sorted(dcols)) for r in drows_raw]
     out = {"spark_rows": len(srows), "oracle_rows": len(drows),
-           "names": sorted(cols) == sorted(dcols)}
+           "names": sorted(cols) == sorted(dcols), "types": type_mismatches(spark_df, con, sql)}
     if not out["names"]:
         out["spark_cols"], out["oracle_cols"] = sorted(cols), sorted(dcols)
         return out
@@ -96,7 +108,8 @@ def main(argv):
             print(f"{name:28s} rows-only {n} ({time.time() - t:.1f}s)")
             continue
         r = compare(df, con, os_[name])
-        good = r.get("exact") and r["names"] and r["spark_rows"] == r["oracle_rows"]
+        good = (r.get("exact") and r["names"] and not r["types"]
+                and r["spark_rows"] == r["oracle_rows"])
         ok &= bool(good)
         print(f"{name:28s} {'OK ' if good else 'BAD'} {r} ({time.time() - t:.1f}s)", flush=True)
     return 0 if ok else 1

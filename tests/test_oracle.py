@@ -22,6 +22,7 @@ def test_query_matches_oracle(spark, con, name):
         return
     r = compare(df, con, sql)
     assert r["names"], r
+    assert not r["types"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["exact"], r
 
