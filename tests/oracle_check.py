@@ -95,8 +95,15 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
     from __spark_entry__ import oracle_sql, queries
-    from meterflow.session import build_session
-    spark = build_session("local[8]", 8)
+    import os
+    if os.environ.get("ORACLE_PLAIN_SESSION"):  # like a caller's own default session
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from meterflow.session import build_session
+        spark = build_session("local[8]", 8)
     con = duck(sf_dir)
     qs, os_ = queries(), oracle_sql()
     ok = True
