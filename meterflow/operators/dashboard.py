@@ -117,7 +117,7 @@ def bucket_mean(df: DataFrame, fields, interval: str, from_ts=None, to_ts=None,
     keys = list(keys)
     df = time_range(df, from_ts, to_ts, time)
     agg = (df.groupBy(*keys, _bucket_start(time, interval).alias("bucket"))
-           .agg(*[_mean(f, exact).alias(f"mean_{f}") for f in fields]))
+           .agg(*[mean_of(f, exact).alias(f"mean_{f}") for f in fields]))
     if fill == "none":
         return agg
     if from_ts is None or to_ts is None:
@@ -136,7 +136,7 @@ def bucket_mean(df: DataFrame, fields, interval: str, from_ts=None, to_ts=None,
     raise ValueError(f"unknown fill {fill!r}")
 
 
-def _mean(f: str, exact: bool) -> Column:
+def mean_of(f: str, exact: bool) -> Column:
     if not exact:
         return F.avg(f)
     return F.sum(F.col(f).cast("decimal(28,6)")).cast("double") / F.count(f)

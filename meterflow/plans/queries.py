@@ -487,13 +487,7 @@ def q_stream_billing(spark, sf_dir):
     ensure_utc(spark)
     root = checkpoint_path(spark, "meterflow", f"stream_billing-{uuid.uuid4().hex}")
     msgs = tables.messages_clean(tables.table(spark, sf_dir, "events"))
-    lo, hi = msgs.agg(F.min("event_time"), F.max("event_time")).first()
-    span = (hi - lo) / STREAM_RUNS
-    bounds = [lo + span * i for i in range(1, STREAM_RUNS)]
-    t = F.col("event_time")
-    parts = [t < F.lit(bounds[0])] + [
-        (t >= F.lit(a)) & (t < F.lit(b)) for a, b in zip(bounds, bounds[1:])] + [
-        t >= F.lit(bounds[-1])]
+    parts = _time_parts(msgs)
     schema = "tie long, value binary"
     # The state of a stream is partitioned once, at its first start, by
     # spark.sql.shuffle.partitions: size it to the cluster, not to the
@@ -510,6 +504,18 @@ def q_stream_billing(spark, sf_dir):
                      "month_key")
 
 
+def _time_parts(msgs):
+    """STREAM_RUNS time-ordered, disjoint predicates over ``event_time`` (one
+    bounded aggregate, two rows to the driver)."""
+    lo, hi = msgs.agg(F.min("event_time"), F.max("event_time")).first()
+    span = (hi - lo) / STREAM_RUNS
+    bounds = [lo + span * i for i in range(1, STREAM_RUNS)]
+    t = F.col("event_time")
+    return [t < F.lit(bounds[0])] + [
+        (t >= F.lit(a)) & (t < F.lit(b)) for a, b in zip(bounds, bounds[1:])] + [
+        t >= F.lit(bounds[-1])]
+
+
 def _stream_runs(spark, msgs, parts, schema, root):
     from meterflow.functions import kwh as kwh_expr
     from meterflow.streaming import billing as sb
@@ -526,6 +532,45 @@ def _stream_runs(spark, msgs, parts, schema, root):
         q.awaitTermination()
 
 
+LIVE_INTERVAL, LIVE_DELAY = "5 minutes", "10 minutes"
+
+
+@register("live_mean_stream", f"""
+    WITH r AS ({S.readings_sql(True)}),
+    wm AS (SELECT max(date_trunc('second', event_time)) - INTERVAL '{LIVE_DELAY}' AS wm FROM r)
+    SELECT * FROM (
+        SELECT meter_id, time_bucket(INTERVAL '{LIVE_INTERVAL}', event_time) AS bucket,
+               CAST(sum(CAST(kw AS DECIMAL(28,6))) AS DOUBLE) / count(kw) AS mean_kw,
+               count(*) AS points
+        FROM r GROUP BY meter_id, bucket)
+    WHERE bucket + INTERVAL '{LIVE_INTERVAL}' <= (SELECT wm FROM wm)""")
+def q_live_mean_stream(spark, sf_dir):
+    """I6 in Structured Streaming: the messages of ``events`` arrive in three
+    time-ordered parts; after each part the watermarked window aggregation is
+    restarted from its checkpoint and drained (``availableNow``). Windows are
+    appended once the watermark (latest event time - 10 minutes) passes their
+    end; the open tail stays in the state store. Returns what the parquet
+    sink holds after the last run."""
+    from meterflow.streaming.billing import live_mean
+    ensure_utc(spark)
+    root = checkpoint_path(spark, "meterflow", f"live_mean-{uuid.uuid4().hex}")
+    msgs = tables.messages_clean(tables.table(spark, sf_dir, "events"))
+    for i, cond in enumerate(_time_parts(msgs)):
+        msgs.filter(cond).select("tie", "value").write.mode("overwrite").parquet(
+            f"{root}/in/part={i}")
+        src = spark.readStream.schema("tie long, value binary").parquet(f"{root}/in/part=*")
+        good, _ = topic.split_rejects(topic.decode_readings(src))
+        good = good.withColumn("meter_id", F.lit(tables.HOUSE))
+        q = (live_mean(good, LIVE_INTERVAL, LIVE_DELAY, keys=("meter_id",), exact=True)
+             .writeStream.outputMode("append").format("parquet")
+             .option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    out = spark.read.schema("meter_id string, bucket timestamp, mean_kw double, points long") \
+        .parquet(f"{root}/out")
+    return out.select("meter_id", ntz("bucket"), "mean_kw", "points")
+
+
 @register("alert_feed", f"""
     SELECT tie, date_trunc('second', event_time) AS time, {S.level_sql()} AS alert_level, kw
     FROM ({S.readings_sql(True)}) WHERE kw >= 3""")

@@ -29,6 +29,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from meterflow.functions import alert_level, cycle_key
 from meterflow.operators.billing import classify, monthly_billing, power_usage, running_bill
+from meterflow.operators.dashboard import mean_of
 from meterflow.operators.points import batch_summary
 from meterflow.schemas import CRIT_KW, WARN_KW
 from meterflow.sources.topic import decode_readings, split_rejects
@@ -233,12 +234,15 @@ def run_stream(df: DataFrame, sink, checkpoint: str, trigger: str = "2 seconds",
 
 
 def live_mean(readings: DataFrame, interval: str = "5 minutes", watermark: str = "10 minutes",
-              keys=()) -> DataFrame:
-    """Windowed mean kW, emitted once a window is closed by the watermark."""
+              keys=(), exact: bool = False) -> DataFrame:
+    """Windowed mean kW, emitted once a window is closed by the watermark
+    (append mode; a window ending at or before the watermark is final).
+    ``exact``: sum as DECIMAL(28,6) so the mean does not depend on the order
+    partial sums are merged in."""
     r = readings.withColumn("event_time", F.col("event_time").cast("timestamp"))
     agg = (r.withWatermark("event_time", watermark)
            .groupBy(*keys, F.window("event_time", interval).alias("w"))
-           .agg(F.avg("kw").alias("mean_kw"), F.count(F.lit(1)).alias("points")))
+           .agg(mean_of("kw", exact).alias("mean_kw"), F.count(F.lit(1)).alias("points")))
     return agg.select(*keys, F.col("w.start").alias("bucket"), "mean_kw", "points")
 
 
