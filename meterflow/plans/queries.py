@@ -453,6 +453,21 @@ def q_forecast_fixed(spark, sf_dir):
                       "yhat_lower", "yhat_upper")
 
 
+@register("prediction_points", f"""
+    SELECT meter_id, date_trunc('second', CAST(time AS TIMESTAMP)) AS time, yhat, yhat_lower,
+           yhat_upper, CAST(time AS DATE) AS day
+    FROM ({S.holt_winters_sql(S.daily_series_sql(False, 2), *FIXED)})""")
+def q_prediction_points(spark, sf_dir):
+    """The forecast written to the prediction point table (partitioned by
+    day, under the shared checkpoint folder) and read back."""
+    from meterflow.sources.sinks import write_predictions
+    ensure_utc(spark)
+    path = checkpoint_path(spark, "meterflow", f"predictions-{uuid.uuid4().hex}")
+    write_predictions(q_forecast_fixed(spark, sf_dir), path, keys=["meter_id"])
+    back = spark.read.parquet(path)
+    return back.select("meter_id", ntz("time"), "yhat", "yhat_lower", "yhat_upper", "day")
+
+
 @register("forecast")
 def q_forecast(spark, sf_dir):
     """H1-H5: parameters by grid search (125 points, then 27 finer), per meter."""
