@@ -45,6 +45,14 @@ def _field(parts: Column, pos: int) -> Column:
     return F.try_element_at(parts, F.lit(pos + 1))
 
 
+def _once(df: DataFrame, keep, *cols: Column) -> DataFrame:
+    """Project ``cols`` through a one-element generator. A filter over a plain
+    projection is pushed below it with each referenced expression substituted
+    (split, casts, date parsing run again per reference); above a generator it
+    stays put, so every expression runs once per line."""
+    return df.select(*keep, F.inline(F.array(F.struct(*cols))))
+
+
 def split_fields(lines: DataFrame, value: str = "value", dialect_hint: str = "auto",
                  keep=()) -> DataFrame:
     """A2/A3: split each line by its dialect and name the used fields (text).
@@ -64,8 +72,8 @@ def split_fields(lines: DataFrame, value: str = "value", dialect_hint: str = "au
         c = _field(F.col("_p"), CSV_POS[ckey]) if ckey else F.lit(None).cast("string")
         return F.when(txt, t).otherwise(c)
 
-    return parts.select(
-        *keep, "line", "dialect", F.size("_p").alias("n_parts"),
+    return _once(
+        parts, keep, F.col("line"), F.col("dialect"), F.size("_p").alias("n_parts"),
         pick("date", None).alias("date_text"), pick("time", None).alias("time_text"),
         pick(None, "datetime").alias("datetime_text"), pick("kw", "kw").alias("kw_text"),
         pick("sub1", "sub1").alias("sub1_text"), pick("sub2", "sub2").alias("sub2_text"),
@@ -94,8 +102,8 @@ def strict_rows(lines: DataFrame, value: str = "value", kw_digits: int = 4,
         F.lit(CSV_POS["min_parts"]))
     pre = (F.col("dialect").isNotNull() & (F.length("line") > 0) & ~F.col("line").contains("?")
            & (F.col("n_parts") >= min_parts) & ~_is_header())
-    nums = f.filter(pre).select(
-        *keep, _event_time().alias("event_time"), to_number("kw_text").alias("kw"),
+    nums = _once(
+        f.filter(pre), keep, _event_time().alias("event_time"), to_number("kw_text").alias("kw"),
         *[F.when(F.col(f"{c}_text").isNull() | (F.col(f"{c}_text") == ""), F.lit(0.0))
           .otherwise(to_number(f"{c}_text")).alias(c) for c in SUBS])
     ok = F.col("kw").isNotNull()
@@ -111,8 +119,8 @@ def loose_rows(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
     sub1..sub3 (sub-meters NULL when NA or not numeric)."""
     f = split_fields(lines, value, keep=keep)
     f = f.filter(F.col("dialect").isNotNull() & ~_is_header())
-    out = f.select(*keep, _event_time().alias("event_time"), to_number(na("kw_text")).alias("kw"),
-                   *[to_number(na(f"{c}_text")).alias(c) for c in SUBS])
+    out = _once(f, keep, _event_time().alias("event_time"), to_number(na("kw_text")).alias("kw"),
+                *[to_number(na(f"{c}_text")).alias(c) for c in SUBS])
     return out.filter(F.col("event_time").isNotNull() & F.col("kw").isNotNull())
 
 
