@@ -8,6 +8,7 @@ the source tables.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -504,21 +505,27 @@ def q_stream_billing(spark, sf_dir):
     msgs = tables.messages_clean(tables.table(spark, sf_dir, "events"))
     parts = _time_parts(msgs)
     schema = "tie long, value binary"
-    # The state of a stream is partitioned once, at its first start, by
-    # spark.sql.shuffle.partitions: size it to the cluster, not to the
-    # session's batch default, and restore the setting afterwards.
-    prev = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    try:
+    with _state_partitions(spark):
         _stream_runs(spark, msgs, parts, schema, root)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", prev)
     pu = spark.read.parquet(f"{root}/out/power_usage")
     return pu.select("meter_id", "tie", ntz("time"), "alert_level", "kw", dbl("kwh_cumulative"),
                      dbl("vnd_cumulative"), "sub1_pct", "sub2_pct", "sub3_pct", "suggestion",
                      "month_key")
 
 
+@contextlib.contextmanager
+def _state_partitions(spark):
+    """The state of a stream is partitioned once, at its first start, by
+    spark.sql.shuffle.partitions: size it to the cluster, not to the
+    session's batch default, and restore the setting afterwards."""
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+
+
 def _time_parts(msgs):
     """STREAM_RUNS time-ordered, disjoint predicates over ``event_time`` (one
     bounded aggregate, two rows to the driver)."""
@@ -576,11 +583,12 @@ def q_live_mean_stream(spark, sf_dir):
         src = spark.readStream.schema("tie long, value binary").parquet(f"{root}/in/part=*")
         good, _ = topic.split_rejects(topic.decode_readings(src))
         good = good.withColumn("meter_id", F.lit(tables.HOUSE))
-        q = (live_mean(good, LIVE_INTERVAL, LIVE_DELAY, keys=("meter_id",), exact=True)
-             .writeStream.outputMode("append").format("parquet")
-             .option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
+        with _state_partitions(spark):
+            q = (live_mean(good, LIVE_INTERVAL, LIVE_DELAY, keys=("meter_id",), exact=True)
+                 .writeStream.outputMode("append").format("parquet")
+                 .option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
+                 .trigger(availableNow=True).start())
+            q.awaitTermination()
     out = spark.read.schema("meter_id string, bucket timestamp, mean_kw double, points long") \
         .parquet(f"{root}/out")
     return out.select("meter_id", ntz("bucket"), "mean_kw", "points")
