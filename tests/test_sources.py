@@ -91,3 +91,23 @@ def test_strict_rounding(spark):
     df = spark.createDataFrame([("1/1/2007;0:05:00;2.123456;0;0;0;1.239;0;0",)], "value string")
     r = files.strict_rows(df).collect()[0]
     assert r["kw"] == 2.1235 and r["sub1"] == 1.24
+
+
+def _optimized_plan(df) -> str:
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("extended")
+    text = buf.getvalue()
+    return text[text.index("== Optimized Logical Plan =="):text.index("== Physical Plan ==")]
+
+
+def test_each_line_parsed_once(spark):
+    """The cleaning filters must not be pushed below the parsed fields (which
+    would repeat the split and casts once per reference in the predicate)."""
+    lines = spark.createDataFrame([(TXT_LINES[0],)], "value string")
+    for rows in (files.strict_rows(lines), files.loose_rows(lines)):
+        plan = _optimized_plan(rows)
+        assert plan.count("split(") == 1, plan
+        assert plan.count("gettimestamp(") == 2, plan  # one per dialect branch
