@@ -3,7 +3,10 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from meterflow.llm import minhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from meterflow.llm import bpe, line_spread, minhash, mixing, quality_model
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -22,7 +25,39 @@ def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@register("op2_bpe")
+def op2(spark, sf_dir):
+    """Ids and decoded texts of all documents, as digests."""
+    return bpe.encoded(table(spark, sf_dir, "documents"), corpus_pipeline.TOKENIZER, with_ids=False)
+
+
+@register("op6_quality_classifier")
+def op6(spark, sf_dir):
+    """Scores of the weakly supervised quality model."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_model.score(docs, quality_model.fit(docs))
+
+
+@register("op7_line_dedup", line_spread.ORACLE_SQL)
+def op7(spark, sf_dir):
+    """Lines on five sites or more, removed; the cleaned text as a digest."""
+    clean = line_spread.drop_spread_lines(table(spark, sf_dir, "documents"), "source", min_sites=5)
+    return clean.select("doc_id", "n_lines", "n_spread", "n_removed", "removed_chars", F.sha2("text", 256).alias("text_sha256"))
+
+
+@register("op9_mixing")
+def op9(spark, sf_dir):
+    """How often the mix takes each document, and into which shards."""
+    return mixing.draws(table(spark, sf_dir, "documents"))
+
+
 @register("op10_minhash_near_dedup")
 def op10(spark, sf_dir):
     """Components of documents linked at Jaccard 0.85 on 3-word shingles."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85, bands=25, rows=5)
+
+
+@register("pipeline")
+def pipeline(spark, sf_dir):
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
