@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from meterflow.llm import bpe, line_spread, minhash, mixing, quality_model
+from meterflow.llm import (bpe, cover_tree, language_id, licenses, line_spread, minhash, mixing, quality_model, quality_rules,
+                           toxicity)
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -25,12 +26,40 @@ def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@register("op1_cover_tree_near_dedup")
+def op1(spark, sf_dir):
+    """Links and components of embeddings at cosine 0.9."""
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"), 0.9)
+
+
 @register("op2_bpe")
 def op2(spark, sf_dir):
     """Ids and decoded texts of all documents, as digests."""
     return bpe.encoded(table(spark, sf_dir, "documents"), corpus_pipeline.TOKENIZER, with_ids=False)
 
 
+@register("op3_language_id")
+def op3(spark, sf_dir):
+    """The language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
+@register("op4_license_scan")
+def op4(spark, sf_dir):
+    """The licence of every document; its path is source/lang/doc_id.txt."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
+@register("op5_quality_rules", quality_rules.ORACLE_SQL)
+def op5(spark, sf_dir):
+    """Counts and verdicts of the line rules."""
+    rows = quality_rules.line_rules(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", *quality_rules.COUNTS, *quality_rules.FLAGS)
+
+
 @register("op6_quality_classifier")
 def op6(spark, sf_dir):
     """Scores of the weakly supervised quality model."""
@@ -45,6 +74,13 @@ def op7(spark, sf_dir):
     return clean.select("doc_id", "n_lines", "n_spread", "n_removed", "removed_chars", F.sha2("text", 256).alias("text_sha256"))
 
 
+@register("op8_toxicity")
+def op8(spark, sf_dir):
+    """Toxicity of every document by its nearest labelled examples."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @register("op9_mixing")
 def op9(spark, sf_dir):
     """How often the mix takes each document, and into which shards."""
