@@ -14,8 +14,9 @@ Work per bucket of a band stays linear where documents are alike: equal sets
 are one class; each class is compared with its bucket's least class; the
 classes that this leaves in another component than their bucket's largest one
 are then compared with the whole bucket. Pairs inside a component need no
-check, as they cannot change a component, so no link between components is
-missed among the candidates.
+check, as they cannot change a component, nor do pairs whose sets are too
+unequal in size or hold too many shingles that no other set has; so no link
+between components is missed among the candidates.
 """
 
 from __future__ import annotations
@@ -104,6 +105,16 @@ def overlaps(pairs: DataFrame, k: int, percent: int) -> DataFrame:
     return pairs.select("u", "v", "text_u", "text_v").mapInArrow(run, "u long, v long")
 
 
+def exploded_shingles(texts: DataFrame, k: int) -> DataFrame:
+    """(doc_id, h): the distinct hashed shingles of each row of ``texts(doc_id, text)``."""
+    def run(batches):
+        for part in slices(batches):
+            h, row, _ = shingles(part.column("text"), k)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(row)), pa.array(signed(h))], names=["doc_id", "h"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, h long")
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, bands: int = 25, rows: int = 5) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, n_shingles, component_id, kept.
 
@@ -145,11 +156,17 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, bands: int =
     main = (held.groupBy("band", "key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "component"))["component"].alias("main"))
             .filter("parts > 1").drop("parts"))
     mixed = saved(now.join(main, ["band", "key"]), "minhash-mixed")
-    outside = mixed.filter("component != main").select(
-        "band", "key", F.col("doc_id").alias("o"), F.col("n_shingles").alias("no"), F.col("component").alias("co"))
-    crossing = (mixed.join(outside, ["band", "key"]).filter(
-        (F.col("component") != F.col("co"))
-        & (F.lit(100) * F.least("n_shingles", "no") >= F.lit(percent) * F.greatest("n_shingles", "no")))
+    # what a document can share with others at most: its shingles less those that no other one here has
+    own = (exploded_shingles(texts.join(mixed.select("doc_id").distinct(), "doc_id", "left_semi"), k).groupBy("h")
+           .agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).filter("n = 1").groupBy("doc_id").agg(F.count("*").alias("alone")))
+    shared = F.col("n_shingles") - F.coalesce("alone", F.lit(0))
+    able = saved(mixed.join(own, "doc_id", "left").withColumn("shared", shared)
+                 .filter(F.lit(100) * F.col("shared") >= F.lit(percent) * F.col("n_shingles")).drop("alone"), "minhash-able")
+    outside = able.filter("component != main").select(
+        "band", "key", F.col("doc_id").alias("o"), F.col("n_shingles").alias("no"), F.col("shared").alias("so"), F.col("component").alias("co"))
+    most = F.least("shared", "so")  # of the intersection, so the union is at least what follows
+    crossing = (able.join(outside, ["band", "key"]).filter(
+        (F.col("component") != F.col("co")) & (F.lit(100) * most >= F.lit(percent) * (F.col("n_shingles") + F.col("no") - most)))
         .select(F.least("doc_id", "o").alias("u"), F.greatest("doc_id", "o").alias("v")).distinct())
     second = confirmed(crossing.join(first, ["u", "v"], "left_anti"), "minhash-second")
     label = connected_components(first.union(second), "minhash")
