@@ -17,10 +17,11 @@ def kwh(kw, factor: float = KWH_FACTOR_DEMO, exact: bool = False) -> Column:
 
     ``exact=True`` carries kW as DECIMAL(18,6) so running sums are exact and
     independent of summation order (kW has at most 6 decimals in practice).
+    NaN, infinite and too large kW (1e12 and above) have no such form: NULL.
     """
     kw = _c(kw)
     if exact:
-        return (kw.cast("decimal(18,6)") * F.lit(factor).cast("decimal(18,6)")).cast("decimal(20,6)")
+        return (kw.try_cast("decimal(18,6)") * F.lit(factor).cast("decimal(18,6)")).cast("decimal(20,6)")
     return kw * F.lit(float(factor))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from meterflow.functions import (alert_level, cycle_key, point_time, sub_share, suggestion,
                                  tier_cost)
-from meterflow.operators.scan import previous_row, running_total
+from meterflow.operators.scan import previous_row, running_total, running_totals
 from meterflow.schemas import CRIT_KW, TIERS, WARN_KW
 
 ORDER = ("event_time", "tie")
@@ -25,14 +25,19 @@ def with_cycle(readings: DataFrame, cycle: str = "calendar_month", out: str = "m
 
 
 def cumulative_kwh(df: DataFrame, keys=("meter_id", "month_key"), order=ORDER,
-                   value: str = "kwh", out: str = "kwh_cumulative",
-                   segments: int | None = None, min_rows: int | None = None) -> DataFrame:
+                   value: str = "kwh", out: str = "kwh_cumulative") -> DataFrame:
     """Running kWh per (meter, cycle) in event-time order (ties by ``tie``).
 
-    Skew-safe by default: a key above a fair task share and ``min_rows`` is
-    cut into time slices (see ``scan``); ``segments=0`` is the plain window.
+    Balanced whatever a key holds (see ``scan``). DOUBLE kWh: a NaN makes the
+    rest of its cycle NaN. DECIMAL kWh can't hold NaN: where the reading has a
+    ``kw`` that is NaN, infinite or too large, the running kWh is NULL
+    (unknown) from there to the end of the cycle.
     """
-    return running_total(df, keys, order, value, out, segments=segments, min_rows=min_rows)
+    if not _is_decimal(df, value) or "kw" not in df.columns:
+        return running_total(df, keys, order, value, out)
+    lost = (F.col("kw").isNotNull() & F.col(value).isNull()).cast("int")
+    both = running_totals(df.withColumn("_lost", lost), keys, order, {out: value, "_n_lost": "_lost"})
+    return both.withColumn(out, F.when(F.col("_n_lost") == 0, F.col(out))).drop("_lost", "_n_lost")
 
 
 def running_bill(df: DataFrame, kwh_col: str = "kwh_cumulative", out: str = "vnd_cumulative",
@@ -53,13 +58,12 @@ def classify(df: DataFrame, warn: float = WARN_KW, crit: float = CRIT_KW) -> Dat
 
 
 def bill_readings(readings: DataFrame, cycle: str = "calendar_month", keys=("meter_id",),
-                  order=ORDER, tiers=TIERS, warn: float = WARN_KW, crit: float = CRIT_KW,
-                  segments: int | None = None, min_rows: int | None = None) -> DataFrame:
+                  order=ORDER, tiers=TIERS, warn: float = WARN_KW,
+                  crit: float = CRIT_KW) -> DataFrame:
     """Everything the stream job derives per reading, as one lazy plan:
     cycle key, running kWh, running bill, alert level, advice, shares."""
     df = with_cycle(readings, cycle)
-    df = cumulative_kwh(df, keys=[*keys, "month_key"], order=order, segments=segments,
-                        min_rows=min_rows)
+    df = cumulative_kwh(df, keys=[*keys, "month_key"], order=order)
     df = running_bill(df, tiers=tiers)
     return classify(df, warn, crit)
 
@@ -79,15 +83,13 @@ def monthly_billing(billed: DataFrame, keys=("meter_id",), extra=("tie",)) -> Da
 
 
 def rollovers(billed: DataFrame, keys=("meter_id",), cycle: str = "month_key", order=ORDER,
-              total: str = "kwh_cumulative", tiers=TIERS,
-              segments: int | None = None, min_rows: int | None = None) -> DataFrame:
+              total: str = "kwh_cumulative", tiers=TIERS) -> DataFrame:
     """A rollover is the first reading ever seen of a cycle key that is not the
     meter's first reading. It reports the previous reading's key, that key's
     running total and bill at that moment, and the new key.
     """
     keys, order = list(keys), list(order)
-    prev = previous_row(billed, keys, order, [cycle, total], prefix="prev_", segments=segments,
-                        min_rows=min_rows)
+    prev = previous_row(billed, keys, order, [cycle, total], prefix="prev_")
     firsts = billed.groupBy(*keys, cycle).agg(F.min(F.struct(*order)).alias("_first"))
     changed = prev.filter(F.col(f"prev_{cycle}").isNotNull()
                           & (F.col(f"prev_{cycle}") != F.col(cycle)))

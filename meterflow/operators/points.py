@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.functions import cycle_key, month_bounds, tier_cost
+from meterflow.functions import cycle_key, tier_cost
 
 
 def recover_totals(points: DataFrame, keys=("meter_id",), mode: str = "as_observed",
@@ -26,16 +26,14 @@ def recover_totals(points: DataFrame, keys=("meter_id",), mode: str = "as_observ
         return last.withColumn("vnd", tier_cost("kwh"))
     if mode != "as_observed":
         raise ValueError(f"unknown mode {mode!r}")
-    last = points.groupBy(*keys).agg(
-        F.max_by(F.col("time"), F.when(F.col("kwh_cumulative").isNotNull(),
-                                       F.struct(*order))).alias("last_time"))
-    start, nxt = month_bounds("last_time")
-    last = last.select(*keys, "last_time", cycle_key("last_time", "demo_slot").alias("month_key"),
-                       start.alias("_from"), nxt.alias("_to"))
-    joined = points.join(last, keys, "inner").filter(
-        (F.col("time") >= F.col("_from")) & (F.col("time") < F.col("_to")))
-    peak = joined.groupBy(*keys, "month_key", "last_time").agg(
-        F.max("kwh_cumulative").alias("kwh"))
+    # per month its largest total and its last point; then the month of the last point of all
+    seen = F.when(F.col("kwh_cumulative").isNotNull(), F.struct(*order))
+    months = points.groupBy(*keys, F.date_trunc("month", "time").alias("_month")).agg(
+        F.max("kwh_cumulative").alias("kwh"), F.max(seen).alias("_last"))
+    top = months.filter("_last is not null").groupBy(*keys).agg(
+        F.max_by(F.struct("kwh", F.col("_last")[order[0]].alias("last_time")), "_last").alias("_top"))
+    peak = top.select(*keys, cycle_key("_top.last_time", "demo_slot").alias("month_key"),
+                      F.col("_top.last_time").alias("last_time"), F.col("_top.kwh").alias("kwh"))
     return peak.withColumn("vnd", tier_cost("kwh"))
 
 

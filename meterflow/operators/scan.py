@@ -1,156 +1,105 @@
-"""Ordered scans (running sum, previous row) that stay balanced when one key
+"""Ordered scans (running sums, previous row) that stay balanced when one key
 holds most of the rows.
 
 A plain ``Window.partitionBy(key).orderBy(t)`` puts every row of a key into
 one task, and one meter (or one billing cycle of a single-meter deployment)
-can hold a third of all rows. Here each key is cut into contiguous
-*segments* of its ordering:
-
-1. A column-free count and one aggregate over the key and first order
-   columns find the *hot* keys: more rows than a fair task share,
-   ``total / parts``, and more than ``min_rows`` (a comfortable task). There
-   are at most ``parts`` of them, which bounds both collecting that summary
-   and broadcasting it.
-2. A hot key's time span is cut into ``ceil(n / share)`` equal slices, and a
-   row's segment is its slice. The segment is a deterministic function of the
-   row and exact aggregates, so a recomputed task after an executor loss gets
-   the same segment. Other keys form one segment.
-3. The scan runs per (key, segment): one hash shuffle, balanced, JVM-side.
-4. What crosses a segment boundary (a segment's total, or its last row) is a
-   per-(hot key, segment) summary of at most ``2 * parts`` rows. A window over
-   it and a broadcast join put it back.
-
-``segments=0`` selects the plain window (keys known to be small).
-Slices balance rows when readings are spread in time (meters are periodic);
-if many rows share one instant the result is still right, just less balanced.
+can hold a third of all rows. Here the ordering of every key is cut at fixed
+points of time, hours and seconds, and the scan runs in three levels:
+
+1. rows within (key, second): the only sort over rows, by the whole order;
+2. seconds within (key, hour): at most 3,600 pre-aggregated rows;
+3. hours within a key: some 8,800 pre-aggregated rows a year.
+
+What a level hands on (a sum, or the last row) is added to the level below by
+a join on (key, hour, second). A row's cell depends on the row alone, so
+there is one algorithm for every size, no job runs while the plan is built,
+and a recomputed task agrees with the first one. A burst or a back-fill
+spreads over its seconds. Rows without a time are first in the order and have
+a cell of their own, as in the plain window.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window  # noqa: F401
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SEG = "_seg"
-# A key is split only when it also exceeds this many rows: below it one task
-# sorts and scans the key comfortably (about a 128 MB partition).
-SEGMENT_MIN_ROWS = 1_000_000
+HOUR, SECOND = "_hour", "_second"
+NO_TIME = -(1 << 62)  # before all times
 
 
-def _parts(df: DataFrame, segments: int | None) -> int:
-    if segments:
-        return int(segments)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _cells(df: DataFrame, first_order: str) -> DataFrame:
+    kind = df.schema[first_order].dataType.typeName()
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        second = F.unix_seconds(F.col(first_order).cast("timestamp"))
+    else:
+        second = F.floor(F.col(first_order)).cast("long")
+    second = F.coalesce(second, F.lit(NO_TIME))
+    return df.withColumn(SECOND, second).withColumn(HOUR, F.floor(F.col(SECOND) / 3600).cast("long"))
 
 
-def _ordinal(df: DataFrame, c: str) -> Column:
-    t = df.schema[c].dataType.typeName()
-    if t in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-    if t == "date":
-        return F.unix_date(F.col(c)).cast("double")
-    return F.col(c).cast("double")
+def _same(left: DataFrame, right: DataFrame, keys) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[f"_r_{k}"])
+    return cond
 
 
-def hot_keys(df: DataFrame, keys, first_order: str, segments: int | None = None,
-             min_rows: int | None = None):
-    """Keys with more rows than ``max(total / parts, min_rows)``, their span
-    and slice count (None when there are none).
+def _renamed(df: DataFrame, keys) -> DataFrame:
+    return df.select(*(F.col(k).alias(f"_r_{k}") for k in keys), *(c for c in df.columns if c not in keys))
 
-    Two small jobs: a column-free ``count()`` and one partial+final aggregate
-    over the key and time columns. The result has at most ``parts`` rows (each
-    such key holds more than 1/parts of all rows), so it is collected and
-    returned as a local relation: the main plan does not recompute it, and
-    when no key is hot the optimizer drops the segment logic altogether.
-    """
-    parts = _parts(df, segments)
-    min_rows = SEGMENT_MIN_ROWS if min_rows is None else min_rows
-    t = _ordinal(df, first_order)
-    total = df.count()
-    share = max(1, min_rows, math.ceil(total / parts))
-    if total <= share:  # no key can exceed the share: skip the key statistics
-        return None
-    cond = F.col("_n") > F.lit(share)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"),
-                                   F.max(t).alias("_hi"))
-             .filter(cond)
-             .withColumn("_segs", F.ceil(F.col("_n") / F.lit(share)).cast("int"))
-             .select(*keys, "_lo", "_hi", "_segs"))
-    rows = stats.collect()
-    assert len(rows) <= parts
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, stats.schema)
-
-
-def with_segments(df: DataFrame, keys, order, segments: int | None = None,
-                  min_rows: int | None = None):
-    """Adds ``_seg`` (0 for ordinary keys, time slice for hot keys) and ``_hot``;
-    None when no key is hot (then the plain window is already balanced)."""
-    keys, order = list(keys), list(order)
-    hot = hot_keys(df, keys, order[0], segments, min_rows)
-    if hot is None:
-        return None
-    t = _ordinal(df, order[0])
-    tagged = df.join(F.broadcast(hot), keys, "left")
-    width = (F.col("_hi") - F.col("_lo") + F.lit(1.0)) / F.col("_segs")
-    seg = F.when(F.col("_segs").isNull(), F.lit(0)).otherwise(
-        F.least(F.floor((t - F.col("_lo")) / width).cast("int"), F.col("_segs") - 1))
-    return (tagged.withColumn(SEG, seg).withColumn("_hot", F.col("_segs").isNotNull())
-            .drop("_lo", "_hi", "_segs"))
-
-
-def running_total(df: DataFrame, keys, order, value: str, out: str,
-                  segments: int | None = None, min_rows: int | None = None) -> DataFrame:
-    """``out`` = running sum of ``value`` per key in ``order`` (rows up to the current one).
-
-    Exact for DECIMAL input; for DOUBLE input a segment split changes the
-    association of the additions (last-bit differences only).
+
+def running_totals(df: DataFrame, keys, order, values: dict[str, str]) -> DataFrame:
+    """For each ``out: value`` of ``values``, ``out`` = running sum of ``value`` per key
+    in ``order`` (rows up to the current one).
+
+    Nulls don't count; a sum of nulls alone is null. Exact for DECIMAL and
+    integer values; DOUBLE sums are associated by cell, always in the same way.
     """
-    keys, order = list(keys), list(order)
-    tagged = None if segments == 0 else with_segments(df, keys, order, segments, min_rows)
-    if tagged is None:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(out, F.sum(value).over(w))
-    cols = df.columns
-    w_local = Window.partitionBy(*keys, SEG).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = tagged.withColumn("_local", F.sum(value).over(w_local))
-    totals = tagged.filter("_hot").groupBy(*keys, SEG).agg(F.sum(value).alias("_segsum"))
-    w_off = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (totals.withColumn("_offset", F.sum("_segsum").over(w_off))
-               .filter(F.col("_offset").isNotNull()).select(*keys, SEG, "_offset"))
-    joined = local.join(F.broadcast(offsets), [*keys, SEG], "left")
-    res = joined.withColumn(
-        out, F.when(F.col("_offset").isNull(), F.col("_local"))
-        .otherwise(F.col("_offset") + F.col("_local")))
-    return res.select(*cols, out)
-
-
-def previous_row(df: DataFrame, keys, order, cols, prefix: str = "prev_",
-                 segments: int | None = None, min_rows: int | None = None) -> DataFrame:
+    keys, order, outs = list(keys), list(order), list(values)
+    cols = [c for c in df.columns if c not in outs]
+    cells = _cells(df, order[0])
+    cell = [*keys, HOUR, SECOND]
+    before = lambda by, at: Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    seconds = cells.groupBy(*cell).agg(*(F.sum(values[o]).alias(f"_s_{o}") for o in outs))
+    hours = seconds.groupBy(*keys, HOUR).agg(*(F.sum(f"_s_{o}").alias(f"_h_{o}") for o in outs))
+    hours = hours.withColumns({f"_h_{o}": F.sum(f"_h_{o}").over(before(keys, HOUR)) for o in outs})
+    seconds = seconds.withColumns({f"_s_{o}": F.sum(f"_s_{o}").over(before([*keys, HOUR], SECOND)) for o in outs})
+    upto = _renamed(hours, [*keys, HOUR])
+    offsets = seconds.join(upto, _same(seconds, upto, [*keys, HOUR])).select(*cell, *(f"_s_{o}" for o in outs), *(f"_h_{o}" for o in outs))
+    here = Window.partitionBy(*cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = cells.withColumns({f"_l_{o}": F.sum(values[o]).over(here) for o in outs})
+    offsets = _renamed(offsets, cell)
+    joined = local.join(offsets, _same(local, offsets, cell))
+
+    def total(o):
+        parts = [F.col(f"_{x}_{o}") for x in "hsl"]
+        kind = local.schema[f"_l_{o}"].dataType
+        zero = F.lit(0).cast(kind)
+        added = sum((F.coalesce(p.cast(kind), zero) for p in parts[1:]), F.coalesce(parts[0].cast(kind), zero))
+        return F.when(F.coalesce(*parts).isNotNull(), added.cast(kind)).alias(o)
+
+    return joined.select(*cols, *map(total, outs))
+
+
+def running_total(df: DataFrame, keys, order, value: str, out: str) -> DataFrame:
+    """One running sum (see ``running_totals``)."""
+    return running_totals(df, keys, order, {out: value})
+
+
+def previous_row(df: DataFrame, keys, order, cols, prefix: str = "prev_") -> DataFrame:
     """Adds ``prefix+c`` = value of ``c`` on the previous row of the same key in ``order``."""
     keys, order, cols = list(keys), list(order), list(cols)
-    tagged = None if segments == 0 else with_segments(df, keys, order, segments, min_rows)
-    if tagged is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({prefix + c: F.lag(c).over(w) for c in cols})
-    base = df.columns
-    w = Window.partitionBy(*keys, SEG).orderBy(*order)
-    local = tagged.withColumns({prefix + c: F.lag(c).over(w) for c in cols}).withColumn(
-        "_rn", F.row_number().over(w))
-    lasts = tagged.filter("_hot").groupBy(*keys, SEG).agg(
-        F.max_by(F.struct(*cols), F.struct(*order)).alias("_last"))
-    w2 = Window.partitionBy(*keys).orderBy(SEG)
-    carry = (lasts.withColumn("_carry", F.lag("_last").over(w2))
-             .filter(F.col("_carry").isNotNull()).select(*keys, SEG, "_carry"))
-    joined = local.join(F.broadcast(carry), [*keys, SEG], "left")
-    res = joined.withColumns({
-        prefix + c: F.when((F.col("_rn") == 1) & F.col("_carry").isNotNull(), F.col("_carry")[c])
-        .otherwise(F.col(prefix + c))
-        for c in cols})
-    return res.select(*base, *[prefix + c for c in cols])
+    base, cell = df.columns, [*keys, HOUR, SECOND]
+    cells = _cells(df, order[0])
+    last = lambda c, by: F.max_by(c, by)
+    seconds = cells.groupBy(*cell).agg(last(F.struct(*cols), F.struct(*order)).alias("_last"))
+    hours = seconds.groupBy(*keys, HOUR).agg(last("_last", F.col(SECOND)).alias("_before"))
+    hours = hours.withColumn("_before", F.lag("_before").over(Window.partitionBy(*keys).orderBy(HOUR)))
+    seconds = seconds.withColumn("_last", F.lag("_last").over(Window.partitionBy(*keys, HOUR).orderBy(SECOND)))
+    upto = _renamed(hours, [*keys, HOUR])
+    carry = seconds.join(upto, _same(seconds, upto, [*keys, HOUR])).select(*cell, F.coalesce("_last", "_before").alias("_carry"))
+    here = Window.partitionBy(*cell).orderBy(*order)
+    local = cells.withColumn("_prev", F.lag(F.struct(*cols)).over(here))
+    carry = _renamed(carry, cell)
+    prev = F.coalesce("_prev", "_carry")
+    return local.join(carry, _same(local, carry, cell)).select(*base, *(prev[c].alias(prefix + c) for c in cols))

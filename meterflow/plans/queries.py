@@ -42,10 +42,9 @@ def dbl(c: str):
     return F.col(c).cast("double").alias(c)
 
 
-def _billed(spark, sf_dir, house=False, cycle="calendar_month", min_rows=None):
+def _billed(spark, sf_dir, house=False, cycle="calendar_month"):
     ensure_utc(spark)
-    return billing.bill_readings(tables.readings(spark, sf_dir, house=house), cycle=cycle,
-                                 min_rows=min_rows)
+    return billing.bill_readings(tables.readings(spark, sf_dir, house=house), cycle=cycle)
 
 
 def _usage_out(billed: DataFrame) -> DataFrame:
@@ -66,9 +65,8 @@ def q_power_usage(spark, sf_dir):
 @register("house_power_usage", S.power_usage_sql(True, "calendar_month"))
 def q_house_power_usage(spark, sf_dir):
     """All readings one meter, one month: the hot-key case; reaches tier 5.
-    The key is split into time slices at every scale (no per-task row
-    budget), so the skew-safe path is checked against the oracle."""
-    return _usage_out(_billed(spark, sf_dir, house=True, min_rows=0))
+    The scan cuts the key at hours and seconds, as it does every key."""
+    return _usage_out(_billed(spark, sf_dir, house=True))
 
 
 @register("demo_slot_usage", S.power_usage_sql(True, "demo_slot"))
@@ -102,8 +100,8 @@ def _rollover_sql(house: bool, cycle: str) -> str:
     FROM seq WHERE k_rn = 1 AND prev_key IS NOT NULL"""
 
 
-def _rollovers(spark, sf_dir, house, cycle, min_rows=None):
-    r = billing.rollovers(_billed(spark, sf_dir, house=house, cycle=cycle), min_rows=min_rows)
+def _rollovers(spark, sf_dir, house, cycle):
+    r = billing.rollovers(_billed(spark, sf_dir, house=house, cycle=cycle))
     return r.select("meter_id", ntz("time"), "tie", "prev_key", dbl("prev_kwh"), dbl("prev_vnd"),
                     "new_key")
 
@@ -116,9 +114,8 @@ def q_rollovers(spark, sf_dir):
 
 @register("demo_slot_rollovers", _rollover_sql(True, "demo_slot"))
 def q_demo_slot_rollovers(spark, sf_dir):
-    """Single meter, 3-minute slots: the first sighting of each of the 480 slots.
-    The single meter's previous-row scan is split at every scale."""
-    return _rollovers(spark, sf_dir, True, "demo_slot", min_rows=0)
+    """Single meter, 3-minute slots: the first sighting of each of the 480 slots."""
+    return _rollovers(spark, sf_dir, True, "demo_slot")
 
 
 @register("meter_slot_rollovers", _rollover_sql(False, "demo_slot"))

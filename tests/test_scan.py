@@ -1,51 +1,91 @@
 """Skew-safe ordered scans equal the plain per-key window."""
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterflow.operators import billing
-from meterflow.operators.scan import hot_keys, previous_row, running_total
+from meterflow.operators.scan import previous_row, running_total, running_totals
 from meterflow.sources import tables
 
 SF = "/root/testdata/sf0.01"
+ORDER = ["event_time", "tie"]
 
 
 def _readings(spark, house):
     return billing.with_cycle(tables.readings(spark, SF, house=house), "demo_slot")
 
 
-def test_running_total_segmented_equals_window(spark):
-    for house in (True, False):
-        r = _readings(spark, house)
-        a = running_total(r, ["meter_id"], ["event_time", "tie"], "kwh", "c", segments=16,
-                          min_rows=0)
-        b = running_total(r, ["meter_id"], ["event_time", "tie"], "kwh", "ref", segments=0)
-        j = a.join(b.select("tie", "ref"), "tie")
+def _hard(spark):
+    """Null keys, null times, ties, a burst within one second and one far outlier."""
+    t0 = dt.datetime(2024, 1, 1)
+    times = [None] * 4 + [t0 + dt.timedelta(microseconds=137 * i) for i in range(300)] + [
+        t0 + dt.timedelta(minutes=7 * i) for i in range(60)] + [t0] * 5 + [dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(2090, 1, 1)]
+    rows = [(["a", "b", None][i % 3 if i % 2 else 0], t, i, None if i % 11 == 0 else Decimal(i) / 8, i % 5) for i, t in enumerate(times)]
+    return spark.createDataFrame(rows, "meter_id string, event_time timestamp, tie long, kwh decimal(20,6), n int").repartition(5)
+
+
+def test_running_total_equals_window(spark):
+    w = Window.partitionBy("meter_id").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    for r in (_readings(spark, True), _readings(spark, False), _hard(spark)):
+        a = running_total(r, ["meter_id"], ORDER, "kwh", "c")
+        b = r.select("tie", F.sum("kwh").over(w).alias("ref"))
+        assert a.schema["c"].dataType == b.schema["ref"].dataType and a.columns == [*r.columns, "c"]
+        j = a.join(b, "tie")
+        assert j.count() == r.count()
+        assert j.filter(~F.col("c").eqNullSafe(F.col("ref"))).count() == 0
+
+
+def test_two_totals_in_one_scan(spark):
+    r = _hard(spark)
+    both = running_totals(r, ["meter_id"], ORDER, {"a": "kwh", "b": "n"})
+    for out, value in (("a", "kwh"), ("b", "n")):
+        j = both.select("tie", out).join(running_total(r, ["meter_id"], ORDER, value, "ref").select("tie", "ref"), "tie")
+        assert j.filter(~F.col(out).eqNullSafe(F.col("ref"))).count() == 0
+
+
+def test_no_window_over_rows_spans_a_whole_key(spark):
+    plan = running_total(_readings(spark, True), ["meter_id"], ORDER, "kwh", "c")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in plan.split("\n") if "Window [" in x]
+    assert len(windows) == 3 and sum("_second" in x.split("],")[1] for x in windows) >= 1
+
+
+def test_previous_row_equals_lag(spark):
+    w = Window.partitionBy("meter_id").orderBy(*ORDER)
+    for r, cols in ((_readings(spark, True), ["month_key", "kwh"]), (_hard(spark), ["kwh", "n"])):
+        a = previous_row(r, ["meter_id"], ORDER, cols)
+        b = r.select("tie", *(F.lag(c).over(w).alias(f"ref_{c}") for c in cols))
+        j = a.join(b, "tie")
         assert j.count() == r.count()
-        assert j.filter(F.col("c") != F.col("ref")).count() == 0
+        for c in cols:
+            assert j.filter(~F.col(f"prev_{c}").eqNullSafe(F.col(f"ref_{c}"))).count() == 0
 
 
-def test_hot_key_is_split(spark):
-    r = _readings(spark, True)
-    hot = hot_keys(r, ["meter_id"], "event_time", segments=16, min_rows=0).collect()
-    assert hot_keys(r, ["meter_id"], "event_time", segments=16) is None  # under the row budget
-    assert len(hot) == 1 and hot[0]["_segs"] >= 16
+def test_rollovers_with_null_times(spark):
+    rows = [("m", None, i, 1.0) for i in range(3)] + [("m", dt.datetime(2024, 1 + i // 4, 1 + i % 4), 10 + i, 1.0) for i in range(24)]
+    r = spark.createDataFrame(rows, "meter_id string, event_time timestamp, tie long, kwh double")
+    r = r.withColumns({"kw": F.lit(1.0), "sub1": F.lit(0.0), "sub2": F.lit(0.0), "sub3": F.lit(0.0)})
+    got = sorted((x.new_key, x.prev_key, x.prev_kwh) for x in billing.rollovers(billing.bill_readings(r)).collect())
+    assert got == [(f"2024-0{k}", f"2024-0{k - 1}", 4.0) for k in range(2, 7)]
 
 
-def test_previous_row_segmented_equals_lag(spark):
-    r = _readings(spark, True)
-    a = previous_row(r, ["meter_id"], ["event_time", "tie"], ["month_key", "kwh"], segments=16,
-                     min_rows=0)
-    b = previous_row(r, ["meter_id"], ["event_time", "tie"], ["month_key", "kwh"], prefix="ref_",
-                     segments=0)
-    j = a.join(b.select("tie", "ref_month_key", "ref_kwh"), "tie")
-    assert j.count() == r.count()
-    bad = j.filter(~F.col("prev_month_key").eqNullSafe(F.col("ref_month_key"))
-                   | ~F.col("prev_kwh").eqNullSafe(F.col("ref_kwh")))
-    assert bad.count() == 0
+def test_nan_reading_makes_the_rest_of_its_cycle_unknown(spark):
+    rows = [("m", dt.datetime(2024, 1, 1, 0, i), i, kw) for i, kw in enumerate([2.0, 1.0, float("nan"), 1.0])] + [
+        ("m", dt.datetime(2024, 2, 1), 9, 4.0), ("m", dt.datetime(2024, 2, 2), 10, None), ("m", dt.datetime(2024, 2, 3), 11, 1e13)]
+    from meterflow.functions import kwh
+    base = spark.createDataFrame(rows, "meter_id string, event_time timestamp, tie long, kw double")
+    base = base.withColumns({f"sub{i}": F.lit(0.0) for i in (1, 2, 3)})
+    exact = billing.bill_readings(base.withColumn("kwh", kwh("kw", 1.5, exact=True))).orderBy("tie").collect()
+    assert [None if r.kwh_cumulative is None else float(r.kwh_cumulative) for r in exact] == [3.0, 4.5, None, None, 6.0, 6.0, None]
+    assert exact[2].alert_level == "CRITICAL"
+    loose = billing.bill_readings(base.withColumn("kwh", kwh("kw", 1.5))).orderBy("tie").collect()
+    assert [str(r.kwh_cumulative) for r in loose][:4] == ["3.0", "4.5", "nan", "nan"]
 
 
 def test_cycle_deltas_sum_to_final_bill(spark):
     r = billing.with_cycle(tables.readings(spark, SF, house=True), "calendar_month")
-    cum = billing.cumulative_kwh(r, min_rows=0)
+    cum = billing.cumulative_kwh(r)
     last = cum.groupBy("meter_id", "month_key").agg(
         F.max_by("kwh_cumulative", F.struct("event_time", "tie")).alias("last"))
     fin = billing.final_bills(r)
