@@ -18,9 +18,18 @@ def na(c, markers=("?", "")) -> Column:
     return F.when(c.isin(*markers), F.lit(None).cast("string")).otherwise(c)
 
 
-def to_number(c) -> Column:
-    """Numeric coercion: unparsable text becomes NULL (ANSI-safe)."""
-    return _c(c).try_cast("double")
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$"
+
+
+def to_number(c, finite: bool = False) -> Column:
+    """Numeric coercion: text that is no number becomes NULL (ANSI-safe).
+
+    Suffixes that a cast alone would take (``1.5d``) are no numbers; NaN and
+    the infinities are, unless ``finite``.
+    """
+    c = _c(c)
+    x = F.when(c.rlike(NUMBER), c.try_cast("double"))
+    return F.when(F.abs(x) < F.lit(float("inf")), x) if finite else x
 
 
 def parse_event_time(c, fmt: str = EVENT_TIME_FORMAT) -> Column:

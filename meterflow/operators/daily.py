@@ -17,11 +17,13 @@ def daily_energy(readings: DataFrame, keys=("meter_id",), factor: float = KWH_FA
     count together), so a hot meter is combined map-side.
 
     kW is summed as DECIMAL(18,6) so the total does not depend on the order
-    of additions; y is that total times ``factor`` as DOUBLE.
+    of additions; y is that total times ``factor`` as DOUBLE. NaN, infinite
+    and impossible kW (1e12 and above) are no readings: neither summed nor counted.
     """
-    agg = (readings.filter(F.col(kw).isNotNull() & F.col(time).isNotNull())
+    agg = (readings.withColumn("_kw", F.col(kw).try_cast("decimal(18,6)"))
+           .filter(F.col("_kw").isNotNull() & F.col(time).isNotNull())
            .groupBy(*keys, F.to_date(time).alias("ds"))
-           .agg(F.sum(F.col(kw).cast("decimal(18,6)")).alias("_s"), F.count(F.lit(1)).alias("n")))
+           .agg(F.sum("_kw").alias("_s"), F.count(F.lit(1)).alias("n")))
     return (agg.filter(F.col("n") >= F.lit(min_readings))
             .select(*keys, "ds", (F.col("_s").cast("double") * F.lit(float(factor))).alias("y"), "n"))
 

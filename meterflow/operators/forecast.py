@@ -5,12 +5,9 @@ Each series (one row per day after the gap fill) becomes one array row:
 its size is bounded by the days in its span, not by the raw data volume.
 The recurrence runs as a Spark higher-order ``aggregate`` over that array,
 with no Python involved. Parameters are chosen by least squared one-step
-error over a grid. That search is the one Arrow-batched pandas UDF: per series
-it runs the same recurrence in numpy, vectorised over all grid points (far
-cheaper than folding each grid point separately), with ties broken by
-(sse, alpha, beta, gamma). An optional second, finer grid is centred on the
-first winner. The chosen parameters are then folded once on the JVM, so the
-final state always comes from the same expression as a fixed-parameter fit.
+error: every point of a coarse grid, then ever closer neighbours of the best
+one, down to a step of 0.00625 and including 0 and 1. Fits with given and
+with searched parameters come from the same expression.
 
 Recurrence (period m, s0 = season of the current step, rotated each step):
     yhat = l + b + s0;  e = y - yhat
@@ -26,15 +23,14 @@ from __future__ import annotations
 
 import itertools
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.functions import clip0
-from meterflow.schemas import BAND_Z, FORECAST_SCALE, HORIZON, SEASON
+from meterflow.schemas import BAND_Z, HORIZON, SEASON
 
 GRID_VALUES = (0.1, 0.3, 0.5, 0.7, 0.9)
+REFINE_STEPS = (0.1, 0.05, 0.025, 0.0125, 0.00625)
 
 
 def default_grid(values=GRID_VALUES):
@@ -87,61 +83,35 @@ def _season(st: str, m: int) -> Column:
     return F.array(*[F.col(f"{st}.s{i}") for i in range(m)])
 
 
-def sse_grid(y: np.ndarray, grid: np.ndarray, m: int) -> np.ndarray:
-    """One-step squared error of every parameter row of ``grid`` (k x 3) on
-    series ``y``, vectorised over the grid. Same operations in the same order
-    as the Spark fold, so the sums are identical."""
-    a, c, g = grid[:, 0], grid[:, 1], grid[:, 2]
-    one_a, one_c, one_g = 1.0 - a, 1.0 - c, 1.0 - g
-    l0 = 0.0
-    for v in y[:m]:
-        l0 = l0 + v
-    l0 = l0 / float(m)
-    t0 = 0.0
-    for v in y[m:2 * m]:
-        t0 = t0 + v
-    t0 = (t0 / float(m) - l0) / float(m)
-    k = len(grid)
-    lv, bv = np.full(k, l0), np.full(k, t0)
-    season = [np.full(k, y[i] - l0) for i in range(m)]
-    sse = np.zeros(k)
-    for x in y:
-        s0 = season[0]
-        e = x - (lv + bv + s0)
-        l1 = a * (x - s0) + one_a * (lv + bv)
-        b1 = c * (l1 - lv) + one_c * bv
-        s_new = g * (x - lv - bv) + one_g * s0
-        season = season[1:] + [s_new]
-        lv, bv = l1, b1
-        sse = sse + e * e
-    return sse
-
-
-def _best(y: np.ndarray, grid: np.ndarray, m: int):
-    sse = sse_grid(y, grid, m)
-    i = np.lexsort((grid[:, 2], grid[:, 1], grid[:, 0], sse))[0]
-    return grid[i], sse[i]
-
-
-def _search_udf(grid, m: int, refine: bool):
-    coarse = np.asarray(grid, dtype="float64")
-    vals = sorted({float(v) for p in grid for v in p})
-    step = (min(b - a for a, b in zip(vals, vals[1:])) / 2.0) if len(vals) > 1 else 0.05
-
-    @F.pandas_udf("alpha double, beta double, gamma double")
-    def search(ys: pd.Series) -> pd.DataFrame:
-        out = []
-        for y in ys:
-            y = np.asarray(y, dtype="float64")
-            p, _ = _best(y, coarse, m)
-            if refine:
-                axes = [[v + o for o in (-step, 0.0, step) if 0.0 < v + o < 1.0] for v in p]
-                fine = np.array([(x, u, w) for x in axes[0] for u in axes[1] for w in axes[2]])
-                p, _ = _best(y, fine, m)
-            out.append((float(p[0]), float(p[1]), float(p[2])))
-        return pd.DataFrame(out, columns=["alpha", "beta", "gamma"])
-
-    return search
+def _neighbours(p: str, axis: str, step: float) -> str:
+    """SQL for the values of one parameter around ``p.axis`` that stay within [0, 1]."""
+    return (f"filter(array(round(p.{axis} - {step}D, 6), p.{axis}, round(p.{axis} + {step}D, 6)), "
+            "v -> v >= 0 and v <= 1)")
+
+
+def search_parameters(series: DataFrame, keys, m: int, grid, refine: bool) -> DataFrame:
+    """keys and ``p`` = (alpha, beta, gamma) of least one-step squared error; ties go to the smaller.
+
+    Every series meets every grid point as a row (so the points of one long
+    series are folded in parallel), and the least (sse, alpha, beta, gamma) is
+    an ordinary aggregate. With ``refine``, each of REFINE_STEPS compares the
+    best point so far with its neighbours at that distance.
+    """
+    keys = list(keys)
+    points = ", ".join("named_struct('alpha', {}D, 'beta', {}D, 'gamma', {}D)".format(*map(float, p)) for p in grid)
+    cube = f"array({points})"
+    best, kept = None, series.select(*keys, "y")
+    for step in [None, *(REFINE_STEPS if refine else ())]:
+        if step is not None:
+            axes = {x: _neighbours("p", x, step) for x in ("alpha", "beta", "gamma")}
+            cube = (f"flatten(flatten(transform({axes['alpha']}, a -> transform({axes['beta']}, b -> transform({axes['gamma']}, "
+                    "g -> named_struct('alpha', a, 'beta', b, 'gamma', g))))))")
+            kept = series.select(*keys, "y").join(best, keys)
+        tried = kept.select(*keys, "y", F.explode(F.expr(cube)).alias("q"))
+        sse = F.expr(_fold_sql("y", "q.alpha", "q.beta", "q.gamma", m))["sse"]
+        best = (tried.select(*keys, F.struct(sse.alias("sse"), "q.alpha", "q.beta", "q.gamma").alias("f"))
+                .groupBy(*keys).agg(F.min("f").alias("f")).select(*keys, F.struct("f.alpha", "f.beta", "f.gamma").alias("p")))
+    return best
 
 
 def _fit_rows(series: DataFrame, keys, params: Column, m: int) -> DataFrame:
@@ -169,7 +139,8 @@ def fit_seasonal(daily: DataFrame, keys=("meter_id",), period: int = SEASON, gri
         a, b, g = (float(v) for v in grid[0])
         params = F.struct(F.lit(a).alias("alpha"), F.lit(b).alias("beta"), F.lit(g).alias("gamma"))
     else:
-        params = _search_udf(grid, period, refine)(F.col("y"))
+        params = F.col("p")
+        ok = ok.join(search_parameters(ok, keys, period, grid, refine), keys)
     best = _fit_rows(ok, keys, params, period)
     fitted = best.select(
         *keys, "alpha", "beta", "gamma", F.col("st.sse").alias("sse"), F.col("st.l").alias("level"),
@@ -204,8 +175,8 @@ def forecast(fits: DataFrame, keys=("meter_id",), horizon: int = HORIZON,
             .select(*keys, "f.step", "f.yhat", "sigma", "last_ds"))
 
 
-def forecast_band(fc: DataFrame, z: float = BAND_Z, scale: float = FORECAST_SCALE) -> DataFrame:
-    """H4 + B18: scale, band yhat +- z * sigma; clip yhat and lower at 0 (upper is not clipped)."""
+def forecast_band(fc: DataFrame, z: float = BAND_Z, scale: float = 1.0) -> DataFrame:
+    """H4 + B18: scale (DEMO_SCALE goes with the minute mapping, 1 with the daily one), band yhat +- z * sigma; clip yhat and lower at 0 (upper is not clipped)."""
     ys = F.col("yhat") * F.lit(float(scale))
     ss = F.col("sigma") * F.lit(float(scale))
     return fc.withColumns({

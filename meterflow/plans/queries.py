@@ -18,6 +18,7 @@ from meterflow.operators import billing, dashboard, daily, forecast as fc, point
 from meterflow.plans import sql as S
 import uuid
 
+from meterflow.schemas import DEMO_SCALE
 from meterflow.session import checkpoint_path, ensure_utc
 from meterflow.sources import files, tables, topic
 
@@ -466,12 +467,25 @@ def q_prediction_points(spark, sf_dir):
     return back.select("meter_id", ntz("time"), "yhat", "yhat_lower", "yhat_upper", "day")
 
 
-@register("forecast")
+@register("forecast", S.holt_winters_sql(S.daily_series_sql(False, 2)))
 def q_forecast(spark, sf_dir):
-    """H1-H5: parameters by grid search (125 points, then 27 finer), per meter."""
+    """H1-H5: parameters searched on a grid and refined, per meter."""
     fits = fc.fit_seasonal(_meter_daily(spark, sf_dir))
     out = fc.map_horizon(fc.forecast_band(fc.forecast(fits)))
-    return out.select("meter_id", "step", "time", "yhat", "yhat_lower", "yhat_upper")
+    return out.select("meter_id", F.col("step").cast("bigint").alias("step"), "time", "yhat", "yhat_lower", "yhat_upper")
+
+
+DEMO_NOW = "2024-02-01 12:34:56"
+
+
+@register("demo_forecast", S.holt_winters_sql(S.daily_series_sql(False, 2), *FIXED, scale=1.5, now=DEMO_NOW))
+def q_demo_forecast(spark, sf_dir):
+    """H5 as the demo does it: step h stands for minute h after now, values scaled by 1.5."""
+    fits = fc.fit_fixed(_meter_daily(spark, sf_dir), *FIXED)
+    band = fc.forecast_band(fc.forecast(fits), scale=DEMO_SCALE)
+    out = fc.map_horizon(band, now=DEMO_NOW, step="1 minute")
+    return out.select("meter_id", F.col("step").cast("bigint").alias("step"), ntz("time"), "yhat",
+                      "yhat_lower", "yhat_upper")
 
 
 @register("lineitem_forecast")

@@ -6,20 +6,19 @@ independently in plain SQL over the pre-registered test tables.
 
 from __future__ import annotations
 
-import math
+# Fixed values, stated here a second time so that a wrong one in the package shows: the
+# progressive tariff (from, to, price per kWh) and the advice of each alert level.
+TARIFF_SQL = """(VALUES (0, 100, 1893), (100, 200, 2271), (200, 400, 2860), (400, 700, 3407),
+    (700, 1000000000000, 3786))"""
+ADVICE_SQL = """(CASE {level} WHEN 'INFO' THEN 'Hệ thống ổn định.'
+    WHEN 'WARNING' THEN 'Tiêu thụ cao, cân nhắc tắt bớt thiết bị.'
+    WHEN 'CRITICAL' THEN 'NGUY HIỂM! Quá tải hệ thống, hãy kiểm tra ngay!' END)"""
 
-from meterflow.schemas import SUGGESTIONS, TIERS
 
-
-def tier_sql(x: str, tiers=TIERS) -> str:
-    terms, lo = [], 0
-    for hi, price in tiers:
-        part = f"({x} - {lo})"
-        if not math.isinf(hi):
-            part = f"least({part}, {hi - lo})"
-        terms.append(f"greatest({part}, 0) * {price}")
-        lo = hi
-    return f"(CASE WHEN {x} <= 0 THEN 0 ELSE round_even({' + '.join(terms)}, 0) END)"
+def tier_sql(x: str) -> str:
+    """Cost of ``x`` kWh: every tier that begins below ``x``, its kWh up to ``x`` times its price."""
+    return f"""(CASE WHEN {x} <= 0 THEN 0 WHEN {x} IS NULL THEN NULL ELSE round_even((SELECT sum((least({x}, upto) - since) * price)
+        FROM {TARIFF_SQL} AS tariff(since, upto, price) WHERE since < {x}), 0) END)"""
 
 
 def level_sql(kw: str = "kw", warn: float = 3.0, crit: float = 4.0) -> str:
@@ -28,8 +27,7 @@ def level_sql(kw: str = "kw", warn: float = 3.0, crit: float = 4.0) -> str:
 
 
 def advice_sql(level: str) -> str:
-    whens = " ".join(f"WHEN {level} = '{k}' THEN '{v}'" for k, v in SUGGESTIONS.items())
-    return f"(CASE {whens} END)"
+    return ADVICE_SQL.format(level=level)
 
 
 def share_sql(sub: str, kw: str = "kw") -> str:
@@ -161,16 +159,60 @@ def daily_series_sql(house: bool, min_readings: int) -> str:
       'meter_id', 'ds', 'tn', 'y')}"""
 
 
-def holt_winters_sql(series_sql: str, alpha: float, beta: float, gamma: float, horizon: int = 7,
-                     z: float = 1.96, scale: float = 1.5) -> str:
-    """Fixed-parameter additive Holt-Winters as a recursive CTE (weekly season)."""
-    a, c, g = repr(float(alpha)), repr(float(beta)), repr(float(gamma))
-    a1, c1, g1 = repr(1.0 - alpha), repr(1.0 - beta), repr(1.0 - gamma)
+REFINE_STEPS = (0.1, 0.05, 0.025, 0.0125, 0.00625)
+
+
+def holt_winters_sql(series_sql: str, alpha: float | None = None, beta: float | None = None, gamma: float | None = None,
+                     horizon: int = 7, z: float = 1.96, scale: float = 1.0, now: str | None = None) -> str:
+    """Additive Holt-Winters (weekly season) as recursive CTEs.
+
+    Without parameters they are searched: a 5 x 5 x 5 grid, then the
+    neighbours of the best point at each of REFINE_STEPS. ``now``: step h is
+    the minute of ``now`` plus h minutes; else the last day plus h days.
+    """
     s1 = " + ".join(f"ys[{i}]" for i in range(1, 8))
     s2 = " + ".join(f"ys[{i}]" for i in range(8, 15))
-    yhat = "(d.y - (r.l + r.b + r.s[1]))"
-    lnew = f"({a}::DOUBLE * (d.y - r.s[1]) + {a1}::DOUBLE * (r.l + r.b))"
-    mnew = f"(r.mean + ({yhat} - r.mean) / (r.t + 1))"
+    err = "(d.y - (r.l + r.b + r.s[1]))"
+    lnew = "(r.pa * (d.y - r.s[1]) + (1.0::DOUBLE - r.pa) * (r.l + r.b))"
+    mnew = f"(r.mean + ({err} - r.mean) / (r.t + 1))"
+
+    def fold(name, params):
+        return f"""{name} AS (
+      SELECT i.meter_id, n, last_ds, pa, pb, pg, 0::BIGINT AS t, l0 AS l, b0 AS b,
+             [{", ".join(f"ys[{i}] - l0" for i in range(1, 8))}] AS s,
+             0.0::DOUBLE AS sse, 0.0::DOUBLE AS mean, 0.0::DOUBLE AS m2
+      FROM ini2 i JOIN {params} p ON p.meter_id = i.meter_id
+      UNION ALL
+      SELECT r.meter_id, r.n, r.last_ds, r.pa, r.pb, r.pg, r.t + 1,
+             {lnew},
+             r.pb * ({lnew} - r.l) + (1.0::DOUBLE - r.pb) * r.b,
+             list_append(r.s[2:7], r.pg * (d.y - r.l - r.b) + (1.0::DOUBLE - r.pg) * r.s[1]),
+             r.sse + {err} * {err},
+             {mnew},
+             r.m2 + ({err} - r.mean) * ({err} - {mnew})
+      FROM {name} r JOIN dt d ON d.meter_id = r.meter_id AND d.t = r.t)"""
+
+    ctes = []
+    if alpha is not None:
+        ctes.append(f"par AS (SELECT meter_id, {float(alpha)}::DOUBLE AS pa, {float(beta)}::DOUBLE AS pb, {float(gamma)}::DOUBLE AS pg FROM ini2)")
+        ctes.append(fold("rec", "par"))
+    else:
+        axis = "(VALUES (0.1::DOUBLE), (0.3::DOUBLE), (0.5::DOUBLE), (0.7::DOUBLE), (0.9::DOUBLE))"
+        ctes.append(f"""par0 AS (SELECT meter_id, a.v AS pa, b.v AS pb, g.v AS pg FROM ini2,
+            {axis} a(v), {axis} b(v), {axis} g(v))""")
+        for k, step in enumerate([*REFINE_STEPS, None]):
+            ctes.append(fold(f"try{k}", f"par{k}"))
+            ctes.append(f"""best{k} AS (SELECT meter_id, pa, pb, pg FROM try{k} WHERE t = n QUALIFY row_number() OVER
+                (PARTITION BY meter_id ORDER BY sse, pa, pb, pg) = 1)""")
+            if step is not None:
+                near = f"(VALUES (-{step}::DOUBLE), (0.0::DOUBLE), ({step}::DOUBLE))"
+                moved = lambda x: f"round({x}, 6)"
+                ctes.append(f"""par{k + 1} AS (SELECT meter_id, {moved("pa + a.v")} AS pa, {moved("pb + b.v")} AS pb, {moved("pg + g.v")} AS pg
+                    FROM best{k}, {near} a(v), {near} b(v), {near} g(v)
+                    WHERE {moved("pa + a.v")} BETWEEN 0 AND 1 AND {moved("pb + b.v")} BETWEEN 0 AND 1 AND {moved("pg + g.v")} BETWEEN 0 AND 1)""")
+        ctes.append(fold("rec", f"best{len(REFINE_STEPS)}"))
+    time = f"date_trunc('minute', TIMESTAMP '{now}') + step * INTERVAL 1 MINUTE" if now else "last_ds + CAST(step AS INTEGER)"
+    chosen = ",\n    ".join(ctes)
     return f"""
     WITH RECURSIVE
     dt AS (SELECT meter_id, ds, y, row_number() OVER (PARTITION BY meter_id ORDER BY ds) - 1 AS t,
@@ -181,25 +223,12 @@ def holt_winters_sql(series_sql: str, alpha: float, beta: float, gamma: float, h
     ini2 AS (SELECT *, (0.0::DOUBLE + {s1}) / 7.0::DOUBLE AS l0,
                     ((0.0::DOUBLE + {s2}) / 7.0::DOUBLE - (0.0::DOUBLE + {s1}) / 7.0::DOUBLE) / 7.0::DOUBLE AS b0
              FROM ini),
-    rec AS (
-      SELECT meter_id, n, last_ds, 0::BIGINT AS t, l0 AS l, b0 AS b,
-             [{", ".join(f"ys[{i}] - l0" for i in range(1, 8))}] AS s,
-             0.0::DOUBLE AS sse, 0.0::DOUBLE AS mean, 0.0::DOUBLE AS m2
-      FROM ini2
-      UNION ALL
-      SELECT r.meter_id, r.n, r.last_ds, r.t + 1,
-             {lnew},
-             {c}::DOUBLE * ({lnew} - r.l) + {c1}::DOUBLE * r.b,
-             list_append(r.s[2:7], {g}::DOUBLE * (d.y - r.l - r.b) + {g1}::DOUBLE * r.s[1]),
-             r.sse + {yhat} * {yhat},
-             {mnew},
-             r.m2 + ({yhat} - r.mean) * ({yhat} - {mnew})
-      FROM rec r JOIN dt d ON d.meter_id = r.meter_id AND d.t = r.t),
+    {chosen},
     fit AS (SELECT meter_id, last_ds, l, b, s, sqrt(m2 / (t - 1)) AS sigma FROM rec WHERE t = n),
     fc AS (SELECT meter_id, last_ds, sigma, h AS step,
                   l + CAST(h AS DOUBLE) * b + s[((h - 1) % 7) + 1] AS yh
            FROM fit, range(1, {horizon + 1}) AS hr(h))
-    SELECT meter_id, step, last_ds + CAST(step AS INTEGER) AS time,
+    SELECT meter_id, step, {time} AS time,
            CASE WHEN yh * {scale}::DOUBLE < 0 THEN 0.0::DOUBLE ELSE yh * {scale}::DOUBLE END AS yhat,
            CASE WHEN yh * {scale}::DOUBLE - {z}::DOUBLE * (sigma * {scale}::DOUBLE) < 0 THEN 0.0::DOUBLE
                 ELSE yh * {scale}::DOUBLE - {z}::DOUBLE * (sigma * {scale}::DOUBLE) END AS yhat_lower,

@@ -41,7 +41,7 @@ MIN_READINGS_PER_DAY = 600
 SEASON = 7
 HORIZON = 7
 BAND_Z = 1.96
-FORECAST_SCALE = 1.5
+DEMO_SCALE = 1.5
 # Load gauge: scale 0..10 kW, red from 8 kW.
 GAUGE_MIN = 0.0
 GAUGE_MAX = 10.0

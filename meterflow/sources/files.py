@@ -11,8 +11,8 @@ Two cleanings exist:
   ``?``, lines with too few fields, and lines whose power or a present
   sub-meter field is not a number; an empty or missing sub-meter is 0.0. The
   date is not needed to keep a line (it is parsed, NULL if bad).
-* ``loose`` (forecast input): ``?`` and empty fields are NA; keep a line when
-  its date-time and its power both parse.
+* ``loose`` (forecast input): ``?``, empty fields, NaN and the infinities are
+  NA; keep a line when its date-time and its power both parse.
 """
 
 from __future__ import annotations
@@ -119,8 +119,8 @@ def loose_rows(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
     sub1..sub3 (sub-meters NULL when NA or not numeric)."""
     f = split_fields(lines, value, keep=keep)
     f = f.filter(F.col("dialect").isNotNull() & ~_is_header())
-    out = _once(f, keep, _event_time().alias("event_time"), to_number(na("kw_text")).alias("kw"),
-                *[to_number(na(f"{c}_text")).alias(c) for c in SUBS])
+    out = _once(f, keep, _event_time().alias("event_time"), to_number(na("kw_text"), finite=True).alias("kw"),
+                *[to_number(na(f"{c}_text"), finite=True).alias(c) for c in SUBS])
     return out.filter(F.col("event_time").isNotNull() & F.col("kw").isNotNull())
 
 

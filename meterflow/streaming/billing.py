@@ -42,8 +42,13 @@ def month_end_ms(month_key: str) -> int:
     return int(pd.Timestamp(year=y, month=m, day=1, tz="UTC").value // 1_000_000)
 
 
+# NaN and NULL can't be told apart once a column has been through pandas, so flags go beside the numbers.
+LOST, NO_NUMBER = "_lost", "_no_number"
+
+
 class CycleTotals(StatefulProcessor):
-    """Running kWh per grouping key (meter, cycle), kept in a ValueState.
+    """Running kWh per grouping key (meter, cycle), kept in a ValueState
+    together with whether the cycle holds a reading without a usable number.
 
     With ``close=True`` (calendar months, event-time mode) a timer at the end
     of the month fires once the watermark passes it: it emits one row with
@@ -51,7 +56,7 @@ class CycleTotals(StatefulProcessor):
     state stays bounded by the open cycles.
     """
 
-    dtype, state_schema, zero = "float64", "kwh double", 0.0
+    dtype, state_schema, zero = "float64", "kwh double, lost boolean", 0.0
 
     def __init__(self, columns: list[str], order=("event_time", "tie"), value: str = "kwh",
                  out: str = "kwh_cumulative", close: bool = False):
@@ -70,9 +75,11 @@ class CycleTotals(StatefulProcessor):
         if pdf.empty:
             return
         pdf = pdf.sort_values(self.order, kind="mergesort")
-        start = self.total.get()[0] if self.total.exists() else self.zero
+        start, lost = self.total.get() if self.total.exists() else (self.zero, False)
         cum = self._cum(start, pdf[self.value].to_numpy(dtype=self.dtype))
-        self.total.update((cum[-1].item(),))
+        # a reading without a usable number makes the rest of its cycle unknown
+        pdf[LOST] = np.logical_or.accumulate(np.concatenate([[lost], pdf[LOST].to_numpy(dtype=bool)]))[1:]
+        self.total.update((cum[-1].item(), bool(pdf[LOST].iloc[-1])))
         if self.close_cycles:
             self.handle.registerTimer(month_end_ms(key[-1]))
             pdf["closed"] = False
@@ -85,16 +92,16 @@ class CycleTotals(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if not self.total.exists():
             return
-        total = self.total.get()[0]
+        total, lost = self.total.get()
         self.total.clear()
         row = {c: None for c in self.columns}
         row.update({"meter_id": key[0], "month_key": key[-1], self.value: self.zero, "tie": -1,
                     "event_time": pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs(), unit="ms"),
-                    self.out: total, "closed": True})
+                    self.out: total, LOST: lost, NO_NUMBER: False, "closed": True})
         yield pd.DataFrame([row])[self._out_cols()]
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.total.update((initialState[self.value].iloc[0].item(),))
+        self.total.update((initialState[self.value].iloc[0].item(), False))
 
     def close(self) -> None:
         pass
@@ -103,7 +110,7 @@ class CycleTotals(StatefulProcessor):
 class ExactCycleTotals(CycleTotals):
     """As ``CycleTotals`` on integer micro-kWh (exact, order-free sums)."""
 
-    dtype, state_schema, zero = "int64", "micro long", 0
+    dtype, state_schema, zero = "int64", "micro long, lost boolean", 0
 
     def _cum(self, start, vals):
         return int(start) + np.cumsum(vals)
@@ -151,6 +158,9 @@ def billing_stream(readings: DataFrame, cycle: str = "demo_slot", keys=("meter_i
     else:
         df = df.withColumn("kwh", F.col("kwh").cast("double"))
         out_t, proc = T.DoubleType(), CycleTotals
+    df = df.withColumns({NO_NUMBER: F.coalesce(F.isnan("kw"), F.lit(False)),
+                         LOST: F.col("kw").isNotNull() & (F.col("kwh").isNull() | F.isnan(F.col("kwh").cast("double"))),
+                         "kwh": F.when(~F.isnan(F.col("kwh").cast("double")), F.col("kwh")).otherwise(F.lit(0).cast(out_t))})
     cols = df.columns
     extra = [T.StructField("closed", T.BooleanType())] if close_after is not None else []
     schema = T.StructType(list(df.schema.fields) + [T.StructField("kwh_cumulative", out_t)]
@@ -169,6 +179,10 @@ def billing_stream(readings: DataFrame, cycle: str = "demo_slot", keys=("meter_i
             "kwh": (F.col("kwh").cast("decimal(20,0)") / F.lit(MICRO)).cast("decimal(20,6)"),
             "kwh_cumulative": (F.col("kwh_cumulative").cast("decimal(26,0)") / F.lit(MICRO))
             .cast("decimal(26,6)")})
+    nan = F.lit(None) if exact else F.lit(float("nan"))
+    bad = F.col(NO_NUMBER)
+    out = out.withColumns({"kw": F.when(bad, F.lit(float("nan"))).otherwise(F.col("kw")), "kwh": F.when(bad, nan).otherwise(F.col("kwh")),
+                           "kwh_cumulative": F.when(F.col(LOST), nan).otherwise(F.col("kwh_cumulative"))}).drop(LOST, NO_NUMBER)
     return classify(running_bill(out), warn, crit)
 
 

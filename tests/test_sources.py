@@ -111,3 +111,22 @@ def test_each_line_parsed_once(spark):
         plan = _optimized_plan(rows)
         assert plan.count("split(") == 1, plan
         assert plan.count("gettimestamp(") == 2, plan  # one per dialect branch
+
+
+def test_numbers_are_those_of_the_text_formats(spark):
+    from pyspark.sql import functions as F
+
+    from meterflow.functions import to_number
+    texts = ["1.5", " 2 ", "-.5e3", "1.", "1.5d", "1.5f", "1_0", "0x1", "", "nan", "NaN", "Infinity", "-inf", "1e400", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(to_number("t").alias("a"), to_number("t", finite=True).alias("b")).collect()
+    want = ["1.5", "2.0", "-500.0", "1.0", *["None"] * 5, "nan", "nan", "inf", "-inf", "inf", "None"]
+    assert [str(r.a) for r in rows] == want
+    assert [str(r.b) for r in rows] == [x if x not in ("nan", "inf", "-inf") else "None" for x in want]
+
+
+def test_daily_energy_counts_real_readings_only(spark):
+    from meterflow.operators import daily
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("m", t, x) for x in (1.5, 1.5, float("nan"), float("inf"), 1e13, None)], "meter_id string, event_time timestamp, kw double")
+    rows = daily.daily_energy(df, factor=1.0, min_readings=1).collect()
+    assert [(r.n, r.y) for r in rows] == [(2, 3.0)]

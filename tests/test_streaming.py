@@ -154,3 +154,23 @@ def test_calendar_month_closes(spark, scratch):
     total = out.filter("NOT closed AND month_key = '2024-01'").agg(F.sum("kwh")).first()[0]
     assert len(jan) == 1 and jan[0]["kwh_cumulative"] == pytest.approx(total, rel=1e-12)
     assert jan[0]["event_time"] == dt.datetime(2024, 2, 1) and jan[0]["alert_level"] is None
+
+
+def test_a_nan_message_makes_only_its_cycle_unknown(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    kws = [(0, 2.0), (1, 1.0), (2, float("nan")), (2, 1.0), (4, 5.0), (5, 1.0)]  # slots of three minutes
+    with open(os.path.join(src, "m.json"), "w") as f:
+        for s, (m, kw) in enumerate(kws):
+            f.write(json.dumps({"event_time": f"2024-01-01 00:0{m}:0{s}", "kw": kw, "sub1": 0.0, "sub2": 0.0, "sub3": 0.0}) + "\n")
+    for exact, unknown in ((False, float("nan")), (True, None)):
+        out = os.path.join(scratch, f"out{exact}")
+        good, _ = sb.decoded_stream(sb.message_stream(spark, src))
+        if exact:
+            good = good.withColumn("kwh", (F.col("kw").try_cast("decimal(18,6)") * F.lit(1.5).cast("decimal(18,6)")).cast("decimal(20,6)"))
+        q = sb.run_stream(sb.billing_stream(good, exact=exact), sb.point_sink(out, "r"), os.path.join(scratch, f"ckpt{exact}"), "availableNow")
+        q.awaitTermination()
+        rows = spark.read.parquet(os.path.join(out, "power_usage")).orderBy("time").collect()
+        assert [str(float(r.kwh_cumulative)) if r.kwh_cumulative is not None else None for r in rows] == [
+            "3.0", "4.5", *[str(unknown) if unknown is not None else None] * 2, "7.5", "9.0"]
+        assert rows[2].alert_level == "CRITICAL" and str(rows[2].kw) == "nan"
