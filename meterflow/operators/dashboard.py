@@ -17,11 +17,18 @@ from meterflow.schemas import ALERT_LOG_LIMIT, WARN_KW
 
 
 def time_range(df: DataFrame, from_ts=None, to_ts=None, time: str = "time") -> DataFrame:
-    """``from_ts <= time <= to_ts`` (either bound optional)."""
-    if from_ts is not None:
-        df = df.filter(F.col(time) >= F.lit(from_ts).cast(df.schema[time].dataType))
-    if to_ts is not None:
-        df = df.filter(F.col(time) <= F.lit(to_ts).cast(df.schema[time].dataType))
+    """``from_ts <= time <= to_ts`` (either bound optional).
+
+    A table with a ``day`` column (as the point store's) is also bounded by
+    day, so that the scan opens the folders of these days only.
+    """
+    by_day = time == "time" and "day" in df.columns
+    for bound, within in ((from_ts, lambda c, x: c >= x), (to_ts, lambda c, x: c <= x)):
+        if bound is not None:
+            value = F.lit(bound).cast(df.schema[time].dataType)
+            df = df.filter(within(F.col(time), value))
+            if by_day:
+                df = df.filter(within(F.col("day"), F.to_date(value)))
     return df
 
 

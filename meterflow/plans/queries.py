@@ -88,9 +88,9 @@ def q_monthly_billing(spark, sf_dir):
     return mb.select("meter_id", "tie", ntz("time"), "month_key", dbl("kwh"), dbl("vnd"))
 
 
-def _rollover_sql(house: bool, cycle: str) -> str:
+def _rollover_sql(house: bool, cycle: str, source: str | None = None) -> str:
     return f"""
-    WITH {S.billed_sql(house, cycle)},
+    WITH {S.billed_sql(house, cycle, source)},
     seq AS (
       SELECT *, lag(month_key) OVER (PARTITION BY meter_id ORDER BY event_time, tie) AS prev_key,
              lag(cum) OVER (PARTITION BY meter_id ORDER BY event_time, tie) AS prev_cum,
@@ -102,7 +102,10 @@ def _rollover_sql(house: bool, cycle: str) -> str:
 
 
 def _rollovers(spark, sf_dir, house, cycle):
-    r = billing.rollovers(_billed(spark, sf_dir, house=house, cycle=cycle))
+    return _rollover_out(billing.rollovers(_billed(spark, sf_dir, house=house, cycle=cycle)))
+
+
+def _rollover_out(r):
     return r.select("meter_id", ntz("time"), "tie", "prev_key", dbl("prev_kwh"), dbl("prev_vnd"),
                     "new_key")
 
@@ -113,6 +116,13 @@ def q_rollovers(spark, sf_dir):
     return _rollovers(spark, sf_dir, False, "calendar_month")
 
 
+@register("line_meter_rollovers", _rollover_sql(False, "calendar_month", S.LINE_METERS_SQL))
+def q_line_meter_rollovers(spark, sf_dir):
+    """Seven meters over some eighty months: a rollover at every turn of a month."""
+    ensure_utc(spark)
+    return _rollover_out(billing.rollovers(billing.bill_readings(tables.line_meters(spark, sf_dir))))
+
+
 @register("demo_slot_rollovers", _rollover_sql(True, "demo_slot"))
 def q_demo_slot_rollovers(spark, sf_dir):
     """Single meter, 3-minute slots: the first sighting of each of the 480 slots."""
@@ -275,16 +285,22 @@ def q_meter_hourly_mean(spark, sf_dir):
 # --- point-store semantics and stream-job reads: A9, I5, D8, D9, D10 ----------------------
 
 @register("upsert_points", f"""
-    WITH {S.usage_cte(False)}
-    SELECT meter_id, time, alert_level, tie, kw, kwh_cumulative, vnd_cumulative
-    FROM pu QUALIFY row_number() OVER (PARTITION BY meter_id, time, alert_level
-                                       ORDER BY time DESC, tie DESC) = 1""")
+    WITH {S.usage_cte(False)},
+    writes AS (SELECT *, 1 AS batch FROM pu UNION ALL
+               SELECT * REPLACE (kw * 2 AS kw, kwh_cumulative * 2 AS kwh_cumulative), 2 AS batch FROM pu WHERE tie % 3 = 0)
+    SELECT meter_id, time, alert_level, batch, tie, kw, kwh_cumulative, vnd_cumulative
+    FROM writes QUALIFY row_number() OVER (PARTITION BY meter_id, time, alert_level
+                                           ORDER BY batch DESC, time DESC, tie DESC) = 1""")
 def q_upsert_points(spark, sf_dir):
-    """Points sharing (meter, second, alert level) replace each other; last write wins."""
-    pu = billing.power_usage(_billed(spark, sf_dir)).select(
-        "meter_id", "time", "alert_level", "tie", "kw", "kwh_cumulative", "vnd_cumulative")
-    up = dashboard.upsert_points(pu, ["meter_id", "time", "alert_level"], ["time", "tie"])
-    return up.select("meter_id", ntz("time"), "alert_level", "tie", "kw", dbl("kwh_cumulative"),
+    """Points sharing (meter, second, alert level) replace each other; last write wins.
+    A second write repeats every third point with other values."""
+    cols = ["meter_id", "time", "alert_level", "tie", "kw", "kwh_cumulative", "vnd_cumulative"]
+    pu = billing.power_usage(_billed(spark, sf_dir)).select(*cols, F.lit(1).alias("batch"))
+    again = pu.filter("tie % 3 = 0").select(
+        "meter_id", "time", "alert_level", "tie", (F.col("kw") * 2).alias("kw"),
+        (F.col("kwh_cumulative") * 2).alias("kwh_cumulative"), "vnd_cumulative", F.lit(2).alias("batch"))
+    up = dashboard.upsert_points(pu.union(again), ["meter_id", "time", "alert_level"], ["batch", "time", "tie"])
+    return up.select("meter_id", ntz("time"), "alert_level", "batch", "tie", "kw", dbl("kwh_cumulative"),
                      dbl("vnd_cumulative"))
 
 
@@ -488,14 +504,14 @@ def q_demo_forecast(spark, sf_dir):
                       "yhat_lower", "yhat_upper")
 
 
-@register("lineitem_forecast")
+@register("lineitem_forecast", S.holt_winters_sql(S.daily_series_sql(False, 1, S.LINEITEM_SQL)))
 def q_lineitem_forecast(spark, sf_dir):
     """H1-H5 on the long single series from lineitem (~2,500 days)."""
     ensure_utc(spark)
     d = daily.daily_series(tables.lineitem_readings(spark, sf_dir), min_readings=1)
     fits = fc.fit_seasonal(d)
     out = fc.map_horizon(fc.forecast_band(fc.forecast(fits)))
-    return out.select("meter_id", "step", "time", "yhat", "yhat_lower", "yhat_upper")
+    return out.select("meter_id", F.col("step").cast("bigint").alias("step"), "time", "yhat", "yhat_lower", "yhat_upper")
 
 
 # --- the stream job itself: I1-I4, A5/A7, B4, B5, D9, D10 ------------------------------------

@@ -47,16 +47,24 @@ def readings_sql(house: bool = False) -> str:
     FROM events"""
 
 
+#: Years of readings of seven meters, one for each line number; many share an instant.
+LINE_METERS_SQL = """
+    SELECT 'm' || l_linenumber AS meter_id, CAST(l_shipdate AS TIMESTAMP) AS event_time, l_orderkey * 8 + l_linenumber AS tie,
+           l_quantity AS kw, CAST(CAST(l_quantity AS DECIMAL(18,6)) * CAST(1.5 AS DECIMAL(18,6)) AS DECIMAL(20,6)) AS kwh,
+           0.0::DOUBLE AS sub1, 0.0::DOUBLE AS sub2, 0.0::DOUBLE AS sub3
+    FROM lineitem"""
+
+
 def cycle_sql(cycle: str, ts: str = "event_time") -> str:
     if cycle == "calendar_month":
         return f"strftime({ts}, '%Y-%m')"
     return f"('demo-' || CAST(hour({ts}) AS VARCHAR) || '-' || CAST(minute({ts}) // 3 AS VARCHAR))"
 
 
-def billed_sql(house: bool = False, cycle: str = "calendar_month") -> str:
+def billed_sql(house: bool = False, cycle: str = "calendar_month", source: str | None = None) -> str:
     """CTEs ``r`` (readings, with month_key) and ``b`` (billed readings)."""
     return f"""
-    r AS (SELECT *, {cycle_sql(cycle)} AS month_key FROM ({readings_sql(house)})),
+    r AS (SELECT *, {cycle_sql(cycle)} AS month_key FROM ({source or readings_sql(house)})),
     b AS (
       SELECT *, {level_sql()} AS alert_level,
              {tier_sql('cum')} AS vnd_dec,
@@ -140,22 +148,25 @@ def fields_sql() -> str:
                 FROM ({meter_lines_sql()})))"""
 
 
-def daily_sql(house: bool, min_readings: int, factor_text: str = "0.016666666666666666") -> str:
+LINEITEM_SQL = "SELECT 'lineitem' AS meter_id, CAST(l_shipdate AS TIMESTAMP) AS event_time, l_quantity AS kw FROM lineitem"
+
+
+def daily_sql(house: bool, min_readings: int, source: str | None = None, factor_text: str = "0.016666666666666666") -> str:
     return f"""
     SELECT meter_id, CAST(event_time AS DATE) AS ds,
            CAST(sum(CAST(kw AS DECIMAL(18,6))) AS DOUBLE) * {factor_text}::DOUBLE AS y, count(*) AS n
-    FROM ({readings_sql(house)}) GROUP BY ALL HAVING count(*) >= {min_readings}"""
+    FROM ({source or readings_sql(house)}) GROUP BY ALL HAVING count(*) >= {min_readings}"""
 
 
-def daily_series_sql(house: bool, min_readings: int) -> str:
+def daily_series_sql(house: bool, min_readings: int, source: str | None = None) -> str:
     """CTE body: densified + interpolated daily series (meter_id, ds, y)."""
     return f"""
     SELECT meter_id, ds, y FROM {interp_sql(f"""(
       SELECT s.meter_id, s.ds, d.y, CAST(s.ds - DATE '1970-01-01' AS DOUBLE) AS tn
       FROM (SELECT meter_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS ds
             FROM (SELECT meter_id, min(ds) AS lo, max(ds) AS hi
-                  FROM ({daily_sql(house, min_readings)}) GROUP BY meter_id)) s
-      LEFT JOIN ({daily_sql(house, min_readings)}) d ON d.meter_id = s.meter_id AND d.ds = s.ds)""",
+                  FROM ({daily_sql(house, min_readings, source)}) GROUP BY meter_id)) s
+      LEFT JOIN ({daily_sql(house, min_readings, source)}) d ON d.meter_id = s.meter_id AND d.ds = s.ds)""",
       'meter_id', 'ds', 'tn', 'y')}"""
 
 

@@ -19,26 +19,9 @@ KW_DIVISOR = 25.0
 HOUSE = "house"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One test table. ``spread``: see ``spread``."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_scan(df) if spread else df
-
-
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A file with one row group is read by one task, and every per-row
-    expression before the first shuffle (JSON, text, date parsing) then runs
-    on one core. Only in that case the rows are dealt round-robin over
-    ``defaultParallelism`` partitions; a large input already has many splits
-    and is left alone (no extra shuffle). Counting splits plans the scan
-    only; it runs no job.
-    """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def readings_from_events(events: DataFrame, house: bool = False,
@@ -78,6 +61,18 @@ def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years of readings of seven meters, one for each line number of lineitem:
+    many months, few hot keys, and many readings that share an instant."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.concat(F.lit("m"), F.col("l_linenumber")).alias("meter_id"),
+        F.col("l_shipdate").cast("timestamp").alias("event_time"),
+        (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("tie"),
+        F.col("l_quantity").alias("kw"), kwh_expr("l_quantity", KWH_FACTOR_DEMO, exact=True).alias("kwh"),
+        *(F.lit(0.0).alias(c) for c in ("sub1", "sub2", "sub3")))
+
+
 # Raw text views of ``events`` for the file and message operators. Every row
 # is rendered; the event type decides the dialect and the defect, so both
 # cleanings and every reject reason are exercised on the whole table:

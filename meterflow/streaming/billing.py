@@ -32,6 +32,7 @@ from meterflow.operators.billing import classify, monthly_billing, power_usage,
 from meterflow.operators.dashboard import mean_of
 from meterflow.operators.points import batch_summary
 from meterflow.schemas import CRIT_KW, WARN_KW
+from meterflow.sources.sinks import write_points
 from meterflow.sources.topic import decode_readings, split_rejects
 
 
@@ -43,7 +44,7 @@ def month_end_ms(month_key: str) -> int:
 
 
 # NaN and NULL can't be told apart once a column has been through pandas, so flags go beside the numbers.
-LOST, NO_NUMBER = "_lost", "_no_number"
+LOST, NO_NUMBER = "flag_lost", "flag_no_number"
 
 
 class CycleTotals(StatefulProcessor):
@@ -160,7 +161,8 @@ def billing_stream(readings: DataFrame, cycle: str = "demo_slot", keys=("meter_i
         out_t, proc = T.DoubleType(), CycleTotals
     df = df.withColumns({NO_NUMBER: F.coalesce(F.isnan("kw"), F.lit(False)),
                          LOST: F.col("kw").isNotNull() & (F.col("kwh").isNull() | F.isnan(F.col("kwh").cast("double"))),
-                         "kwh": F.when(~F.isnan(F.col("kwh").cast("double")), F.col("kwh")).otherwise(F.lit(0).cast(out_t))})
+                         "kwh": F.when(F.col("kwh").isNotNull() & ~F.isnan(F.col("kwh").cast("double")), F.col("kwh"))
+                         .otherwise(F.lit(0).cast(out_t))})
     cols = df.columns
     extra = [T.StructField("closed", T.BooleanType())] if close_after is not None else []
     schema = T.StructType(list(df.schema.fields) + [T.StructField("kwh_cumulative", out_t)]
@@ -181,7 +183,7 @@ def billing_stream(readings: DataFrame, cycle: str = "demo_slot", keys=("meter_i
             .cast("decimal(26,6)")})
     nan = F.lit(None) if exact else F.lit(float("nan"))
     bad = F.col(NO_NUMBER)
-    out = out.withColumns({"kw": F.when(bad, F.lit(float("nan"))).otherwise(F.col("kw")), "kwh": F.when(bad, nan).otherwise(F.col("kwh")),
+    out = out.withColumns({"kw": F.when(bad, F.lit(float("nan"))).otherwise(F.col("kw")), "kwh": F.when(bad | F.col("kw").isNull(), nan).otherwise(F.col("kwh")),
                            "kwh_cumulative": F.when(F.col(LOST), nan).otherwise(F.col("kwh_cumulative"))}).drop(LOST, NO_NUMBER)
     return classify(running_bill(out), warn, crit)
 
@@ -207,9 +209,9 @@ def point_sink(root: str, run_id: str, keys=("meter_id",)):
     """A7 + I4 + D9/D10: a ``foreachBatch`` function writing the batch's
     ``power_usage`` and ``monthly_billing`` points and a one-row summary.
 
-    Paths are ``<root>/<table>/run_id=R/batch_id=N`` written in overwrite
-    mode, so a replayed batch (after a failure) rewrites the same files.
-    Empty micro-batches write nothing.
+    Paths are ``<root>/<table>/run_id=R/batch_id=N/day=D`` written in overwrite
+    mode, so a replayed batch (after a failure) rewrites the same files, and a
+    time range prunes by day. Empty micro-batches write nothing.
     """
     keys = list(keys)
 
@@ -222,10 +224,10 @@ def point_sink(root: str, run_id: str, keys=("meter_id",)):
             if batch_df.isEmpty():
                 return
             part = f"run_id={run_id}/batch_id={batch_id}"
-            power_usage(batch_df, keys, extra=("tie", "month_key")).write.mode("overwrite") \
-                .parquet(f"{root}/power_usage/{part}")
-            monthly_billing(batch_df, keys, extra=("tie",)).write.mode("overwrite") \
-                .parquet(f"{root}/monthly_billing/{part}")
+            write_points(power_usage(batch_df, keys, extra=("tie", "month_key")),
+                         f"{root}/power_usage/{part}", mode="overwrite")
+            write_points(monthly_billing(batch_df, keys, extra=("tie",)),
+                         f"{root}/monthly_billing/{part}", mode="overwrite")
             pts = power_usage(batch_df, keys, extra=("tie",)).withColumn(
                 "batch_id", F.lit(batch_id))
             batch_summary(pts).write.mode("overwrite").parquet(f"{root}/batch_summary/{part}")

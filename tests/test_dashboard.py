@@ -65,3 +65,16 @@ def test_rename_regex_and_mix(spark):
                                       "sub3_pct double")
     mix = db.load_mix(pts).collect()[0]
     assert (mix["kitchen_share"], mix["laundry_share"], mix["water_heater_share"]) == (10.0, 30.0, 60.0)
+
+
+def test_time_range_prunes_days_of_the_point_store(spark, scratch):
+    from meterflow.sources.sinks import write_points
+    rows = [(T0 + dt.timedelta(hours=7 * i), i, "INFO", 1.0, "s") for i in range(60)]
+    write_points(_pts(spark, rows), f"{scratch}/points")
+    lo, hi = T0 + dt.timedelta(days=3), T0 + dt.timedelta(days=4, hours=5)
+    df = db.time_range(spark.read.parquet(f"{scratch}/points"), lo, hi)
+    assert sorted(r.tie for r in df.collect()) == [i for i in range(60) if lo <= rows[i][0] <= hi]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("PartitionFilters"):]
+    assert "day" in scan[:scan.index("]")] and len(df.inputFiles()) > 0
+    assert "GreaterThanOrEqual(time" in plan
