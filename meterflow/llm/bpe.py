@@ -10,6 +10,7 @@ many at once. So the lexicon decides the speed only, never the ids.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import uuid
@@ -29,12 +30,13 @@ from meterflow.llm.texts import slices
 from meterflow.session import checkpoint_root
 
 LEXICON_WORDS = 1 << 16
-MEMO = 150_000  # words whose ids a worker remembers
+MEMO = 500_000  # words whose ids a worker remembers, some 150 MB
 COUNTED = 400_000  # words that a worker counts before it passes counts on
 LONG = 200  # bytes from which a word is merged by itself
 NONE = np.int64(1 << 40)
 # blanks are Unicode White_Space, as in the library (Python's \s has x1C-x1F besides)
 BLANK = r"\t-\r \x85\xa0  -     　"
+SPLIT_RUN = regex.compile(rf"[{BLANK}] (?:[{BLANK}]|\Z)", regex.V0)
 CHUNK = regex.compile(rf" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+", regex.V0)
 #: The public pre-tokenisation pattern of the byte-level tokenizer (a fixed value).
 WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{BLANK}\p{{L}}\p{{N}}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+", regex.V0)
@@ -161,15 +163,18 @@ class Vocabulary:
             keep[at + 1] = False
             place = np.cumsum(keep) - 1
             ids, word, rank, at = ids[keep], word[keep], rank[keep], place[at]
-            new = np.unique(np.concatenate([at, at[at > 0] - 1]))
+            near = np.zeros(len(ids) + 1, bool)
+            near[at] = near[at - 1] = True  # what stands before the first goes to the spare end
+            new = np.flatnonzero(near[:-1])
             rank[new] = NONE
             new = new[new + 1 < len(ids)]
             new = new[word[new] == word[new + 1]]
             rank[new] = self.rank(ids[new], ids[new + 1])
         ids, word = np.concatenate(done_ids), np.concatenate(done_word)
         order = np.argsort(word, kind="stable")
-        for i, mine in zip(which, np.split(ids[order], np.cumsum(np.bincount(word, minlength=len(which)))[:-1]), strict=True):
-            out[i] = mine.tolist()
+        flat, stops = ids[order].tolist(), np.cumsum(np.bincount(word, minlength=len(which))).tolist()
+        for i, a, b in zip(which.tolist(), [0, *stops], stops):
+            out[i] = flat[a:b]
         return out
 
     def decode(self, ids) -> str:
@@ -275,8 +280,13 @@ class Lexicon:
             here = here[length[here] > at]
         return np.where(alive & (state & 1 == 1), rank, -1)
 
-    def ids_of(self, rank: int) -> list[int]:
-        return self.ids[self.first[rank]:self.first[rank + 1]].tolist()
+    def ids_of(self, ranks: np.ndarray) -> list[tuple[int, ...]]:
+        """Ids of the words with these ranks."""
+        first, size = self.first[ranks], self.first[ranks + 1] - self.first[ranks]
+        end = np.cumsum(size)
+        at = np.arange(end[-1] if len(end) else 0) + np.repeat(first - (end - size), size)
+        flat, stops = self.ids[at].tolist(), end.tolist()
+        return [tuple(flat[a:b]) for a, b in zip([0, *stops], stops)]
 
 
 class Encoder:
@@ -286,56 +296,88 @@ class Encoder:
         self.vocabulary, self.lexicon, self.memo = vocabulary, lexicon, {}
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.specials, key=len, reverse=True))) + ")") if vocabulary.specials else None
 
-    def words(self, words: list[str]) -> dict[str, list[int]]:
-        """Ids of distinct words."""
+    def words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of distinct words (tuples: the garbage collector leaves tuples of numbers alone)."""
         out, raw = {}, [w.encode() for w in words]
         rest = range(len(words))
         if self.lexicon is not None and words:
             ranks = self.lexicon.find(raw)
-            rest = np.flatnonzero(ranks < 0)
-            out = {words[i]: self.lexicon.ids_of(ranks[i]) for i in np.flatnonzero(ranks >= 0)}
-        out.update(zip([words[i] for i in rest], self.vocabulary.merge([raw[i] for i in rest]), strict=True))
+            rest = np.flatnonzero(ranks < 0).tolist()
+            known = np.flatnonzero(ranks >= 0)
+            out = dict(zip([words[i] for i in known.tolist()], self.lexicon.ids_of(ranks[known]), strict=True))
+        out.update(zip([words[i] for i in rest], map(tuple, self.vocabulary.merge([raw[i] for i in rest])), strict=True))
         return out
 
+    def units(self, text: str) -> list:
+        """Parts of ``text`` whose words don't depend on their neighbours: what stands between
+        spaces (the space before belongs to it), and (part,) for parts without that space.
+
+        Only a run of blanks that holds a space in its midst or at the end of
+        the text spans several of these; such texts are cut at their runs.
+        """
+        if SPLIT_RUN.search(text):
+            return [(c,) for c in CHUNK.findall(text)]
+        first, *rest = text.split(" ")
+        return [(first,), *rest] if first else rest
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         specials, memo = self.vocabulary.specials, self.memo
         if len(memo) > MEMO:
             memo.clear()
-        split = []  # per text, its chunks: runs without blanks, a space before included, and runs of blanks
+        split = []  # units of each text
         for text in texts:
             if self.split is not None and any(s in text for s in specials):
-                split.append([c for k, part in enumerate(self.split.split(text)) for c in ([part] if k % 2 else CHUNK.findall(part))])
+                split.append([u for k, part in enumerate(self.split.split(text)) for u in ([(part, "special")] if k % 2 else self.units(part))])
             else:
-                split.append(CHUNK.findall(text))
-        marks = {k: [i] for k, i in specials.items() if any(k in c for c in split)}
-        new = [c for c in set(chain.from_iterable(split)) if c not in memo and c not in marks]
-        pieces = [WORD.findall(c) for c in new]
-        ids = self.words(list(set(chain.from_iterable(pieces))))
-        memo.update((c, tuple(chain.from_iterable(map(ids.__getitem__, p)))) for c, p in zip(new, pieces, strict=True))
-        find = {**memo, **marks}.__getitem__ if marks else memo.__getitem__
-        return [list(chain.from_iterable(map(find, chunks))) for chunks in split]
+                split.append(self.units(text))
+        new = set(chain.from_iterable(split)).difference(memo)
+        pieces = {}
+        for u in new:
+            if u.__class__ is str:
+                pieces[u] = (" " + u,) if u.isalpha() else WORD.findall(" " + u)
+            elif len(u) == 1:
+                pieces[u] = WORD.findall(u[0])
+            else:
+                memo[u] = (specials[u[0]],)
+        ids = self.words(list(set(chain.from_iterable(pieces.values()))))
+        for u, words in pieces.items():
+            memo[u] = ids[words[0]] if len(words) == 1 else tuple(chain.from_iterable(map(ids.__getitem__, words)))
+        find = memo.__getitem__
+        return [list(chain.from_iterable(map(find, units))) for units in split]
+
+
+_LAST: dict[str, Encoder] = {}
+
+
+def worker_encoder(name: str, vocabulary) -> Encoder:
+    """The encoder of this worker process for the lexicon file ``name``; later tasks find it again with its memory."""
+    if name not in _LAST:
+        _LAST.clear()
+        _LAST[name] = Encoder(vocabulary.value, Lexicon(SparkFiles.get(name)))
+    return _LAST[name]
 
 
 def frequent_words(docs: DataFrame, limit: int) -> list[str]:
     """The words with the highest counts over all texts, at most ``limit``.
 
-    A worker adds up what it reads and passes on what it saw twice or more; a
-    word that no task sees twice is not frequent.
+    A worker adds up what stands between spaces and passes on what it saw
+    twice or more; a word that no task sees twice is not frequent. The words
+    that start a text are counted as if a space stood before them.
     """
     def run(batches):
         seen: Counter = Counter()
 
         def out():
             words: Counter = Counter()
-            for chunk, n in seen.items():
+            for unit, n in seen.items():
                 if n > 1:
-                    for w in WORD.findall(chunk):
+                    for w in WORD.findall(" " + unit):
                         words[w] += n
             return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
 
         for part in slices(batches):
             for text in part.column("text").to_pylist():
-                seen.update(CHUNK.findall(text or ""))
+                seen.update((text or "").split(" "))
                 if len(seen) > COUNTED:
                     yield out()
                     seen.clear()
@@ -380,8 +422,15 @@ def encoded(docs: DataFrame, path: str, words: int = LEXICON_WORDS, with_ids: bo
     vocabulary, name = prepared(docs, path, words)
 
     def run(batches):
-        encoder = Encoder(vocabulary.value, Lexicon(SparkFiles.get(name)))
-        shown = [str(i) for i in range(len(vocabulary.value.token_bytes))]
+        encoder = worker_encoder(name, vocabulary)
+        shown = [str(i) for i in range(len(encoder.vocabulary.token_bytes))]
+        gc.disable()  # there are many containers and no cycles
+        try:
+            yield from encode(batches, encoder, shown)
+        finally:
+            gc.enable()
+
+    def encode(batches, encoder, shown):
         for part in slices(batches):
             ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
             columns = [part.column("doc_id").cast(pa.int64()), pa.array(list(map(len, ids)), pa.int64()),
