@@ -581,46 +581,83 @@ def _stream_runs(spark, msgs, parts, schema, root):
         q.awaitTermination()
 
 
-LIVE_INTERVAL, LIVE_DELAY = "5 minutes", "10 minutes"
+LIVE_INTERVAL = "5 minutes"
 
 
 @register("live_mean_stream", f"""
-    WITH r AS ({S.readings_sql(True)}),
-    wm AS (SELECT max(date_trunc('second', event_time)) - INTERVAL '{LIVE_DELAY}' AS wm FROM r)
-    SELECT * FROM (
-        SELECT meter_id, time_bucket(INTERVAL '{LIVE_INTERVAL}', event_time) AS bucket,
-               CAST(sum(CAST(kw AS DECIMAL(28,6))) AS DOUBLE) / count(kw) AS mean_kw,
-               count(*) AS points
-        FROM r GROUP BY meter_id, bucket)
-    WHERE bucket + INTERVAL '{LIVE_INTERVAL}' <= (SELECT wm FROM wm)""")
+    SELECT meter_id, time_bucket(INTERVAL '{LIVE_INTERVAL}', event_time) AS bucket,
+           CAST(sum(CAST(kw AS DECIMAL(28,6))) AS DOUBLE) / count(kw) AS mean_kw, count(*) AS points
+    FROM ({S.readings_sql(True)}) GROUP BY ALL""")
 def q_live_mean_stream(spark, sf_dir):
-    """I6 in Structured Streaming: the messages of ``events`` arrive in three
-    time-ordered parts; after each part the watermarked window aggregation is
-    restarted from its checkpoint and drained (``availableNow``). Windows are
-    appended once the watermark (latest event time - 10 minutes) passes their
-    end; the open tail stays in the state store. Returns what the parquet
-    sink holds after the last run."""
-    from meterflow.streaming.billing import live_mean
+    """I6 in Structured Streaming: the messages of ``events`` arrive in three parts
+    (the middle one last, so late); after each part the window aggregation is
+    restarted from its checkpoint and drained. Every batch writes the windows
+    it changed; the result is the last value of all windows, the open one too."""
+    from meterflow.streaming import billing as sb
     ensure_utc(spark)
     root = checkpoint_path(spark, "meterflow", f"live_mean-{uuid.uuid4().hex}")
     msgs = tables.messages_clean(tables.table(spark, sf_dir, "events"))
-    for i, cond in enumerate(_time_parts(msgs)):
+    first, middle, last = _time_parts(msgs)
+    for i, cond in enumerate((first, last, middle)):
         msgs.filter(cond).select("tie", "value").write.mode("overwrite").parquet(
             f"{root}/in/part={i}")
         src = spark.readStream.schema("tie long, value binary").parquet(f"{root}/in/part=*")
         good, _ = topic.split_rejects(topic.decode_readings(src))
         good = good.withColumn("meter_id", F.lit(tables.HOUSE))
         with _state_partitions(spark):
-            q = (live_mean(good, LIVE_INTERVAL, LIVE_DELAY, keys=("meter_id",), exact=True)
-                 .writeStream.outputMode("append").format("parquet")
-                 .option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
-                 .trigger(availableNow=True).start())
+            q = (sb.live_mean(good, LIVE_INTERVAL, keys=("meter_id",), exact=True)
+                 .writeStream.outputMode("update").foreachBatch(sb.window_sink(f"{root}/out"))
+                 .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
             q.awaitTermination()
-    out = spark.read.schema("meter_id string, bucket timestamp, mean_kw double, points long") \
-        .parquet(f"{root}/out")
+    out = sb.current_windows(spark, f"{root}/out", keys=["meter_id"])
     return out.select("meter_id", ntz("bucket"), "mean_kw", "points")
 
 
+@register("stream_rejects", """
+    SELECT event_id AS tie, CASE event_type WHEN 'error' THEN 'json' WHEN 'signup' THEN 'time'
+                                 ELSE 'kw' END AS reject
+    FROM events WHERE event_type IN ('error', 'signup', 'click')""")
+def q_stream_rejects(spark, sf_dir):
+    """I8 in the stream: the bad messages of ``events`` go to the rejects table, batch by batch."""
+    from meterflow.streaming import billing as sb
+    ensure_utc(spark)
+    root = checkpoint_path(spark, "meterflow", f"rejects-{uuid.uuid4().hex}")
+    tables.messages_from_events(tables.table(spark, sf_dir, "events")).write.parquet(f"{root}/in")
+    src = spark.readStream.schema("tie long, value binary").option("maxFilesPerTrigger", 8).parquet(f"{root}/in")
+    _, bad = topic.split_rejects(topic.decode_readings(src, keep=("tie",)))
+    q = sb.run_stream(bad, sb.reject_sink(f"{root}/out", "r1"), f"{root}/ckpt", "availableNow")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out/rejects").select("tie", "reject")
+
+
+@register("file_readings", f"""
+    WITH f AS ({S.fields_sql()})
+    SELECT 'house' AS meter_id, event_time, kw, kw * 1.5::DOUBLE AS kwh, sub1, sub2, sub3 FROM (
+    SELECT event_time, round(TRY_CAST(kwt AS DOUBLE), 4) AS kw,
+           round(CASE WHEN s1t IS NULL OR s1t = '' THEN 0.0::DOUBLE ELSE TRY_CAST(s1t AS DOUBLE) END, 2) AS sub1,
+           round(CASE WHEN s2t IS NULL OR s2t = '' THEN 0.0::DOUBLE ELSE TRY_CAST(s2t AS DOUBLE) END, 2) AS sub2,
+           round(CASE WHEN s3t IS NULL OR s3t = '' THEN 0.0::DOUBLE ELSE TRY_CAST(s3t AS DOUBLE) END, 2) AS sub3
+    FROM f
+    WHERE length(line) > 0 AND line NOT LIKE '%?%' AND dia IS NOT NULL
+      AND np >= CASE WHEN dia = 'txt' THEN 3 ELSE 2 END AND NOT header
+      AND TRY_CAST(kwt AS DOUBLE) IS NOT NULL
+      AND (s1t IS NULL OR s1t = '' OR TRY_CAST(s1t AS DOUBLE) IS NOT NULL)
+      AND (s2t IS NULL OR s2t = '' OR TRY_CAST(s2t AS DOUBLE) IS NOT NULL)
+      AND (s3t IS NULL OR s3t = '' OR TRY_CAST(s3t AS DOUBLE) IS NOT NULL))""")
+def q_file_readings(spark, sf_dir):
+    """A1-A3 + A10: meter files of both dialects, with header lines, written and read back as readings."""
+    from meterflow.schemas import CSV_HEADER, TXT_HEADER
+    ensure_utc(spark)
+    root = checkpoint_path(spark, "meterflow", f"files-{uuid.uuid4().hex}")
+    lines = tables.meter_lines_from_events(tables.table(spark, sf_dir, "events")).select("value")
+    for name, header, mine in (("txt", TXT_HEADER, F.contains("value", F.lit(";"))), ("csv", CSV_HEADER, ~F.contains("value", F.lit(";")))):
+        spark.createDataFrame([(header,)], "value string").union(lines.filter(mine)).write.text(f"{root}/{name}")
+    read = [files.load_readings(spark, f"{root}/{d}", dialect=d) for d in ("txt", "csv")]
+    out = read[0].union(read[1])
+    return out.select("meter_id", ntz("event_time"), "kw", "kwh", "sub1", "sub2", "sub3")
+
+
+
 @register("alert_feed", f"""
     SELECT tie, date_trunc('second', event_time) AS time, {S.level_sql()} AS alert_level, kw
     FROM ({S.readings_sql(True)}) WHERE kw >= 3""")

@@ -85,19 +85,24 @@ def _is_header() -> Column:
     return F.trim(first).isin("Date", "datetime")
 
 
-def _event_time() -> Column:
+#: Forms of a CSV date-time that the forecast input may have besides the usual one.
+ISO_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd")
+
+
+def _event_time(more=()) -> Column:
+    text = F.trim(F.col("datetime_text"))
+    iso = F.coalesce(parse_event_time(text), *(parse_event_time(text, f) for f in more))
     return F.when(F.col("dialect") == "txt",
-                  parse_day_first(F.col("date_text"), F.col("time_text"))).otherwise(
-        parse_event_time(F.trim(F.col("datetime_text"))))
+                  parse_day_first(F.col("date_text"), F.col("time_text"))).otherwise(iso)
 
 
 SUBS = ("sub1", "sub2", "sub3")
 
 
 def strict_rows(lines: DataFrame, value: str = "value", kw_digits: int = 4,
-                sub_digits: int = 2, keep=()) -> DataFrame:
+                sub_digits: int = 2, keep=(), dialect_hint: str = "auto") -> DataFrame:
     """B1 + B3: the replay cleaning. Output: [keep], event_time, kw, sub1..sub3."""
-    f = split_fields(lines, value, keep=keep)
+    f = split_fields(lines, value, dialect_hint, keep)
     min_parts = F.when(F.col("dialect") == "txt", F.lit(TXT_POS["min_parts"])).otherwise(
         F.lit(CSV_POS["min_parts"]))
     pre = (F.col("dialect").isNotNull() & (F.length("line") > 0) & ~F.col("line").contains("?")
@@ -114,28 +119,35 @@ def strict_rows(lines: DataFrame, value: str = "value", kw_digits: int = 4,
         *[F.bround(c, sub_digits).alias(c) for c in SUBS])
 
 
-def loose_rows(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
+def loose_rows(lines: DataFrame, value: str = "value", keep=(), dialect_hint: str = "auto") -> DataFrame:
     """B2 (+A4, B6, B7): the forecast cleaning. Output: [keep], event_time, kw,
     sub1..sub3 (sub-meters NULL when NA or not numeric)."""
-    f = split_fields(lines, value, keep=keep)
+    f = split_fields(lines, value, dialect_hint, keep)
     f = f.filter(F.col("dialect").isNotNull() & ~_is_header())
-    out = _once(f, keep, _event_time().alias("event_time"), to_number(na("kw_text"), finite=True).alias("kw"),
+    out = _once(f, keep, _event_time(ISO_FORMATS).alias("event_time"), to_number(na("kw_text"), finite=True).alias("kw"),
                 *[to_number(na(f"{c}_text"), finite=True).alias(c) for c in SUBS])
     return out.filter(F.col("event_time").isNotNull() & F.col("kw").isNotNull())
 
 
 def as_readings(rows: DataFrame, meter_id: str = "house", factor: float = KWH_FACTOR_DEMO,
                 tie: Column | None = None) -> DataFrame:
-    """Cleaned rows to parsed readings (M4). ``tie`` defaults to a per-row id
-    that is stable for a fixed input layout."""
+    """Cleaned rows to parsed readings (M4). ``tie`` defaults to a hash of the
+    row, which does not depend on how the input is laid out."""
+    hashed = F.xxhash64(*(F.col(c) for c in rows.columns))
     return rows.select(F.lit(meter_id).alias("meter_id"), "event_time",
-                       (tie if tie is not None else F.monotonically_increasing_id()).alias("tie"),
+                       (tie if tie is not None else hashed).alias("tie"),
                        "kw", kwh_expr("kw", factor).alias("kwh"), "sub1", "sub2", "sub3")
 
 
 def load_readings(spark: SparkSession, path: str, cleaning: str = "strict",
-                  meter_id: str = "house", factor: float = KWH_FACTOR_DEMO) -> DataFrame:
-    """A10: a meter file (or folder of them, either dialect) as readings."""
-    lines = read_lines(spark, path)
-    rows = strict_rows(lines) if cleaning == "strict" else loose_rows(lines)
-    return as_readings(rows, meter_id, factor)
+                  meter_id: str = "house", factor: float = KWH_FACTOR_DEMO,
+                  dialect: str = "auto") -> DataFrame:
+    """A10: a meter file (or folder of them) as readings.
+
+    ``dialect``: txt, csv, or auto (each line by its separator, for folders
+    that hold both). ``tie`` hashes file name and line.
+    """
+    lines = read_lines(spark, path).select("value", F.xxhash64("_metadata.file_name", "value").alias("tie"))
+    clean = strict_rows if cleaning == "strict" else loose_rows
+    rows = clean(lines, keep=("tie",), dialect_hint=dialect)
+    return as_readings(rows, meter_id, factor, F.col("tie"))

@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from meterflow.functions import alert_level, cycle_key
 from meterflow.operators.billing import classify, monthly_billing, power_usage, running_bill
-from meterflow.operators.dashboard import mean_of
+from meterflow.operators.dashboard import mean_of, upsert_points
 from meterflow.operators.points import batch_summary
 from meterflow.schemas import CRIT_KW, WARN_KW
 from meterflow.sources.sinks import write_points
@@ -249,19 +249,47 @@ def run_stream(df: DataFrame, sink, checkpoint: str, trigger: str = "2 seconds",
     return w.start()
 
 
-def live_mean(readings: DataFrame, interval: str = "5 minutes", watermark: str = "10 minutes",
+def live_mean(readings: DataFrame, interval: str = "5 minutes", watermark: str | None = None,
               keys=(), exact: bool = False) -> DataFrame:
-    """Windowed mean kW, emitted once a window is closed by the watermark
-    (append mode; a window ending at or before the watermark is final).
+    """Mean kW of each time window.
+
+    Without a watermark every reading counts, however late, and in update
+    mode each batch gives the new value of the windows it touched, the open
+    one included (write them with ``window_sink``). With a watermark, windows
+    that end before it are final and leave the state; later readings of
+    theirs don't count.
     ``exact``: sum as DECIMAL(28,6) so the mean does not depend on the order
     partial sums are merged in."""
     r = readings.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    agg = (r.withWatermark("event_time", watermark)
-           .groupBy(*keys, F.window("event_time", interval).alias("w"))
+    r = r if watermark is None else r.withWatermark("event_time", watermark)
+    agg = (r.groupBy(*keys, F.window("event_time", interval).alias("w"))
            .agg(mean_of("kw", exact).alias("mean_kw"), F.count(F.lit(1)).alias("points")))
     return agg.select(*keys, F.col("w.start").alias("bucket"), "mean_kw", "points")
 
 
+def window_sink(root: str):
+    """A ``foreachBatch`` function for ``live_mean`` in update mode: a folder for
+    each batch (a replay rewrites it). ``current_windows`` reads the latest values."""
+    def sink(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+
+    return sink
+
+
+def current_windows(spark: SparkSession, root: str, keys=()) -> DataFrame:
+    """The last value written of each window."""
+    return upsert_points(spark.read.parquet(root), [*keys, "bucket"], ["batch_id"]).drop("batch_id")
+
+
+def reject_sink(root: str, run_id: str):
+    """I8: a ``foreachBatch`` function for the rejects of ``decoded_stream``: the
+    messages with their reasons under ``<root>/rejects``, one folder a batch."""
+    def sink(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.write.mode("overwrite").parquet(f"{root}/rejects/run_id={run_id}/batch_id={batch_id}")
+
+    return sink
+
+
 def alert_stream(readings: DataFrame, warn: float = WARN_KW, crit: float = CRIT_KW) -> DataFrame:
     """Stateless feed of WARNING and CRITICAL readings."""
     return (readings.withColumn("alert_level", alert_level("kw", warn, crit))

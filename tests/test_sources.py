@@ -130,3 +130,16 @@ def test_daily_energy_counts_real_readings_only(spark):
     df = spark.createDataFrame([("m", t, x) for x in (1.5, 1.5, float("nan"), float("inf"), 1e13, None)], "meter_id string, event_time timestamp, kw double")
     rows = daily.daily_energy(df, factor=1.0, min_readings=1).collect()
     assert [(r.n, r.y) for r in rows] == [(2, 3.0)]
+
+
+def test_loose_rows_take_other_iso_forms(spark):
+    rows = [("2007-01-01T00:05:00,1.5,0,0,0,0,0,0",), ("2007-01-01 00:06,1.5,0,0,0,0,0,0",), ("2007-01-02,1.5,0,0,0,0,0,0",), ("2007-13-02,1.5,0,0,0,0,0,0",)]
+    got = files.loose_rows(spark.createDataFrame(rows, "value string")).collect()
+    assert [r.event_time for r in got] == [dt.datetime(2007, 1, 1, 0, 5), dt.datetime(2007, 1, 1, 0, 6), dt.datetime(2007, 1, 2)]
+
+
+def test_load_readings_tie_is_stable(spark, scratch):
+    _write(os.path.join(scratch, "power.txt"), TXT_HEADER, TXT_LINES)
+    a = files.load_readings(spark, scratch).collect()
+    b = files.load_readings(spark, scratch, dialect="txt").repartition(3).collect()
+    assert sorted(r.tie for r in a) == sorted(r.tie for r in b) and len({r.tie for r in a}) == len(a) == 4
