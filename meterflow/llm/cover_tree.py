@@ -195,7 +195,8 @@ def block_links(pairs: DataFrame, cosine: float) -> DataFrame:
     """(id, links, root) for the points with links in each pair of blocks."""
     def run(batches):
         for batch in batches:
-            for r in batch.to_pylist():
+            for n in range(batch.num_rows):
+                r = batch.slice(n, 1).to_pylist()[0]
                 side = []
                 for s in "ab":
                     ids, w = np.frombuffer(r[f"ids_{s}"], np.int64), np.frombuffer(r[f"weights_{s}"], np.int64)
