@@ -62,19 +62,25 @@ class TermCounter:
 
 @dataclass
 class BlockMaxIndex:
-    """Unit vectors of examples over numbered terms; examples in blocks of BLOCK."""
+    """Inverted index of unit vectors: the postings of a term lie in blocks of BLOCK examples."""
 
-    vectors: np.ndarray  # postings as a matrix per block: block x term x example
-    largest: np.ndarray  # term x block
+    terms: list[np.ndarray]  # of each block: its terms, ascending
+    postings: list[np.ndarray]  # of each block: for each of these, the weights of the block's examples
+    largest: np.ndarray  # term x block: the largest of them
 
     @classmethod
     def build(cls, matrix: np.ndarray) -> BlockMaxIndex:
-        n, terms = matrix.shape
-        blocks = -(-n // BLOCK)
-        padded = np.zeros((blocks * BLOCK, terms))
-        padded[:n] = matrix
-        vectors = np.ascontiguousarray(padded.reshape(blocks, BLOCK, terms).transpose(0, 2, 1))
-        return cls(vectors, vectors.max(axis=2).T.copy() if blocks else np.zeros((terms, 0)))
+        """From a matrix of examples x terms."""
+        parts = [matrix[i:i + BLOCK].T for i in range(0, len(matrix), BLOCK)]
+        terms = [np.flatnonzero(p.any(axis=1)) for p in parts]
+        largest = np.stack([p.max(axis=1) for p in parts], axis=1) if parts else np.zeros((matrix.shape[1], 0))
+        return cls(terms, [np.ascontiguousarray(p[t]) for p, t in zip(parts, terms, strict=True)], largest)
+
+    def cosines(self, block: int, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Of the examples of a block with a vector."""
+        at = np.minimum(np.searchsorted(self.terms[block], terms), len(self.terms[block]) - 1)
+        here = self.terms[block][at] == terms
+        return weights[here] @ self.postings[block][at[here]]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the ``k`` nearest with a cosine above 0; ties go to the smaller example."""
@@ -83,7 +89,7 @@ class BlockMaxIndex:
         for b in np.argsort(-bound, kind="stable"):
             if bound[b] <= 0 or (len(cos) == k and bound[b] < cos[-1] - 1e-12):
                 break
-            got = weights @ self.vectors[b][terms]
+            got = self.cosines(b, terms, weights)
             here = np.flatnonzero(got > 0)
             here = here[here + b * BLOCK != skip]
             ids, cos = np.concatenate([ids, here + b * BLOCK]), np.concatenate([cos, got[here]])
@@ -226,7 +232,7 @@ def scores(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> Dat
     among them, get the rate of such examples. A null doc_id is not held out.
     Other columns are not read; repeated rows score alike.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 4 * PER_LABEL x TERMS numbers
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # postings of at most 4 * PER_LABEL examples over TERMS terms
 
     def run(batches):
         m = shared.value
