@@ -115,6 +115,17 @@ def exploded_shingles(texts: DataFrame, k: int) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, h long")
 
 
+def shingle_sets(texts: DataFrame, k: int) -> DataFrame:
+    """(doc_id, hashes): the distinct hashed shingles of each row of ``texts(doc_id, text)`` as one array."""
+    def run(batches):
+        for part in slices(batches):
+            h, row, n = shingles(part.column("text"), k)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(h)))], names=["doc_id", "hashes"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, hashes array<long>")
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, bands: int = 25, rows: int = 5) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, n_shingles, component_id, kept.
 
@@ -162,13 +173,19 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, bands: int =
     shared = F.col("n_shingles") - F.coalesce("alone", F.lit(0))
     able = saved(mixed.join(own, "doc_id", "left").withColumn("shared", shared)
                  .filter(F.lit(100) * F.col("shared") >= F.lit(percent) * F.col("n_shingles")).drop("alone"), "minhash-able")
+    sets = shingle_sets(texts.join(able.select("doc_id").distinct(), "doc_id", "left_semi"), k)
+    able = saved(able.join(sets, "doc_id"), "minhash-sets")
     outside = able.filter("component != main").select(
-        "band", "key", F.col("doc_id").alias("o"), F.col("n_shingles").alias("no"), F.col("shared").alias("so"), F.col("component").alias("co"))
+        "band", "key", F.col("doc_id").alias("o"), F.col("n_shingles").alias("no"), F.col("shared").alias("so"),
+        F.col("component").alias("co"), F.col("hashes").alias("ho"))
     most = F.least("shared", "so")  # of the intersection, so the union is at least what follows
-    crossing = (able.join(outside, ["band", "key"]).filter(
-        (F.col("component") != F.col("co")) & (F.lit(100) * most >= F.lit(percent) * (F.col("n_shingles") + F.col("no") - most)))
-        .select(F.least("doc_id", "o").alias("u"), F.greatest("doc_id", "o").alias("v")).distinct())
-    second = confirmed(crossing.join(first, ["u", "v"], "left_anti"), "minhash-second")
+    both = F.size(F.array_intersect("hashes", "ho"))
+    # the whole test is the condition of the join: only links leave it
+    second = saved(able.join(outside, (able["band"] == outside["band"]) & (able["key"] == outside["key"])
+                             & (F.col("component") != F.col("co"))
+                             & (F.lit(100) * most >= F.lit(percent) * (F.col("n_shingles") + F.col("no") - most))
+                             & (F.lit(100) * both >= F.lit(percent) * (F.col("n_shingles") + F.col("no") - both)))
+                   .select(F.least("doc_id", "o").alias("u"), F.greatest("doc_id", "o").alias("v")).distinct(), "minhash-second")
     label = connected_components(first.union(second), "minhash")
     final = saved(classes.join(label, classes["rep"] == label["node"], "left")
                   .select("f1", "f2", F.col("n_shingles").alias("n"), F.coalesce("component", "rep").alias("component_id")),

@@ -103,3 +103,21 @@ def test_nulls_repeats_and_empty_table(spark):
     got = sorted(map(tuple, minhash.near_duplicates(df).collect()), key=str)
     assert got == sorted([(1, 2, 1, True), (1, 2, 1, True), (None, 2, None, True), (2, 2, 1, False), (3, 0, 3, True)], key=str)
     assert minhash.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_dense_groups_around_the_threshold(spark):
+    """Copies with a few edits each: alike to some of the others only, so the second comparison decides."""
+    r = random.Random(9)
+    rows = []
+    for g in range(3):
+        base = [f"g{g}b{i}" for i in range(90)]
+        for _ in range(70):
+            t = list(base)
+            for _ in range(r.choice([1, 2, 3, 4])):
+                t[r.randrange(90)] = f"e{r.randrange(4)}"
+            rows.append(" ".join(t))
+    r.shuffle(rows)
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in minhash.near_duplicates(df).collect()}
+    assert got == components(rows, 3, 85) and len({c for _, c, _ in got.values()}) > 6
