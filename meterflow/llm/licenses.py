@@ -1,8 +1,9 @@
 """Licence scans (operator 4).
 
 Templates and the notices found in files are sparse TF-IDF vectors over words.
-A file's notices are the blocks of lines around licence words anywhere in its
-text; each block is compared with every template by cosine. A file in a
+A file's notices stand around licence words anywhere in its text: runs of as
+many words as a template has (or half), wherever lines end, and blocks of lines; each is
+compared with the templates by cosine. A file in a
 directory inherits the licences of the licence files (LICENSE, COPYING, ...,
 or a text that is mainly a licence) of the nearest directory above it, by
 joins on paths: every distinct directory is exploded into its ancestors and
@@ -12,6 +13,7 @@ the deepest one with a licence wins. A notice of its own goes before.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
@@ -49,7 +51,10 @@ TEMPLATES = {
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
     "LicenseRef-Proprietary": ("All rights reserved.", "Confidential and proprietary. Unauthorized copying of this file is strictly prohibited."),
 }
+RESERVED = "All rights reserved."  # stands beside grants too
 COSINE = 0.6  # of a notice with a template
+SHORT = 10  # words; of shorter templates, half the words stand in other prose too:
+SHORT_COSINE = 0.88  # for these, of a run of words within lines
 MAINLY = 0.8  # share of a text's words in matched notices that makes it a licence file
 TOKEN = regex.compile(r"[a-z]+|\d+(?:\.\d+)*")
 ANCHOR = regex.compile(r"licen[cs]|copyright|\(c\)|rights reserved|redistribut|permission|public domain|spdx|proprietary|free software|all rights|waived", regex.I)
@@ -67,6 +72,9 @@ class Templates:
     idf: dict[str, float]
     weights: dict[str, list[tuple[int, float]]]  # term -> (template, weight): sparse postings
     unseen: float
+    terms: list[dict[str, float]]  # of each template: its unit vector
+    sizes: list[int]  # and its number of words
+    reserving: frozenset[int]  # the templates that only reserve rights
 
     @classmethod
     def build(cls, templates=None) -> Templates:
@@ -78,10 +86,25 @@ class Templates:
             norm = math.sqrt(sum(((1 + math.log(n)) * idf[w]) ** 2 for w, n in c.items()))
             for w, n in c.items():
                 weights.setdefault(w, []).append((i, (1 + math.log(n)) * idf[w] / norm))
-        return cls([n for n, _ in rows], idf, weights, math.log(1 + len(rows)) + 1)
+        terms: list[dict[str, float]] = [{} for _ in rows]
+        for w, posted in weights.items():
+            for i, y in posted:
+                terms[i][w] = y
+        reserved = Counter(tokens(RESERVED))
+        return cls([n for n, _ in rows], idf, weights, math.log(1 + len(rows)) + 1, terms, [sum(c.values()) for _, c in rows],
+                   frozenset(i for i, (_, c) in enumerate(rows) if c == reserved))
+
+    def cosine(self, i: int, words: list[str]) -> float:
+        """Of words with template ``i``."""
+        dot = norm = 0.0
+        for w, n in Counter(words).items():
+            x = (1 + math.log(n)) * self.idf.get(w, self.unseen)
+            norm += x * x
+            dot += x * self.terms[i].get(w, 0.0)
+        return dot / math.sqrt(norm) if norm else 0.0
 
-    def best(self, words: list[str]) -> tuple[str | None, float]:
-        """(licence, cosine) of the nearest template; ties go to the first."""
+    def nearest(self, words: list[str]) -> tuple[int, float]:
+        """(template, cosine) of the nearest template, or -1; ties go to the first."""
         count = Counter(words)
         score, norm = np.zeros(len(self.names)), 0.0
         for w, n in count.items():
@@ -90,43 +113,85 @@ class Templates:
             for i, y in self.weights.get(w, ()):
                 score[i] += x * y
         if not norm or not score.any():
-            return None, 0.0
+            return -1, 0.0
         i = int(np.round(score, 12).argmax())
-        return self.names[i], float(score[i] / math.sqrt(norm))
+        return i, float(score[i] / math.sqrt(norm))
+
+    def best(self, words: list[str]) -> tuple[str | None, float]:
+        """(licence, cosine) of the nearest template."""
+        i, cosine = self.nearest(words)
+        return (self.names[i] if i >= 0 else None), cosine
+
+
+def spotted(text: str) -> tuple[list[str], list[int], list[int]]:
+    """The words of a text in lower case and where they start and end in it."""
+    low = text.lower()
+    if len(low) != len(text):  # a few letters grow when lowered
+        low = "".join(c if len(d := c.lower()) != 1 else d for c in text)
+    found = [(m.group(), m.start(), m.end()) for m in TOKEN.finditer(low)]
+    return ([], [], []) if not found else tuple(map(list, zip(*found, strict=True)))
+
+
+def window(words: list[str], at: int, begin: int, templates: Templates, least: float) -> tuple[int, float, int, int]:
+    """(template, cosine, first word, words) of the run of words around the licence word ``at``, not
+    before ``begin``, that is nearest to a template of as many words, or up to twice as many; template -1 if none counts."""
+    pick = (-1, 0.0, 0, 0)
+    for i, (terms, size) in enumerate(zip(templates.terms, templates.sizes, strict=True)):
+        need = max(least, SHORT_COSINE) if size < SHORT else least
+        lo, hi = max(begin, at - size + 1), min(len(words), at + size)
+        # no run can be nearer than the template's part on the words that stand here
+        if math.sqrt(sum(terms[w] ** 2 for w in terms.keys() & set(words[lo:hi]))) < max(need, pick[1]) - 1e-12:
+            continue
+        for n in range(size, size // 2, -max(1, size // 8)):  # shortened notices too
+            for first in range(max(begin, at - n + 1), min(at, len(words) - n) + 1):
+                c = templates.cosine(i, words[first:first + n])
+                if c >= need and c > pick[1] + 1e-12:
+                    pick = (i, c, first, n)
+    return pick
 
 
 def notices(text: str | None, templates: Templates, least: float = COSINE) -> tuple[str | None, float, str | None, float]:
     """(licence, cosine, matched notice, share of the words in matched notices) of a whole text.
 
-    A notice is a line with a licence word, alone or with up to three lines
-    after it, whichever is nearest to a template.
+    At every licence word, a notice is the run of words around it, wherever
+    lines end, that is nearest to a template of about as many words; or its line from
+    there on, alone or with up to three lines after it, if that is nearer. Rights that are only
+    reserved count where nothing in the text is granted.
     """
     if not text or not ANCHOR.search(text):
         return None, 0.0, None, 0.0
     found = SPDX.search(text)
-    lines = text.split("\n")
-    best, cosine, shown, matched = (found[1], 1.0, found[0], 0) if found else (None, 0.0, None, 0)
-    at = 0
-    while at < len(lines):
-        if not ANCHOR.search(lines[at]):
-            at += 1
+    words, starts, ends = spotted(text)
+    best = {False: (found[1], 1.0, found[0]) if found else (None, 0.0, None), True: (None, 0.0, None)}
+    matched, begin, tried = 0, 0, -1
+    for anchor in ANCHOR.finditer(text):
+        at = bisect_right(ends, anchor.start())
+        if at < begin or at >= len(words):
             continue
-        words, pick = [], (None, 0.0, 0, 0)
-        for n in range(4):
-            if at + n >= len(lines):
+        i, c, first, n = window(words, at, begin, templates, least)
+        pick = (templates.names[i], c, first, n, i in templates.reserving) if i >= 0 else (None, 0.0, 0, 0, False)
+        line = text.rfind("\n", 0, anchor.start()) + 1
+        first, stop = bisect_right(ends, line), line
+        for _ in range(4 if line != tried and first >= begin else 0):
+            stop = text.find("\n", stop)
+            stop = len(text) if stop < 0 else stop
+            last = bisect_right(ends, stop)
+            j, c = templates.nearest(words[first:last])
+            if c >= least and c > pick[1] + 1e-12:
+                pick = (templates.names[j], c, first, last - first, j in templates.reserving)
+            if stop == len(text):
                 break
-            words += tokens(lines[at + n])
-            name, c = templates.best(words)
-            if c > pick[1] + 1e-12:
-                pick = (name, c, n + 1, len(words))
-        if pick[1] >= least:
-            matched += pick[3]
-            if pick[1] > cosine + 1e-12:
-                best, cosine, shown = pick[0], pick[1], "\n".join(lines[at:at + pick[2]])
-            at += pick[2]
-        else:
-            at += 1
-    return best, cosine, shown, matched / max(len(tokens(text)), 1) if best else 0.0
+            stop += 1
+        tried = line
+        if pick[0] is None:
+            continue
+        name, c, first, n, reserving = pick
+        matched += n
+        begin = first + n
+        if c > best[reserving][1] + 1e-12:
+            best[reserving] = (name, c, text[starts[first]:ends[begin - 1]])
+    name, cosine, shown = best[False] if best[False][0] else best[True]
+    return name, cosine, shown, matched / max(len(words), 1) if name else 0.0
 
 
 def scan(files: DataFrame, least: float = COSINE, templates=None) -> DataFrame:

@@ -67,3 +67,21 @@ def test_nearest_ancestor(spark):
             assert (r.license, r.inherited_from, r.via) == (name, here, "inherited" if name else "none"), r
     assert {r.path: r.license for r in got}["r/s/t.py"] == "Apache-2.0"
     assert lic.scan(df.limit(0)).count() == 0
+
+
+def test_notices_amid_other_text():
+    t = lic.Templates.build()
+    prose = "the harvest came early that year and every cart on the road was full of apples while boats waited below the mill " * 40
+    for name, texts in lic.TEMPLATES.items():
+        for text in texts:
+            for spot in (prose + text + " " + prose, "one two three " + text + " four five six", prose[:60] + text.replace(", ", ",\n") + "\n" + prose):
+                got = lic.notices(spot, t)
+                assert got[0] == name and got[1] > 0.99 and (got[3] < 0.1 or len(spot) < 2000), (name, spot[:200], got)
+    footer = "Copyright (c) 2020 Acme Corp. All rights reserved."
+    assert lic.notices(prose + footer + " " + prose, t)[0] == lic.notices(footer, t)[0] == "LicenseRef-Proprietary"
+    assert lic.notices(footer + " Licensed under the Apache License, Version 2.0.", t)[0] == "Apache-2.0"
+    assert lic.notices(prose + "this tool is distributed under the MIT License, " + prose, t)[0] == "MIT"
+    for other in ("all rights and duties of the tenants are listed below ", "we ask for permission to use the source of this river ",
+                  "a licence under the law of the harbour is needed ", "licensed under the Foo License by its makers "):
+        assert lic.notices(prose + other + prose, t)[0] is None
+    assert lic.notices("\u0130stanbul \u0130zmir " + footer, t)[2] == "All rights reserved"
