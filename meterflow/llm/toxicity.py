@@ -1,12 +1,14 @@
 """Toxicity by nearest labelled examples (operator 8).
 
-Terms are the words, and the first four or five letters of longer words, that
-go with the label among the examples (stems stand for unseen endings); their
-inverse document frequencies are counted over all documents. Examples are unit TF-IDF
-vectors in an inverted index whose postings come in blocks of examples, each
+Terms are all the words of the examples, and the first four or five letters of
+longer words (stems stand for unseen endings); their inverse document
+frequencies are counted over all documents and weighted by how the term goes
+with the label among the examples, never by 0. Examples are unit vectors
+of these weights. Weights of common terms are multiplied in full; the others are in
+an inverted index whose postings come in blocks of examples, each
 with the largest weight of a term in the block. A document's cosine with the
-examples of a block is bounded by these; blocks are visited from the highest
-bound down until no further one can reach the k-th nearest found, so the
+examples of a block is bounded by these and the common part; the blocks with the highest bounds are
+searched, then the others that can still reach the k-th nearest found, so the
 neighbours are exact. Their votes, weighted by cosine, are calibrated by
 logistic regression on leave-one-out votes of the examples.
 """
@@ -14,6 +16,7 @@ logistic regression on leave-one-out votes of the examples.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,9 +28,10 @@ from pyspark.sql import functions as F
 from meterflow.llm.texts import slices
 
 PER_LABEL = 1500  # examples of each label, chosen by hash
-TERMS = 2000  # at most so many terms
-LEAST_CHI = 15.0
+FLOOR = 0.05  # weight of a term that is as frequent with either label; 1.05 of one that tells them apart
 BLOCK = 64
+COMMON = 512  # at most so many terms, of an eighth of the examples each, are held as full rows
+FIRST = 4  # blocks that are searched before any is left out
 NEIGHBOURS = 15
 WORD = regex.compile(r"\p{L}+")
 
@@ -47,61 +51,133 @@ class TermCounter:
     def __init__(self, terms: dict[str, int]):
         self.terms, self.memo = terms, {}
 
-    def __call__(self, text: str | None) -> Counter:
-        found: Counter = Counter()
+    def of(self, word: str) -> list[int]:
+        at = self.memo.get(word)
+        if at is None:
+            if len(self.memo) > 200_000:
+                self.memo.clear()
+            at = self.memo[word] = [self.terms[f] for f in forms(word) if f in self.terms]
+        return at
+
+    def distinct(self, text: str | None) -> set[int]:
+        return set().union(*map(self.of, set(WORD.findall((text or "").lower()))))
+
+    def __call__(self, text: str | None) -> dict[int, int]:
+        found: dict[int, int] = {}
         for word, n in words_of(text).items():
-            at = self.memo.get(word)
-            if at is None:
-                if len(self.memo) > 200_000:
-                    self.memo.clear()
-                at = self.memo[word] = [self.terms[f] for f in forms(word) if f in self.terms]
-            for i in at:
-                found[i] += n
+            for i in self.of(word):
+                found[i] = found.get(i, 0) + n
         return found
 
 
+def spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the numbers of all ranges, one range after the other; how many each has)."""
+    n = end - begin
+    return np.repeat(end - np.cumsum(n), n) + np.arange(n.sum()), n
+
+
 @dataclass
 class BlockMaxIndex:
     """Inverted index of unit vectors: the postings of a term lie in blocks of BLOCK examples."""
 
-    terms: list[np.ndarray]  # of each block: its terms, ascending
-    postings: list[np.ndarray]  # of each block: for each of these, the weights of the block's examples
-    largest: np.ndarray  # term x block: the largest of them
+    size: int  # examples
+    begin: np.ndarray  # of each term: the first of its blocks, and the end
+    block: np.ndarray  # of each (term, block): the block
+    largest: np.ndarray  # its largest weight
+    start: np.ndarray  # its first posting, and the end
+    example: np.ndarray  # of each posting
+    weight: np.ndarray
+    common: np.ndarray  # of each term: its row among the common terms, which have no postings, or -1
+    full: np.ndarray  # common terms x examples: the weights
 
     @classmethod
     def build(cls, matrix: np.ndarray) -> BlockMaxIndex:
         """From a matrix of examples x terms."""
-        parts = [matrix[i:i + BLOCK].T for i in range(0, len(matrix), BLOCK)]
-        terms = [np.flatnonzero(p.any(axis=1)) for p in parts]
-        largest = np.stack([p.max(axis=1) for p in parts], axis=1) if parts else np.zeros((matrix.shape[1], 0))
-        return cls(terms, [np.ascontiguousarray(p[t]) for p, t in zip(parts, terms, strict=True)], largest)
-
-    def cosines(self, block: int, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Of the examples of a block with a vector."""
-        at = np.minimum(np.searchsorted(self.terms[block], terms), len(self.terms[block]) - 1)
-        here = self.terms[block][at] == terms
-        return weights[here] @ self.postings[block][at[here]]
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the ``k`` nearest with a cosine above 0; ties go to the smaller example."""
-        bound = weights @ self.largest[terms]
+        at = [np.flatnonzero(r) for r in matrix]
+        return cls.of([(t, r[t]) for t, r in zip(at, matrix, strict=True)], matrix.shape[1])
+
+    @classmethod
+    def of(cls, rows: list[tuple[np.ndarray, np.ndarray]], terms: int) -> BlockMaxIndex:
+        """From (terms, weights) of each example."""
+        row = np.repeat(np.arange(len(rows)), [len(t) for t, _ in rows])
+        col = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in rows)])
+        val = np.concatenate([np.zeros(0), *(x for _, x in rows)])
+        held = np.bincount(col, minlength=terms)
+        often = np.lexsort((np.arange(terms), -held))[:COMMON]
+        often = often[8 * held[often] >= max(len(rows), 8)]
+        common = np.full(terms, -1)
+        common[often] = np.arange(len(often))
+        full = np.zeros((len(often), len(rows)))
+        rare = common[col] < 0
+        full[common[col[~rare]], row[~rare]] = val[~rare]
+        row, col, val = row[rare], col[rare], val[rare]
+        order = np.lexsort((row, col))
+        row, col, val = row[order], col[order], val[order]
+        new = np.ones(len(col), bool)
+        new[1:] = (col[1:] != col[:-1]) | (row[1:] // BLOCK != row[:-1] // BLOCK)
+        start = np.flatnonzero(new)
+        largest = np.maximum.reduceat(val, start) if len(val) else val
+        return cls(len(rows), np.searchsorted(col[start], np.arange(terms + 1)), row[start] // BLOCK, largest, np.append(start, len(val)), row, val, common, full)
+
+    def of_common(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the common terms add to the cosine of each vector (terms, weights) with each example."""
+        queries = np.zeros((len(vectors), len(self.full)))
+        for q, (terms, weights) in zip(queries, vectors, strict=True):
+            here = self.common[terms]
+            q[here[here >= 0]] = weights[here >= 0]
+        return queries @ self.full
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(examples, cosines) of the ``k`` nearest with a cosine above 0; ties go to the smaller example.
+
+        ``base`` is the vector's row of ``of_common``, if there is one already.
+        """
+        if not self.size:
+            return np.zeros(0, np.int64), np.zeros(0)
+        if base is None:
+            base = self.of_common([(terms, weights)])[0]
+        rare = self.common[terms] < 0
+        terms, weights = terms[rare], weights[rare]
+        at, n = spans(self.begin[terms], self.begin[terms + 1])
+        x, block = np.repeat(weights, n), self.block[at]
+        bound = np.maximum.reduceat(base, np.arange(0, self.size, BLOCK))
+        bound = bound + np.bincount(block, x * self.largest[at], minlength=len(bound))
+        order = np.argsort(-bound, kind="stable")
         ids, cos = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(cos) == k and bound[b] < cos[-1] - 1e-12):
+        for todo in (order[:FIRST], order[FIRST:]):
+            todo = todo[(bound[todo] > 0) & (bound[todo] >= (cos[-1] - 1e-12 if len(cos) == k else 0))]
+            if not len(todo):
                 break
-            got = self.cosines(b, terms, weights)
-            here = np.flatnonzero(got > 0)
-            here = here[here + b * BLOCK != skip]
-            ids, cos = np.concatenate([ids, here + b * BLOCK]), np.concatenate([cos, got[here]])
-            order = np.lexsort((ids, -np.round(cos, 12)))[:k]
-            ids, cos = ids[order], cos[order]
+            chosen = np.zeros(len(bound), bool)
+            chosen[todo] = True
+            here = chosen[block]
+            posting, n = spans(self.start[at[here]], self.start[at[here] + 1])
+            got = np.bincount(self.example[posting], np.repeat(x[here], n) * self.weight[posting], minlength=self.size)
+            got = np.where(np.repeat(chosen, BLOCK)[:self.size], got + base, 0)
+            if skip >= 0:
+                got[skip] = 0
+            ids = np.concatenate([ids, found := np.flatnonzero(got > 0)])
+            cos = np.concatenate([cos, got[found]])
+            if len(cos) > k:
+                near = cos >= np.partition(cos, -k)[-k] - 1e-11
+                ids, cos = ids[near], cos[near]
+            best = np.lexsort((ids, -np.round(cos, 12)))[:k]
+            ids, cos = ids[best], cos[best]
         return ids, cos
 
 
+def unit(at: np.ndarray, n: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(terms, weights of unit length), ascending, from terms and their counts."""
+    order = np.argsort(at)
+    at = at[order]
+    x = (1 + np.log(n[order])) * weight[at]
+    return at, x / np.sqrt(x @ x) if len(x) else x
+
+
 @dataclass
 class ToxicityModel:
     terms: dict[str, int]
-    idf: np.ndarray
+    weight: np.ndarray  # of each term: inverse document frequency x association
     index: BlockMaxIndex
     doc_ids: np.ndarray
     toxic: np.ndarray
@@ -110,24 +186,24 @@ class ToxicityModel:
     offset: float
     none: float  # score of a text without any term
 
-    def vector(self, found: Counter) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, found: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """(terms, weights) of unit length from counts of terms, empty without terms."""
-        at = np.array(sorted(found), np.int64)
-        if not len(at):
-            return at, np.zeros(0)
-        x = (1 + np.log([found[i] for i in at.tolist()])) * self.idf[at]
-        return at, x / np.sqrt(x @ x)
+        return unit(np.fromiter(found.keys(), np.int64, len(found)), np.fromiter(found.values(), float, len(found)), self.weight)
 
     def vote(self, ids: np.ndarray, cos: np.ndarray) -> float:
         return float((cos @ self.toxic[ids] + 0.5 * self.prior) / (cos.sum() + 0.5))
 
-    def score(self, found: Counter) -> tuple[float, np.ndarray, np.ndarray]:
-        """(calibrated score, neighbours, cosines) from counts of terms."""
-        at, x = self.vector(found)
-        if not len(at):
-            return self.none, np.zeros(0, np.int64), np.zeros(0)
-        ids, cos = self.index.nearest(at, x, NEIGHBOURS)
-        return self.calibrated(self.vote(ids, cos)), ids, cos
+    def scores(self, found: list[dict[int, int]]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """(calibrated score, neighbours, cosines) from the counts of terms of each text."""
+        vectors = [self.vector(f) for f in found]
+        for i in range(0, len(vectors), 256):
+            part = vectors[i:i + 256]
+            for (at, x), base in zip(part, self.index.of_common(part), strict=True):
+                if len(at):
+                    ids, cos = self.index.nearest(at, x, NEIGHBOURS, base=base)
+                    yield self.calibrated(self.vote(ids, cos)), ids, cos
+                else:
+                    yield self.none, np.zeros(0, np.int64), np.zeros(0)
 
     def calibrated(self, vote: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * vote + self.offset, -30, 30))))
@@ -175,11 +251,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
 
     all1, all0 = n1, n0
     n1, n0 = max(sum(label.values()), 1), max(len(label) - sum(label.values()), 1)
-    a, b = F.sum("y").cast("double"), F.sum(1 - F.col("y")).cast("double")
-    chi = (n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2 / (n1 * n0 * (a + b) * F.greatest(n1 + n0 - a - b, F.lit(1.0)))
-    top = (examples.mapInArrow(example_words, "word string, y long").groupBy("word").agg((a + b).alias("n"), chi.alias("chi"))
-           .filter((F.col("n") >= 5) & (F.col("chi") >= LEAST_CHI)).orderBy(F.desc("chi"), "word").limit(TERMS).collect())
-    terms = {r.word: i for i, r in enumerate(top)}
+    counted = (examples.mapInArrow(example_words, "word string, y long").groupBy("word")
+               .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).toArrow().sort_by("word"))  # the words of at most 4 * per_label texts
+    terms = {w: i for i, w in enumerate(counted["word"].to_pylist())}
+    a, b = (counted[c].to_numpy().astype(float) for c in "ab")
+    chi = (n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2 / (n1 * n0 * (a + b) * np.maximum(n1 + n0 - a - b, 1.0))
+    association = FLOOR + np.sqrt(np.minimum(chi / (n1 + n0), 1.0))
     shared = spark.sparkContext.broadcast(terms)
 
     def frequencies(batches):
@@ -187,11 +264,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
         for part in slices(batches, "text", 8 << 20):
             for t in part.column("text").to_pylist():
                 n += 1
-                held.update(count(t).keys())
+                held.update(count.distinct(t))
         yield pa.RecordBatch.from_arrays([pa.array([*held, -1], pa.int64()), pa.array([*held.values(), n], pa.int64())], names=["term", "n"])
 
-    df = {r.term: r.n for r in docs.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    idf = np.log((1 + df.get(-1, 0)) / (1 + np.array([df.get(i, 0) for i in range(len(terms))], float))) + 1
+    held = docs.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    known_term = held["term"].to_numpy() >= 0
+    total = int(held["n"].to_numpy()[~known_term].sum())
+    seen = np.zeros(len(terms))
+    seen[held["term"].to_numpy()[known_term]] = held["n"].to_numpy()[known_term]
+    weight = association * (np.log((1 + total) / (1 + seen)) + 1)
 
     def term_counts(batches):
         count = TermCounter(shared.value)
@@ -201,24 +282,22 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
                 [part.column("doc_id").cast(pa.int64()), pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int64())),
                  pa.array([[n for _, n in f] for f in found], pa.list_(pa.int64()))], names=["doc_id", "at", "n"])
 
-    rows = examples.mapInArrow(term_counts, "doc_id long, at array<long>, n array<long>").limit(8 * per_label).collect()
-    vectors = {r.doc_id: (r.at, r.n) for r in sorted(rows)}
-    with_terms = [i for i, (at, _) in vectors.items() if at]
-    bare = [label[i] for i, (at, _) in vectors.items() if not at]
-    # like examples next to each other: by label, then by their rarest term
-    with_terms.sort(key=lambda i: (label[i], max(vectors[i][0], key=lambda t: (idf[t], t)), i))
-    matrix = np.zeros((len(with_terms), len(terms)))
-    for row, i in enumerate(with_terms):
-        at, n = map(np.array, vectors[i])
-        x = (1 + np.log(n)) * idf[at]
-        matrix[row, at] = x / np.sqrt(x @ x)
+    rows = examples.mapInArrow(term_counts, "doc_id long, at array<long>, n array<long>").limit(8 * per_label).toArrow().combine_chunks()
+    found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for i, at, n in zip(rows["doc_id"].to_pylist(), rows["at"], rows["n"], strict=True):
+        new = at.values.to_numpy(zero_copy_only=False), n.values.to_numpy(zero_copy_only=False)
+        if i not in found or [x.tolist() for x in found[i]] < [x.tolist() for x in new]:  # of rows that share a doc_id, one
+            found[i] = new
+    vectors = {i: unit(at, n.astype(float), weight) for i, (at, n) in found.items()}
+    with_terms = [i for i, (at, _) in vectors.items() if len(at)]
+    bare = [label[i] for i, (at, _) in vectors.items() if not len(at)]
+    # like examples next to each other: by label, then by their strongest term
+    with_terms.sort(key=lambda i: (label[i], vectors[i][0][vectors[i][1].argmax()], i))
     y = np.array([label[i] for i in with_terms], float)
-    model = ToxicityModel(terms, idf, BlockMaxIndex.build(matrix), np.array(with_terms, np.int64), y, rate, 0.0, 0.0, rate)
+    index = BlockMaxIndex.of([vectors[i] for i in with_terms], len(terms))
+    model = ToxicityModel(terms, weight, index, np.array(with_terms, np.int64), y, rate, 0.0, 0.0, rate)
     stands_for = np.where(y == 1, all1 / n1, all0 / n0)  # labelled rows that an example was drawn from
-    votes = []
-    for row in range(len(y)):
-        at = np.flatnonzero(matrix[row])
-        votes.append(model.vote(*model.index.nearest(at, matrix[row, at], NEIGHBOURS, skip=row)))
+    votes = [model.vote(*index.nearest(*vectors[i], NEIGHBOURS, skip=row)) for row, i in enumerate(with_terms)]
     model.slope, model.offset = logistic(np.array(votes), y, stands_for) if len(set(y.tolist())) == 2 else (0.0, float(np.log((rate + 1e-6) / (1 - rate + 1e-6))))
     model.none = float((sum(bare) * all1 / n1 + 0.01) / (sum(bare) * all1 / n1 + (len(bare) - sum(bare)) * all0 / n0 + 1))
     return model
@@ -228,17 +307,17 @@ def scores(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> Dat
     """One row per row of ``docs(doc_id, text)``: doc_id, held_out, score, predicted, evidence.
 
     ``evidence`` are the doc_ids of up to three nearest toxic examples with
-    their cosines. Texts without any term of the model, null and empty ones
-    among them, get the rate of such examples. A null doc_id is not held out.
+    their cosines. Texts without any word or stem of an example, null and empty
+    ones among them, get the rate of such examples. A null doc_id is not held out.
     Other columns are not read; repeated rows score alike.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # postings of at most 4 * PER_LABEL examples over TERMS terms
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # terms and postings of at most 4 * PER_LABEL examples
 
     def run(batches):
         m = shared.value
         count = TermCounter(m.terms)
         for part in slices(batches, "text", 8 << 20):
-            found = [m.score(count(t)) for t in part.column("text").to_pylist()]
+            found = list(m.scores([count(t) for t in part.column("text").to_pylist()]))
             score = [s for s, _, _ in found]
             evidence = [[{"doc_id": int(m.doc_ids[i]), "cosine": float(c)} for i, c in zip(ids, cos, strict=True) if m.toxic[i]][:3] for _, ids, cos in found]
             yield pa.RecordBatch.from_arrays(

@@ -46,3 +46,39 @@ def test_edges(spark):
         assert r.doc_id == i and r.predicted == int("awful" in (t or ""))
     assert tox.scores(df.limit(0), tox.fit(df.limit(0), labels)).count() == 0
     assert tox.scores(df, tox.fit(df, labels.limit(0))).filter("predicted = 1").count() == 0
+
+
+def test_all_words_of_the_examples_count(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    model = tox.fit(df, spark.read.parquet(f"{SF}/labels.parquet"))
+    count = tox.TermCounter(model.terms)
+    texts = dict(docs)
+    for i in model.doc_ids[::20].tolist():
+        assert {f for w in tox.words_of(texts[i]) for f in tox.forms(w)} <= model.terms.keys()
+    rows = [model.vector(count(texts[i])) for i in model.doc_ids.tolist()]
+    held = {}
+    for _, t in docs:
+        for i in count(t):
+            held[i] = held.get(i, 0) + 1
+    association = model.weight / (np.log((1 + len(docs)) / (1 + np.array([held[i] for i in range(len(model.terms))]))) + 1)
+    assert association.min() >= tox.FLOOR - 1e-9 and association.max() <= 1 + tox.FLOOR + 1e-9
+    without = 0
+    for _, t in docs[:300]:
+        at, x = model.vector(count(t))
+        without += not len(at)
+        query = np.zeros(len(model.terms))
+        query[at] = x
+        cos = np.array([query[a] @ w for a, w in rows])
+        ids, got = model.index.nearest(at, x, 15)
+        want = [i for i in np.lexsort((np.arange(len(cos)), -np.round(cos, 12))) if cos[i] > 0][:15]
+        assert ids.tolist() == want and np.allclose(got, cos[want])
+    assert without <= 3
+
+
+def test_a_rare_toxic_word_finds_its_example(spark):
+    docs = [(i, ("awful nasty " if i % 2 else "kind gentle ") + f"common words w{'abcdefghij'[i % 10]}") for i in range(60)] + [(63, "zorgle blib"), (62, "zorgle unseen")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(63, 1)], "doc_id long, toxic int")
+    row = next(r for r in tox.scores(df, tox.fit(df, labels)).collect() if r.doc_id == 62)
+    assert [e.doc_id for e in row.evidence] == [63]
