@@ -57,13 +57,13 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     return saved(sure.union(exact), "lines-spread")
 
 
-def drop_spread_lines(docs: DataFrame, site: str = "source", min_sites: int = 5, max_share: float = 0.5) -> DataFrame:
+def drop_spread_lines(docs: DataFrame, site: str = "source", min_sites: int = 5, max_share: float | None = 0.5) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and the columns
     n_lines (with a word), n_spread (of these on ``min_sites`` sites or more),
     n_removed and removed_chars (code points without the blanks at line ends).
 
     Nothing is removed where spread lines hold more than ``max_share`` of the
-    characters. A null text stays null, with zeros; an empty text stays empty;
+    characters or, with None, only where no other line has a word. A null text stays null, with zeros; an empty text stays empty;
     a null site counts as one site. Every row stays a row, repeated ones too.
     All other columns pass through; columns named like the four are replaced.
     """
@@ -83,7 +83,7 @@ def drop_spread_lines(docs: DataFrame, site: str = "source", min_sites: int = 5,
         n, total = sum(map(bool, bare)), sum(map(len, bare))
         at = set(at or ())
         gone = sum(len(bare[i]) for i in at)
-        if not at or gone > max_share * total:
+        if not at or (len(at) == n if max_share is None else gone > max_share * total):
             return text, n, len(at), 0, 0
         return "\n".join(x for i, x in enumerate(lines) if i not in at), n, len(at), len(at), gone
 

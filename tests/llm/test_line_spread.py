@@ -48,3 +48,13 @@ def test_edges(spark):
     for n in (3, 11, 41, 42):  # 40 sites and the null one hold the footer; "near" lines stand on 10 each
         assert run(df, n) == brute(rows, n)
     assert line_spread.drop_spread_lines(df.limit(0)).count() == 0
+
+
+def test_own_lines_stay_and_spread_ones_go(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(i, f"s{i}", f"own {i}\na footer that is much longer than the line above it") for i in range(6)] + [(9, "s1", "a footer that is much longer than the line above it\n")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_spread.drop_spread_lines(df, min_sites=5, max_share=None).collect()}
+    assert got == {**{i: (f"own {i}", 1) for i in range(6)}, 9: (rows[-1][2], 0)}
+    for r in line_spread.drop_spread_lines(docs, min_sites=5, max_share=None).collect():
+        assert r.n_removed == (r.n_spread if r.n_spread < r.n_lines else 0)
