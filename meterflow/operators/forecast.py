@@ -92,22 +92,23 @@ def _neighbours(p: str, axis: str, step: float) -> str:
 def search_parameters(series: DataFrame, keys, m: int, grid, refine: bool) -> DataFrame:
     """keys and ``p`` = (alpha, beta, gamma) of least one-step squared error; ties go to the smaller.
 
-    Every series meets every grid point as a row (so the points of one long
-    series are folded in parallel), and the least (sse, alpha, beta, gamma) is
-    an ordinary aggregate. With ``refine``, each of REFINE_STEPS compares the
+    Every series meets every grid point as a row; the rows are dealt out by
+    series and point, so the points of one long series are folded in parallel,
+    and the least (sse, alpha, beta, gamma) is an ordinary aggregate. With ``refine``, each of REFINE_STEPS compares the
     best point so far with its neighbours at that distance.
     """
     keys = list(keys)
     points = ", ".join("named_struct('alpha', {}D, 'beta', {}D, 'gamma', {}D)".format(*map(float, p)) for p in grid)
     cube = f"array({points})"
     best, kept = None, series.select(*keys, "y")
+    parts = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number, or AQE makes one task of few rows
     for step in [None, *(REFINE_STEPS if refine else ())]:
         if step is not None:
             axes = {x: _neighbours("p", x, step) for x in ("alpha", "beta", "gamma")}
             cube = (f"flatten(flatten(transform({axes['alpha']}, a -> transform({axes['beta']}, b -> transform({axes['gamma']}, "
                     "g -> named_struct('alpha', a, 'beta', b, 'gamma', g))))))")
             kept = series.select(*keys, "y").join(best, keys)
-        tried = kept.select(*keys, "y", F.explode(F.expr(cube)).alias("q"))
+        tried = kept.select(*keys, "y", F.explode(F.expr(cube)).alias("q")).repartition(parts, *keys, "q")
         sse = F.expr(_fold_sql("y", "q.alpha", "q.beta", "q.gamma", m))["sse"]
         best = (tried.select(*keys, F.struct(sse.alias("sse"), "q.alpha", "q.beta", "q.gamma").alias("f"))
                 .groupBy(*keys).agg(F.min("f").alias("f")).select(*keys, F.struct("f.alpha", "f.beta", "f.gamma").alias("p")))

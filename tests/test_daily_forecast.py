@@ -124,3 +124,10 @@ def test_write_predictions(spark, scratch):
     back = spark.read.parquet(scratch + "/pred")
     assert back.count() == 7
     assert set(back.columns) == {"meter_id", "time", "yhat", "yhat_lower", "yhat_upper", "day"}
+
+
+def test_search_deals_out_series_and_points(spark):
+    series = fc.to_series(_series(spark, range(21)), ["meter_id"], "ds", "y")
+    found = fc.search_parameters(series, ["meter_id"], 7, fc.default_grid(), refine=False)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("aggregate(") < plan.index("RepartitionByExpression [meter_id") < plan.index("Generate")
