@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from meterflow.llm import (bpe, cover_tree, language_id, licenses, line_spread, minhash, mixing, quality_model, quality_rules,
-                           toxicity)
+from meterflow.llm import (bpe, cover_tree, hard_negatives, language_id, licenses, line_spread, minhash, mixing, quality_model,
+                           quality_rules, substrings, toxicity, turn_repair)
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -93,6 +93,27 @@ def op10(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85, bands=25, rows=5)
 
 
+@register("op11_conversation_repair", turn_repair.ORACLE_SQL)
+def op11(spark, sf_dir):
+    """Cheapest repairs of the conversations after the damage that the contract states."""
+    return turn_repair.repair(turn_repair.damaged(table(spark, sf_dir, "conversations"))).summary()
+
+
+@register("op12_substring_dedup", substrings.ORACLE_SQL)
+def op12(spark, sf_dir):
+    """Passages of 35 words that stand twice, removed; what is left as a digest."""
+    rows = substrings.drop_repeats(table(spark, sf_dir, "documents"), 35, digest=True)
+    return rows.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@register("op13_hard_negatives", hard_negatives.ORACLE_SQL)
+def op13(spark, sf_dir):
+    """Hard negatives of every hundredth vector; the label of every seventh is off by one."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
+    off = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", off), F.col("vec_id") % 100 == 0)
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     """All stages of the corpus pipeline."""

@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_all_operators_are_registered():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")] == list(range(1, 11)) and "pipeline" in QUERIES
+    assert [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")] == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
