@@ -7,9 +7,9 @@ A line that stands on many sites is boilerplate. Per hash of a line:
 2. a HyperLogLog sketch of the sites of each such line, merged by aggregation;
 3. lines whose estimate is near the threshold get an exact distinct count, the
    others are decided by their sketch;
-4. boilerplate lines are removed wherever they stand, unless they make up more
-   than a given share of the document: such a document is a copy of others,
-   not a page with boilerplate, and is left whole for document-level dedup.
+4. boilerplate lines are removed wherever they stand. A document without any
+   other line that has a word is a copy of others, not a page with
+   boilerplate, and is left whole for document-level dedup.
 
 Only hashes are shuffled by line; the texts move once, to meet the numbers of
 their removed lines.
@@ -57,42 +57,41 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     return saved(sure.union(exact), "lines-spread")
 
 
-def drop_spread_lines(docs: DataFrame, site: str = "source", min_sites: int = 5, max_share: float | None = 0.5) -> DataFrame:
+def drop_spread_lines(docs: DataFrame, site: str = "source", min_sites: int = 5) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and the columns
     n_lines (with a word), n_spread (of these on ``min_sites`` sites or more),
     n_removed and removed_chars (code points without the blanks at line ends).
 
-    Nothing is removed where spread lines hold more than ``max_share`` of the
-    characters or, with None, only where no other line has a word. A null text stays null, with zeros; an empty text stays empty;
-    a null site counts as one site. Every row stays a row, repeated ones too.
-    All other columns pass through; columns named like the four are replaced.
+    Nothing is removed where no other line has a word. A null text stays null,
+    with zeros; an empty text stays empty; a null site counts as one site.
+    Every row stays a row, repeated ones too. All other columns pass through,
+    whatever their names; columns named like the four are replaced.
     """
     added = ["n_lines", "n_spread", "n_removed", "removed_chars"]
     docs = docs.drop(*added)
     lines = saved(hashed_lines(docs, site), "lines")
     hits = (lines.join(spread_lines(lines, min_sites), ["h1", "h2"], "left_semi")
-            .groupBy(F.col("doc_id").alias("_id"), F.col("t1").alias("_t1")).agg(F.collect_set("pos").alias("_pos")))
-    with_hits = docs.withColumn("_t", F.xxhash64("text")).join(
-        hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_t1")), "left").drop("_t", "_id", "_t1")
+            .groupBy(F.col("doc_id").alias("of"), F.col("t1").alias("of_text")).agg(F.collect_set("pos").alias("pos")))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.xxhash64("text").alias("t"))
+    with_hits = rows.join(hits, F.col("row.doc_id").eqNullSafe(F.col("of")) & (F.col("t") == F.col("of_text")), "left").select(
+        "row", F.col("row.text").alias("text"), "pos")
     names = docs.columns
     schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in added)])
 
     def clean(text, at):
         lines = text.split("\n")
         bare = [x.strip(BLANKS) for x in lines]
-        n, total = sum(map(bool, bare)), sum(map(len, bare))
-        at = set(at or ())
-        gone = sum(len(bare[i]) for i in at)
-        if not at or (len(at) == n if max_share is None else gone > max_share * total):
+        n, at = sum(map(bool, bare)), set(at or ())
+        if not at or len(at) == n:
             return text, n, len(at), 0, 0
-        return "\n".join(x for i, x in enumerate(lines) if i not in at), n, len(at), len(at), gone
+        return "\n".join(x for i, x in enumerate(lines) if i not in at), n, len(at), len(at), sum(len(bare[i]) for i in at)
 
     def run(batches):
         for part in slices(batches, "text", 16 << 20):
             rows = [(None, 0, 0, 0, 0) if t is None else clean(t, at)
-                    for t, at in zip(part.column("text").to_pylist(), part.column("_pos").to_pylist(), strict=True)]
+                    for t, at in zip(part.column("text").to_pylist(), part.column("pos").to_pylist(), strict=True)]
             text, *counts = zip(*rows, strict=True)
-            out = [pa.array(text, pa.string()) if c == "text" else part.column(c) for c in names]
+            out = [pa.array(text, pa.string()) if c == "text" else x for c, x in zip(names, part.column("row").flatten(), strict=True)]
             yield pa.RecordBatch.from_arrays([*out, *(pa.array(c, pa.int64()) for c in counts)], names=[*names, *added])
 
     return with_hits.mapInArrow(run, schema)
@@ -106,12 +105,12 @@ spread AS (SELECT bare FROM lines WHERE bare <> '' GROUP BY bare
            HAVING count(DISTINCT coalesce('s' || source, 'n')) >= 5),
 marked AS (SELECT l.*, s.bare IS NOT NULL AS hit FROM lines l LEFT JOIN spread s ON l.bare = s.bare),
 per AS (SELECT r, count(*) FILTER (bare <> '') AS n_lines, count(*) FILTER (hit) AS n_spread,
-               coalesce(sum(length(bare)) FILTER (hit), 0) AS gone, sum(length(bare)) AS total,
+               coalesce(sum(length(bare)) FILTER (hit), 0) AS gone,
                string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit) AS rest
         FROM marked GROUP BY r)
 SELECT raw.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_spread, 0) AS BIGINT) AS n_spread,
-       CAST(CASE WHEN gone > 0 AND gone <= 0.5 * total THEN n_spread ELSE 0 END AS BIGINT) AS n_removed,
-       CAST(CASE WHEN gone > 0 AND gone <= 0.5 * total THEN gone ELSE 0 END AS BIGINT) AS removed_chars,
-       CASE WHEN gone > 0 AND gone <= 0.5 * total THEN sha256(coalesce(rest, '')) ELSE sha256(raw.text) END AS text_sha256
+       CAST(CASE WHEN n_spread > 0 AND n_spread < n_lines THEN n_spread ELSE 0 END AS BIGINT) AS n_removed,
+       CAST(CASE WHEN n_spread > 0 AND n_spread < n_lines THEN gone ELSE 0 END AS BIGINT) AS removed_chars,
+       CASE WHEN n_spread > 0 AND n_spread < n_lines THEN sha256(coalesce(rest, '')) ELSE sha256(raw.text) END AS text_sha256
 FROM raw LEFT JOIN per USING (r)
 """

@@ -6,7 +6,7 @@ from meterflow.llm import line_spread
 SF = "/root/testdata/sf0.001"
 
 
-def brute(rows, min_sites, max_share=0.5):
+def brute(rows, min_sites):
     sites = defaultdict(set)
     for _, s, t in rows:
         for x in (t or "").split("\n"):
@@ -19,8 +19,8 @@ def brute(rows, min_sites, max_share=0.5):
         lines = t.split("\n")
         bare = [x.strip(line_spread.BLANKS) for x in lines]
         hit = [bool(b) and len(sites[b]) >= min_sites for b in bare]
-        gone, total = sum(len(b) for b, h in zip(bare, hit) if h), sum(map(len, bare))
-        if 0 < gone <= max_share * total:
+        gone = sum(len(b) for b, h in zip(bare, hit) if h)
+        if 0 < sum(hit) < sum(map(bool, bare)):
             out.append((i, "\n".join(x for x, h in zip(lines, hit) if not h), sum(map(bool, bare)), sum(hit), sum(hit), gone))
         else:
             out.append((i, t, sum(map(bool, bare)), sum(hit), 0, 0))
@@ -54,7 +54,15 @@ def test_own_lines_stay_and_spread_ones_go(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(i, f"s{i}", f"own {i}\na footer that is much longer than the line above it") for i in range(6)] + [(9, "s1", "a footer that is much longer than the line above it\n")]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string")
-    got = {r.doc_id: (r.text, r.n_removed) for r in line_spread.drop_spread_lines(df, min_sites=5, max_share=None).collect()}
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_spread.drop_spread_lines(df, min_sites=5).collect()}
     assert got == {**{i: (f"own {i}", 1) for i in range(6)}, 9: (rows[-1][2], 0)}
-    for r in line_spread.drop_spread_lines(docs, min_sites=5, max_share=None).collect():
+    for r in line_spread.drop_spread_lines(docs, min_sites=5).collect():
         assert r.n_removed == (r.n_spread if r.n_spread < r.n_lines else 0)
+
+
+def test_any_column_name_passes(spark):
+    names = ["_id", "_t", "_t1", "_pos", "of", "of_text", "pos", "row", "t", "h1", "site"]
+    rows = [(i, f"s{i % 6}", f"own {i}\nshared by all of them", *(f"{c}{i}" for c in names)) for i in range(12)]
+    df = spark.createDataFrame(rows, ["doc_id", "source", "text", *names])
+    for r in line_spread.drop_spread_lines(df).collect():
+        assert r.text == f"own {r.doc_id}" and r.n_removed == 1 and all(r[c] == f"{c}{r.doc_id}" for c in names)
