@@ -149,20 +149,21 @@ def block_plan(base: DataFrame, shards: int | None, seed: int, shard_words: int)
 
 
 def draws(docs: DataFrame, shards: int | None = None, blocks: int = 4096, seed: int = 1,
-          shard_words: int = 5_000_000, *carry: str) -> DataFrame:
+          shard_words: int = 5_000_000, carry: bool = False) -> DataFrame:
     """One row per row of ``docs(doc_id, source, text)``: doc_id, size, source_size,
     target, taken, shards (one shard for each copy that the mix takes).
 
     ``taken`` is ``size`` times 0, 1 or 2. Null and empty texts have size 0 and
     are never drawn; a null source is a source of its own, the last; a null
-    doc_id is a value like another. Repeated rows are drawn alike. ``carry``
-    names columns to carry along under the prefix ``_``.
-    ``shards`` None: as many as give ``shard_words`` words each.
+    doc_id is a value like another. Repeated rows are drawn alike. With
+    ``carry``, the struct ``row`` holds all columns of ``docs``, so that no
+    name of theirs can meet one of the plan. ``shards`` None: as many as give
+    ``shard_words`` words each.
     """
     key = F.xxhash64(F.lit(seed), "doc_id", "text")
     base = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"),
                        F.pmod(F.xxhash64(F.lit(seed), F.lit("block"), "doc_id", "text"), F.lit(blocks)).cast("int").alias("block"),
-                       *(F.col(c).alias(f"_{c}") for c in carry))
+                       *([F.struct(*(docs[c] for c in docs.columns)).alias("row")] if carry else []))
     narrow = saved(base.select("doc_id", "source", "size", "key", "block"), "mix-base")
     plan = block_plan(narrow, shards, seed, shard_words)
     base = base if carry else narrow
@@ -171,19 +172,17 @@ def draws(docs: DataFrame, shards: int | None = None, blocks: int = 4096, seed:
     return out.withColumn("n", n).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("n")).alias("taken"),
         F.coalesce(F.slice("shard_of", F.lit(1), F.col("n")), F.array().cast("array<int>")).alias("shards"),
-        *(f"_{c}" for c in carry))
+        *(["row"] if carry else []))
 
 
 def mixed(docs: DataFrame, shards: int | None = None, blocks: int = 4096, seed: int = 1,
           shard_words: int = 5_000_000, parts: int = 16) -> DataFrame:
-    """The mix itself: rows of ``docs`` (all columns), each as often as it is drawn.
+    """The mix itself: rows of ``docs`` (all columns, whatever their names), each as often as it is drawn.
 
     Rows of a shard are dealt over ``parts`` partitions and shuffled there.
     """
-    names = docs.columns
-    copies = draws(docs, shards, blocks, seed, shard_words, *names).withColumn("_at", F.explode("shards"))
-    mixer = F.xxhash64(F.lit(seed), F.lit("row"), "_at", "doc_id", "_text")
-    copies = copies.withColumn("_mix", mixer).withColumn("_part", F.pmod("_mix", F.lit(parts)))
-    copies = copies.select("_at", "_mix", "_part", *(f"_{c}" for c in names))
-    return (copies.repartition("_at", "_part").sortWithinPartitions("_at", F.xxhash64(F.lit(seed + 1), "_mix"))
-            .select(*(F.col(f"_{c}").alias(c) for c in names)))
+    copies = draws(docs, shards, blocks, seed, shard_words, True).select("row", F.explode("shards").alias("at"))
+    mixer = F.xxhash64(F.lit(seed), F.lit("row"), "at", "row.doc_id", "row.text")
+    copies = copies.withColumn("mix", mixer).withColumn("part", F.pmod("mix", F.lit(parts)))
+    return (copies.repartition("at", "part").sortWithinPartitions("at", F.xxhash64(F.lit(seed + 1), "mix"))
+            .select(*(F.col("row")[c].alias(c) for c in docs.columns)))

@@ -83,3 +83,11 @@ def test_hypergeometric_distribution(spark):
         assert abs(r["count"] / 4000 - p) < 1e-3
     assert abs(sum(r.x * r["count"] for r in got) / 4000 - draws * good / total) < 0.01
     assert np.all([r.x <= min(good, draws) for r in got])
+
+
+def test_any_column_name_passes(spark):
+    names = ["at", "mix", "part", "row", "key", "block", "shards", "_at", "_mix", "_part", "src", "n", "plan_source"]
+    rows = [(i, f"s{i % 3}", f"words of {i} " * (i % 5 + 1), *(f"{c}{i}" for c in names)) for i in range(40)]
+    df = spark.createDataFrame(rows, ["doc_id", "source", "text", *names])
+    got = mixing.mixed(df, shards=3).collect()
+    assert len(got) > 20 and all(tuple(r) == rows[r.doc_id] for r in got)
