@@ -17,13 +17,10 @@ their removed lines.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from meterflow.llm.scratch import saved
-from meterflow.llm.texts import slices
 
 BLANKS = " \t\n\x0b\x0c\r"
 LG_K = 12  # 2 ** 12 registers: a standard error of 1.6 %
@@ -73,28 +70,19 @@ def drop_spread_lines(docs: DataFrame, site: str = "source", min_sites: int = 5)
     hits = (lines.join(spread_lines(lines, min_sites), ["h1", "h2"], "left_semi")
             .groupBy(F.col("doc_id").alias("of"), F.col("t1").alias("of_text")).agg(F.collect_set("pos").alias("pos")))
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.xxhash64("text").alias("t"))
-    with_hits = rows.join(hits, F.col("row.doc_id").eqNullSafe(F.col("of")) & (F.col("t") == F.col("of_text")), "left").select(
-        "row", F.col("row.text").alias("text"), "pos")
-    names = docs.columns
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in added)])
-
-    def clean(text, at):
-        lines = text.split("\n")
-        bare = [x.strip(BLANKS) for x in lines]
-        n, at = sum(map(bool, bare)), set(at or ())
-        if not at or len(at) == n:
-            return text, n, len(at), 0, 0
-        return "\n".join(x for i, x in enumerate(lines) if i not in at), n, len(at), len(at), sum(len(bare[i]) for i in at)
-
-    def run(batches):
-        for part in slices(batches, "text", 16 << 20):
-            rows = [(None, 0, 0, 0, 0) if t is None else clean(t, at)
-                    for t, at in zip(part.column("text").to_pylist(), part.column("pos").to_pylist(), strict=True)]
-            text, *counts = zip(*rows, strict=True)
-            out = [pa.array(text, pa.string()) if c == "text" else x for c, x in zip(names, part.column("row").flatten(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*out, *(pa.array(c, pa.int64()) for c in counts)], names=[*names, *added])
-
-    return with_hits.mapInArrow(run, schema)
+    with_hits = rows.join(hits, F.col("row.doc_id").eqNullSafe(F.col("of")) & (F.col("t") == F.col("of_text")), "left").select("row", "pos")
+    # on the JVM: a one-element array binds the lines, so that a text is split once
+    bare = lambda x: F.btrim(x, F.lit(BLANKS))
+    done = F.transform(F.array(F.split("row.text", "\n")), lambda line: F.struct(
+        F.size(F.filter(line, lambda x: bare(x) != "")).alias("n"), F.array_join(F.transform(
+            F.array_except(F.sequence(F.lit(0), F.size(line) - 1), "pos"), lambda i: F.element_at(line, i + 1)), "\n").alias("rest"),
+        F.aggregate("pos", F.lit(0), lambda s, i: s + F.length(bare(F.element_at(line, i + 1)))).alias("gone")))[0]
+    out = with_hits.select("row", F.coalesce("pos", F.array().cast("array<int>")).alias("pos")).withColumn("hits", F.size("pos"))
+    out = out.select("row", "hits", done.alias("d"))
+    cut = F.coalesce((F.col("hits") > 0) & (F.col("hits") < F.col("d.n")), F.lit(False))
+    counts = (F.coalesce("d.n", F.lit(0)), F.col("hits"), F.when(cut, F.col("hits")).otherwise(0), F.when(cut, F.col("d.gone")).otherwise(0))
+    return out.select(*(F.when(cut, F.col("d.rest")).otherwise(F.col("row.text")).alias(c) if c == "text" else F.col("row")[c].alias(c)
+                        for c in docs.columns), *(x.cast("long").alias(c) for x, c in zip(counts, added, strict=True)))
 
 
 ORACLE_SQL = """

@@ -217,7 +217,7 @@ def drop_repeats(docs: DataFrame, length: int = 35, digest: bool = False) -> Dat
 
     def run(batches):
         run_type = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-        for part in slices(batches, "text", 16 << 20):
+        for part in slices(batches, "text", 4 << 20):
             rows = [clean(t, s) for t, s in zip(part.column("text").to_pylist(), part.column("spans").to_pylist(), strict=True)]
             n, gone, runs, out = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
