@@ -26,6 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterflow.llm.scratch import bounded_batches
 from meterflow.llm.texts import slices
 from meterflow.session import checkpoint_root
 
@@ -383,7 +384,7 @@ def frequent_words(docs: DataFrame, limit: int) -> list[str]:
                     seen.clear()
         yield out()
 
-    counts = docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = bounded_batches(docs.select("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(limit).collect()]
 
 
@@ -443,7 +444,7 @@ def encoded(docs: DataFrame, path: str, words: int = LEXICON_WORDS, with_ids: bo
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInArrow(run, schema + ", ids array<int>" * with_ids)
+    return bounded_batches(docs.select("doc_id", "text")).mapInArrow(run, schema + ", ids array<int>" * with_ids)
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:

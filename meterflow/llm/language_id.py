@@ -17,6 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterflow.llm.scratch import bounded_batches
 from meterflow.llm.texts import U64, mix, slices
 
 BUCKETS = 1 << 15
@@ -133,7 +134,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 21) -> La
                                              names=["lang", "part", "at", "x"])
 
     chosen = learn.filter(draw).select("lang", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "text"), F.lit(1000)).alias("part"), "text")
-    rows = chosen.mapInArrow(examples, "lang string, part long, at array<int>, x array<float>").filter("size(at) > 0").limit(2 * per_language * len(languages)).toArrow()
+    rows = bounded_batches(chosen).mapInArrow(examples, "lang string, part long, at array<int>, x array<float>").filter("size(at) > 0").limit(2 * per_language * len(languages)).toArrow()
     at, x = rows.column("at").combine_chunks(), rows.column("x").combine_chunks()
     found = sorted(((languages.index(lang), part, np.asarray(a.values), np.asarray(b.values)) for lang, part, a, b in
                     zip(rows.column("lang").to_pylist(), rows.column("part").to_pylist(), at, x, strict=True)),
@@ -171,4 +172,4 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                  pa.array(~none & (score >= m.threshold))], names=["doc_id", "held_out", "lang_pred", "score", "accepted"])
 
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean")
+    return bounded_batches(rows).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean")

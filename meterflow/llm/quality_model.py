@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterflow.llm.scratch import bounded_batches
 from meterflow.llm.texts import U64, SPACE, buffer, mix, shingles, slices, word_hashes, word_starts
 
 SAMPLE = 4000  # documents that the scorer is fitted on
@@ -198,7 +199,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = 11) -> QualityModel:
             code, count = np.unique(pattern(vote), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(count)], names=["code", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
+    counts = bounded_batches(docs.select("text")).mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
     codes, n = np.array([r.code for r in counts], np.int64), np.array([r.n for r in counts], np.int64)
     model = fit_label_model(codes, n)
     if not len(codes):
@@ -246,7 +247,7 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) ->
                 [part.column("doc_id").cast(pa.int64()), pa.array(words.astype(np.int64)), pa.array(m.labels.posterior(vote)),
                  pa.array(p), pa.array(p >= threshold)], names=["doc_id", "n_words", "posterior", "score", "kept"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_words long, posterior double, score double, kept boolean")
+    return bounded_batches(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, n_words long, posterior double, score double, kept boolean")
 
 
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
@@ -261,4 +262,4 @@ def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD
             p = 1 / (1 + np.exp(-np.clip(total / np.maximum(words, 1) + m.bias, -30, 30)))
             yield part.filter(pa.array((words > 0) & (p >= threshold)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(run, docs.schema)

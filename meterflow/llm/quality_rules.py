@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from meterflow.llm.scratch import bounded_batches
 from meterflow.llm.texts import slices
 
 SYMBOLS = b"#*$%&|<>"
@@ -106,7 +107,7 @@ def line_rules(docs: DataFrame) -> DataFrame:
                  *(pa.array(x, pa.int64()) for x in columns[:len(COUNTS)]), *(pa.array(x, pa.bool_()) for x in columns[len(COUNTS):])],
                 names=[*names, *COUNTS, *FLAGS])
 
-    return docs.mapInArrow(run, schema)
+    return bounded_batches(docs).mapInArrow(run, schema)
 
 
 _WORD = r"[^\x20\x09-\x0D]+"

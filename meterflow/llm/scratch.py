@@ -14,9 +14,25 @@ from pyspark.sql import DataFrame
 from meterflow.session import checkpoint_root
 
 
+BATCH_ROWS = 1000
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session hands Python at most ``BATCH_ROWS`` rows at once from now on.
+
+    Arrow batches are bounded by rows only (10,000 by default), and rows here are
+    whole documents, so a batch of long ones would not fit a worker.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a new shared folder as Parquet and read back."""
-    spark = df.sparkSession
+    spark = bounded_batches(df).sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -25,6 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterflow.llm.scratch import bounded_batches
 from meterflow.llm.texts import slices
 
 PER_LABEL = 1500  # examples of each label, chosen by hash
@@ -251,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
 
     all1, all0 = n1, n0
     n1, n0 = max(sum(label.values()), 1), max(len(label) - sum(label.values()), 1)
-    counted = (examples.mapInArrow(example_words, "word string, y long").groupBy("word")
+    counted = (bounded_batches(examples).mapInArrow(example_words, "word string, y long").groupBy("word")
                .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).toArrow().sort_by("word"))  # the words of at most 4 * per_label texts
     terms = {w: i for i, w in enumerate(counted["word"].to_pylist())}
     a, b = (counted[c].to_numpy().astype(float) for c in "ab")
@@ -267,7 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
                 held.update(count.distinct(t))
         yield pa.RecordBatch.from_arrays([pa.array([*held, -1], pa.int64()), pa.array([*held.values(), n], pa.int64())], names=["term", "n"])
 
-    held = docs.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    held = bounded_batches(docs.select("text")).mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     known_term = held["term"].to_numpy() >= 0
     total = int(held["n"].to_numpy()[~known_term].sum())
     seen = np.zeros(len(terms))
@@ -282,7 +283,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
                 [part.column("doc_id").cast(pa.int64()), pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int64())),
                  pa.array([[n for _, n in f] for f in found], pa.list_(pa.int64()))], names=["doc_id", "at", "n"])
 
-    rows = examples.mapInArrow(term_counts, "doc_id long, at array<long>, n array<long>").limit(8 * per_label).toArrow().combine_chunks()
+    rows = bounded_batches(examples).mapInArrow(term_counts, "doc_id long, at array<long>, n array<long>").limit(8 * per_label).toArrow().combine_chunks()
     found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for i, at, n in zip(rows["doc_id"].to_pylist(), rows["at"], rows["n"], strict=True):
         new = at.values.to_numpy(zero_copy_only=False), n.values.to_numpy(zero_copy_only=False)
@@ -326,4 +327,4 @@ def scores(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> Dat
                 names=["doc_id", "held_out", "score", "predicted", "evidence"])
 
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id:long,cosine:double>>")
+    return bounded_batches(rows).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id:long,cosine:double>>")
