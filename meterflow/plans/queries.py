@@ -9,6 +9,7 @@ the source tables.
 from __future__ import annotations
 
 import contextlib
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,11 @@ from meterflow.operators import billing, dashboard, daily, forecast as fc, point
 from meterflow.plans import sql as S
 import uuid
 
+from meterflow.functions import tier_cost
 from meterflow.schemas import DEMO_SCALE
 from meterflow.session import checkpoint_path, ensure_utc
 from meterflow.sources import files, tables, topic
+from meterflow.sources.store import PointStore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -284,6 +287,15 @@ def q_meter_hourly_mean(spark, sf_dir):
 
 # --- point-store semantics and stream-job reads: A9, I5, D8, D9, D10 ----------------------
 
+def _two_writes(spark, sf_dir):
+    cols = ["meter_id", "time", "alert_level", "tie", "kw", "kwh_cumulative", "vnd_cumulative"]
+    pu = billing.power_usage(_billed(spark, sf_dir)).select(*cols, F.lit(1).alias("batch"))
+    again = pu.filter("tie % 3 = 0").select(
+        "meter_id", "time", "alert_level", "tie", (F.col("kw") * 2).alias("kw"),
+        (F.col("kwh_cumulative") * 2).alias("kwh_cumulative"), "vnd_cumulative", F.lit(2).alias("batch"))
+    return pu, again
+
+
 @register("upsert_points", f"""
     WITH {S.usage_cte(False)},
     writes AS (SELECT *, 1 AS batch FROM pu UNION ALL
@@ -294,11 +306,7 @@ def q_meter_hourly_mean(spark, sf_dir):
 def q_upsert_points(spark, sf_dir):
     """Points sharing (meter, second, alert level) replace each other; last write wins.
     A second write repeats every third point with other values."""
-    cols = ["meter_id", "time", "alert_level", "tie", "kw", "kwh_cumulative", "vnd_cumulative"]
-    pu = billing.power_usage(_billed(spark, sf_dir)).select(*cols, F.lit(1).alias("batch"))
-    again = pu.filter("tie % 3 = 0").select(
-        "meter_id", "time", "alert_level", "tie", (F.col("kw") * 2).alias("kw"),
-        (F.col("kwh_cumulative") * 2).alias("kwh_cumulative"), "vnd_cumulative", F.lit(2).alias("batch"))
+    pu, again = _two_writes(spark, sf_dir)
     up = dashboard.upsert_points(pu.union(again), ["meter_id", "time", "alert_level"], ["batch", "time", "tie"])
     return up.select("meter_id", ntz("time"), "alert_level", "batch", "tie", "kw", dbl("kwh_cumulative"),
                      dbl("vnd_cumulative"))
@@ -519,27 +527,165 @@ def q_lineitem_forecast(spark, sf_dir):
 STREAM_RUNS = 3
 
 
+FILES = 8  # of each part, and at most so many are taken by a micro-batch
+
+
 @register("stream_billing", S.power_usage_sql(True, "demo_slot"))
 def q_stream_billing(spark, sf_dir):
     """The streaming job on the messages of ``events`` (single meter, 3-minute
     slots): the messages arrive in three time-ordered parts, and after each
     part the same query is restarted from its checkpoint and drained
-    (``availableNow``). Returns the ``power_usage`` points its sink wrote;
-    state carried across runs in the state store must give the batch result.
-    Files go to the shared folder named by ``spark.checkpoint.dir``."""
+    (``availableNow``). Returns the committed ``power_usage`` points; totals
+    carried from commit to commit must give the batch result. Files go to the
+    shared folder named by ``spark.checkpoint.dir``."""
     ensure_utc(spark)
-    root = checkpoint_path(spark, "meterflow", f"stream_billing-{uuid.uuid4().hex}")
     msgs = tables.messages_clean(tables.table(spark, sf_dir, "events"))
-    parts = _time_parts(msgs)
-    schema = "tie long, value binary"
-    with _state_partitions(spark):
-        _stream_runs(spark, msgs, parts, schema, root)
-    pu = spark.read.parquet(f"{root}/out/power_usage")
+    root = _job_runs(spark, msgs, "stream_billing", _time_parts(msgs))
+    pu = PointStore(spark, f"{root}/out").read("power_usage")
     return pu.select("meter_id", "tie", ntz("time"), "alert_level", "kw", dbl("kwh_cumulative"),
                      dbl("vnd_cumulative"), "sub1_pct", "sub2_pct", "sub3_pct", "suggestion",
                      "month_key")
 
 
+def _job_runs(spark, msgs, name, parts, keep=("tie",), **job):
+    """The ledger job over ``msgs``: a restart from one checkpoint for each part. Returns its folder."""
+    from meterflow.streaming.billing import run_stream
+    from meterflow.streaming.ledger import ledger_sink
+    root = checkpoint_path(spark, "meterflow", f"{name}-{uuid.uuid4().hex}")
+    for i, cond in enumerate(parts):
+        msgs.filter(cond).select(*keep, "value").repartition(FILES).write.parquet(f"{root}/in/part={i}")
+        src = (spark.readStream.schema(msgs.select(*keep, "value").schema).option("maxFilesPerTrigger", FILES)
+               .parquet(f"{root}/in/part=*"))
+        decoded = topic.decode_readings(src, keep=keep)
+        if "meter_id" not in keep:
+            decoded = decoded.withColumn("meter_id", F.lit(tables.HOUSE))
+        run_stream(decoded, ledger_sink(f"{root}/out", "r1", **job), f"{root}/ckpt", "availableNow").awaitTermination()
+    return root
+
+
+@register("stream_job", f"""
+    WITH r AS (SELECT r.* FROM ({S.readings_sql(True)}) r JOIN events e ON e.event_id = r.tie
+               WHERE e.event_type NOT IN ('error', 'signup', 'click')),
+    b AS (SELECT tie, CAST(sum(kwh) OVER (PARTITION BY {S.cycle_sql('demo_slot')} ORDER BY event_time, tie
+                                          ROWS UNBOUNDED PRECEDING) AS DECIMAL(28,6)) AS cum FROM r)
+    SELECT event_id AS tie, CASE event_type WHEN 'error' THEN 'json' WHEN 'signup' THEN 'time' WHEN 'click' THEN 'kw' END AS reject,
+           CAST(cum AS DOUBLE) AS kwh, CAST({S.tier_sql('cum')} AS DOUBLE) AS vnd
+    FROM events LEFT JOIN b ON b.tie = event_id""")
+def q_stream_job(spark, sf_dir):
+    """A7 + I8: bills and rejects of one job on messages with defects, committed batch by batch:
+    every message is either billed or rejected with its reason."""
+    ensure_utc(spark)
+    events = tables.table(spark, sf_dir, "events")
+    times = events.select(F.col("event_id").alias("tie"), F.col("ts").cast("timestamp").alias("event_time"))
+    msgs = tables.messages_from_events(events).join(times, "tie")
+    store = PointStore(spark, _job_runs(spark, msgs, "stream_job", _time_parts(msgs)) + "/out")
+    bills = store.read("monthly_billing").select("tie", F.lit(None).cast("string").alias("reject"), dbl("kwh"), dbl("vnd"))
+    bad = store.read("rejects", schema="tie long, reject string, part string, day date")
+    return bills.unionByName(bad.select("tie", "reject"), allowMissingColumns=True)
+
+
+CLOSE_DAYS = 30
+
+
+@register("stream_months", f"""
+    WITH r AS (SELECT *, {S.cycle_sql('calendar_month')} AS month_key,
+                      CAST(date_trunc('month', event_time) + INTERVAL 1 MONTH AS TIMESTAMP) AS month_end FROM ({S.LINE_METERS_SQL})),
+    b AS (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi, max(event_time) - INTERVAL {CLOSE_DAYS} DAY AS mark FROM r),
+    p AS (SELECT r.*, 3 * (epoch_us(event_time) - lo) >= hi - lo AND 3 * (epoch_us(event_time) - lo) < 2 * (hi - lo) AS late, mark FROM r, b)
+    SELECT CASE WHEN late THEN 'late' ELSE 'closed' END AS kind, meter_id, month_key, CAST(sum(kwh) AS DOUBLE) AS kwh,
+           CAST({S.tier_sql('sum(kwh)')} AS DOUBLE) AS vnd, CASE WHEN late THEN count(*) END AS readings
+    FROM p WHERE month_end <= mark GROUP BY late, meter_id, month_key""")
+def q_stream_months(spark, sf_dir):
+    """I1 with closing months: years of readings in three parts, the middle one last. Months that ended
+    30 days before the latest reading are closed with their final bill; readings that come later are kept as late."""
+    ensure_utc(spark)
+    msgs = topic.encode_readings(tables.line_meters(spark, sf_dir), keys=("meter_id", "tie", "event_time"))
+    first, middle, last = _time_parts(msgs)
+    root = _job_runs(spark, msgs, "stream_months", (first, last, middle), keep=("meter_id", "tie"), cycle="calendar_month",
+                     close_after=dt.timedelta(days=CLOSE_DAYS), unit="month")
+    store = PointStore(spark, f"{root}/out", "month")
+    closed = store.read("closed").select(F.lit("closed").alias("kind"), "meter_id", "month_key", dbl("kwh"), dbl("vnd"),
+                                         F.lit(None).cast("long").alias("readings"))
+    late = store.read("late").groupBy("meter_id", "month_key").agg(F.sum("kwh").alias("kwh"), F.count("*").alias("readings"))
+    return closed.unionByName(late.select(F.lit("late").alias("kind"), "meter_id", "month_key", dbl("kwh"),
+                                          tier_cost("kwh", exact=True).cast("double").alias("vnd"), "readings"))
+
+
+@register("stream_alert_feed", f"""
+    SELECT tie, date_trunc('second', event_time) AS time, {S.level_sql()} AS alert_level, kw
+    FROM ({S.readings_sql(True)}) WHERE kw >= 3""")
+def q_stream_alert_feed(spark, sf_dir):
+    """I7 + D9 + I2: the alert feed as an append stream over three restarts, the last under a processing-time
+    trigger that takes two micro-batches; counts of each batch are observed."""
+    return _alert_feed(spark, sf_dir)[0]
+
+
+def _alert_feed(spark, sf_dir):
+    """(the feed, [(run, batch, alerts, CRITICAL)] as observed)."""
+    from meterflow.streaming import billing as sb
+    ensure_utc(spark)
+    root = checkpoint_path(spark, "meterflow", f"alert_feed-{uuid.uuid4().hex}")
+    msgs = tables.messages_clean(tables.table(spark, sf_dir, "events"))
+    observed = []
+    for i, cond in enumerate(_time_parts(msgs)):
+        msgs.filter(cond).select("tie", "value").repartition(FILES).write.parquet(f"{root}/in/part={i}")
+        last = i == STREAM_RUNS - 1
+        src = (spark.readStream.schema("tie long, value binary").option("maxFilesPerTrigger", FILES // 2 if last else FILES)
+               .parquet(f"{root}/in/part=*"))
+        good, _ = topic.split_rejects(topic.decode_readings(src, keep=("tie",)))
+        feed = sb.alert_feed(good).select("tie", F.date_trunc("second", "event_time").alias("time"), "alert_level", "kw")
+        out = feed.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
+        q = (out.trigger(processingTime="1 second") if last else out.trigger(availableNow=True)).start()
+        if last:
+            q.processAllAvailable()
+            q.stop()
+        else:
+            q.awaitTermination()
+        observed += [(i, *r) for r in sb.observed_alerts(q)]
+    return spark.read.parquet(f"{root}/out").select("tie", ntz("time"), "alert_level", "kw"), observed
+
+
+# --- panels and merges on stored points: A7, A9, B21, D3, D6, E6 ------------------------------
+
+
+def _stored(spark, points, name, batches=4):
+    """A store with ``points`` committed in several batches by hash, then compacted."""
+    store = PointStore(spark, checkpoint_path(spark, "meterflow", f"{name}-{uuid.uuid4().hex}"))
+    entries = []
+    for i in range(batches):
+        entries += store.stage(points.filter(F.pmod(F.xxhash64("tie"), F.lit(batches)) == i), "points", f"b{i}")
+    store.commit("load", entries)
+    store.compact("points")
+    return store
+
+
+@register("stored_billing_latest", ORACLE["billing_latest"])
+def q_stored_billing_latest(spark, sf_dir):
+    """D3 + B21 on stored points: only the folders of the range's days are opened."""
+    mb = billing.monthly_billing(_billed(spark, sf_dir, house=True))
+    store = _stored(spark, mb, "stored_latest")
+    return dashboard.latest(store.read("points", FROM_TS, TO_TS), ["vnd", "kwh"]).select(dbl("vnd"), dbl("kwh"))
+
+
+@register("stored_kw_bucket_mean", ORACLE["kw_bucket_mean"])
+def q_stored_kw_bucket_mean(spark, sf_dir):
+    """D6 + E6 + B21 on stored points."""
+    store = _stored(spark, _house_usage(spark, sf_dir), "stored_buckets")
+    out = dashboard.bucket_mean(store.read("points", FROM_TS, TO_TS), ["kw"], "5 minutes", FROM_TS, TO_TS, exact=True)
+    return out.select(ntz("bucket"), "mean_kw")
+
+
+@register("stored_upsert", ORACLE["upsert_points"])
+def q_stored_upsert(spark, sf_dir):
+    """A9 on the store: a second write replaces points by copying the days it touches."""
+    keys = ["meter_id", "time", "alert_level"]
+    pu, again = _two_writes(spark, sf_dir)
+    store = PointStore(spark, checkpoint_path(spark, "meterflow", f"stored_upsert-{uuid.uuid4().hex}"))
+    store.merge("points", pu, keys, ["batch", "time", "tie"])
+    store.merge("points", again, keys, ["batch", "time", "tie"])
+    return store.read("points").select("meter_id", ntz("time"), "alert_level", "batch", "tie", "kw", dbl("kwh_cumulative"), dbl("vnd_cumulative"))
+
+
 @contextlib.contextmanager
 def _state_partitions(spark):
     """The state of a stream is partitioned once, at its first start, by
@@ -565,22 +711,6 @@ def _time_parts(msgs):
         t >= F.lit(bounds[-1])]
 
 
-def _stream_runs(spark, msgs, parts, schema, root):
-    from meterflow.functions import kwh as kwh_expr
-    from meterflow.streaming import billing as sb
-    for i, cond in enumerate(parts):
-        msgs.filter(cond).select("tie", "value").write.mode("overwrite").parquet(
-            f"{root}/in/part={i}")
-        src = spark.readStream.schema(schema).parquet(f"{root}/in/part=*")
-        good, _ = topic.split_rejects(topic.decode_readings(src, keep=("tie",)))
-        good = good.select(F.lit(tables.HOUSE).alias("meter_id"), "event_time", "tie", "kw",
-                           kwh_expr("kw", exact=True).alias("kwh"), "sub1", "sub2", "sub3")
-        billed = sb.billing_stream(good, cycle="demo_slot", exact=True)
-        q = sb.run_stream(billed, sb.point_sink(f"{root}/out", "r1"), f"{root}/ckpt",
-                          "availableNow")
-        q.awaitTermination()
-
-
 LIVE_INTERVAL = "5 minutes"
 
 

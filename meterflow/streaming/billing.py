@@ -290,6 +290,18 @@ def reject_sink(root: str, run_id: str):
     return sink
 
 
+def alert_feed(readings: DataFrame, warn: float = WARN_KW, crit: float = CRIT_KW) -> DataFrame:
+    """I7 + D9: ``alert_stream`` with the number of alerts and of CRITICAL ones observed in every micro-batch."""
+    return alert_stream(readings, warn, crit).observe("alerts", F.count(F.lit(1)).alias("alerts"),
+                                                      F.count_if(F.col("alert_level") == "CRITICAL").alias("critical"))
+
+
+def observed_alerts(query) -> list[tuple[int, int, int]]:
+    """(batch id, alerts, CRITICAL) of the recent micro-batches of a running or stopped ``alert_feed`` query."""
+    seen = {p.batchId: p.observedMetrics["alerts"] for p in query.recentProgress if "alerts" in p.observedMetrics}
+    return [(b, r["alerts"], r["critical"]) for b, r in sorted(seen.items())]
+
+
 def alert_stream(readings: DataFrame, warn: float = WARN_KW, crit: float = CRIT_KW) -> DataFrame:
     """Stateless feed of WARNING and CRITICAL readings."""
     return (readings.withColumn("alert_level", alert_level("kw", warn, crit))
