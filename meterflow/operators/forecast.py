@@ -4,7 +4,7 @@ series, h-step forecast, residual band, horizon mapping.
 Each series (one row per day after the gap fill) becomes one array row:
 its size is bounded by the days in its span, not by the raw data volume.
 The recurrence runs as a Spark higher-order ``aggregate`` over that array,
-with no Python involved. Parameters are chosen by least squared one-step
+with no Python involved, and the search folds all parameter sets at once. Parameters are chosen by least squared one-step
 error: every point of a coarse grid, then ever closer neighbours of the best
 one, down to a step of 0.00625 and including 0 and 1. Fits with given and
 with searched parameters come from the same expression.
@@ -47,82 +47,77 @@ def to_series(daily: DataFrame, keys=("meter_id",), ds: str = "ds", y: str = "y"
                     F.size("_pts").alias("n")))
 
 
-def _fold_sql(y: str, a: str, c: str, g: str, m: int) -> str:
-    """The recurrence as one SQL ``aggregate`` expression over array ``y``.
-
-    Written as SQL text so the plan is built in one call (a Column tree of
-    this size costs thousands of driver round trips to assemble). The season
-    is kept as m scalar fields rotated by name, so a step allocates no array.
-    """
+def _start_sql(y: str, m: int) -> str:
+    """The start state (fields l, b, s0 ..) as a SQL struct."""
     def total(lo: int, hi: int) -> str:
         return f"aggregate(slice({y}, {lo}, {hi - lo + 1}), 0.0D, (acc, v) -> acc + v)"
 
     l0 = f"({total(1, m)} / {float(m)}D)"
     b0 = f"(({total(m + 1, 2 * m)} / {float(m)}D - {l0}) / {float(m)}D)"
-    init = (f"named_struct('l', {l0}, 'b', {b0}, "
-            + ", ".join(f"'s{i}', element_at({y}, {i + 1}) - {l0}" for i in range(m))
-            + ", 'sse', 0.0D, 'k', 0L, 'mean', 0.0D, 'm2', 0.0D)")
-    e = "(x - (st.l + st.b + st.s0))"
+    return f"named_struct('l', {l0}, 'b', {b0}, " + ", ".join(f"'s{i}', element_at({y}, {i + 1}) - {l0}" for i in range(m)) + ")"
+
+
+def _step_sql(a: str, c: str, g: str, m: int, *more: str) -> str:
+    """The state ``st`` after the value ``x``, with ``more`` fields. The season is
+    kept as m scalar fields rotated by name, so a step allocates no array."""
     l1 = f"({a} * (x - st.s0) + (1.0D - {a}) * (st.l + st.b))"
     b1 = f"({c} * ({l1} - st.l) + (1.0D - {c}) * st.b)"
     s_new = f"({g} * (x - st.l - st.b) + (1.0D - {g}) * st.s0)"
-    d = f"({e} - st.mean)"
-    mean1 = f"(st.mean + {d} / (st.k + 1))"
-    rot = ", ".join([f"'s{i}', st.s{i + 1}" for i in range(m - 1)] + [f"'s{m - 1}', {s_new}"])
-    step = (f"named_struct('l', {l1}, 'b', {b1}, {rot}, 'sse', st.sse + {e} * {e}, "
-            f"'k', st.k + 1, 'mean', {mean1}, 'm2', st.m2 + {d} * ({e} - {mean1}))")
-    return f"aggregate({y}, {init}, (st, x) -> {step})"
+    rot = [f"'s{i}', st.s{i + 1}" for i in range(m - 1)] + [f"'s{m - 1}', {s_new}"]
+    return f"named_struct({', '.join([*more[:1], f"'l', {l1}", f"'b', {b1}", *rot, *more[1:]])})"
+
+
+ERROR = "(x - (st.l + st.b + st.s0))"
 
 
 def _fold(y: str, a: str, c: str, g: str, m: int) -> Column:
-    """The smoothing recurrence over the whole series; returns the final state."""
-    return F.expr(_fold_sql(y, a, c, g, m))
+    """The smoothing recurrence over the whole series; returns the final state.
+
+    Written as SQL text so the plan is built in one call (a Column tree of
+    this size costs thousands of driver round trips to assemble).
+    """
+    fields = ", ".join(f"'{f}', z.{f}" for f in ["l", "b", *(f"s{i}" for i in range(m))])
+    init = (f"element_at(transform(array({_start_sql(y, m)}), z -> named_struct('sse', 0.0D, {fields}, "
+            "'k', 0L, 'mean', 0.0D, 'm2', 0.0D)), 1)")
+    d = f"({ERROR} - st.mean)"
+    mean1 = f"(st.mean + {d} / (st.k + 1))"
+    step = _step_sql(a, c, g, m, f"'sse', st.sse + {ERROR} * {ERROR}", "'k', st.k + 1", f"'mean', {mean1}", f"'m2', st.m2 + {d} * ({ERROR} - {mean1})")
+    return F.expr(f"aggregate({y}, {init}, (st, x) -> {step})")
 
 
 def _season(st: str, m: int) -> Column:
     return F.array(*[F.col(f"{st}.s{i}") for i in range(m)])
 
 
-def _neighbours(p: str, axis: str, step: float) -> str:
+def _neighbours(axis: str, step: float) -> str:
     """SQL for the values of one parameter around ``p.axis`` that stay within [0, 1]."""
     return (f"filter(array(round(p.{axis} - {step}D, 6), p.{axis}, round(p.{axis} + {step}D, 6)), "
             "v -> v >= 0 and v <= 1)")
 
 
-def search_parameters(series: DataFrame, keys, m: int, grid, refine: bool) -> DataFrame:
-    """keys and ``p`` = (alpha, beta, gamma) of least one-step squared error; ties go to the smaller.
+def searched(y: str, m: int, grid, refine: bool) -> Column:
+    """(sse, alpha, beta, gamma) of least one-step squared error; ties go to the smaller.
 
-    Every series meets every grid point as a row; the rows are dealt out by
-    series and point, so the points of one long series are folded in parallel,
-    and the least (sse, alpha, beta, gamma) is an ordinary aggregate. With ``refine``, each of REFINE_STEPS compares the
-    best point so far with its neighbours at that distance.
+    One fold carries the states of all parameter sets, so the series is read
+    once for the grid and once for each of REFINE_STEPS, all within its row:
+    nothing is copied, joined or shuffled.
     """
-    keys = list(keys)
+    fields = ", ".join(f"'{f}', z.{f}" for f in ["l", "b", *(f"s{i}" for i in range(m))])
+    step = _step_sql("st.alpha", "st.beta", "st.gamma", m, f"'sse', st.sse + {ERROR} * {ERROR}, 'alpha', st.alpha, 'beta', st.beta, 'gamma', st.gamma")
+
+    def best(cube: str) -> str:
+        init = f"transform({cube}, q -> named_struct('sse', 0.0D, 'alpha', q.alpha, 'beta', q.beta, 'gamma', q.gamma, {fields}))"
+        least = "array_min(transform(states, s -> named_struct('sse', s.sse, 'alpha', s.alpha, 'beta', s.beta, 'gamma', s.gamma)))"
+        return f"aggregate({y}, {init}, (states, x) -> transform(states, st -> {step}), states -> {least})"
+
     points = ", ".join("named_struct('alpha', {}D, 'beta', {}D, 'gamma', {}D)".format(*map(float, p)) for p in grid)
-    cube = f"array({points})"
-    best, kept = None, series.select(*keys, "y")
-    parts = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number, or AQE makes one task of few rows
-    for step in [None, *(REFINE_STEPS if refine else ())]:
-        if step is not None:
-            axes = {x: _neighbours("p", x, step) for x in ("alpha", "beta", "gamma")}
-            cube = (f"flatten(flatten(transform({axes['alpha']}, a -> transform({axes['beta']}, b -> transform({axes['gamma']}, "
-                    "g -> named_struct('alpha', a, 'beta', b, 'gamma', g))))))")
-            kept = series.select(*keys, "y").join(best, keys)
-        tried = kept.select(*keys, "y", F.explode(F.expr(cube)).alias("q")).repartition(parts, *keys, "q")
-        sse = F.expr(_fold_sql("y", "q.alpha", "q.beta", "q.gamma", m))["sse"]
-        best = (tried.select(*keys, F.struct(sse.alias("sse"), "q.alpha", "q.beta", "q.gamma").alias("f"))
-                .groupBy(*keys).agg(F.min("f").alias("f")).select(*keys, F.struct("f.alpha", "f.beta", "f.gamma").alias("p")))
-    return best
-
-
-def _fit_rows(series: DataFrame, keys, params: Column, m: int) -> DataFrame:
-    """Fold each series once with its (chosen or given) parameters."""
-    keys = list(keys)
-    withp = series.select(*keys, "y", "last_ds", "n", params.alias("p"))
-    st = _fold("y", "p.alpha", "p.beta", "p.gamma", m)
-    return withp.select(*keys, "last_ds", "n", F.col("p.alpha").alias("alpha"),
-                        F.col("p.beta").alias("beta"), F.col("p.gamma").alias("gamma"),
-                        st.alias("st"))
+    found = best(f"array({points})")
+    for size in REFINE_STEPS if refine else ():
+        axes = {x: _neighbours(x, size) for x in ("alpha", "beta", "gamma")}
+        cube = (f"flatten(flatten(transform({axes['alpha']}, a -> transform({axes['beta']}, b -> transform({axes['gamma']}, "
+                "g -> named_struct('alpha', a, 'beta', b, 'gamma', g))))))")
+        found = f"element_at(transform(array({found}), p -> {best(cube)}), 1)"
+    return F.expr(f"element_at(transform(array({_start_sql(y, m)}), z -> {found}), 1)")
 
 
 def fit_seasonal(daily: DataFrame, keys=("meter_id",), period: int = SEASON, grid=None,
@@ -134,26 +129,22 @@ def fit_seasonal(daily: DataFrame, keys=("meter_id",), period: int = SEASON, gri
     """
     keys = list(keys)
     series = to_series(daily, keys, ds, y)
-    ok = series.filter(F.col("n") >= 2 * period)
+    enough = F.col("n") >= 2 * period
     grid = grid or default_grid()
     if len(grid) == 1 and not refine:
-        a, b, g = (float(v) for v in grid[0])
-        params = F.struct(F.lit(a).alias("alpha"), F.lit(b).alias("beta"), F.lit(g).alias("gamma"))
+        params = F.struct(*(F.lit(float(v)).alias(c) for v, c in zip(grid[0], ("alpha", "beta", "gamma"), strict=True)))
     else:
-        params = F.col("p")
-        ok = ok.join(search_parameters(ok, keys, period, grid, refine), keys)
-    best = _fit_rows(ok, keys, params, period)
-    fitted = best.select(
-        *keys, "alpha", "beta", "gamma", F.col("st.sse").alias("sse"), F.col("st.l").alias("level"),
-        F.col("st.b").alias("trend"), _season("st", period).alias("season"),
-        F.sqrt(F.col("st.m2") / (F.col("st.k") - F.lit(1))).alias("sigma"), "n", "last_ds",
-        F.lit(None).cast("string").alias("reason"))
-    short = series.filter(F.col("n") < 2 * period).select(
-        *keys, *[F.lit(None).cast("double").alias(c) for c in ("alpha", "beta", "gamma", "sse",
-                                                              "level", "trend")],
-        F.lit(None).cast("array<double>").alias("season"), F.lit(None).cast("double").alias("sigma"),
-        "n", "last_ds", F.lit("too_short").alias("reason"))
-    return fitted.unionByName(short)
+        params = searched("y", period, grid, refine)
+        # Few bytes but much work: AQE would merge the series into one task. Each moves once, to a stated
+        # number of partitions (by a hash of the keys, as a plain one would be dropped as redundant).
+        parts = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        series = series.repartition(parts, F.xxhash64(*keys) if keys else F.lit(0))
+    chosen = series.select(*keys, "y", "last_ds", "n", F.when(enough, params).alias("p"))
+    fits = chosen.select(*keys, "last_ds", "n", "p", F.when(enough, _fold("y", "p.alpha", "p.beta", "p.gamma", period)).alias("st"))
+    return fits.select(
+        *keys, "p.alpha", "p.beta", "p.gamma", F.col("st.sse").alias("sse"), F.col("st.l").alias("level"), F.col("st.b").alias("trend"),
+        F.when(enough, _season("st", period)).alias("season"), F.sqrt(F.col("st.m2") / (F.col("st.k") - F.lit(1))).alias("sigma"),
+        "n", "last_ds", F.when(~enough, F.lit("too_short")).alias("reason"))
 
 
 def fit_fixed(daily: DataFrame, alpha: float, beta: float, gamma: float, keys=("meter_id",),

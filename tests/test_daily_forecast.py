@@ -126,8 +126,17 @@ def test_write_predictions(spark, scratch):
     assert set(back.columns) == {"meter_id", "time", "yhat", "yhat_lower", "yhat_upper", "day"}
 
 
-def test_search_deals_out_series_and_points(spark):
-    series = fc.to_series(_series(spark, range(21)), ["meter_id"], "ds", "y")
-    found = fc.search_parameters(series, ["meter_id"], 7, fc.default_grid(), refine=False)
-    plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("aggregate(") < plan.index("RepartitionByExpression [meter_id") < plan.index("Generate")
+def test_search_folds_all_points_in_the_row_of_a_series(spark):
+    daily = _series(spark, [float((i * 7919) % 23) for i in range(40)])
+    fit = fc.fit_seasonal(daily).first()
+    fixed = {p: fc.fit_fixed(daily, *p).first().sse for p in [(fit.alpha, fit.beta, fit.gamma), (0.1, 0.1, 0.1), (0.5, 0.3, 0.7)]}
+    assert fixed[fit.alpha, fit.beta, fit.gamma] == fit.sse == min(fixed.values())
+    plan = fc.fit_seasonal(daily)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "explode" not in plan
+
+
+def test_short_series_beside_long_ones(spark):
+    rows = [("a", dt.date(2024, 1, 1) + dt.timedelta(days=i), float(i % 7)) for i in range(20)] + [("b", dt.date(2024, 1, 1), 1.0)]
+    fits = {r.meter_id: r for r in fc.fit_seasonal(spark.createDataFrame(rows, "meter_id string, ds date, y double")).collect()}
+    assert fits["a"].reason is None and len(fits["a"].season) == 7
+    assert fits["b"].reason == "too_short" and fits["b"].alpha is None and fits["b"].season is None and fits["b"].n == 1
