@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.operators.dashboard import interpolate_linear
+from meterflow.operators.dashboard import fill_gaps, interpolate_linear
 from meterflow.schemas import KWH_FACTOR_MINUTE, MIN_READINGS_PER_DAY
 
 
@@ -30,12 +30,9 @@ def daily_energy(readings: DataFrame, keys=("meter_id",), factor: float = KWH_FA
 
 def densify_daily(daily: DataFrame, keys=("meter_id",), ds: str = "ds") -> DataFrame:
     """C2+E4: one row per calendar day from each series' first to last day;
-    missing days have NULL values. The spine is generated per series
-    (``sequence`` + ``explode``) and joined on (key, day)."""
-    keys = list(keys)
-    bounds = daily.groupBy(*keys).agg(F.min(ds).alias("_lo"), F.max(ds).alias("_hi"))
-    spine = bounds.select(*keys, F.explode(F.sequence("_lo", "_hi")).alias(ds))
-    return spine.join(daily, [*keys, ds], "left")
+    missing days have NULL values (see ``fill_gaps``: no spine, no join)."""
+    values = [c for c in daily.columns if c not in (*keys, ds)]
+    return fill_gaps(daily, keys, ds, values, F.expr("INTERVAL 1 DAY"))
 
 
 def interpolate_time(df: DataFrame, keys=("meter_id",), time: str = "ds", value: str = "y"):
@@ -48,8 +45,7 @@ def daily_series(readings: DataFrame, keys=("meter_id",), factor: float = KWH_FA
     """The whole daily preparation: aggregate, drop thin days, re-create every
     day in the span and interpolate (thin days come back interpolated)."""
     d = daily_energy(readings, keys, factor, min_readings)
-    filled = interpolate_time(densify_daily(d.select(*keys, "ds", "y"), keys), keys)
-    return filled
+    return fill_gaps(d, keys, "ds", ["y"], F.expr("INTERVAL 1 DAY"), linear=True)
 
 
 def series_profile(daily: DataFrame, keys=("meter_id",), exact: bool = False) -> DataFrame:

@@ -129,18 +129,52 @@ def bucket_mean(df: DataFrame, fields, interval: str, from_ts=None, to_ts=None,
         return agg
     if from_ts is None or to_ts is None:
         raise ValueError("fill needs both range bounds")
-    span = F.sequence(_bucket_start_lit(from_ts, interval), _bucket_start_lit(to_ts, interval),
-                      F.expr(f"INTERVAL {interval}"))
-    # Series keys from the aggregate itself: its exchange is reused by the
-    # join below, so the input is not computed a second time.
-    base = agg.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
-    spine = base.select(*keys, F.explode(span).alias("bucket"))
-    out = spine.join(agg, [*keys, "bucket"], "left")
-    if fill == "null":
-        return out
-    if fill == "linear":
-        return interpolate_linear(out, keys, "bucket", [f"mean_{f}" for f in fields])
-    raise ValueError(f"unknown fill {fill!r}")
+    if fill not in ("null", "linear"):
+        raise ValueError(f"unknown fill {fill!r}")
+    lo, hi = _bucket_start_lit(from_ts, interval), _bucket_start_lit(to_ts, interval)
+    means = [f"mean_{f}" for f in fields]
+    if not keys:  # a series without points still has its empty buckets
+        empty = df.sparkSession.range(1).select(lo.alias("bucket"), *(F.lit(None).cast(agg.schema[m].dataType).alias(m) for m in means))
+        agg = agg.unionByName(empty).groupBy("bucket").agg(*(F.max(m).alias(m) for m in means))
+    return fill_gaps(agg, keys, "bucket", means, F.expr(f"INTERVAL {interval}"), lo, hi, fill == "linear")
+
+
+def fill_gaps(df: DataFrame, keys, time: str, values, step: Column, lo: Column | None = None, hi: Column | None = None,
+              linear: bool = False) -> DataFrame:
+    """keys, ``time``, ``values`` with a row for every ``step`` from ``lo`` to ``hi`` (default: a key's first and last row).
+
+    Every row makes the missing steps up to its neighbour (a run), so there is
+    no spine and no join: one window exchange by key over rows that exist.
+    Rows are one per key and step, and lie on the steps. New rows hold NULLs
+    or, with ``linear``, what lies between the known neighbours: slope * (t -
+    t0) + y0 with slope = (y1 - y0) / (t1 - t0); NULLs of existing rows are
+    filled alike, ends stay NULL. Without keys the window is one task of at
+    most as many rows as there are steps in the range.
+    """
+    keys, values = list(keys), list(values)
+    up, down = (Window.partitionBy(*keys).orderBy(o) for o in (F.col(time).asc(), F.col(time).desc()))
+    t_num = _t_num(df, time)
+    cols = {"_next": F.lead(time).over(up), "_first": F.lag(time).over(up).isNull()}
+    known = lambda v: F.when(F.col(v).isNotNull(), F.struct(t_num.alias("t"), F.col(v).alias("v")))
+    if linear:
+        cols |= {f"_p{i}": F.last(known(v), ignorenulls=True).over(up.rowsBetween(Window.unboundedPreceding, 0)) for i, v in enumerate(values)}
+        cols |= {f"_n{i}": F.last(known(v), ignorenulls=True).over(down.rowsBetween(Window.unboundedPreceding, -1)) for i, v in enumerate(values)}
+    rows = df.select(*keys, time, *values).withColumns(cols)
+    run = F.sequence(F.col(time), F.coalesce(F.col("_next") - step, F.col(time) if hi is None else hi), step)
+    if lo is not None:
+        head = F.when(F.col("_first") & (F.col(time) > lo), F.sequence(lo, F.col(time) - step, step))
+        run = F.concat(F.coalesce(head, F.array().cast(rows.select(run.alias("r")).schema["r"].dataType)), run)
+    out = rows.withColumn("_at", F.explode(run))
+    here = F.col("_at") == F.col(time)
+    filled = []
+    for i, v in enumerate(values):
+        value = F.when(here, F.col(v))
+        if linear:
+            p, n, t = F.col(f"_p{i}"), F.col(f"_n{i}"), _t_num_of(F.col("_at"), df.schema[time].dataType.typeName())
+            between = (n["v"] - p["v"]) / (n["t"] - p["t"]) * (t - p["t"]) + p["v"]
+            value = F.when(here & F.col(v).isNotNull(), F.col(v)).when(t > p["t"], between)
+        filled.append(value.alias(v))
+    return out.select(*keys, F.col("_at").alias(time), *filled)
 
 
 def mean_of(f: str, exact: bool) -> Column:
@@ -188,10 +222,13 @@ def interpolate_linear(df: DataFrame, keys, time: str, value) -> DataFrame:
 
 
 def _t_num(df: DataFrame, time: str) -> Column:
-    t = df.schema[time].dataType.typeName()
-    if t == "date":
-        return F.unix_date(F.col(time)).cast("double")
-    return F.unix_seconds(F.col(time).cast("timestamp")).cast("double")
+    return _t_num_of(F.col(time), df.schema[time].dataType.typeName())
+
+
+def _t_num_of(t: Column, kind: str) -> Column:
+    if kind == "date":
+        return F.unix_date(t).cast("double")
+    return F.unix_seconds(t.cast("timestamp")).cast("double")
 
 
 def upsert_points(df: DataFrame, keys, order) -> DataFrame:

@@ -113,10 +113,11 @@ def _rollover_out(r):
                     "new_key")
 
 
-@register("rollovers", _rollover_sql(False, "calendar_month"))
+@register("rollovers", _rollover_sql(False, "calendar_month", S.SUPPLY_METERS_SQL))
 def q_rollovers(spark, sf_dir):
-    """Per meter, calendar months (none inside one month of data: an empty but exact check)."""
-    return _rollovers(spark, sf_dir, False, "calendar_month")
+    """97 meters over some eighty months: calendar-month rollovers of each."""
+    ensure_utc(spark)
+    return _rollover_out(billing.rollovers(billing.bill_readings(tables.line_meters(spark, sf_dir, "concat('s', l_suppkey % 97)"))))
 
 
 @register("line_meter_rollovers", _rollover_sql(False, "calendar_month", S.LINE_METERS_SQL))
@@ -386,6 +387,24 @@ def q_strict_readings(spark, sf_dir):
     return out.select("tie", ntz("event_time"), "kw", "sub1", "sub2", "sub3")
 
 
+FINE = (7, 5)  # decimals in the lines, more than are kept
+
+
+@register("strict_rounding", f"""
+    WITH f AS ({S.fields_sql(FINE)}), n AS (
+    SELECT tie, TRY_CAST(kwt AS DOUBLE) AS kw, CASE WHEN s1t = '' THEN 0.0::DOUBLE ELSE TRY_CAST(s1t AS DOUBLE) END AS sub1,
+           CASE WHEN s2t = '' THEN 0.0::DOUBLE ELSE TRY_CAST(s2t AS DOUBLE) END AS sub2,
+           CASE WHEN s3t = '' THEN 0.0::DOUBLE ELSE TRY_CAST(s3t AS DOUBLE) END AS sub3
+    FROM f WHERE line NOT LIKE '%?%')
+    SELECT tie, {S.round_sql('kw', 4)} AS kw, {S.round_sql('sub1', 2)} AS sub1, {S.round_sql('sub2', 2)} AS sub2, {S.round_sql('sub3', 2)} AS sub3
+    FROM n WHERE kw IS NOT NULL AND sub1 IS NOT NULL AND sub2 IS NOT NULL AND sub3 IS NOT NULL""")
+def q_strict_rounding(spark, sf_dir):
+    """Lines with more decimals than are kept; the exact value of each number is rounded, ties to even."""
+    ensure_utc(spark)
+    lines = tables.meter_lines_from_events(tables.table(spark, sf_dir, "events"), FINE)
+    return files.strict_rows(lines, keep=("tie",)).select("tie", "kw", "sub1", "sub2", "sub3")
+
+
 def _na_num(c: str) -> str:
     return f"TRY_CAST(CASE WHEN trim({c}) IN ('?', '') THEN NULL ELSE trim({c}) END AS DOUBLE)"
 
@@ -781,9 +800,10 @@ def q_file_readings(spark, sf_dir):
     root = checkpoint_path(spark, "meterflow", f"files-{uuid.uuid4().hex}")
     lines = tables.meter_lines_from_events(tables.table(spark, sf_dir, "events")).select("value")
     for name, header, mine in (("txt", TXT_HEADER, F.contains("value", F.lit(";"))), ("csv", CSV_HEADER, ~F.contains("value", F.lit(";")))):
-        spark.createDataFrame([(header,)], "value string").union(lines.filter(mine)).write.text(f"{root}/{name}")
-    read = [files.load_readings(spark, f"{root}/{d}", dialect=d) for d in ("txt", "csv")]
-    out = read[0].union(read[1])
+        # the header is the first line of every file: the only column is named so, with a separator and quote that no line has
+        (lines.filter(mine).select(F.col("value").alias(header)).write.option("header", True).option("sep", "\x01")
+         .option("quote", "\x00").csv(f"{root}/{name}"))
+    out = files.load_readings(spark, f"{root}/*", dialect="header")
     return out.select("meter_id", ntz("event_time"), "kw", "kwh", "sub1", "sub2", "sub3")
 
 

@@ -55,6 +55,9 @@ LINE_METERS_SQL = """
     FROM lineitem"""
 
 
+SUPPLY_METERS_SQL = LINE_METERS_SQL.replace("'m' || l_linenumber", "'s' || (l_suppkey % 97)")
+
+
 def cycle_sql(cycle: str, ts: str = "event_time") -> str:
     if cycle == "calendar_month":
         return f"strftime({ts}, '%Y-%m')"
@@ -115,22 +118,22 @@ def interp_sql(src: str, keys: str, t: str, tnum: str, v: str, out: str | None =
            FROM {src}))"""
 
 
-def meter_lines_sql() -> str:
+def meter_lines_sql(digits: tuple[int, int] = (4, 2)) -> str:
     """The mixed TXT/CSV rendering of ``events`` (see sources.tables)."""
-    return """
+    return f"""
     SELECT tie, CASE WHEN event_type IN ('view', 'purchase')
         THEN concat_ws(',', strftime(ts, '%Y-%m-%d %H:%M:%S'), kwt, '0.100', '240.000', '1.000', s1, s2, s3)
         ELSE concat_ws(';', strftime(ts, '%-d/%-m/%Y'), strftime(ts, '%H:%M:%S'), kwt, '0.100',
                        '240.000', '1.000', s1, s2, s3) END AS line
     FROM (SELECT event_id AS tie, event_type, ts,
-            CASE WHEN event_type = 'error' THEN '?' ELSE printf('%.4f', value / 25) END AS kwt,
-            CASE WHEN event_type = 'purchase' THEN 'x' ELSE printf('%.2f', k * 0.1::DOUBLE) END AS s1,
-            CASE WHEN event_type = 'signup' THEN '?' ELSE printf('%.2f', k * 0.05::DOUBLE) END AS s2,
-            CASE WHEN event_type = 'click' THEN '' ELSE printf('%.2f', (99 - k) * 0.1::DOUBLE) END AS s3
+            CASE WHEN event_type = 'error' THEN '?' ELSE printf('%.{digits[0]}f', value / 25) END AS kwt,
+            CASE WHEN event_type = 'purchase' THEN 'x' ELSE printf('%.{digits[1]}f', k * 0.1::DOUBLE) END AS s1,
+            CASE WHEN event_type = 'signup' THEN '?' ELSE printf('%.{digits[1]}f', k * 0.05::DOUBLE) END AS s2,
+            CASE WHEN event_type = 'click' THEN '' ELSE printf('%.{digits[1]}f', (99 - k) * 0.1::DOUBLE) END AS s3
           FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events))"""
 
 
-def fields_sql() -> str:
+def fields_sql(digits: tuple[int, int] = (4, 2)) -> str:
     """Split each rendered line by its dialect (1-based lists)."""
     return f"""
     SELECT tie, line, dia, len(p) AS np,
@@ -145,7 +148,15 @@ def fields_sql() -> str:
                          ELSE string_split(line, ',') END AS p
           FROM (SELECT tie, trim(line) AS line,
                        CASE WHEN line LIKE '%;%' THEN 'txt' WHEN line LIKE '%,%' THEN 'csv' END AS dia
-                FROM ({meter_lines_sql()})))"""
+                FROM ({meter_lines_sql(digits)})))"""
+
+
+def round_sql(x: str, digits: int) -> str:
+    """A double to ``digits`` decimals by its exact value, ties to even: the product and its exact rest, then the sign of both."""
+    f = f"{10**digits}.0::DOUBLE"
+    return f"""(SELECT CASE WHEN over + rest > 0 OR over + rest = 0 AND down % 2 = 1 THEN (down + 1) / {f} ELSE down / {f} END FROM (
+        SELECT floor(p) AS down, p - floor(p) - 0.5::DOUBLE AS over, (h * {f} - p) + (v - h) * {f} AS rest FROM (
+        SELECT v, v * {f} AS p, 134217729.0::DOUBLE * v - (134217729.0::DOUBLE * v - v) AS h FROM (SELECT {x} AS v))))"""
 
 
 LINEITEM_SQL = "SELECT 'lineitem' AS meter_id, CAST(l_shipdate AS TIMESTAMP) AS event_time, l_quantity AS kw FROM lineitem"

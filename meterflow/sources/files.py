@@ -2,8 +2,9 @@
 
 Two text dialects exist: ``;``-separated with day-first ``Date;Time`` (TXT)
 and ``,``-separated with an ISO-like ``datetime`` (CSV). Files are read as
-lines (``spark.read.text``) and the dialect is decided per line, so a folder
-mixing both works and nothing is sniffed on the driver.
+lines (``spark.read.text``) and the dialect is decided per line, or by the first
+line of each file (``dialect="header"``, for fields that hold the other
+separator); a folder mixing both works, and nothing is sniffed on the driver.
 
 Two cleanings exist:
 
@@ -17,12 +18,16 @@ Two cleanings exist:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.functions import kwh as kwh_expr
 from meterflow.functions import na, parse_day_first, parse_event_time, to_number
+from meterflow.functions.parse import round_half_even
 from meterflow.schemas import KWH_FACTOR_DEMO
+from meterflow.session import checkpoint_path
 
 # Field positions per dialect (fixed by the file formats).
 TXT_POS = {"date": 0, "time": 1, "kw": 2, "sub1": 6, "sub2": 7, "sub3": 8, "min_parts": 3}
@@ -34,6 +39,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def file_dialects(spark: SparkSession, path: str) -> DataFrame:
+    """(file, dialect): csv where a file's first line has ``,`` and no ``;``, else txt.
+
+    The first line is the first row of the block that starts at 0. Its scan
+    passes over the text once, without splitting or parsing it.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    first = (lines.withColumn("id", F.monotonically_increasing_id()).filter("at = 0").groupBy("file")
+             .agg(F.min_by(F.struct(F.contains("value", F.lit(",")).alias("comma"), F.contains("value", F.lit(";")).alias("semicolon")), "id").alias("f")))
+    return first.select("file", F.when(F.col("f.comma") & ~F.col("f.semicolon"), "csv").otherwise("txt").alias("dialect"))
+
+
 def dialect(line: Column) -> Column:
     """A1: 'txt' when the line has ``;``, else 'csv' when it has ``,``."""
     return (F.when(F.instr(line, ";") > 0, F.lit("txt"))
@@ -61,7 +78,7 @@ def split_fields(lines: DataFrame, value: str = "value", dialect_hint: str = "au
     picked by position, which keeps the generated code small.
     """
     line = F.trim(F.col(value))
-    d = dialect(line) if dialect_hint == "auto" else F.lit(dialect_hint)
+    d = dialect(line) if dialect_hint == "auto" else F.col("dialect") if dialect_hint == "column" else F.lit(dialect_hint)
     base = lines.select(*keep, line.alias("line"), d.alias("dialect"))
     parts = base.select(*keep, "line", "dialect", F.split(
         "line", F.when(F.col("dialect") == "txt", F.lit(";")).otherwise(F.lit(","))).alias("_p"))
@@ -115,8 +132,8 @@ def strict_rows(lines: DataFrame, value: str = "value", kw_digits: int = 4,
     for c in SUBS:
         ok = ok & F.col(c).isNotNull()
     return nums.filter(ok).select(
-        *keep, "event_time", F.bround("kw", kw_digits).alias("kw"),
-        *[F.bround(c, sub_digits).alias(c) for c in SUBS])
+        *keep, "event_time", round_half_even("kw", kw_digits).alias("kw"),
+        *[round_half_even(c, sub_digits).alias(c) for c in SUBS])
 
 
 def loose_rows(lines: DataFrame, value: str = "value", keep=(), dialect_hint: str = "auto") -> DataFrame:
@@ -144,10 +161,15 @@ def load_readings(spark: SparkSession, path: str, cleaning: str = "strict",
                   dialect: str = "auto") -> DataFrame:
     """A10: a meter file (or folder of them) as readings.
 
-    ``dialect``: txt, csv, or auto (each line by its separator, for folders
-    that hold both). ``tie`` hashes file name and line.
+    ``dialect``: txt, csv, header (each file by its first line), or auto (each
+    line by its separator). ``tie`` hashes file name and line.
     """
-    lines = read_lines(spark, path).select("value", F.xxhash64("_metadata.file_name", "value").alias("tie"))
+    lines = read_lines(spark, path).select("value", F.xxhash64("_metadata.file_name", "value").alias("tie"), F.col("_metadata.file_path").alias("file"))
+    if dialect == "header":
+        # a saved table, so that its size decides whether it is broadcast
+        kinds = checkpoint_path(spark, "meterflow", f"dialects-{uuid.uuid4().hex}")
+        file_dialects(spark, path).write.parquet(kinds)
+        lines, dialect = lines.join(spark.read.parquet(kinds), "file"), "column"
     clean = strict_rows if cleaning == "strict" else loose_rows
     rows = clean(lines, keep=("tie",), dialect_hint=dialect)
     return as_readings(rows, meter_id, factor, F.col("tie"))

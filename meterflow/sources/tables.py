@@ -61,12 +61,13 @@ def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def line_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Years of readings of seven meters, one for each line number of lineitem:
-    many months, few hot keys, and many readings that share an instant."""
+def line_meters(spark: SparkSession, sf_dir: str, meter: str = "concat('m', l_linenumber)") -> DataFrame:
+    """Years of readings from lineitem, of one meter for each value of ``meter``
+    (default: seven, by line number): many months, few hot keys, and many
+    readings that share an instant."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        F.concat(F.lit("m"), F.col("l_linenumber")).alias("meter_id"),
+        F.expr(meter).alias("meter_id"),
         F.col("l_shipdate").cast("timestamp").alias("event_time"),
         (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("tie"),
         F.col("l_quantity").alias("kw"), kwh_expr("l_quantity", KWH_FACTOR_DEMO, exact=True).alias("kwh"),
@@ -81,7 +82,9 @@ def line_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
 #   signup   -> Sub_metering_2 field '?'   (strict drops it, loose keeps it)
 #   click    -> Sub_metering_3 field empty (both keep it; strict reads 0.0)
 #   purchase -> Sub_metering_1 field 'x'   (strict drops it, loose keeps it)
-def meter_lines_from_events(events: DataFrame) -> DataFrame:
+def meter_lines_from_events(events: DataFrame, digits: tuple[int, int] = (4, 2)) -> DataFrame:
+    """(tie, value); ``digits``: decimals of the power and of the sub-meters."""
+    power, sub = (f"%.{d}f" for d in digits)
     k = F.get_json_object("props", "$.k").cast("int")
     et = F.col("event_type")
     fields = events.select(
@@ -89,13 +92,13 @@ def meter_lines_from_events(events: DataFrame) -> DataFrame:
         F.date_format("ts", "d/M/yyyy").alias("_d"), F.date_format("ts", "HH:mm:ss").alias("_t"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("_dt"),
         F.when(et == "error", F.lit("?")).otherwise(
-            F.format_string("%.4f", F.col("value") / 25)).alias("_kw"),
+            F.format_string(power, F.col("value") / 25)).alias("_kw"),
         F.when(et == "purchase", F.lit("x")).otherwise(
-            F.format_string("%.2f", k * F.lit(0.1))).alias("_s1"),
+            F.format_string(sub, k * F.lit(0.1))).alias("_s1"),
         F.when(et == "signup", F.lit("?")).otherwise(
-            F.format_string("%.2f", k * F.lit(0.05))).alias("_s2"),
+            F.format_string(sub, k * F.lit(0.05))).alias("_s2"),
         F.when(et == "click", F.lit("")).otherwise(
-            F.format_string("%.2f", (F.lit(99) - k) * F.lit(0.1))).alias("_s3"))
+            F.format_string(sub, (F.lit(99) - k) * F.lit(0.1))).alias("_s3"))
     csv = F.col("_csv")
     sep_line_txt = F.concat_ws(";", "_d", "_t", "_kw", F.lit("0.100"), F.lit("240.000"),
                                F.lit("1.000"), "_s1", "_s2", "_s3")

@@ -16,15 +16,22 @@ from meterflow.functions import parse_event_time
 from meterflow.schemas import EVENT_TIME_FORMAT, KWH_FACTOR_DEMO, MESSAGE
 
 
+#: Messages a micro-batch takes at most, unless the caller says otherwise.
+MAX_OFFSETS = 1_000_000
+
+
+def source_options(servers: str, topic: str, starting: str = "latest", **opts) -> dict[str, str]:
+    """Reader options, with a rate bound unless ``maxOffsetsPerTrigger`` is given."""
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting,
+            "maxOffsetsPerTrigger": str(MAX_OFFSETS), **opts}
+
+
 def read_topic(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
                fmt: str = "kafka", **opts) -> DataFrame:
     """A5: subscribe to a topic as a streaming DataFrame (needs the Kafka
-    connector on the classpath; not available in the test image)."""
-    r = (spark.readStream.format(fmt).option("kafka.bootstrap.servers", servers)
-         .option("subscribe", topic).option("startingOffsets", starting))
-    for k, v in opts.items():
-        r = r.option(k, v)
-    return r.load()
+    connector on the classpath; not available in the test image). A micro-batch
+    takes ``MAX_OFFSETS`` messages at most unless ``maxOffsetsPerTrigger`` is given."""
+    return spark.readStream.format(fmt).options(**source_options(servers, topic, starting, **opts)).load()
 
 
 def encode_readings(df: DataFrame, time: str = "event_time", keys=()) -> DataFrame:
@@ -34,13 +41,22 @@ def encode_readings(df: DataFrame, time: str = "event_time", keys=()) -> DataFra
     return df.select(*keys, F.to_json(body).cast("binary").alias("value"))
 
 
-def write_topic(df: DataFrame, servers: str, topic: str, fmt: str = "kafka", **opts):
-    """Batch write of encoded messages (``acks=1`` like the producer)."""
-    w = (df.write.format(fmt).option("kafka.bootstrap.servers", servers)
-         .option("topic", topic).option("kafka.acks", "1"))
-    for k, v in opts.items():
-        w = w.option(k, v)
-    return w.save()
+def topic_options(servers: str, topic: str, **opts) -> dict[str, str]:
+    """Writer options: the producer waits for the leader only (``acks=1``)."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": "1", **opts}
+
+
+def write_topic(df: DataFrame, servers: str, topic: str, fmt: str = "kafka", checkpoint: str | None = None,
+                trigger: str = "1 second", **opts):
+    """Write encoded messages to a topic: a batch at once, a stream as a
+    running query (returned) with its ``checkpoint``, a micro-batch every ``trigger``."""
+    given = topic_options(servers, topic, **opts)
+    if not df.isStreaming:
+        return df.write.format(fmt).options(**given).mode("append").save()
+    if checkpoint is None:
+        raise ValueError("a stream needs a checkpoint folder")
+    w = df.writeStream.format(fmt).options(**given).option("checkpointLocation", checkpoint).outputMode("append")
+    return (w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=trigger)).start()
 
 
 def _text(value: str) -> Column:

@@ -1,6 +1,8 @@
 """Dashboard reads and point-store semantics: FIXTURES X5 edges."""
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from meterflow.operators import dashboard as db
 
 T0 = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -78,3 +80,26 @@ def test_time_range_prunes_days_of_the_point_store(spark, scratch):
     scan = plan[plan.index("PartitionFilters"):]
     assert "day" in scan[:scan.index("]")] and len(df.inputFiles()) > 0
     assert "GreaterThanOrEqual(time" in plan
+
+
+def test_runs_of_gaps_equal_a_spine(spark):
+    import datetime as dt
+    import random
+    from meterflow.operators.dashboard import fill_gaps, interpolate_linear
+    rng = random.Random(2)
+    day = dt.date(2024, 1, 1)
+    rows = [(m, day + dt.timedelta(days=i), rng.choice([None, rng.random()]), rng.choice([None, rng.random()]))
+            for m in "abcd" for i in range(40) if rng.random() < 0.3]
+    df = spark.createDataFrame(rows, "m string, ds date, y double, z double")
+    step = F.expr("INTERVAL 1 DAY")
+    lo, hi = F.lit(day), F.lit(day + dt.timedelta(days=45))
+    for a, b in ((None, None), (lo, hi)):
+        span = df.groupBy("m").agg(F.min("ds").alias("a"), F.max("ds").alias("b"))
+        spine = span.select("m", F.explode(F.sequence("a" if a is None else a, "b" if b is None else b)).alias("ds"))
+        want = spine.join(df, ["m", "ds"], "left")
+        plain = fill_gaps(df, ["m"], "ds", ["y", "z"], step, a, b)
+        assert sorted(plain.collect(), key=str) == sorted(want.collect(), key=str)
+        linear = fill_gaps(df, ["m"], "ds", ["y", "z"], step, a, b, linear=True)
+        assert sorted(linear.collect(), key=str) == sorted(interpolate_linear(want, ["m"], "ds", ["y", "z"]).select("m", "ds", "y", "z").collect(), key=str)
+    plan = fill_gaps(df, ["m"], "ds", ["y"], step, lo, hi, linear=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1

@@ -1,4 +1,5 @@
 """Meter files (both dialects, both cleanings) and topic messages: FIXTURES X1-X3."""
+import pytest
 import datetime as dt
 import math
 import os
@@ -143,3 +144,58 @@ def test_load_readings_tie_is_stable(spark, scratch):
     a = files.load_readings(spark, scratch).collect()
     b = files.load_readings(spark, scratch, dialect="txt").repartition(3).collect()
     assert sorted(r.tie for r in a) == sorted(r.tie for r in b) and len({r.tie for r in a}) == len(a) == 4
+
+
+def test_rounding_is_that_of_the_double(spark):
+    import random
+    from meterflow.functions.parse import round_half_even
+    rng = random.Random(1)
+    xs = [2.675, 0.125, 0.375, 1.005, 2.5, -2.675, -0.125, 1e15 + 0.3, 4.5e15, 1e300, 0.0, -0.5, 0.00005, 1.00005, 12345678.12345]
+    xs += [round(rng.uniform(-50, 50), rng.choice([3, 4, 5, 6])) for _ in range(3000)] + [rng.randrange(-9999, 9999) / 8 for _ in range(300)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for digits in (2, 4):
+        for r in df.select("x", round_half_even("x", digits).alias("y")).collect():
+            assert r.y == round(r.x, digits), r
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (None,)], "x double").select(round_half_even("x", 2)).collect()
+    assert str(odd[0][0]) == "nan" and odd[1][0] == float("inf") and odd[2][0] is None
+
+
+def test_dialect_by_the_first_line_of_each_file(spark, scratch):
+    from meterflow.schemas import CSV_HEADER, TXT_HEADER
+    from meterflow.sources import files
+    texts = {"a.csv": [CSV_HEADER, "2007-01-01 00:00:00,1.5,0.1,240,a;b,1,2,3", "2007-01-01 00:01:00,2.5,0.1,240,6,1,2,3"],
+             "b.txt": [TXT_HEADER, "1/1/2007;00:02:00;3.5;0,1;240;6;1;2;3"],
+             "c.txt": ["nothing to split at", "1/1/2007;00:03:00;4.5;0.1;240;6;1;2;3"]}
+    for name, lines in texts.items():
+        with open(f"{scratch}/{name}", "w") as f:
+            f.write("\n".join(lines) + "\n")
+    kinds = {r.file.split("/")[-1]: r.dialect for r in files.file_dialects(spark, scratch).collect()}
+    assert kinds == {"a.csv": "csv", "b.txt": "txt", "c.txt": "txt"}
+    kw = lambda **a: sorted(r.kw for r in files.load_readings(spark, scratch, **a).collect())
+    assert kw(dialect="header") == kw(dialect="header", cleaning="loose") == [1.5, 2.5, 3.5, 4.5]
+    assert kw() == [2.5, 3.5, 4.5]  # line by line, the field with a semicolon makes a line TXT
+
+
+def test_topic_reader_and_stream_writer(spark, scratch):
+    from meterflow.sources import topic
+    assert topic.topic_options("h:1", "t", compression="lz4") == {
+        "kafka.bootstrap.servers": "h:1", "topic": "t", "kafka.acks": "1", "compression": "lz4"}
+    src = topic.read_topic(spark, "h:1", "t", fmt="rate", rowsPerSecond="50")  # a source that ignores the topic's options
+    assert src.isStreaming
+    assert topic.source_options("h:1", "t", maxOffsetsPerTrigger="5")["maxOffsetsPerTrigger"] == "5"
+    assert topic.source_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "latest",
+                                                "maxOffsetsPerTrigger": str(topic.MAX_OFFSETS)}
+    msgs = src.selectExpr("cast(value as double) as kw", "timestamp as event_time", "0D as sub1", "0D as sub2", "0D as sub3")
+    with pytest.raises(ValueError, match="checkpoint"):
+        topic.write_topic(topic.encode_readings(msgs), "h:1", "t", fmt="noop")
+    q = topic.write_topic(topic.encode_readings(msgs), "h:1", "t", fmt="noop", checkpoint=f"{scratch}/ckpt", trigger="200 milliseconds")
+    try:
+        import time
+        for _ in range(100):
+            if q.lastProgress and q.lastProgress.batchId >= 1:
+                break
+            time.sleep(0.2)
+        assert q.isActive and q.lastProgress.batchId >= 1  # a processing-time trigger, batch after batch
+    finally:
+        q.stop()
+    topic.write_topic(spark.createDataFrame([(b"x",)], "value binary"), "h:1", "t", fmt="noop")
