@@ -3,8 +3,10 @@
 A text is the average of the embeddings of its hashed subwords (byte n-grams
 of its lower-cased words, word edges marked), followed by a linear softmax.
 Both are trained together by stochastic gradient descent in numpy on a bounded
-sample; a held-back part of the sample sets the temperature that calibrates
-the probabilities and the threshold under which a prediction is not accepted.
+sample; a held-back part of the sample, its short pieces, and pieces with
+their letters in random order set the temperature and the shrinkage of short
+texts that calibrate the probabilities, and the threshold under which a
+prediction is not accepted.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ BUCKETS = 1 << 15
 WIDTH = 16
 GRAMS = (2, 3, 4)
 PER_LANGUAGE = 600  # examples of each language, chosen by hash; a fifth calibrates
+SHRINK = (10, 50, 200, 800)  # n-grams without evidence that stand beside a text's own, so short texts stay unsure; calibration picks one
+PIECES = (1, 2, 4, 8, 16)  # words of the short pieces that calibrate besides whole texts
 ACCEPTED = 0.995  # accuracy that accepted predictions shall reach on the calibration part
 LETTER = regex.compile(r"\p{L}")
 FOLD = np.full(256, 32, np.uint8)  # letters stay, all else is a word edge
@@ -66,13 +70,14 @@ class LanguageModel:
     table: np.ndarray  # bucket -> logits: embedding times softmax weights
     bias: np.ndarray
     temperature: float
+    shrink: float
     threshold: float
 
     def probabilities(self, texts: list[str]) -> np.ndarray:
         bucket, row = subwords(texts)
-        n = np.maximum(np.bincount(row, minlength=len(texts)), 1)
+        n = np.bincount(row, minlength=len(texts))
         logits = np.stack([np.bincount(row, weights=self.table[bucket, k], minlength=len(texts)) for k in range(len(self.languages))], axis=1)
-        return softmax((logits / n[:, None] + self.bias) / self.temperature)
+        return softmax((logits / (n + self.shrink)[:, None] + self.bias) / self.temperature)
 
 
 def train(examples: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, classes: int, epochs: int = 12, seed: int = 5):
@@ -93,18 +98,46 @@ def train(examples: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, clas
     return emb, w, b
 
 
-def calibrate(logits: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """(temperature of least log loss, threshold from which predictions are ACCEPTED)."""
+def pieces(text: str, seed: int) -> list[tuple[bool, str]]:
+    """Short runs of words of a text, each as it stands and with its letters in random order (True: a reject)."""
+    rng, words, out = np.random.default_rng(seed), text.split(), []
+    for n in PIECES:
+        if len(words) > n:
+            at = int(rng.integers(len(words) - n))
+            run = words[at:at + n]
+            letters = list("".join(run))
+            rng.shuffle(letters)
+            cut = np.cumsum([0, *map(len, run)])
+            out += [(False, " ".join(run)), (True, " ".join("".join(letters[i:j]) for i, j in zip(cut, cut[1:], strict=False)))]
+    return out
+
+
+def calibrate(logits: np.ndarray, n: np.ndarray, bias: np.ndarray, label: np.ndarray) -> tuple[float, float, float]:
+    """(temperature, shrinkage, threshold from which predictions are ACCEPTED) for mean logits of ``n`` n-grams
+    and a ``bias``; label -1 is a reject, which no language is right for.
+
+    The first two have the least log loss, rejects against all languages
+    alike, with a prior of the temperature around 1 that counts as ten texts.
+    """
     if not len(label):
-        return 1.0, 0.0
-    at = np.arange(len(label))
-    temperature = min(np.geomspace(0.05, 5, 60), key=lambda t: -np.log(np.maximum(softmax(logits / t)[at, label], 1e-12)).mean())
-    p = softmax(logits / temperature)
+        return 1.0, float(SHRINK[0]), 0.0
+    known = label >= 0
+
+    def scaled(t, shrink):
+        return softmax((logits * (n / (n + shrink))[:, None] + bias) / t)
+
+    def loss(x):
+        p = np.log(np.maximum(scaled(*x), 1e-12))
+        return -p[known, label[known]].sum() - p[~known].mean(axis=1).sum() + 10 * np.log(x[0]) ** 2
+
+    temperature, shrink = min(((t, s) for s in SHRINK for t in np.geomspace(0.02, 20, 60)), key=loss)
+    p = scaled(temperature, shrink)
     best, right = p.max(axis=1), p.argmax(axis=1) == label
-    order = np.argsort(-best)
+    order = np.argsort(-best, kind="stable")
     share = np.cumsum(right[order]) / np.arange(1, len(order) + 1)
-    good = np.flatnonzero(share >= ACCEPTED)
-    return float(temperature), float(best[order[good[-1]]]) if len(good) else 1.0
+    last = np.append(best[order][1:] < best[order][:-1], True)  # equal scores are accepted together
+    good = np.flatnonzero((share >= ACCEPTED) & last)
+    return float(temperature), float(shrink), float(best[order[good[-1]]]) if len(good) else 1.0
 
 
 def held_out(doc_id="doc_id"):
@@ -117,35 +150,42 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 21) -> La
     counts = {r.lang: r["count"] for r in learn.groupBy("lang").count().collect()}  # one row for each language
     languages = sorted(counts)
     if not languages:
-        return LanguageModel(["und"], np.zeros((BUCKETS, 1)), np.zeros(1), 1.0, 1.0)
+        return LanguageModel(["und"], np.zeros((BUCKETS, 1)), np.zeros(1), 1.0, 1.0, 1.0)
     share = F.create_map(*(F.lit(x) for lang in languages for x in (lang, min(1.0, per_language / counts[lang]))))
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)
 
     def examples(batches):
-        for part in slices(batches):
-            texts = part.column("text").to_pylist()
+        for batch in slices(batches):
+            rows = [(lang, part, 0, t) for lang, part, t in zip(*(batch.column(c).to_pylist() for c in ("lang", "part", "text")), strict=True)]
+            rows += [(lang, part, 1 + reject, t) for lang, part, _, text in rows if part < 200 for reject, t in pieces(text, part)]
+            langs, parts, kinds, texts = map(list, zip(*rows, strict=True))
             bucket, row = subwords(texts)
             at, x = [], []
             for mine in np.split(bucket, np.cumsum(np.bincount(row, minlength=len(texts)))[:-1]) if (np.diff(row) >= 0).all() else (bucket[row == i] for i in range(len(texts))):
                 f, c = np.unique(mine, return_counts=True)
                 at.append(f.astype(np.int32))
                 x.append((c / max(len(mine), 1)).astype(np.float32))
-            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("part"), pa.array(at, pa.list_(pa.int32())), pa.array(x, pa.list_(pa.float32()))],
-                                             names=["lang", "part", "at", "x"])
-
-    chosen = learn.filter(draw).select("lang", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "text"), F.lit(1000)).alias("part"), "text")
-    rows = bounded_batches(chosen).mapInArrow(examples, "lang string, part long, at array<int>, x array<float>").filter("size(at) > 0").limit(2 * per_language * len(languages)).toArrow()
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(parts, pa.int64()), pa.array(kinds, pa.int32()), pa.array(at, pa.list_(pa.int32())),
+                                              pa.array(x, pa.list_(pa.float32())), pa.array(np.bincount(row, minlength=len(texts)))],
+                                             names=["lang", "part", "kind", "at", "x", "n"])
+
+    key = F.xxhash64(F.lit(seed + 1), "doc_id", "text")
+    chosen = learn.filter(draw).select("lang", F.pmod(key, F.lit(1000)).alias("part"), "text", key.alias("key")).dropDuplicates(["lang", "key"])  # repeated rows once
+    each = 2 + len(PIECES)  # a fifth of the texts come with pieces; the bound is never met in practice
+    rows = (bounded_batches(chosen.select("lang", "part", "text")).mapInArrow(examples, "lang string, part long, kind int, at array<int>, x array<float>, n long")
+            .filter("size(at) > 0").limit(each * per_language * len(languages)).toArrow())
     at, x = rows.column("at").combine_chunks(), rows.column("x").combine_chunks()
-    found = sorted(((languages.index(lang), part, np.asarray(a.values), np.asarray(b.values)) for lang, part, a, b in
-                    zip(rows.column("lang").to_pylist(), rows.column("part").to_pylist(), at, x, strict=True)),
-                   key=lambda r: (r[1], r[0], len(r[2]), r[2].tobytes(), r[3].tobytes()))
+    found = sorted(((languages.index(lang), part, np.asarray(a.values), np.asarray(b.values), kind, n) for lang, part, kind, n, a, b in
+                    zip(*(rows.column(c).to_pylist() for c in ("lang", "part", "kind", "n")), at, x, strict=True)),
+                   key=lambda r: (r[1], r[4], r[0], r[5], len(r[2]), r[2].tobytes(), r[3].tobytes()))
     del rows
     hold = [r for r in found if r[1] < 200]
-    learned = [r for r in found if r[1] >= 200] or hold
-    emb, w, b = train([r[2:] for r in learned], np.array([r[0] for r in learned], np.int64), len(languages))
+    learned = [r for r in found if r[1] >= 200] or [r for r in hold if r[4] == 0]
+    emb, w, b = train([r[2:4] for r in learned], np.array([r[0] for r in learned], np.int64), len(languages))
     table = emb @ w
-    logits = np.array([r[3] @ table[r[2]] + b for r in hold]).reshape(-1, len(languages))
-    return LanguageModel(languages, table, b, *calibrate(logits, np.array([r[0] for r in hold], np.int64)))
+    logits = np.array([r[3] @ table[r[2]] for r in hold]).reshape(-1, len(languages))
+    return LanguageModel(languages, table, b, *calibrate(logits, np.array([r[5] for r in hold], float), b,
+                                                         np.array([r[0] if r[4] < 2 else -1 for r in hold], np.int64)))
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -43,3 +43,27 @@ def test_edges(spark):
     assert li.predict(df.limit(0), li.fit(df.limit(0))).count() == 0
     unknown = df.withColumn("lang", df.lang.substr(5, 1).cast("string")).selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {r.lang_pred for r in li.predict(unknown, li.fit(unknown)).collect()} == {"und"}
+
+
+def test_what_was_not_learned_is_not_accepted(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = li.fit(docs)
+    assert 0.05 < model.temperature < 20 and model.threshold < 1
+    odd = ["a", "12 x", "q", "日本語の文章はここにあります。読めますか。", "Это предложение на русском языке", "xq zvk wpf jjq kzx vvq pqx zzk", "αβγ δεζ"]
+    df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    for r in li.predict(df, model).collect():
+        assert not r.accepted and r.score < 0.99, (odd[r.doc_id], r)
+    rows = li.predict(docs, model).filter("held_out").collect()
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    sure = [r for r in rows if r.accepted]
+    assert len(sure) > 0.7 * len(rows)
+    gap = np.mean([r.score for r in rows]) - np.mean([r.lang_pred == truth[r.doc_id] for r in rows])
+    assert abs(gap) < 0.1  # a mean score near the share that is right
+
+
+def test_rejects_set_the_threshold():
+    logits = np.array([[4.0, 0.0]] * 300 + [[0.0, 3.0]] * 300 + [[1.0, 0.0]] * 100)
+    label = np.array([0] * 300 + [1] * 300 + [-1] * 100)
+    t, shrink, threshold = li.calibrate(logits, np.full(700, 50.0), np.zeros(2), label)
+    p = li.softmax(logits * (50 / (50 + shrink)) / t).max(axis=1)
+    assert (p[:600] >= threshold).all() and (p[600:] < threshold).all()
