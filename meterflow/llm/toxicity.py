@@ -3,10 +3,13 @@
 Terms are all the words of the examples, and the first four or five letters of
 longer words (stems stand for unseen endings); their inverse document
 frequencies are counted over all documents and weighted by how the term goes
-with the label among the examples, never by 0. Examples are unit vectors
+with the label among the examples, never by 0; how much, the examples' own
+leave-one-out votes decide. Examples are unit vectors
 of these weights. Weights of common terms are multiplied in full; the others are in
 an inverted index whose postings come in blocks of examples, each
-with the largest weight of a term in the block. A document's cosine with the
+with the largest weight of a term in the block. Like examples lie in one
+block (halved along the main directions), so that most blocks of another
+language or topic have low bounds. A document's cosine with the
 examples of a block is bounded by these and the common part; the blocks with the highest bounds are
 searched, then the others that can still reach the k-th nearest found, so the
 neighbours are exact. Their votes, weighted by cosine, are calibrated by
@@ -15,26 +18,27 @@ logistic regression on leave-one-out votes of the examples.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.llm.scratch import bounded_batches
-from meterflow.llm.texts import slices
+from meterflow.llm.texts import U64, mix, slices
 
 PER_LABEL = 1500  # examples of each label, chosen by hash
-FLOOR = 0.05  # weight of a term that is as frequent with either label; 1.05 of one that tells them apart
+FLOORS = (0.05, 0.2, 1.0)  # weight of a term that is as frequent with either label, 1 more of one that tells them apart; leave-one-out votes choose
 BLOCK = 64
-COMMON = 512  # at most so many terms, of an eighth of the examples each, are held as full rows
+COMMON = 1024  # at most so many terms, of a sixteenth of the examples each, are held as full rows
 FIRST = 4  # blocks that are searched before any is left out
 NEIGHBOURS = 15
-WORD = regex.compile(r"\p{L}+")
+WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> Counter:
@@ -46,29 +50,39 @@ def forms(word: str) -> list[str]:
     return [word, *(word[:n] + "-" for n in (4, 5) if len(word) > n)]
 
 
-class TermCounter:
-    """Counts of known terms in texts; remembers which terms a word stands for."""
+class Memo(dict):
+    """word -> the terms it stands for; forgets all when it grows too large."""
 
     def __init__(self, terms: dict[str, int]):
-        self.terms, self.memo = terms, {}
-
-    def of(self, word: str) -> list[int]:
-        at = self.memo.get(word)
-        if at is None:
-            if len(self.memo) > 200_000:
-                self.memo.clear()
-            at = self.memo[word] = [self.terms[f] for f in forms(word) if f in self.terms]
+        self.terms = terms
+
+    def __missing__(self, word: str) -> list[int]:
+        if len(self) > 200_000:
+            self.clear()
+        at = self[word] = [self.terms[f] for f in forms(word) if f in self.terms]
         return at
 
+
+class TermCounter:
+    """Counts of known terms in texts."""
+
+    def __init__(self, terms: dict[str, int]):
+        self.memo = Memo(terms)
+
     def distinct(self, text: str | None) -> set[int]:
-        return set().union(*map(self.of, set(WORD.findall((text or "").lower()))))
+        return set().union(*map(self.memo.__getitem__, set(WORD.findall((text or "").lower()))))
+
+    def arrays(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(terms in ascending order, their counts)."""
+        words = words_of(text)
+        held = list(map(self.memo.__getitem__, words))
+        size = list(map(len, held))
+        at, back = np.unique(np.fromiter(chain.from_iterable(held), np.int64, sum(size)), return_inverse=True)
+        return at, np.bincount(back, np.repeat(np.fromiter(words.values(), float, len(words)), size), minlength=len(at))
 
     def __call__(self, text: str | None) -> dict[int, int]:
-        found: dict[int, int] = {}
-        for word, n in words_of(text).items():
-            for i in self.of(word):
-                found[i] = found.get(i, 0) + n
-        return found
+        at, n = self.arrays(text)
+        return dict(zip(at.tolist(), n.astype(int).tolist(), strict=True))
 
 
 def spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +119,7 @@ class BlockMaxIndex:
         val = np.concatenate([np.zeros(0), *(x for _, x in rows)])
         held = np.bincount(col, minlength=terms)
         often = np.lexsort((np.arange(terms), -held))[:COMMON]
-        often = often[8 * held[often] >= max(len(rows), 8)]
+        often = often[16 * held[often] >= max(len(rows), 16)]
         common = np.full(terms, -1)
         common[often] = np.arange(len(often))
         full = np.zeros((len(often), len(rows)))
@@ -175,6 +189,33 @@ def unit(at: np.ndarray, n: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray,
     return at, x / np.sqrt(x @ x) if len(x) else x
 
 
+def arranged(rows: list[tuple[np.ndarray, np.ndarray]], size: int = BLOCK, width: int = 512) -> list[int]:
+    """An order of unit vectors (terms, weights) in which each run of ``size`` holds like ones.
+
+    The vectors, hashed to ``width`` signed sums, are halved again and again
+    along the direction in which they vary most, at a multiple of ``size``.
+    """
+    dense = np.zeros((len(rows), width))
+    for r, (at, x) in zip(dense, rows, strict=True):
+        h = mix(at.astype(U64))
+        np.add.at(r, (h % U64(width)).astype(np.int64), np.where(h >> U64(63), x, -x))
+    out, todo = [], [np.arange(len(rows))]
+    while todo:
+        part = todo.pop()
+        if len(part) <= size:
+            out += part.tolist()
+            continue
+        x = dense[part] - dense[part].mean(0)
+        axis = x[np.argmax((x * x).sum(1))]
+        for _ in range(12):
+            axis = x.T @ (x @ axis)
+            axis /= max(np.sqrt(axis @ axis), 1e-300)
+        part = part[np.lexsort((part, np.round(x @ axis, 9)))]
+        half = max(size, round(len(part) / 2 / size) * size)
+        todo += [part[half:], part[:half]]
+    return out
+
+
 @dataclass
 class ToxicityModel:
     terms: dict[str, int]
@@ -194,9 +235,9 @@ class ToxicityModel:
     def vote(self, ids: np.ndarray, cos: np.ndarray) -> float:
         return float((cos @ self.toxic[ids] + 0.5 * self.prior) / (cos.sum() + 0.5))
 
-    def scores(self, found: list[dict[int, int]]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
-        """(calibrated score, neighbours, cosines) from the counts of terms of each text."""
-        vectors = [self.vector(f) for f in found]
+    def scores(self, found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """(calibrated score, neighbours, cosines) from the terms and counts of each text."""
+        vectors = [unit(at, n, self.weight) for at, n in found]
         for i in range(0, len(vectors), 256):
             part = vectors[i:i + 256]
             for (at, x), base in zip(part, self.index.of_common(part), strict=True):
@@ -257,7 +298,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
     terms = {w: i for i, w in enumerate(counted["word"].to_pylist())}
     a, b = (counted[c].to_numpy().astype(float) for c in "ab")
     chi = (n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2 / (n1 * n0 * (a + b) * np.maximum(n1 + n0 - a - b, 1.0))
-    association = FLOOR + np.sqrt(np.minimum(chi / (n1 + n0), 1.0))
+    association = np.sqrt(np.minimum(chi / (n1 + n0), 1.0))
     shared = spark.sparkContext.broadcast(terms)
 
     def frequencies(batches):
@@ -273,15 +314,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
     total = int(held["n"].to_numpy()[~known_term].sum())
     seen = np.zeros(len(terms))
     seen[held["term"].to_numpy()[known_term]] = held["n"].to_numpy()[known_term]
-    weight = association * (np.log((1 + total) / (1 + seen)) + 1)
+    idf = np.log((1 + total) / (1 + seen)) + 1
 
     def term_counts(batches):
         count = TermCounter(shared.value)
         for part in slices(batches, "text", 8 << 20):
-            found = [sorted(count(t).items()) for t in part.column("text").to_pylist()]
+            found = [count.arrays(t) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").cast(pa.int64()), pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int64())),
-                 pa.array([[n for _, n in f] for f in found], pa.list_(pa.int64()))], names=["doc_id", "at", "n"])
+                [part.column("doc_id").cast(pa.int64()), pa.array([at for at, _ in found], pa.list_(pa.int64())),
+                 pa.array([n.astype(np.int64) for _, n in found], pa.list_(pa.int64()))], names=["doc_id", "at", "n"])
 
     rows = bounded_batches(examples).mapInArrow(term_counts, "doc_id long, at array<long>, n array<long>").limit(8 * per_label).toArrow().combine_chunks()
     found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -289,19 +330,28 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
         new = at.values.to_numpy(zero_copy_only=False), n.values.to_numpy(zero_copy_only=False)
         if i not in found or [x.tolist() for x in found[i]] < [x.tolist() for x in new]:  # of rows that share a doc_id, one
             found[i] = new
-    vectors = {i: unit(at, n.astype(float), weight) for i, (at, n) in found.items()}
-    with_terms = [i for i, (at, _) in vectors.items() if len(at)]
-    bare = [label[i] for i, (at, _) in vectors.items() if not len(at)]
-    # like examples next to each other: by label, then by their strongest term
-    with_terms.sort(key=lambda i: (label[i], vectors[i][0][vectors[i][1].argmax()], i))
-    y = np.array([label[i] for i in with_terms], float)
-    index = BlockMaxIndex.of([vectors[i] for i in with_terms], len(terms))
-    model = ToxicityModel(terms, weight, index, np.array(with_terms, np.int64), y, rate, 0.0, 0.0, rate)
-    stands_for = np.where(y == 1, all1 / n1, all0 / n0)  # labelled rows that an example was drawn from
-    votes = [model.vote(*index.nearest(*vectors[i], NEIGHBOURS, skip=row)) for row, i in enumerate(with_terms)]
-    model.slope, model.offset = logistic(np.array(votes), y, stands_for) if len(set(y.tolist())) == 2 else (0.0, float(np.log((rate + 1e-6) / (1 - rate + 1e-6))))
-    model.none = float((sum(bare) * all1 / n1 + 0.01) / (sum(bare) * all1 / n1 + (len(bare) - sum(bare)) * all0 / n0 + 1))
-    return model
+    with_terms = sorted(i for i, (at, _) in found.items() if len(at))
+    bare = [label[i] for i, (at, _) in found.items() if not len(at)]
+    none = float((sum(bare) * all1 / n1 + 0.01) / (sum(bare) * all1 / n1 + (len(bare) - sum(bare)) * all0 / n0 + 1))
+    y = {i: float(label[i]) for i in with_terms}
+
+    def fitted(floor: float) -> tuple[float, ToxicityModel]:
+        """(log loss of the calibrated leave-one-out votes, model)."""
+        weight = (floor + association) * idf
+        vectors = {i: unit(at, n.astype(float), weight) for i, (at, n) in found.items()}
+        ids = [with_terms[k] for k in arranged([vectors[i] for i in with_terms])]
+        truth = np.array([y[i] for i in ids])
+        index = BlockMaxIndex.of([vectors[i] for i in ids], len(terms))
+        model = ToxicityModel(terms, weight, index, np.array(ids, np.int64), truth, rate, 0.0, float(np.log((rate + 1e-6) / (1 - rate + 1e-6))), none)
+        if len(set(truth.tolist())) < 2:
+            return 0.0, model
+        stands_for = np.where(truth == 1, all1 / n1, all0 / n0)  # labelled rows that an example was drawn from
+        votes = [model.vote(*index.nearest(*vectors[i], NEIGHBOURS, skip=row)) for row, i in enumerate(ids)]
+        model.slope, model.offset = logistic(np.array(votes), truth, stands_for)
+        p = np.clip([model.calibrated(v) for v in votes], 1e-9, 1 - 1e-9)
+        return float(-(stands_for * np.where(truth == 1, np.log(p), np.log(1 - p))).sum()), model
+
+    return min(map(fitted, FLOORS), key=lambda x: x[0])[1]
 
 
 def scores(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
@@ -318,7 +368,7 @@ def scores(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> Dat
         m = shared.value
         count = TermCounter(m.terms)
         for part in slices(batches, "text", 8 << 20):
-            found = list(m.scores([count(t) for t in part.column("text").to_pylist()]))
+            found = list(m.scores([count.arrays(t) for t in part.column("text").to_pylist()]))
             score = [s for s, _, _ in found]
             evidence = [[{"doc_id": int(m.doc_ids[i]), "cosine": float(c)} for i, c in zip(ids, cos, strict=True) if m.toxic[i]][:3] for _, ids, cos in found]
             yield pa.RecordBatch.from_arrays(

@@ -62,7 +62,7 @@ def test_all_words_of_the_examples_count(spark):
         for i in count(t):
             held[i] = held.get(i, 0) + 1
     association = model.weight / (np.log((1 + len(docs)) / (1 + np.array([held[i] for i in range(len(model.terms))]))) + 1)
-    assert association.min() >= tox.FLOOR - 1e-9 and association.max() <= 1 + tox.FLOOR + 1e-9
+    assert association.min() >= min(tox.FLOORS) - 1e-9 and association.max() <= 1 + max(tox.FLOORS) + 1e-9
     without = 0
     for _, t in docs[:300]:
         at, x = model.vector(count(t))
