@@ -41,6 +41,9 @@ TEMPLATES = {
     "GPL-2.0": ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
                 "as published by the Free Software Foundation; either version 2 of the License, or any later version.",
                 "Licensed under the GNU General Public License, version 2."),
+    "LGPL-2.1": ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                 "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+                 "Licensed under the GNU Lesser General Public License, version 2.1."),
     "LGPL-3.0": ("You can redistribute it under the terms of the GNU Lesser General Public License, version 3.",),
     "AGPL-3.0": ("You can redistribute it under the terms of the GNU Affero General Public License, version 3.",),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
@@ -48,24 +51,82 @@ TEMPLATES = {
     "CC-BY-SA-4.0": ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Licensed under CC BY-SA 4.0."),
     "CC-BY-NC-4.0": ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Licensed under CC BY-NC 4.0."),
     "CC0-1.0": ("To the extent possible under law, the author has waived all copyright and related rights. CC0 1.0 Universal.",),
+    "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies.", "Licensed under the ISC License."),
+    "0BSD": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.",),
+    "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
     "LicenseRef-Proprietary": ("All rights reserved.", "Confidential and proprietary. Unauthorized copying of this file is strictly prohibited."),
 }
 RESERVED = "All rights reserved."  # stands beside grants too
+#: Full texts of short public licences without their copyright lines, by SPDX identifier (fixed values): a licence file is compared as a file.
+FULL_TEXTS = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the
+        "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,
+        distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
+        following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+        Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+        CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE
+        OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the
+        above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+        WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY
+        SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION
+        OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+        disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in
+        the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its
+        contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS
+        PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+        WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE
+        LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+        SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+        CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF
+        THE POSSIBILITY OF SUCH DAMAGE.""",
+}
+FULL = 0.85  # cosine of a whole file with a full text that makes it this licence
 COSINE = 0.6  # of a notice with a template
 SHORT = 10  # words; of shorter templates, half the words stand in other prose too:
 SHORT_COSINE = 0.88  # for these, of a run of words within lines
 MAINLY = 0.8  # share of a text's words in matched notices that makes it a licence file
 TOKEN = regex.compile(r"[a-z]+|\d+(?:\.\d+)*")
 ANCHOR = regex.compile(r"licen[cs]|copyright|\(c\)|rights reserved|redistribut|permission|public domain|spdx|proprietary|free software|all rights|waived", regex.I)
-SPDX = regex.compile(r"SPDX-License-Identifier:\s*([\w.+-]+)")
+SPDX = regex.compile(r"SPDX-License-Identifier:[ \t]*((?:\([ \t]*)*[\w.+-]+[ \t)]*(?:(?:AND|OR|WITH)\b[ \t(]*[\w.+-]+[ \t)]*)*)", regex.I)
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)([._-][^/]*)?$"
 
 
+def spdx(text: str) -> list[tuple[str, str]]:
+    """(expression, matched notice) of the SPDX lines of a text, blanks and outer brackets put in order."""
+    out = []
+    for m in SPDX.finditer(text):
+        words = regex.findall(r"[()]|[\w.+-]+", m[1])
+        while words.count("(") < words.count(")"):
+            words.pop(len(words) - 1 - words[::-1].index(")"))
+        words = [w.upper() if w.upper() in ("AND", "OR", "WITH") else w for w in words]
+        if len(words) > 2 and words[0] == "(" and words[-1] == ")" and "(" not in words[1:]:
+            words = words[1:-1]
+        out.append((" ".join(words).replace("( ", "(").replace(" )", ")"), m[0].strip()))
+    return out
+
+
+def named(expression: str) -> list[str]:
+    """The licences in an SPDX expression, without exceptions."""
+    words = regex.findall(r"[\w.+-]+", expression)
+    return [w for i, w in enumerate(words) if w not in ("AND", "OR", "WITH") and (i == 0 or words[i - 1] != "WITH")]
+
+
 def tokens(text: str) -> list[str]:
     return TOKEN.findall(text.lower())
 
 
+def unit(count: Counter) -> dict[str, float]:
+    norm = math.sqrt(sum((1 + math.log(n)) ** 2 for n in count.values())) or 1.0
+    return {w: (1 + math.log(n)) / norm for w, n in count.items()}
+
+
 @dataclass
 class Templates:
     names: list[str]
@@ -75,6 +136,8 @@ class Templates:
     terms: list[dict[str, float]]  # of each template: its unit vector
     sizes: list[int]  # and its number of words
     reserving: frozenset[int]  # the templates that only reserve rights
+    full: list[tuple[str, dict[str, float]]]  # full texts: name and unit vector
+    full_sizes: list[int]
 
     @classmethod
     def build(cls, templates=None) -> Templates:
@@ -92,7 +155,17 @@ class Templates:
                 terms[i][w] = y
         reserved = Counter(tokens(RESERVED))
         return cls([n for n, _ in rows], idf, weights, math.log(1 + len(rows)) + 1, terms, [sum(c.values()) for _, c in rows],
-                   frozenset(i for i, (_, c) in enumerate(rows) if c == reserved))
+                   frozenset(i for i, (_, c) in enumerate(rows) if c == reserved), *cls._full(FULL_TEXTS if templates is None else {}))
+
+    @staticmethod
+    def _full(texts) -> tuple[list[tuple[str, dict[str, float]]], list[int]]:
+        counts = [(name, Counter(tokens(t))) for name, t in texts.items()]
+        return [(name, unit(c)) for name, c in counts], [sum(c.values()) for _, c in counts]
+
+    def whole(self, words: list[str]) -> tuple[str | None, float]:
+        """(licence, cosine) of the nearest full text, by the logarithms of counts."""
+        mine = unit(Counter(words))
+        return max(((name, sum(x * mine.get(w, 0.0) for w, x in v.items())) for name, v in self.full), key=lambda r: r[1], default=(None, 0.0))
 
     def cosine(self, i: int, words: list[str]) -> float:
         """Of words with template ``i``."""
@@ -150,8 +223,11 @@ def window(words: list[str], at: int, begin: int, templates: Templates, least: f
     return pick
 
 
-def notices(text: str | None, templates: Templates, least: float = COSINE) -> tuple[str | None, float, str | None, float]:
-    """(licence, cosine, matched notice, share of the words in matched notices) of a whole text.
+def notices(text: str | None, templates: Templates, least: float = COSINE) -> tuple[str | None, float, str | None, float, list[str]]:
+    """(licence, cosine, matched notice, share of the words in matched notices, all licences) of a whole text.
+
+    A text that as a whole is near a full licence text is that licence; an SPDX
+    expression comes before other notices and is given as it stands.
 
     At every licence word, a notice is the run of words around it, wherever
     lines end, that is nearest to a template of about as many words; or its line from
@@ -159,10 +235,15 @@ def notices(text: str | None, templates: Templates, least: float = COSINE) -> tu
     reserved count where nothing in the text is granted.
     """
     if not text or not ANCHOR.search(text):
-        return None, 0.0, None, 0.0
-    found = SPDX.search(text)
+        return None, 0.0, None, 0.0, []
+    found = spdx(text)
     words, starts, ends = spotted(text)
-    best = {False: (found[1], 1.0, found[0]) if found else (None, 0.0, None), True: (None, 0.0, None)}
+    if not found and len(words) <= 2 * max(templates.full_sizes, default=0):
+        name, c = templates.whole(words)
+        if c >= FULL:
+            return name, c, text[starts[0]:ends[min(len(words), 12) - 1]], 1.0, [name]
+    every = list(dict.fromkeys(x for e, _ in found for x in named(e)))
+    best = {False: (found[0][0], 1.0, found[0][1]) if found else (None, 0.0, None), True: (None, 0.0, None)}
     matched, begin, tried = 0, 0, -1
     for anchor in ANCHOR.finditer(text):
         at = bisect_right(ends, anchor.start())
@@ -188,15 +269,18 @@ def notices(text: str | None, templates: Templates, least: float = COSINE) -> tu
         name, c, first, n, reserving = pick
         matched += n
         begin = first + n
+        if not reserving and name not in every:
+            every.append(name)
         if c > best[reserving][1] + 1e-12:
             best[reserving] = (name, c, text[starts[first]:ends[begin - 1]])
     name, cosine, shown = best[False] if best[False][0] else best[True]
-    return name, cosine, shown, matched / max(len(words), 1) if name else 0.0
+    return name, cosine, shown, matched / max(len(words), 1) if name else 0.0, every or ([name] if name else [])
 
 
 def scan(files: DataFrame, least: float = COSINE, templates=None) -> DataFrame:
     """One row per row of ``files(doc_id, path, text)``: doc_id, path, license,
-    cosine, evidence, via (own, inherited or none) and inherited_from (a directory).
+    cosine, evidence, via (own, inherited or none), inherited_from (a directory)
+    and licenses (all that the text itself names, an SPDX expression's one by one).
 
     Null, empty and licence-free texts have no notice of their own; a null path
     has no directory and inherits nothing. Of several licence files in one
@@ -212,10 +296,11 @@ def scan(files: DataFrame, least: float = COSINE, templates=None) -> DataFrame:
             columns = [list(c) for c in zip(*rows, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").cast(pa.int64()), part.column("path"), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.float64()),
-                 pa.array(columns[2], pa.string()), pa.array(columns[3], pa.float64())], names=["doc_id", "path", "own", "cosine", "evidence", "share"])
+                 pa.array(columns[2], pa.string()), pa.array(columns[3], pa.float64()), pa.array(columns[4], pa.list_(pa.string()))],
+                names=["doc_id", "path", "own", "cosine", "evidence", "share", "found"])
 
     own = saved(files.select("doc_id", "path", "text").mapInArrow(
-        run, "doc_id long, path string, own string, cosine double, evidence string, share double")
+        run, "doc_id long, path string, own string, cosine double, evidence string, share double, found array<string>")
         .withColumn("dir", F.regexp_replace("path", r"/?[^/]*$", "")), "license-own")
     grants = (own.filter(F.col("own").isNotNull() & F.col("dir").isNotNull() & (F.col("path").rlike(LICENSE_FILE) | (F.col("share") >= MAINLY)))
               .groupBy(F.col("dir").alias("up")).agg(F.min(F.struct((-F.col("cosine")).alias("c"), "own")).alias("g")).select("up", F.col("g.own").alias("granted")))
@@ -228,4 +313,4 @@ def scan(files: DataFrame, least: float = COSINE, templates=None) -> DataFrame:
     mine = F.col("own").isNotNull()
     return out.select("doc_id", "path", F.coalesce("own", "granted").alias("license"), F.when(mine, F.col("cosine")).otherwise(0.0).alias("cosine"), "evidence",
                       F.when(mine, "own").when(F.col("granted").isNotNull(), "inherited").otherwise("none").alias("via"),
-                      F.when(~mine, F.col("from_dir")).alias("inherited_from"))
+                      F.when(~mine, F.col("from_dir")).alias("inherited_from"), F.col("found").alias("licenses"))

@@ -53,7 +53,7 @@ def test_nearest_ancestor(spark):
         parts = path.split("/")[:-1]
         for n in range(len(parts), -1, -1):
             here = "/".join(parts[:n])
-            for p, (name, _, _, share) in own.items():
+            for p, (name, _, _, share, _) in own.items():
                 if name and p.rpartition("/")[0] == here and (re.search(r"(^|/)(LICENSE|COPYING)", p) or share >= lic.MAINLY):
                     return name, here
         return None, None
@@ -85,3 +85,25 @@ def test_notices_amid_other_text():
                   "a licence under the law of the harbour is needed ", "licensed under the Foo License by its makers "):
         assert lic.notices(prose + other + prose, t)[0] is None
     assert lic.notices("\u0130stanbul \u0130zmir " + footer, t)[2] == "All rights reserved"
+
+
+def test_expressions_full_texts_and_several_notices(spark):
+    t = lic.Templates.build()
+    name = lambda x: lic.notices(x, t)[0]
+    every = lambda x: lic.notices(x, t)[4]
+    assert name("// SPDX-License-Identifier: MIT OR Apache-2.0\ncode") == "MIT OR Apache-2.0" and every("# SPDX-License-Identifier: MIT OR Apache-2.0") == ["MIT", "Apache-2.0"]
+    assert name("SPDX-License-Identifier: (MIT AND BSD-3-Clause)") == "MIT AND BSD-3-Clause"
+    assert name("/* SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note */") == "GPL-2.0 WITH Linux-syscall-note"
+    assert every("SPDX-License-Identifier: (GPL-2.0 WITH Linux-syscall-note) OR MIT)") == ["GPL-2.0", "MIT"]
+    assert name(lic.TEMPLATES["LGPL-2.1"][0]) == "LGPL-2.1" and name(lic.TEMPLATES["GPL-3.0"][0]) == "GPL-3.0"
+    for x in ("ISC", "BSL-1.0", "EPL-2.0", "0BSD"):
+        assert name("Some words before it. " + lic.TEMPLATES[x][0] + " And after it.") == x
+    both = lic.TEMPLATES["Apache-2.0"][0] + "\nPlain words about the project.\n" + lic.TEMPLATES["MIT"][1]
+    assert every(both) == ["Apache-2.0", "MIT"]
+    for x, text in lic.FULL_TEXTS.items():
+        found = lic.notices(f"The {x} thing\nCopyright (c) 2021 Somebody Else\n\n" + text, t)
+        assert found[0] == x and found[3] == 1.0
+    assert lic.notices(lic.FULL_TEXTS["MIT"] + " unlike words" * 400, t)[3] < 0.5
+    files = spark.createDataFrame([(1, "a/terms.txt", lic.FULL_TEXTS["ISC"]), (2, "a/b/code.c", "int x;"), (3, "c/code.c", "int y;")], "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.via, r.inherited_from, r.licenses) for r in lic.scan(files).collect()}
+    assert got == {1: ("ISC", "own", None, ["ISC"]), 2: ("ISC", "inherited", "a", []), 3: (None, "none", None, [])}
