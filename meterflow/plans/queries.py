@@ -705,6 +705,32 @@ def q_stored_upsert(spark, sf_dir):
     return store.read("points").select("meter_id", ntz("time"), "alert_level", "batch", "tie", "kw", dbl("kwh_cumulative"), dbl("vnd_cumulative"))
 
 
+@register("stream_resumed", S.power_usage_sql(True, "demo_slot"))
+def q_stream_resumed(spark, sf_dir):
+    """I1 + I3 + I5 with operator state: a stream takes two parts of the messages and is dropped; the totals are
+    read from its state store and start a new stream, with a checkpoint of its own, that takes the third."""
+    from meterflow.functions import kwh as kwh_expr
+    from meterflow.streaming import billing as sb
+    ensure_utc(spark)
+    root = checkpoint_path(spark, "meterflow", f"stream_resumed-{uuid.uuid4().hex}")
+    msgs = tables.messages_clean(tables.table(spark, sf_dir, "events"))
+    first, second, third = _time_parts(msgs)
+    initial = None
+    with _state_partitions(spark):
+        for name, cond in (("a", first | second), ("b", third)):
+            msgs.filter(cond).select("tie", "value").repartition(FILES).write.parquet(f"{root}/in-{name}")
+            src = spark.readStream.schema("tie long, value binary").option("maxFilesPerTrigger", FILES).parquet(f"{root}/in-{name}")
+            good, _ = topic.split_rejects(topic.decode_readings(src, keep=("tie",)))
+            good = good.select(F.lit(tables.HOUSE).alias("meter_id"), "event_time", "tie", "kw", kwh_expr("kw", exact=True).alias("kwh"),
+                               "sub1", "sub2", "sub3")
+            billed = sb.billing_stream(good, cycle="demo_slot", exact=True, initial=initial)
+            sb.run_stream(billed, sb.point_sink(f"{root}/out", name), f"{root}/ckpt-{name}", "availableNow").awaitTermination()
+            initial = sb.state_totals(spark, f"{root}/ckpt-{name}", exact=True)
+    pu = spark.read.parquet(f"{root}/out/power_usage")
+    return pu.select("meter_id", "tie", ntz("time"), "alert_level", "kw", dbl("kwh_cumulative"), dbl("vnd_cumulative"),
+                     "sub1_pct", "sub2_pct", "sub3_pct", "suggestion", "month_key")
+
+
 @contextlib.contextmanager
 def _state_partitions(spark):
     """The state of a stream is partitioned once, at its first start, by

@@ -57,7 +57,7 @@ class CycleTotals(StatefulProcessor):
     state stays bounded by the open cycles.
     """
 
-    dtype, state_schema, zero = "float64", "kwh double, lost boolean", 0.0
+    dtype, state_schema, zero, limit = "float64", "kwh double, lost boolean", 0.0, np.inf
 
     def __init__(self, columns: list[str], order=("event_time", "tie"), value: str = "kwh",
                  out: str = "kwh_cumulative", close: bool = False):
@@ -77,10 +77,13 @@ class CycleTotals(StatefulProcessor):
             return
         pdf = pdf.sort_values(self.order, kind="mergesort")
         start, lost = self.total.get() if self.total.exists() else (self.zero, False)
-        cum = self._cum(start, pdf[self.value].to_numpy(dtype=self.dtype))
-        # a reading without a usable number makes the rest of its cycle unknown
-        pdf[LOST] = np.logical_or.accumulate(np.concatenate([[lost], pdf[LOST].to_numpy(dtype=bool)]))[1:]
-        self.total.update((cum[-1].item(), bool(pdf[LOST].iloc[-1])))
+        vals = pdf[self.value].to_numpy(dtype=self.dtype)
+        cum = self._cum(start, vals)
+        # a reading without a usable number makes the rest of its cycle unknown, as does a total that the state can't hold
+        wide = np.abs(float(start) + np.cumsum(vals.astype("float64"))) >= self.limit
+        pdf[LOST] = np.logical_or.accumulate(np.concatenate([[lost], pdf[LOST].to_numpy(dtype=bool) | wide]))[1:]
+        lost = bool(pdf[LOST].iloc[-1])
+        self.total.update((self.zero if lost and self.limit < np.inf else cum[-1].item(), lost))
         if self.close_cycles:
             self.handle.registerTimer(month_end_ms(key[-1]))
             pdf["closed"] = False
@@ -111,7 +114,7 @@ class CycleTotals(StatefulProcessor):
 class ExactCycleTotals(CycleTotals):
     """As ``CycleTotals`` on integer micro-kWh (exact, order-free sums)."""
 
-    dtype, state_schema, zero = "int64", "micro long, lost boolean", 0
+    dtype, state_schema, zero, limit = "int64", "micro long, lost boolean", 0, 9.0e18
 
     def _cum(self, start, vals):
         return int(start) + np.cumsum(vals)
@@ -188,6 +191,17 @@ def billing_stream(readings: DataFrame, cycle: str = "demo_slot", keys=("meter_i
     return classify(running_bill(out), warn, crit)
 
 
+def state_totals(spark: SparkSession, checkpoint: str, keys=("meter_id",), exact: bool = False) -> DataFrame:
+    """(keys, month_key, kwh) as a ``billing_stream`` left them in its state store, read from its checkpoint.
+
+    What the last committed micro-batch holds; ready to be the ``initial`` of
+    another stream. Cycles with a reading without a usable number have NULL.
+    """
+    rows = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "total").load()
+    kwh = (F.col("value.micro").cast("decimal(20,0)") / F.lit(MICRO)).cast("decimal(20,6)") if exact else F.col("value.kwh")
+    return rows.select(*(F.col(f"key.{k}").alias(k) for k in (*keys, "month_key")), F.when(~F.col("value.lost"), kwh).alias("kwh"))
+
+
 def message_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """A file stream of JSON messages (one per line) - the topic stand-in."""
     r = spark.readStream.format("text")

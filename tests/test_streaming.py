@@ -174,3 +174,36 @@ def test_a_nan_message_makes_only_its_cycle_unknown(spark, scratch):
         assert [str(float(r.kwh_cumulative)) if r.kwh_cumulative is not None else None for r in rows] == [
             "3.0", "4.5", *[str(unknown) if unknown is not None else None] * 2, "7.5", "9.0"]
         assert rows[2].alert_level == "CRITICAL" and str(rows[2].kw) == "nan"
+
+
+def test_state_store_equals_the_recovered_totals(spark, scratch):
+    from meterflow.operators.points import recover_totals
+    src, out, ckpt = (os.path.join(scratch, x) for x in ("in", "out", "ckpt"))
+    write_day_files(src, days=set(range(12)))
+    run(spark, src, out, ckpt)
+    mb = spark.read.parquet(os.path.join(out, "monthly_billing"))
+    want = {(r.meter_id, r.month_key): r.kwh for r in mb.groupBy("meter_id", "month_key").agg(F.max("kwh").alias("kwh")).collect()}
+    got = {(r.meter_id, r.month_key): r.kwh for r in sb.state_totals(spark, ckpt).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-12) for k in want)
+    rec = recover_totals(None, mode="per_cycle", billing=mb, order=("batch_id", "time", "tie"))
+    assert {(r.meter_id, r.month_key) for r in rec.collect()} == got.keys()
+
+
+def test_a_total_beyond_the_state_is_unknown():
+    import pandas as pd
+
+    class Held:
+        value = None
+        exists = lambda self: self.value is not None
+        get = lambda self: self.value
+
+        def update(self, x):
+            self.value = x
+
+    proc = sb.ExactCycleTotals(["tie", sb.LOST])
+    proc.total = Held()
+    rows = pd.DataFrame({"event_time": pd.Timestamp("2024-01-01"), "tie": range(8), "kwh": [1_500_000_000_000_000_000] * 8, sb.LOST: False})
+    first = next(proc.handleInputRows(("m", "c"), iter([rows]), None))
+    assert first[sb.LOST].tolist() == [False] * 5 + [True] * 3 and first["kwh_cumulative"][4] == 7_500_000_000_000_000_000
+    again = next(proc.handleInputRows(("m", "c"), iter([rows[:1].assign(kwh=1)]), None))
+    assert again[sb.LOST].tolist() == [True] and proc.total.value == (0, True)
