@@ -82,14 +82,17 @@ class PointStore:
         With ``rows_per_file`` the files of a day are even and at most that long.
         """
         df = df.withColumn("day", self._day(F.col(time) if time in df.columns else F.lit(None).cast("date")))
-        count = {r.day: r.n for r in df.groupBy("day").agg(F.count("*").alias("n")).collect()}  # one row a day
-        if rows_per_file is not None and count:
-            files = self.spark.createDataFrame([(d, max(1, math.ceil(n / rows_per_file))) for d, n in count.items()], "_day date, _files int")
+        per_day = lambda rows: {r.day: r.n for r in rows.groupBy("day").agg(F.count("*").alias("n")).collect()}
+        path, out = f"{self.root}/{table}/part={part}", df
+        if rows_per_file is not None:
+            need = {d: max(1, math.ceil(n / rows_per_file)) for d, n in per_day(df).items()}
+            files = self.spark.createDataFrame(list(need.items()), "_day date, _files int")  # one row a day
             salted = df.join(F.broadcast(files), F.col("day") == F.col("_day")).withColumn(
                 "_salt", F.pmod(F.xxhash64(*(c for c in df.columns if c != "day")), "_files"))
-            df = salted.repartition(sum(max(1, math.ceil(n / rows_per_file)) for n in count.values()), "day", "_salt").drop("_day", "_files", "_salt")
-        if count:
-            df.write.mode("overwrite").partitionBy("day").parquet(f"{self.root}/{table}/part={part}")
+            out = salted.repartition(max(1, sum(need.values())), "day", "_salt").drop("_day", "_files", "_salt")
+        out.write.mode("overwrite").partitionBy("day").parquet(path)
+        # counted in what was written, so that df is computed once
+        count = per_day(self.spark.read.schema(out.schema).parquet(path))
         return [{"table": table, "part": part, "day": d, "kind": "add", "rows": n} for d, n in sorted(count.items())]
 
     def commit(self, name: str, entries: list[dict], mark=None) -> None:
