@@ -89,12 +89,14 @@ def rollovers(billed: DataFrame, keys=("meter_id",), cycle: str = "month_key", o
     running total and bill at that moment, and the new key.
     """
     keys, order = list(keys), list(order)
-    prev = previous_row(billed, keys, order, [cycle, total], prefix="prev_")
-    firsts = billed.groupBy(*keys, cycle).agg(F.min(F.struct(*order)).alias("_first"))
-    changed = prev.filter(F.col(f"prev_{cycle}").isNotNull()
-                          & (F.col(f"prev_{cycle}") != F.col(cycle)))
-    hit = changed.join(firsts, [*keys, cycle], "inner").filter(
-        F.struct(*order) == F.col("_first"))
+    rows = billed.select(*keys, *order, cycle, total)
+    prev = previous_row(rows, keys, order, [cycle, total], prefix="prev_")
+    # the first reading of a cycle follows no reading, or one of another cycle
+    opens = prev.filter(F.col(cycle).isNotNull()
+                        & (F.col(f"prev_{cycle}").isNull() | (F.col(f"prev_{cycle}") != F.col(cycle))))
+    firsts = opens.groupBy(*keys, cycle).agg(F.min_by(
+        F.struct(*order, f"prev_{cycle}", f"prev_{total}"), F.struct(*order)).alias("_first"))
+    hit = firsts.filter(F.col(f"_first.prev_{cycle}").isNotNull()).select(*keys, cycle, "_first.*")
     return hit.select(
         *keys, F.col(order[0]).alias("time"), *order[1:],
         F.col(f"prev_{cycle}").alias("prev_key"),

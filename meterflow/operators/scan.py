@@ -4,18 +4,24 @@ holds most of the rows.
 A plain ``Window.partitionBy(key).orderBy(t)`` puts every row of a key into
 one task, and one meter (or one billing cycle of a single-meter deployment)
 can hold a third of all rows. Here the ordering of every key is cut at fixed
-points of time, hours and seconds, and the scan runs in three levels:
+points and the scan runs in three levels:
 
-1. rows within (key, second): the only sort over rows, by the whole order;
-2. seconds within (key, hour): at most 3,600 pre-aggregated rows;
+1. rows within a cell: one millisecond of a key, and within its whole value (or
+   among rows without a time) one range of ``TIES`` values of the second order
+   column; the only sort over rows, by the whole order;
+2. cells within (key, hour): pre-aggregated rows, as many as the hour has
+   milliseconds with rows and ranges of ties;
 3. hours within a key: some 8,800 pre-aggregated rows a year.
 
 What a level hands on (a sum, or the last row) is added to the level below by
-a join on (key, hour, second). A row's cell depends on the row alone, so
-there is one algorithm for every size, no job runs while the plan is built,
-and a recomputed task agrees with the first one. A burst or a back-fill
-spreads over its seconds. Rows without a time are first in the order and have
-a cell of their own, as in the plain window.
+a join on the cell. A row's cell depends on the row alone, so there is one
+algorithm for every size, no job runs while the plan is built, and a
+recomputed task agrees with the first one. A burst spreads over its
+milliseconds; rows of one second, of one date or without a time spread over
+their ties: with distinct integer ties no window over rows has more than
+``TIES``. (Rows of one instant between two milliseconds, or with ties that are
+no integers, stay in one cell.) Rows without a time are first in the order, as
+in the plain window.
 """
 
 from __future__ import annotations
@@ -23,18 +29,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOUR, SECOND = "_hour", "_second"
+HOUR, AT, PART = "_hour", "_at", "_part"
+CELL = (HOUR, AT, PART)
 NO_TIME = -(1 << 62)  # before all times
+TIES = 1 << 16  # values of the second order column in a cell
 
 
-def _cells(df: DataFrame, first_order: str) -> DataFrame:
-    kind = df.schema[first_order].dataType.typeName()
+def _cells(df: DataFrame, order) -> DataFrame:
+    """``df`` with its cell (see above); the order by (AT, PART) agrees with ``order``."""
+    time = F.col(order[0])
+    kind = df.schema[order[0]].dataType.typeName()
     if kind in ("timestamp", "timestamp_ntz", "date"):
-        second = F.unix_seconds(F.col(first_order).cast("timestamp"))
+        time = time.cast("timestamp")
+        at, hour, whole = F.unix_millis(time), 3_600_000, F.pmod(F.unix_micros(time), F.lit(1000)) == 0
     else:
-        second = F.floor(F.col(first_order)).cast("long")
-    second = F.coalesce(second, F.lit(NO_TIME))
-    return df.withColumn(SECOND, second).withColumn(HOUR, F.floor(F.col(SECOND) / 3600).cast("long"))
+        at, hour, whole = F.floor(time).cast("long"), 3600, F.floor(time) == time
+    part = F.lit(0).cast("long")
+    if len(order) > 1 and df.schema[order[1]].dataType.typeName() in ("byte", "short", "integer", "long"):
+        tie = F.col(order[1]).cast("long")
+        tie = F.coalesce(tie - F.pmod(tie, F.lit(TIES).cast("long")), F.lit(-(1 << 63)))
+        part = F.when(F.coalesce(whole, F.lit(True)), tie).otherwise(F.lit((1 << 63) - 1))  # after the whole value
+    df = df.withColumns({AT: F.coalesce(at, F.lit(NO_TIME)), PART: part})
+    return df.withColumn(HOUR, F.floor(F.col(AT) / hour).cast("long"))
 
 
 def _same(left: DataFrame, right: DataFrame, keys) -> Column:
@@ -57,15 +73,14 @@ def running_totals(df: DataFrame, keys, order, values: dict[str, str]) -> DataFr
     """
     keys, order, outs = list(keys), list(order), list(values)
     cols = [c for c in df.columns if c not in outs]
-    cells = _cells(df, order[0])
-    cell = [*keys, HOUR, SECOND]
-    before = lambda by, at: Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
-    seconds = cells.groupBy(*cell).agg(*(F.sum(values[o]).alias(f"_s_{o}") for o in outs))
-    hours = seconds.groupBy(*keys, HOUR).agg(*(F.sum(f"_s_{o}").alias(f"_h_{o}") for o in outs))
+    cells, cell = _cells(df, order), [*keys, *CELL]
+    before = lambda by, *at: Window.partitionBy(*by).orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
+    parts = cells.groupBy(*cell).agg(*(F.sum(values[o]).alias(f"_s_{o}") for o in outs))
+    hours = parts.groupBy(*keys, HOUR).agg(*(F.sum(f"_s_{o}").alias(f"_h_{o}") for o in outs))
     hours = hours.withColumns({f"_h_{o}": F.sum(f"_h_{o}").over(before(keys, HOUR)) for o in outs})
-    seconds = seconds.withColumns({f"_s_{o}": F.sum(f"_s_{o}").over(before([*keys, HOUR], SECOND)) for o in outs})
+    parts = parts.withColumns({f"_s_{o}": F.sum(f"_s_{o}").over(before([*keys, HOUR], AT, PART)) for o in outs})
     upto = _renamed(hours, [*keys, HOUR])
-    offsets = seconds.join(upto, _same(seconds, upto, [*keys, HOUR])).select(*cell, *(f"_s_{o}" for o in outs), *(f"_h_{o}" for o in outs))
+    offsets = parts.join(upto, _same(parts, upto, [*keys, HOUR])).select(*cell, *(f"_s_{o}" for o in outs), *(f"_h_{o}" for o in outs))
     here = Window.partitionBy(*cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = cells.withColumns({f"_l_{o}": F.sum(values[o]).over(here) for o in outs})
     offsets = _renamed(offsets, cell)
@@ -87,17 +102,23 @@ def running_total(df: DataFrame, keys, order, value: str, out: str) -> DataFrame
 
 
 def previous_row(df: DataFrame, keys, order, cols, prefix: str = "prev_") -> DataFrame:
-    """Adds ``prefix+c`` = value of ``c`` on the previous row of the same key in ``order``."""
+    """Adds ``prefix+c`` = value of ``c`` on the previous row of the same key in ``order``.
+
+    Where ``keys``, ``order`` and ``cols`` are all its columns, ``df`` is computed
+    once: its rows are moved to their cells once, for both levels that read them.
+    """
     keys, order, cols = list(keys), list(order), list(cols)
-    base, cell = df.columns, [*keys, HOUR, SECOND]
-    cells = _cells(df, order[0])
+    base, cell = df.columns, [*keys, *CELL]
+    cells = _cells(df, order)
+    if set(base) == {*keys, *order, *cols}:
+        cells = cells.repartition(*cell)
     last = lambda c, by: F.max_by(c, by)
-    seconds = cells.groupBy(*cell).agg(last(F.struct(*cols), F.struct(*order)).alias("_last"))
-    hours = seconds.groupBy(*keys, HOUR).agg(last("_last", F.col(SECOND)).alias("_before"))
+    parts = cells.groupBy(*cell).agg(last(F.struct(*cols), F.struct(*order)).alias("_last"))
+    hours = parts.groupBy(*keys, HOUR).agg(last("_last", F.struct(AT, PART)).alias("_before"))
     hours = hours.withColumn("_before", F.lag("_before").over(Window.partitionBy(*keys).orderBy(HOUR)))
-    seconds = seconds.withColumn("_last", F.lag("_last").over(Window.partitionBy(*keys, HOUR).orderBy(SECOND)))
+    parts = parts.withColumn("_last", F.lag("_last").over(Window.partitionBy(*keys, HOUR).orderBy(AT, PART)))
     upto = _renamed(hours, [*keys, HOUR])
-    carry = seconds.join(upto, _same(seconds, upto, [*keys, HOUR])).select(*cell, F.coalesce("_last", "_before").alias("_carry"))
+    carry = parts.join(upto, _same(parts, upto, [*keys, HOUR])).select(*cell, F.coalesce("_last", "_before").alias("_carry"))
     here = Window.partitionBy(*cell).orderBy(*order)
     local = cells.withColumn("_prev", F.lag(F.struct(*cols)).over(here))
     carry = _renamed(carry, cell)

@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from meterflow.operators import billing
+from meterflow.operators import billing, scan
 from meterflow.operators.scan import previous_row, running_total, running_totals
 from meterflow.sources import tables
 
@@ -48,7 +48,36 @@ def test_two_totals_in_one_scan(spark):
 def test_no_window_over_rows_spans_a_whole_key(spark):
     plan = running_total(_readings(spark, True), ["meter_id"], ORDER, "kwh", "c")._jdf.queryExecution().optimizedPlan().toString()
     windows = [x for x in plan.split("\n") if "Window [" in x]
-    assert len(windows) == 3 and sum("_second" in x.split("],")[1] for x in windows) >= 1
+    assert len(windows) == 3 and sum("_part" in x.split("],")[1] for x in windows) >= 1
+
+
+def test_rows_of_one_time_or_none_split_by_ties(spark, monkeypatch):
+    """A third of the rows without a time and a third at one second, all of one meter, ties negative and null too."""
+    monkeypatch.setattr(scan, "TIES", 16)
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 5)
+    micros = [t0 + dt.timedelta(microseconds=m) for m in (1, 1, 999, 1000, 1000, 1001, 2500)]
+    times = [None] * 300 + [t0] * 300 + micros * 20 + [t0 + dt.timedelta(seconds=i) for i in range(150)]
+    ties = [(i * 7919) % 1009 - 300 for i in range(len(times))]
+    assert len(set(ties)) == len(ties)
+    rows = [("m", t, k, Decimal(k) / 4) for t, k in zip(times, ties)] + [("m", None, None, Decimal(1)), ("m", t0, None, Decimal(2))]
+    r = spark.createDataFrame(rows, "meter_id string, event_time timestamp, tie long, kwh decimal(20,6)").repartition(4)
+    cells = scan._cells(r, ORDER).groupBy("meter_id", *scan.CELL).count()
+    assert cells.agg(F.max("count")).first()[0] <= 60  # three instants within one millisecond
+    assert cells.filter("_part < 9223372036854775807L").agg(F.max("count")).first()[0] <= 16
+    w = Window.partitionBy("meter_id").orderBy(*ORDER)
+    ref = r.select("event_time", "tie", F.sum("kwh").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("sum"), F.lag("kwh").over(w).alias("lag"))
+    got = previous_row(running_total(r, ["meter_id"], ORDER, "kwh", "c"), ["meter_id"], ORDER, ["kwh"]).select("event_time", "tie", "c", "prev_kwh")
+    narrow = previous_row(r.select("meter_id", *ORDER, "kwh"), ["meter_id"], ORDER, ["kwh"]).select("event_time", "tie", "prev_kwh")
+    want = sorted(map(str, ref.collect()))
+    assert sorted(str(x).replace("c=", "sum=").replace("prev_kwh=", "lag=") for x in got.collect()) == want
+    assert sorted(str(x) for x in narrow.collect()) == sorted(str(x).replace("lag=", "prev_kwh=") for x in ref.drop("sum").collect())
+
+
+def test_rollovers_compute_the_bills_once(spark):
+    out = billing.rollovers(billing.bill_readings(_readings(spark, True), cycle="demo_slot"))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and plan.count("FileScan") <= 3  # those of the running total
 
 
 def test_previous_row_equals_lag(spark):
