@@ -5,8 +5,10 @@ angle up to acos 0.9. Equal vectors are one point with a weight. Points go to
 the nearest of some centres (a greedy farthest-first cover of a bounded
 sample), large cells are split by hash, and every block gets a cover tree:
 nested levels whose radii halve from a right angle on, each node with the
-exact covering radius of what hangs below it. Blocks are paired unless their
-covering radii rule every link out, and two trees are descended together: a
+exact covering radius of what hangs below it. Blocks are numbered along the
+cells and meet in tiles of two groups of them, so that a tree moves once for
+each tile of a whole group of partners; tiles whose cells' covering radii rule
+every link out are left out. Two trees are descended together: a
 pair of nodes goes on only while centre distance minus both radii is within
 the threshold. What remains at the leaves is decided by the cosine in doubles.
 
@@ -32,6 +34,7 @@ from meterflow.llm.scratch import saved
 SAMPLE = 2048  # points that the centres are chosen from
 CENTRES = 64
 BLOCK = 1024
+GROUP = 16  # blocks of a side of a tile
 SLACK = 1e-3  # of an angle: bounds are computed in single precision; it prunes a little less and decides nothing
 
 
@@ -143,7 +146,7 @@ def points(vectors: DataFrame, name: str) -> DataFrame:
 
 
 def packed_blocks(distinct: DataFrame, total: int, theta: float) -> tuple[DataFrame, DataFrame]:
-    """(blocks, pairs): (block, ids, weights, tree), one row a block; (a, b) that may hold links."""
+    """(blocks, tiles): (block, ids, weights, tree), one row a block; groups (ga, gb) that may hold links."""
     spark = distinct.sparkSession
     share = min(1.0, SAMPLE / max(total, 1))
     sample = distinct.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30)).orderBy("id").limit(2 * SAMPLE).select("v").collect()
@@ -166,7 +169,10 @@ def packed_blocks(distinct: DataFrame, total: int, theta: float) -> tuple[DataFr
     cells = saved(distinct.select("id", "n", "v").mapInArrow(assign, "id long, n long, v array<double>, cell long, far double"), "cover-cells")
     sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("parts"), F.max("far").alias("far"))
     dealt = cells.join(sizes.drop("far"), "cell").withColumn("part", F.pmod(F.xxhash64(F.lit(1), "id"), F.col("parts")))
-    known = sizes.collect()  # at most CENTRES rows for each length
+    known = sorted(sizes.collect(), key=lambda r: r.cell)  # at most CENTRES rows for each length
+    ends = np.cumsum([r.parts for r in known])
+    first = {r.cell: int(e - r.parts) for r, e in zip(known, ends, strict=True)}  # number of the first block of a cell
+    groups = {r.cell: (first[r.cell] // GROUP, int(e - 1) // GROUP) for r, e in zip(known, ends, strict=True)}
     pairs = []
     for p in known:
         for q in known:
@@ -174,58 +180,60 @@ def packed_blocks(distinct: DataFrame, total: int, theta: float) -> tuple[DataFr
                 c = chosen.get(p.cell >> 16)
                 apart = 0.0 if c is None else float(angles(c[p.cell & 65535] @ c[q.cell & 65535]))
                 if apart <= p.far + q.far + theta + SLACK:
-                    pairs.append((p.cell, p.parts, q.cell, q.parts))
-    spread = spark.createDataFrame(pairs, "ca long, pa long, cb long, pb long").select(
-        "ca", "cb", "pb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pa") - 1)).alias("i"))
-    spread = spread.select("ca", "cb", "i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pb") - 1)).alias("j"))
-    spread = spread.filter("ca != cb or i <= j").select(F.concat_ws("-", "ca", "i").alias("a"), F.concat_ws("-", "cb", "j").alias("b"))
+                    pairs.append((*groups[p.cell], *groups[q.cell]))
+    tiles = spark.createDataFrame(pairs, "a0 long, a1 long, b0 long, b1 long").select("b0", "b1", F.explode(F.sequence("a0", "a1")).alias("ga"))
+    tiles = tiles.select("ga", F.explode(F.sequence("b0", "b1")).alias("gb")).filter("ga <= gb").distinct()
 
     def pack(key, table):
         table = table.sort_by("id")
         tree = CoverTree.build(unit(np.array(table.column("v").to_pylist())))
         return pa.Table.from_pydict({
-            "block": [f"{key[0].as_py()}-{key[1].as_py()}"], "ids": [table.column("id").to_numpy().tobytes()],
+            "block": [first[key[0].as_py()] + key[1].as_py()], "ids": [table.column("id").to_numpy().tobytes()],
             "weights": [table.column("n").to_numpy().tobytes()], "tree": [pickle.dumps(tree)]})
 
     return dealt.select("cell", "part", "id", "n", "v").groupBy("cell", "part").applyInArrow(
-        pack, "block string, ids binary, weights binary, tree binary"), spread
+        pack, "block long, ids binary, weights binary, tree binary"), tiles
+
+
+def pair_links(a: tuple, b: tuple, same: bool, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, links, smallest id joined with) of the points with links between two blocks (ids, weights, tree), or in one."""
+    (ia, wa, ta), (ib, wb, tb) = a, b
+    i, j = dual_traversal(ta, tb, cosine)
+    links_a, links_b = np.bincount(i, weights=wb[j], minlength=len(ia)), np.bincount(j, weights=wa[i], minlength=len(ib))
+    ids = np.concatenate([ia, ib])
+    left, right = i, j + len(ia)
+    root = np.argsort(np.argsort(ids, kind="stable"), kind="stable")  # smallest id first
+    while True:  # labels of least rank run along the links
+        new = root.copy()
+        np.minimum.at(new, left, root[right])
+        np.minimum.at(new, right, new[left])
+        if (new == root).all():
+            break
+        root = new
+    smallest = np.sort(ids)[root]
+    if same:
+        ids, smallest, links = ia, np.minimum(smallest[:len(ia)], smallest[len(ia):]), links_a
+    else:
+        links = np.concatenate([links_a, links_b])
+    some = links > 0
+    return ids[some], links[some].astype(np.int64), smallest[some]
 
 
-def block_links(pairs: DataFrame, cosine: float) -> DataFrame:
-    """(id, links, root) for the points with links in each pair of blocks."""
-    def run(batches):
-        for batch in batches:
-            for n in range(batch.num_rows):
-                r = batch.slice(n, 1).to_pylist()[0]
-                side = []
-                for s in "ab":
-                    ids, w = np.frombuffer(r[f"ids_{s}"], np.int64), np.frombuffer(r[f"weights_{s}"], np.int64)
-                    side.append((ids, w, pickle.loads(r[f"tree_{s}"])))
-                    if r["a"] == r["b"]:
-                        side *= 2
-                        break
-                (ia, wa, ta), (ib, wb, tb) = side
-                i, j = dual_traversal(ta, tb, cosine)
-                links_a, links_b = np.bincount(i, weights=wb[j], minlength=len(ia)), np.bincount(j, weights=wa[i], minlength=len(ib))
-                ids = np.concatenate([ia, ib])
-                left, right = i, j + len(ia)
-                root = np.argsort(np.argsort(ids, kind="stable"), kind="stable")  # smallest id first
-                while True:  # labels of least rank run along the links
-                    new = root.copy()
-                    np.minimum.at(new, left, root[right])
-                    np.minimum.at(new, right, new[left])
-                    if (new == root).all():
-                        break
-                    root = new
-                smallest = np.sort(ids)[root]
-                if r["a"] == r["b"]:
-                    ids, smallest, links = ia, np.minimum(smallest[:len(ia)], smallest[len(ia):]), links_a
-                else:
-                    links = np.concatenate([links_a, links_b])
-                some = links > 0
-                yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(smallest[some])], names=["id", "links", "root"])
-
-    return pairs.mapInArrow(run, "id long, links long, root long")
+def tile_links(blocks: DataFrame, tiles: DataFrame, cosine: float) -> DataFrame:
+    """(id, links, root) for the points with links in each pair of blocks of the tiles (at most 2 * GROUP trees each)."""
+    group = blocks.withColumn("g", F.floor(F.col("block") / GROUP).cast("long"))
+    moved = tiles.join(group, F.col("ga") == F.col("g")).union(tiles.filter("ga < gb").join(group, F.col("gb") == F.col("g")))
+
+    def run(key, table):
+        ga, gb = (k.as_py() for k in key)
+        held = {ga: [], gb: []}
+        for r in table.sort_by("block").to_pylist():
+            held[r["g"]].append((r["block"], (np.frombuffer(r["ids"], np.int64), np.frombuffer(r["weights"], np.int64), pickle.loads(r["tree"]))))
+        found = [pair_links(a, b, i == j, cosine) for i, a in held[ga] for j, b in held[gb] if i <= j and a[2].x.shape[1] == b[2].x.shape[1]]
+        ids, links, root = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in range(3))
+        return pa.table({"id": ids, "links": links, "root": root})
+
+    return moved.select("ga", "gb", "g", "block", "ids", "weights", "tree").groupBy("ga", "gb").applyInArrow(run, "id long, links long, root long")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
@@ -242,10 +250,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     total = distinct.count()
     if not total:
         return vectors.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    blocks, pairs = packed_blocks(distinct, total, math.acos(cosine))
-    blocks = saved(blocks, "cover-blocks")
-    side = lambda s: blocks.select(F.col("block").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("ids", "weights", "tree")))
-    links = saved(block_links(pairs.join(side("a"), "a").join(side("b"), "b"), cosine), "cover-links")
+    blocks, tiles = packed_blocks(distinct, total, math.acos(cosine))
+    links = saved(tile_links(saved(blocks, "cover-blocks"), tiles, cosine), "cover-links")
     own = links.groupBy("id").agg(F.sum("links").alias("links"))
     label = connected_components(links.select(F.col("id").alias("u"), F.col("root").alias("v")), "cover")
     final = saved(distinct.join(own, "id", "left").join(label, distinct["id"] == label["node"], "left")

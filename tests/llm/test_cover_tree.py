@@ -41,6 +41,7 @@ def test_trees_are_covers_and_traversal_is_exact():
 
 def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(ct, "BLOCK", 50)
+    monkeypatch.setattr(ct, "GROUP", 2)
     rng = np.random.default_rng(5)
     base = rng.normal(size=(30, 8))
     vs = [*(base[rng.integers(0, 30, 150)] + 0.15 * rng.normal(size=(150, 8))), *[base[0]] * 60, *rng.normal(size=(60, 8))]
