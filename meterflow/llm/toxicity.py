@@ -10,9 +10,9 @@ an inverted index whose postings come in blocks of examples, each
 with the largest weight of a term in the block. Like examples lie in one
 block (halved along the main directions), so that most blocks of another
 language or topic have low bounds. A document's cosine with the
-examples of a block is bounded by these and the common part; the blocks with the highest bounds are
-searched, then the others that can still reach the k-th nearest found, so the
-neighbours are exact. Their votes, weighted by cosine, are calibrated by
+examples of a block is bounded by these and the common part, and the k-th
+largest common part is a floor for the k-th nearest, so only blocks that can
+reach it are searched and the neighbours are exact. Their votes, weighted by cosine, are calibrated by
 logistic regression on leave-one-out votes of the examples.
 """
 
@@ -22,7 +22,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.llm.scratch import bounded_batches
-from meterflow.llm.texts import U64, mix, slices
+from meterflow.llm.texts import STEP, U64, mix, slices
 
 PER_LABEL = 1500  # examples of each label, chosen by hash
 FLOORS = (0.05, 0.2, 1.0)  # weight of a term that is as frequent with either label, 1 more of one that tells them apart; leave-one-out votes choose
 BLOCK = 64
 COMMON = 1024  # at most so many terms, of a sixteenth of the examples each, are held as full rows
-FIRST = 4  # blocks that are searched before any is left out
 NEIGHBOURS = 15
+SLACK = 1e-4  # above the error of a single-precision sum over COMMON terms of unit vectors
+PIECE = 1 << 20  # code points that are hashed at once, more where a word goes on
+STEM = U64(0xD1B54A32D192ED03)
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -50,39 +52,101 @@ def forms(word: str) -> list[str]:
     return [word, *(word[:n] + "-" for n in (4, 5) if len(word) > n)]
 
 
-class Memo(dict):
-    """word -> the terms it stands for; forgets all when it grows too large."""
-
-    def __init__(self, terms: dict[str, int]):
-        self.terms = terms
-
-    def __missing__(self, word: str) -> list[int]:
-        if len(self) > 200_000:
-            self.clear()
-        at = self[word] = [self.terms[f] for f in forms(word) if f in self.terms]
-        return at
+@lru_cache(1)
+def code_points() -> tuple[np.ndarray, np.ndarray]:
+    """(whether it is a letter of a word, a random odd key) of each code point."""
+    letter = np.zeros(0x110000, bool)
+    for run in WORD.finditer("".join(map(chr, range(0x110000)))):
+        letter[run.start():run.end()] = True
+    return letter, mix(np.arange(0x110000, dtype=U64)) | U64(1)
+
+
+def form_hashes(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, 64-bit hash) of the forms of every word of ``texts``, by pieces that end between words."""
+    letter, keys = code_points()
+    low = [(t or "").lower() for t in texts]
+    joined, first = "\n".join(low), np.cumsum([0, *(len(t) + 1 for t in low[:-1])])
+    at = 0
+    while at < len(joined):
+        word = WORD.match(joined, at + PIECE)
+        end = word.end() if word else min(at + PIECE, len(joined))
+        code = np.frombuffer(joined[at:end].encode("utf-32-le", "surrogatepass"), np.uint32)
+        place = np.flatnonzero(letter[code])
+        if len(place):
+            new = np.ones(len(place), bool)
+            new[1:] = place[1:] != place[:-1] + 1
+            begin = np.flatnonzero(new)
+            n = np.diff(begin, append=len(place))
+            row = np.repeat(np.arange(len(low)), np.diff(np.searchsorted(place[begin] + at, first), append=len(begin)))
+            powers = np.cumprod(np.full(int(n.max()), STEP, U64), dtype=U64)
+            value = keys[code[place]] * powers[np.arange(len(place)) - np.repeat(begin, n)]
+            four, five = np.flatnonzero(n > 4), np.flatnonzero(n > 5)
+            stem = np.zeros(len(n), U64)
+            stem[four] = sum((value[begin[four] + i] for i in range(4)), np.zeros(len(four), U64))
+            yield (np.concatenate([row, row[four], row[five]]),
+                   mix(np.concatenate([np.add.reduceat(value, begin), stem[four] ^ STEM, (stem[five] + value[begin[five] + 4]) ^ STEM])))
+        at = end
 
 
 class TermCounter:
-    """Counts of known terms in texts."""
+    """Counts of known terms in texts; a term is known by the 64-bit hash of its letters."""
 
     def __init__(self, terms: dict[str, int]):
-        self.memo = Memo(terms)
-
-    def distinct(self, text: str | None) -> set[int]:
-        return set().union(*map(self.memo.__getitem__, set(WORD.findall((text or "").lower()))))
-
-    def arrays(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """(terms in ascending order, their counts)."""
-        words = words_of(text)
-        held = list(map(self.memo.__getitem__, words))
-        size = list(map(len, held))
-        at, back = np.unique(np.fromiter(chain.from_iterable(held), np.int64, sum(size)), return_inverse=True)
-        return at, np.bincount(back, np.repeat(np.fromiter(words.values(), float, len(words)), size), minlength=len(at))
+        self.size = max(len(terms), 1)
+        names = np.array([t.rstrip("-") for t in terms], object)
+        stems = np.array([t.endswith("-") for t in terms], bool)
+        whole, numbers = np.zeros(len(names), U64), np.fromiter(terms.values(), np.int64, len(terms))
+        letter, keys = code_points()
+        length = np.array([len(t) for t in names], np.int64)
+        code = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), np.uint32)
+        if len(code):
+            begin = np.cumsum(length) - length
+            powers = np.cumprod(np.full(int(length.max()), STEP, U64), dtype=U64)
+            whole = np.add.reduceat(keys[code] * powers[np.arange(len(code)) - np.repeat(begin, length)], begin)
+        self.shift = 64 - max(4, (4 * len(names)).bit_length())
+        self.term = np.full(1 << (64 - self.shift), -1, np.int32)
+        self.key = np.zeros(len(self.term), U64)
+        hashes = mix(np.where(stems, whole ^ STEM, whole))
+        place, todo = (hashes >> U64(self.shift)).astype(np.int64), np.arange(len(names))
+        while len(todo):
+            free = todo[self.term[place[todo]] < 0]
+            self.term[place[free]], self.key[place[free]] = numbers[free], hashes[free]
+            todo = todo[self.term[place[todo]] != numbers[todo]]
+            place[todo] = (place[todo] + 1) & (len(self.term) - 1)
+
+    def known(self, hashes: np.ndarray) -> np.ndarray:
+        """The term of each hash, or -1."""
+        place = (hashes >> U64(self.shift)).astype(np.int64)
+        found = self.term[place]
+        todo = np.flatnonzero((found >= 0) & (self.key[place] != hashes))
+        while len(todo):
+            place[todo] = (place[todo] + 1) & (len(self.term) - 1)
+            found[todo] = self.term[place[todo]]
+            todo = todo[(found[todo] >= 0) & (self.key[place[todo]] != hashes[todo])]
+        return found
+
+    def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, term, how often it is there), in order of rows and terms."""
+        key, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for row, hashes in form_hashes(texts):
+            term = self.known(hashes)
+            here = term >= 0
+            more, times = np.unique(row[here] * self.size + term[here], return_counts=True)
+            if len(key):
+                more, at = np.unique(np.concatenate([key, more]), return_inverse=True)
+                times = np.bincount(at, np.concatenate([n, times]), len(more)).astype(np.int64)
+            key, n = more, times
+        return key // self.size, key % self.size, n
+
+    def arrays(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(terms in ascending order, their counts) of each text."""
+        row, term, n = self.counts(texts)
+        cut = np.searchsorted(row, np.arange(1, len(texts)))
+        return list(zip(np.split(term, cut), np.split(n, cut), strict=True))
 
     def __call__(self, text: str | None) -> dict[int, int]:
-        at, n = self.arrays(text)
-        return dict(zip(at.tolist(), n.astype(int).tolist(), strict=True))
+        _, term, n = self.counts([text])
+        return dict(zip(term.tolist(), n.tolist(), strict=True))
 
 
 def spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +167,8 @@ class BlockMaxIndex:
     example: np.ndarray  # of each posting
     weight: np.ndarray
     common: np.ndarray  # of each term: its row among the common terms, which have no postings, or -1
-    full: np.ndarray  # common terms x examples: the weights
+    full: np.ndarray  # examples x common terms: the weights
+    single: np.ndarray  # common terms x examples: the same in single precision
 
     @classmethod
     def build(cls, matrix: np.ndarray) -> BlockMaxIndex:
@@ -122,9 +187,9 @@ class BlockMaxIndex:
         often = often[16 * held[often] >= max(len(rows), 16)]
         common = np.full(terms, -1)
         common[often] = np.arange(len(often))
-        full = np.zeros((len(often), len(rows)))
+        full = np.zeros((len(rows), len(often)))
         rare = common[col] < 0
-        full[common[col[~rare]], row[~rare]] = val[~rare]
+        full[row[~rare], common[col[~rare]]] = val[~rare]
         row, col, val = row[rare], col[rare], val[rare]
         order = np.lexsort((row, col))
         row, col, val = row[order], col[order], val[order]
@@ -132,60 +197,59 @@ class BlockMaxIndex:
         new[1:] = (col[1:] != col[:-1]) | (row[1:] // BLOCK != row[:-1] // BLOCK)
         start = np.flatnonzero(new)
         largest = np.maximum.reduceat(val, start) if len(val) else val
-        return cls(len(rows), np.searchsorted(col[start], np.arange(terms + 1)), row[start] // BLOCK, largest, np.append(start, len(val)), row, val, common, full)
+        return cls(len(rows), np.searchsorted(col[start], np.arange(terms + 1)), (row[start] // BLOCK).astype(np.int32), largest,
+                   np.append(start, len(val)), row.astype(np.int32), val, common, full, full.T.astype(np.float32))
 
     def of_common(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """What the common terms add to the cosine of each vector (terms, weights) with each example."""
-        queries = np.zeros((len(vectors), len(self.full)))
+        """What the common terms add to the cosine of each vector (terms, weights) with each example, within ``SLACK``."""
+        queries = np.zeros((len(vectors), len(self.single)), np.float32)
         for q, (terms, weights) in zip(queries, vectors, strict=True):
             here = self.common[terms]
             q[here[here >= 0]] = weights[here >= 0]
-        return queries @ self.full
+        return queries @ self.single
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the ``k`` nearest with a cosine above 0; ties go to the smaller example.
 
         ``base`` is the vector's row of ``of_common``, if there is one already.
+        The k-th largest of it is a floor of the k-th cosine: blocks whose bound
+        is lower are left out. All that single precision can't tell from the
+        nearest stays until the cosines are there in double precision.
         """
         if not self.size:
             return np.zeros(0, np.int64), np.zeros(0)
         if base is None:
             base = self.of_common([(terms, weights)])[0]
-        rare = self.common[terms] < 0
-        terms, weights = terms[rare], weights[rare]
-        at, n = spans(self.begin[terms], self.begin[terms + 1])
-        x, block = np.repeat(weights, n), self.block[at]
-        bound = np.maximum.reduceat(base, np.arange(0, self.size, BLOCK))
-        bound = bound + np.bincount(block, x * self.largest[at], minlength=len(bound))
-        order = np.argsort(-bound, kind="stable")
-        ids, cos = np.zeros(0, np.int64), np.zeros(0)
-        for todo in (order[:FIRST], order[FIRST:]):
-            todo = todo[(bound[todo] > 0) & (bound[todo] >= (cos[-1] - 1e-12 if len(cos) == k else 0))]
-            if not len(todo):
-                break
-            chosen = np.zeros(len(bound), bool)
-            chosen[todo] = True
+        if skip >= 0:
+            base = base.copy()
+            base[skip] = 0
+        common = self.common[terms]
+        rare = common < 0
+        term, x = terms[rare], weights[rare]
+        entry, n = spans(self.begin[term], self.begin[term + 1])
+        block, by_entry = self.block[entry], np.repeat(x, n)
+        bound = np.maximum.reduceat(base, np.arange(0, self.size, BLOCK)) + np.bincount(block, by_entry * self.largest[entry], -(-self.size // BLOCK))
+        kth = max(self.size - k, 0)
+        chosen = bound >= np.partition(base, kth)[kth] - 2 * SLACK
+        if 4 * chosen.sum() < len(chosen):
             here = chosen[block]
-            posting, n = spans(self.start[at[here]], self.start[at[here] + 1])
-            got = np.bincount(self.example[posting], np.repeat(x[here], n) * self.weight[posting], minlength=self.size)
-            got = np.where(np.repeat(chosen, BLOCK)[:self.size], got + base, 0)
-            if skip >= 0:
-                got[skip] = 0
-            ids = np.concatenate([ids, found := np.flatnonzero(got > 0)])
-            cos = np.concatenate([cos, got[found]])
-            if len(cos) > k:
-                near = cos >= np.partition(cos, -k)[-k] - 1e-11
-                ids, cos = ids[near], cos[near]
-            best = np.lexsort((ids, -np.round(cos, 12)))[:k]
-            ids, cos = ids[best], cos[best]
-        return ids, cos
+            x, entry = by_entry[here], entry[here]
+            posting, n = spans(self.start[entry], self.start[entry + 1])
+        else:  # whole lists are read faster than a large part of their blocks
+            posting, n = spans(self.start[self.begin[term]], self.start[self.begin[term + 1]])
+        more = np.bincount(self.example[posting], np.repeat(x, n) * self.weight[posting], self.size).astype(float)
+        if skip >= 0:
+            more[skip] = 0
+        near = base + more
+        ids = np.flatnonzero((near > 0) & (near >= np.partition(near, kth)[kth] - 2 * SLACK))
+        cos = more[ids] + self.full[ids[:, None], common[~rare]] @ weights[~rare]
+        best = np.lexsort((ids, -np.round(cos, 12)))[:k]
+        return ids[best], cos[best]
 
 
 def unit(at: np.ndarray, n: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(terms, weights of unit length), ascending, from terms and their counts."""
-    order = np.argsort(at)
-    at = at[order]
-    x = (1 + np.log(n[order])) * weight[at]
+    """(terms, weights of unit length) from terms and their counts."""
+    x = (1 + np.log(n)) * weight[at]
     return at, x / np.sqrt(x @ x) if len(x) else x
 
 
@@ -302,12 +366,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
     shared = spark.sparkContext.broadcast(terms)
 
     def frequencies(batches):
-        n, held, count = 0, Counter(), TermCounter(shared.value)
-        for part in slices(batches, "text", 8 << 20):
-            for t in part.column("text").to_pylist():
-                n += 1
-                held.update(count.distinct(t))
-        yield pa.RecordBatch.from_arrays([pa.array([*held, -1], pa.int64()), pa.array([*held.values(), n], pa.int64())], names=["term", "n"])
+        n, count = 0, TermCounter(shared.value)
+        held = np.zeros(count.size, np.int64)
+        for part in slices(batches):
+            n += part.num_rows
+            held += np.bincount(count.counts(part.column("text").to_pylist())[1], minlength=count.size)
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(held[at], n), pa.int64())], names=["term", "n"])
 
     held = bounded_batches(docs.select("text")).mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     known_term = held["term"].to_numpy() >= 0
@@ -318,8 +383,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
 
     def term_counts(batches):
         count = TermCounter(shared.value)
-        for part in slices(batches, "text", 8 << 20):
-            found = [count.arrays(t) for t in part.column("text").to_pylist()]
+        for part in slices(batches):
+            found = count.arrays(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").cast(pa.int64()), pa.array([at for at, _ in found], pa.list_(pa.int64())),
                  pa.array([n.astype(np.int64) for _, n in found], pa.list_(pa.int64()))], names=["doc_id", "at", "n"])
@@ -346,7 +411,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
         if len(set(truth.tolist())) < 2:
             return 0.0, model
         stands_for = np.where(truth == 1, all1 / n1, all0 / n0)  # labelled rows that an example was drawn from
-        votes = [model.vote(*index.nearest(*vectors[i], NEIGHBOURS, skip=row)) for row, i in enumerate(ids)]
+        votes = [model.vote(*index.nearest(*vectors[i], NEIGHBOURS, skip=at + row, base=base)) for at in range(0, len(ids), 256)
+                 for row, (i, base) in enumerate(zip(ids[at:at + 256], index.of_common([vectors[i] for i in ids[at:at + 256]]), strict=True))]
         model.slope, model.offset = logistic(np.array(votes), truth, stands_for)
         p = np.clip([model.calibrated(v) for v in votes], 1e-9, 1 - 1e-9)
         return float(-(stands_for * np.where(truth == 1, np.log(p), np.log(1 - p))).sum()), model
@@ -367,8 +433,8 @@ def scores(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> Dat
     def run(batches):
         m = shared.value
         count = TermCounter(m.terms)
-        for part in slices(batches, "text", 8 << 20):
-            found = list(m.scores([count.arrays(t) for t in part.column("text").to_pylist()]))
+        for part in slices(batches):
+            found = list(m.scores(count.arrays(part.column("text").to_pylist())))
             score = [s for s, _, _ in found]
             evidence = [[{"doc_id": int(m.doc_ids[i]), "cosine": float(c)} for i, c in zip(ids, cos, strict=True) if m.toxic[i]][:3] for _, ids, cos in found]
             yield pa.RecordBatch.from_arrays(

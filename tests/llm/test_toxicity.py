@@ -23,6 +23,44 @@ def test_block_max_search_is_exact():
         assert ids.tolist() == want and np.allclose(got, cos[want])
 
 
+def test_search_of_few_and_of_many_blocks_is_exact(monkeypatch):
+    monkeypatch.setattr(tox, "BLOCK", 8)
+    rng = np.random.default_rng(18)
+    m = np.zeros((640, 700))
+    for i in range(640):  # 40 topics of 16 examples with words of their own, and words of all
+        m[i, 10 + 17 * (i // 16) + rng.choice(17, 6, False)] = 1 + rng.random(6)
+        m[i, rng.choice(10, 3, False)] = rng.choice([0.1, 2.0]) * rng.random(3)
+    m /= np.sqrt((m * m).sum(axis=1, keepdims=True))
+    index = tox.BlockMaxIndex.build(m)
+    assert 0 < (index.common >= 0).sum() <= 10
+    for i in range(0, 640, 9):
+        cos = m @ m[i]
+        for skip in (-1, i):
+            want = [j for j in np.lexsort((np.arange(640), -np.round(cos, 12))) if cos[j] > 0 and j != skip][:15]
+            at = np.flatnonzero(m[i])
+            ids, got = index.nearest(at, m[i][at], 15, skip=skip)
+            assert ids.tolist() == want and np.allclose(got, cos[want], rtol=1e-12)
+
+
+def test_counts_equal_a_count_by_words(monkeypatch):
+    texts = [None, "", "ABCdefg abcdef ABCD abcde", "İstanbul ΑΣ ΑΣΑΣ Σ² x_y a1b don't", "日本語 ﬁn straße STRASSE", "1234 !!", "q" * 90, "nasty " * 40 + "words", "\n\nend"]
+    words = {f for t in texts[:-2] for w in tox.words_of(t) for f in tox.forms(w)}
+    terms = {w: i for i, w in enumerate(sorted(words | {"nast-", "words", "absent"}))}
+    want = []
+    for t in texts:
+        want.append({})
+        for w, n in tox.words_of(t).items():
+            for f in tox.forms(w):
+                if f in terms:
+                    want[-1][terms[f]] = want[-1].get(terms[f], 0) + n
+    count = tox.TermCounter(terms)
+    for piece in (1, 7, 50, 1 << 20):
+        monkeypatch.setattr(tox, "PIECE", piece)
+        assert [dict(zip(at.tolist(), n.tolist(), strict=True)) for at, n in count.arrays(texts)] == want
+        assert all(at.tolist() == sorted(at.tolist()) for at, _ in count.arrays(texts))
+    assert [len(at) for at, _ in tox.TermCounter({}).arrays(["some words", None])] == [0, 0]
+
+
 def test_held_out_documents(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     model = tox.fit(docs, labels)
