@@ -13,7 +13,6 @@ from __future__ import annotations
 import gc
 import heapq
 import json
-import uuid
 from collections import Counter
 from dataclasses import dataclass, field
 from hashlib import sha256
@@ -26,9 +25,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.scratch import bounded_batches
+from meterflow.llm.scratch import bounded_batches, new_path
 from meterflow.llm.texts import slices
-from meterflow.session import checkpoint_root
 
 LEXICON_WORDS = 1 << 16
 MEMO = 500_000  # words whose ids a worker remembers, some 150 MB
@@ -359,7 +357,7 @@ def worker_encoder(name: str, vocabulary) -> Encoder:
 
 
 def frequent_words(docs: DataFrame, limit: int) -> list[str]:
-    """The words with the highest counts over all texts, at most ``limit``.
+    """The words of fewer than ``LONG`` bytes with the highest counts over all texts, at most ``limit``.
 
     A worker adds up what stands between spaces and passes on what it saw
     twice or more; a word that no task sees twice is not frequent. The words
@@ -385,20 +383,18 @@ def frequent_words(docs: DataFrame, limit: int) -> list[str]:
         yield out()
 
     counts = bounded_batches(docs.select("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(limit).collect()]
+    return [r.word for r in counts.filter(F.octet_length("word") < LONG).orderBy(F.desc("n"), "word").limit(limit).collect()]
 
 
 def shared_file(spark, data: bytes, name: str) -> str:
     """Write ``data`` to the shared folder and have Spark bring it to every executor; its name there."""
-    name = f"{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark).rstrip('/')}/llm/{name}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new_path(spark, name))
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     to = fs.create(path)
     to.write(bytearray(data))
     to.close()
     spark.sparkContext.addFile(fs.makeQualified(path).toString())
-    return name
+    return path.getName()
 
 
 def prepared(docs: DataFrame, path: str, words: int = LEXICON_WORDS):

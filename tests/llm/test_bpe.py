@@ -73,3 +73,12 @@ def test_operator(spark):
     back = bpe.decoded(spark.createDataFrame([(r.doc_id, r.ids) for r in got], "doc_id long, ids array<int>"), PATH).collect()
     assert sorted(map(tuple, back), key=str) == sorted([(i, t or "") for i, t in rows], key=str)
     assert bpe.encoded(df.limit(0), PATH).count() == 0
+
+
+def test_the_lexicon_leaves_out_long_words(spark):
+    long = "x" * 5000 + "é" * 99
+    docs = spark.createDataFrame([(i, f"some {long} words {'é' * 99} {'é' * 100} end") for i in range(4)], "doc_id long, text string").coalesce(1)
+    words = bpe.frequent_words(docs, 100)
+    assert {" some", " words"} <= {w if w.startswith(" ") else " " + w for w in words}
+    assert any("é" * 99 in w for w in words) and max(len(w.encode()) for w in words) < bpe.LONG
+    assert all(r.ids == lib(t) for r, t in zip(bpe.encoded(docs, PATH).orderBy("doc_id").collect(), [r.text for r in docs.orderBy("doc_id").collect()]))
