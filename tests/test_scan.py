@@ -80,6 +80,42 @@ def test_rollovers_compute_the_bills_once(spark):
     assert "ReusedExchange" in plan and plan.count("FileScan") <= 3  # those of the running total
 
 
+def test_crowded_hours_are_cut_and_others_moved_once(spark, monkeypatch):
+    """Hours above and below CROWD, null keys too: right sums and previous rows, cells that are few, no row moved
+    again for the join with what the cells hand on."""
+    monkeypatch.setattr(scan, "TIES", 8)
+    monkeypatch.setattr(scan, "CROWD", 40)
+    t0 = dt.datetime(2024, 1, 1)
+    times = [None] * 150 + [t0] * 100 + [t0 + dt.timedelta(seconds=3 * i) for i in range(100)] + [t0 + dt.timedelta(days=1 + i // 20) for i in range(400)]
+    rows = [(None if k % 3 == 2 else f"m{k % 3}", t, 1000 * (k * 7919 % 1009), Decimal(k) / 4) for k, t in enumerate(times)]
+    r = spark.createDataFrame(rows, "meter_id string, event_time timestamp, tie long, kwh decimal(20,6)").repartition(4)
+    w = Window.partitionBy("meter_id").orderBy(*ORDER)
+    ref = r.select("tie", F.sum("kwh").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("sum"), F.lag("kwh").over(w).alias("lag"))
+    got = previous_row(running_total(r, ["meter_id"], ORDER, "kwh", "c"), ["meter_id"], ORDER, ["kwh"]).select("tie", "c", "prev_kwh")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
+    keyed = scan._keyed(r, ["meter_id"], ORDER, ORDER)
+    crowded = keyed.groupBy(scan.KEY, scan.HOUR).count().filter(F.col("count") > 40)
+    cells = scan._merged(keyed, crowded).groupBy(scan.KEY, *scan.CELL).count()
+    quiet = cells.join(crowded.select(scan.KEY, scan.HOUR), [scan.KEY, scan.HOUR], "left_anti")
+    assert crowded.count() == 6 and quiet.count() == 3 * 20 and cells.count() > 60 + 200
+    monkeypatch.setattr(scan, "CROWD", 1 << 16)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = running_total(r, ["meter_id"], ORDER, "kwh", "c")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plan.split("\n")
+    at = next(i for i, x in enumerate(lines) if "SortMergeJoin" in x and "_part" in x)
+    under = next(i for i, x in enumerate(lines) if i > at and "Window" in x)
+    assert not any("Exchange" in x for x in lines[at:under])
+    # rows of one date whose ties lie far apart share their cell, where the cells of the ties were as many as the rows
+    far = spark.range(300).select(F.lit("m").alias("meter_id"), F.lit(t0).alias("event_time"), (F.col("id") * 10 * scan.TIES).alias("tie"))
+    far = scan._keyed(far, ["meter_id"], ORDER, ORDER)
+    assert scan._merged(far, far.groupBy(scan.KEY, scan.HOUR).count().filter(f"count > {scan.CROWD}")).groupBy(scan.KEY, *scan.CELL).count().count() == 1
+
+
 def test_previous_row_equals_lag(spark):
     w = Window.partitionBy("meter_id").orderBy(*ORDER)
     for r, cols in ((_readings(spark, True), ["month_key", "kwh"]), (_hard(spark), ["kwh", "n"])):
