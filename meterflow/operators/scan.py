@@ -57,7 +57,8 @@ def _cells(df: DataFrame, order) -> DataFrame:
 
 def _keyed(df: DataFrame, keys, order, uses) -> DataFrame:
     """``df`` with its cells (see ``_cells``) and the keys as one column KEY, which is never
-    null: joins on it are plain equalities, so they keep the partitions of the windows."""
+    null: joins on it are plain equalities, so they keep the partitions of the windows.
+    Sorts start with HOUR, as they compare the first column fastest if it is a number."""
     cells = _cells(df, order)
     rest = [c for c in cells.columns if c not in keys or c in uses]
     return cells.select(F.struct(*keys).alias(KEY), *rest)
@@ -96,7 +97,7 @@ def running_totals(df: DataFrame, keys, order, values: dict[str, str]) -> DataFr
     """
     keys, order, outs = list(keys), list(order), list(values)
     cols = [c for c in df.columns if c not in outs]
-    rows, cell = _keyed(df, keys, order, {*order, *values.values()}), [KEY, *CELL]
+    rows, cell = _keyed(df, keys, order, {*order, *values.values()}), [HOUR, KEY, AT, PART]
     cells = _merged(rows, rows.groupBy(KEY, HOUR).count().filter(F.col("count") > CROWD))
     before = lambda by, *at: Window.partitionBy(*by).orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
     parts = cells.groupBy(*cell).agg(*(F.sum(values[o]).alias(f"_s_{o}") for o in outs))
@@ -133,7 +134,7 @@ def previous_row(df: DataFrame, keys, order, cols, prefix: str = "prev_") -> Dat
     rows, moved to their cells once for the two levels that read them) use every column.
     """
     keys, order, cols = list(keys), list(order), list(cols)
-    base, cell = df.columns, [KEY, *CELL]
+    base, cell = df.columns, [HOUR, KEY, AT, PART]
     rows = _keyed(df, keys, order, {*order, *cols})
     last = lambda c, by: F.max_by(c, by)
     ends = last(F.struct(*cols), F.struct(*order)).alias("_last")

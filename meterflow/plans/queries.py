@@ -572,7 +572,8 @@ def _job_runs(spark, msgs, name, parts, keep=("tie",), **job):
     from meterflow.streaming.ledger import ledger_sink
     root = checkpoint_path(spark, "meterflow", f"{name}-{uuid.uuid4().hex}")
     for i, cond in enumerate(parts):
-        msgs.filter(cond).select(*keep, "value").repartition(FILES).write.parquet(f"{root}/in/part={i}")
+        # by hash, as a round robin would sort the rows first
+        msgs.filter(cond).select(*keep, "value").repartition(FILES, *keep, "value").write.parquet(f"{root}/in/part={i}")
         src = (spark.readStream.schema(msgs.select(*keep, "value").schema).option("maxFilesPerTrigger", FILES)
                .parquet(f"{root}/in/part=*"))
         decoded = topic.decode_readings(src, keep=keep)

@@ -95,6 +95,10 @@ class PointStore:
         count = per_day(self.spark.read.schema(out.schema).parquet(path))
         return [{"table": table, "part": part, "day": d, "kind": "add", "rows": n} for d, n in sorted(count.items())]
 
+    def staged(self, table: str, part: str, schema) -> DataFrame:
+        """The rows that ``stage`` has written under ``part``, committed or not, for whoever wrote them."""
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/part={part}")
+
     def commit(self, name: str, entries: list[dict], mark=None) -> None:
         """Make the entries count, all at once. A commit without folders records that it happened."""
         version = self.version() + 1

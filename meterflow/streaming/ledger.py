@@ -11,7 +11,9 @@ batch's rows are summed by the cell scan (``operators.scan``, balanced for hot
 keys), and each (meter, cycle) starts from its total in the last commit. A
 batch writes the totals of the keys it touched; after ``SNAPSHOT`` such parts
 it writes all totals once and drops the older parts. Sums are DECIMAL, and no
-task holds a whole key's rows.
+task holds a whole key's rows. The batch is kept with its exact kWh and its
+cycle, so a message is decoded once; the points are written first and the bills
+and the summary read from them, so a reading is billed once.
 
 ``close_after`` closes calendar months: a month that ended that long before
 the latest reading seen gets one row with its final total in ``closed``, and
@@ -69,7 +71,8 @@ def ledger_sink(root: str, run_id: str, cycle: str = "demo_slot", keys=("meter_i
         store = PointStore(batch.sparkSession, root, unit)
         if store.has(name):
             return
-        batch = batch.persist()
+        batch = with_cycle(batch.withColumns({"kwh": kwh_expr("kw", exact=True),  # the text is needed of rejects alone
+                                              "message": F.when(F.col("reject").isNotNull(), F.col("message"))}), cycle).persist()
         try:
             if not batch.isEmpty():
                 write(store, batch, batch_id, name)
@@ -79,9 +82,8 @@ def ledger_sink(root: str, run_id: str, cycle: str = "demo_slot", keys=("meter_i
     def write(store: PointStore, batch: DataFrame, batch_id: int, name: str) -> None:
         version, before = store.version() + 1, totals(store, keys)
         good, bad = split_rejects(batch)
-        rows = with_cycle(good.withColumn("kwh", kwh_expr("kw", exact=True)), cycle)
-        rows = rows.select(*keys, "event_time", "tie", "kw", "kwh", "sub1", "sub2", "sub3", "month_key")
-        entries = store.stage(bad.withColumn("batch_id", F.lit(batch_id)), "rejects", name)
+        rows = good.select(*keys, "event_time", "tie", "kw", "kwh", "sub1", "sub2", "sub3", "month_key")
+        entries = store.stage(bad.drop("month_key").withColumn("batch_id", F.lit(batch_id)), "rejects", name)
         mark = new_mark = None
         if close_after is not None:
             mark, top = store.mark(), rows.agg(F.max("event_time")).first()[0]
@@ -98,14 +100,13 @@ def ledger_sink(root: str, run_id: str, cycle: str = "demo_slot", keys=("meter_i
         with_offset = lambda df: df.join(offset, same, "left").drop(*(f"_{k}" for k in ids))
         run = with_offset(cumulative_kwh(rows, ids))
         total = F.when(~F.coalesce("_lost", F.lit(False)), F.col("kwh_cumulative") + F.coalesce("_from", F.lit(0).cast(TOTAL))).cast(TOTAL)
-        billed = classify(running_bill(run.withColumn("kwh_cumulative", total).drop("_from", "_lost")), warn, crit).persist()
-        try:
-            points = power_usage(billed, keys, extra=("tie", "month_key")).withColumn("batch_id", F.lit(batch_id))
-            entries += store.stage(points, "power_usage", name)
-            entries += store.stage(monthly_billing(billed, keys).withColumn("batch_id", F.lit(batch_id)), "monthly_billing", name)
-            entries += store.stage(batch_summary(points), "batch_summary", name, "last_time")
-        finally:
-            billed.unpersist()
+        billed = classify(running_bill(run.withColumn("kwh_cumulative", total).drop("_from", "_lost")), warn, crit)
+        points = power_usage(billed, keys, extra=("tie", "month_key")).withColumn("batch_id", F.lit(batch_id))
+        entries += store.stage(points, "power_usage", name)
+        points = store.staged("power_usage", name, points.schema)
+        bills = monthly_billing(points.withColumnRenamed("time", "event_time"), keys).withColumn("batch_id", F.lit(batch_id))
+        entries += store.stage(bills, "monthly_billing", name)
+        entries += store.stage(batch_summary(points), "batch_summary", name, "last_time")
         lost = F.max(F.col("kw").isNotNull() & F.col("kwh").isNull())
         added = with_offset(rows.groupBy(*ids).agg(F.sum("kwh").alias("kwh"), lost.alias("lost")))
         new = added.select(*ids, (F.coalesce("kwh", F.lit(0)) + F.coalesce("_from", F.lit(0))).cast(TOTAL).alias("kwh"),

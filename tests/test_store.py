@@ -131,6 +131,20 @@ def test_months_close_once_and_late_readings_stay(spark, scratch):
     assert {r.tie for r in store.read("power_usage").collect()} == {1, 2, 3, 4, 5, 7}
 
 
+def test_a_batch_is_billed_once_and_kept_without_its_text(spark, scratch, monkeypatch):
+    """The bills come from the points that were written; only rejects are kept as text, and their text is whole."""
+    bills, split, billed, kept = ledger.monthly_billing, ledger.split_rejects, [], []
+    monkeypatch.setattr(ledger, "monthly_billing", lambda df, keys: (billed.append(df), bills(df, keys))[1])
+    monkeypatch.setattr(ledger, "split_rejects", lambda df: (kept.extend(df.select("tie", "message", "kwh").collect()), split(df))[1])
+    ledger.ledger_sink(scratch, "r")(batch(spark, [(1, 0, 1), (2, 1, 2), (9, 0, "x")]), 0)
+    plan = billed[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "InMemoryRelation" not in plan and "parquet" in plan
+    assert {(r.tie, r.message, r.kwh if r.kwh is None else str(r.kwh)) for r in kept} == {(1, None, "1.500000"), (2, None, "3.000000"), (9, "{bad", None)}
+    store = PointStore(spark, scratch)
+    assert [(r.tie, r.message) for r in store.read("rejects").collect()] == [(9, "{bad")]
+    assert {(r.tie, str(r.kwh)) for r in store.read("monthly_billing").collect()} == {(1, "1.500000"), (2, "4.500000")}
+
+
 def test_observed_alerts_equal_the_feed(spark):
     from meterflow.plans.queries import _alert_feed
     feed, seen = _alert_feed(spark, "/root/testdata/sf0.001")
