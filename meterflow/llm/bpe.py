@@ -5,42 +5,96 @@ automaton: words share prefixes and suffixes, and the counts on its edges sum
 to the rank of a word, under which its ids stand. The automaton is one array
 of integers in a file of the shared folder; Spark brings the file to every
 executor and the workers memory-map it. Words outside it are merged exactly,
-many at once. So the lexicon decides the speed only, never the ids.
+many at once. So the lexicon decides the speed only, never the ids. Workers
+handle the distinct words of a slice of texts as arrays, never one by one.
 """
 
 from __future__ import annotations
 
-import gc
 import heapq
 import json
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 from hashlib import sha256
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.llm.scratch import bounded_batches, new_path
-from meterflow.llm.texts import slices
+from meterflow.llm.texts import buffer, slices
 
 LEXICON_WORDS = 1 << 16
-MEMO = 500_000  # words whose ids a worker remembers, some 150 MB
 COUNTED = 400_000  # words that a worker counts before it passes counts on
 LONG = 200  # bytes from which a word is merged by itself
 NONE = np.int64(1 << 40)
+NOTHING, SPACE = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
 # blanks are Unicode White_Space, as in the library (Python's \s has x1C-x1F besides)
 BLANK = r"\t-\r \x85\xa0  -     　"
-SPLIT_RUN = regex.compile(rf"[{BLANK}] (?:[{BLANK}]|\Z)", regex.V0)
+SPLIT_RUN = rf"[{BLANK}] (?:[{BLANK}]|\z)"  # for Arrow
 CHUNK = regex.compile(rf" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+", regex.V0)
 #: The public pre-tokenisation pattern of the byte-level tokenizer (a fixed value).
 WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{BLANK}\p{{L}}\p{{N}}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+", regex.V0)
 
 
+@cache
+def classes() -> np.ndarray:
+    """Of every code point: 0 for a blank, 1 for a letter, 2 for a number, 3 for others."""
+    out = np.full(0x110000, 3, np.uint8)
+    shown = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    for k, c in enumerate((f"[{BLANK}]", r"\p{L}", r"\p{N}")):
+        out[np.frombuffer("".join(regex.findall(c, shown, regex.V0)).encode("utf-32-le"), np.uint32)] = k
+    return out
+
+
+def spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Positions of the parts that begin at ``first`` and have ``size`` entries, one part after the other."""
+    end = np.cumsum(size)
+    return np.arange(end[-1] if len(end) else 0) + np.repeat(first - (end - size), size)
+
+
+def cut_words(units: pa.Array, whole: pa.Array | None = None) -> tuple[pa.Array, np.ndarray]:
+    """(words, how many of each unit): what ``WORD`` finds in every unit, for all units at once.
+
+    Units that stand in ``whole`` are words.
+    """
+    data, offsets = buffer(units)
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    n = len(points)
+    stop = np.concatenate([[0], np.cumsum(1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000))])
+    unit = np.searchsorted(stop, offsets)
+    kind = classes()[points]
+    edge = np.zeros(n + 3, bool)
+    edge[unit] = True
+    begin = edge.copy()
+    begin[1:n] |= kind[1:] != kind[:-1]
+    # of blanks before something else the last one stands by itself, or goes with it if it is a space
+    last = np.flatnonzero((kind[:-1] == 0) & (kind[1:] != 0) & ~edge[1:n]) if n else np.zeros(0, np.int64)
+    begin[last] = True
+    begin[last[points[last] == 32] + 1] = False
+    at = np.flatnonzero((points == 39) & begin[:n])  # a word that starts with ' may be a contraction
+    after = np.concatenate([points, [0, 0]])
+    a, b = after[at + 1], after[at + 2]
+    size = np.where(np.isin(a, [*b"stmd"]), 1, np.where(((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l")), 2, 0))
+    size[edge[at + 1] | (size == 2) & edge[at + 2]] = 0
+    at, size = at[size > 0], size[size > 0]
+    begin[at + 1] = False
+    begin[at + 1 + size] = True
+    if whole is not None:
+        for i in np.flatnonzero(pc.is_in(units, value_set=whole).to_numpy(zero_copy_only=False)).tolist():
+            begin[unit[i] + 1:unit[i + 1]] = False
+    begin = begin[:n]
+    ends = np.concatenate([stop[:-1][begin], stop[-1:]])
+    words = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(data.tobytes()))
+    return words, np.diff(np.concatenate([[0], np.cumsum(begin)])[unit])
+
+
 def byte_chars() -> list[str]:
     """The printable character that stands for each byte in a byte-level vocabulary."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -48,6 +102,11 @@ def byte_chars() -> list[str]:
     return [chr(b) if b in shown else chr(256 + others.index(b)) for b in range(256)]
 
 
+def joined(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, lengths) of ``words``, one after the other."""
+    return np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words))
+
+
 @dataclass
 class Vocabulary:
     """What a tokenizer file says, as arrays (some 50,000 entries)."""
@@ -128,18 +187,27 @@ class Vocabulary:
         return [x for x in ids if x >= 0]
 
     def merge(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word: all words are merged at once, each by its own pair of least rank."""
-        out: list[list[int] | None] = [self.merge_one(w) if len(w) >= LONG else [] if not w else None for w in words]
-        which = np.array([i for i, x in enumerate(out) if x is None], np.int64)
-        if not len(which):
-            return out
-        length = np.array([len(words[i]) for i in which])
-        ids = self.first_ids[np.frombuffer(b"".join(words[i] for i in which), np.uint8)]
-        word = np.repeat(np.arange(len(which)), length)
+        """Ids of each word."""
+        n, ids = self.merge_all(*joined(words))
+        flat, stops = ids.tolist(), np.cumsum(n).tolist()
+        return [flat[a:b] for a, b in zip([0, *stops], stops)]
+
+    def merge_all(self, data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of ids, ids) of words that stand in ``data`` one after the other.
+
+        All words are merged at once, each by its own pair of least rank.
+        """
+        short = length < LONG
+        ids = self.first_ids[data[np.repeat(short, length)]]
+        word = np.repeat(np.flatnonzero(short), length[short])
         rank = np.full(len(ids), NONE, np.int64)
         inside = np.flatnonzero(word[1:] == word[:-1])
         rank[inside] = self.rank(ids[inside], ids[inside + 1])
         done_ids, done_word = [], []
+        end = np.cumsum(length)
+        for i in np.flatnonzero(~short).tolist():
+            done_ids.append(np.array(self.merge_one(data[end[i] - length[i]:end[i]].tobytes()), np.int64))
+            done_word.append(np.full(len(done_ids[-1]), i))
         while len(ids):
             start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
             size = np.diff(start, append=len(ids))
@@ -169,12 +237,10 @@ class Vocabulary:
             new = new[new + 1 < len(ids)]
             new = new[word[new] == word[new + 1]]
             rank[new] = self.rank(ids[new], ids[new + 1])
+        if not done_ids:
+            return np.zeros(len(length), np.int64), ids
         ids, word = np.concatenate(done_ids), np.concatenate(done_word)
-        order = np.argsort(word, kind="stable")
-        flat, stops = ids[order].tolist(), np.cumsum(np.bincount(word, minlength=len(which))).tolist()
-        for i, a, b in zip(which.tolist(), [0, *stops], stops):
-            out[i] = flat[a:b]
-        return out
+        return np.bincount(word, minlength=len(length)), ids[np.argsort(word, kind="stable")]
 
     def decode(self, ids) -> str:
         """Text of ids; bytes that are no UTF-8 become U+FFFD, special tokens their own text."""
@@ -258,13 +324,15 @@ class Lexicon:
 
     def find(self, words: list[bytes]) -> np.ndarray:
         """Rank of each word, -1 for words outside."""
-        length = np.array([len(w) for w in words], np.int64)
-        rank = np.zeros(len(words), np.int64)
+        return self.find_all(*joined(words))
+
+    def find_all(self, data: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The same for words that stand in ``data`` one after the other."""
+        rank = np.zeros(len(length), np.int64)
         if not len(self.keys):
             return rank - 1
-        data = np.frombuffer(b"".join(words), np.uint8)
         begin = np.cumsum(length) - length
-        state, alive = np.zeros(len(words), np.int64), length > 0
+        state, alive = np.zeros(len(length), np.int64), length > 0
         here = np.flatnonzero(alive)
         at = 0
         while len(here):
@@ -282,74 +350,98 @@ class Lexicon:
     def ids_of(self, ranks: np.ndarray) -> list[tuple[int, ...]]:
         """Ids of the words with these ranks."""
         first, size = self.first[ranks], self.first[ranks + 1] - self.first[ranks]
-        end = np.cumsum(size)
-        at = np.arange(end[-1] if len(end) else 0) + np.repeat(first - (end - size), size)
-        flat, stops = self.ids[at].tolist(), end.tolist()
+        flat, stops = self.ids[spread(first, size)].tolist(), np.cumsum(size).tolist()
         return [tuple(flat[a:b]) for a, b in zip([0, *stops], stops)]
 
 
 class Encoder:
-    """Ids of texts: remembered words, then the lexicon, then exact merging."""
+    """Ids of texts: Arrow numbers their distinct words, the lexicon or exact merging gives the ids of each."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None = None):
-        self.vocabulary, self.lexicon, self.memo = vocabulary, lexicon, {}
+        self.vocabulary, self.lexicon = vocabulary, lexicon
+        self.specials = pa.array(list(vocabulary.specials), pa.large_string())
+        self.special_ids = np.array(list(vocabulary.specials.values()), np.int64)
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.specials, key=len, reverse=True))) + ")") if vocabulary.specials else None
 
-    def words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of distinct words (tuples: the garbage collector leaves tuples of numbers alone)."""
-        out, raw = {}, [w.encode() for w in words]
-        rest = range(len(words))
-        if self.lexicon is not None and words:
-            ranks = self.lexicon.find(raw)
-            rest = np.flatnonzero(ranks < 0).tolist()
-            known = np.flatnonzero(ranks >= 0)
-            out = dict(zip([words[i] for i in known.tolist()], self.lexicon.ids_of(ranks[known]), strict=True))
-        out.update(zip([words[i] for i in rest], map(tuple, self.vocabulary.merge([raw[i] for i in rest])), strict=True))
-        return out
-
-    def units(self, text: str) -> list:
-        """Parts of ``text`` whose words don't depend on their neighbours: what stands between
-        spaces (the space before belongs to it), and (part,) for parts without that space.
+    def odd(self, texts: pa.Array) -> np.ndarray:
+        """Which texts can't be cut at every space.
 
         Only a run of blanks that holds a space in its midst or at the end of
-        the text spans several of these; such texts are cut at their runs.
+        the text spans several parts; a special token is a part of its own.
         """
-        if SPLIT_RUN.search(text):
-            return [(c,) for c in CHUNK.findall(text)]
-        first, *rest = text.split(" ")
-        return [(first,), *rest] if first else rest
+        out = pc.match_substring_regex(texts, SPLIT_RUN)
+        for s in self.specials.to_pylist():
+            out = pc.or_(out, pc.match_substring(texts, s))
+        return out.to_numpy(zero_copy_only=False)
+
+    def parts(self, text: str) -> list[str]:
+        """Units of a text that can't be cut at every space."""
+        parts = [text] if self.split is None else self.split.split(text)
+        return [u for k, part in enumerate(parts) for u in ([part] if k % 2 else CHUNK.findall(part))]
+
+    def units(self, texts: pa.Array, odd: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Parts of texts whose words don't depend on their neighbours: (distinct parts, which
+        of them stand in the texts, how many in each text), odd texts last."""
+        spaced = pc.split_pattern(texts.filter(pa.array(~odd)), " ")  # the space before a part belongs to it
+        others = [self.parts(t) for t in texts.filter(pa.array(odd)).to_pylist()]
+        size = np.concatenate([pc.list_value_length(spaced).to_numpy(), np.fromiter(map(len, others), np.int64, len(others))]).astype(np.int64)
+        parts = pa.concat_arrays([spaced.flatten(), pa.array(list(chain.from_iterable(others)), pa.large_string())])
+        whole = np.zeros(len(parts), bool)
+        whole[(np.cumsum(size) - size)[:len(spaced)]] = True
+        whole[size[:len(spaced)].sum():] = True
+        coded = parts.dictionary_encode()
+        code = coded.indices.to_numpy().astype(np.int64) * 2 + whole
+        seen = np.zeros(2 * len(coded.dictionary), bool)
+        seen[code] = True
+        distinct = np.flatnonzero(seen)
+        before = pc.if_else(pa.array(distinct % 2 == 1), NOTHING, SPACE)
+        return pc.binary_join_element_wise(before, coded.dictionary.take(pa.array(distinct >> 1)), NOTHING), (np.cumsum(seen) - 1)[code], size
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where those of each word begin there, how many they are) for distinct words."""
+        data, offsets = buffer(words)
+        length = np.diff(offsets)
+        first, n, ids = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), np.zeros(0, np.int64)
+        rank = np.full(len(words), -1)
+        if self.lexicon is not None:
+            rank = self.lexicon.find_all(data, length)
+            known = rank >= 0
+            first[known], n[known], ids = self.lexicon.first[rank[known]], np.diff(self.lexicon.first)[rank[known]], self.lexicon.ids
+        rest = rank < 0
+        n[rest], more = self.vocabulary.merge_all(data[np.repeat(rest, length)], length[rest])
+        first[rest] = len(ids) + np.cumsum(n[rest]) - n[rest]
+        special = pc.index_in(words, value_set=self.specials)
+        at = special.is_valid().to_numpy(zero_copy_only=False)
+        first[at], n[at] = len(ids) + len(more) + special.drop_null().to_numpy(), 1
+        return np.concatenate([ids, more, self.special_ids]), first, n
+
+    def encode_column(self, texts: pa.Array) -> pa.Array:
+        """Lists of ids of a column of texts without nulls."""
+        texts = texts.cast(pa.large_string())
+        odd = self.odd(texts)
+        units, unit, size = self.units(texts, odd)
+        words, per_unit = cut_words(units, self.specials)
+        coded = words.dictionary_encode()
+        ids, first, n = self.words(coded.dictionary)
+        word = coded.indices.to_numpy()
+        # ids of the distinct units, then of the texts
+        ids, stop = ids[spread(first[word], n[word])].astype(np.int32), np.concatenate([[0], np.cumsum(n[word])])
+        stop = stop[np.concatenate([[0], np.cumsum(per_unit)])]
+        first, n = stop[:-1], np.diff(stop)
+        n = n[unit]
+        stop = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(size)])]
+        out = pa.LargeListArray.from_arrays(pa.array(stop), pa.array(ids[spread(first[unit], n)]))
+        return out.take(pa.array(np.argsort(np.argsort(odd, kind="stable")))) if odd.any() else out
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        specials, memo = self.vocabulary.specials, self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        split = []  # units of each text
-        for text in texts:
-            if self.split is not None and any(s in text for s in specials):
-                split.append([u for k, part in enumerate(self.split.split(text)) for u in ([(part, "special")] if k % 2 else self.units(part))])
-            else:
-                split.append(self.units(text))
-        new = set(chain.from_iterable(split)).difference(memo)
-        pieces = {}
-        for u in new:
-            if u.__class__ is str:
-                pieces[u] = (" " + u,) if u.isalpha() else WORD.findall(" " + u)
-            elif len(u) == 1:
-                pieces[u] = WORD.findall(u[0])
-            else:
-                memo[u] = (specials[u[0]],)
-        ids = self.words(list(set(chain.from_iterable(pieces.values()))))
-        for u, words in pieces.items():
-            memo[u] = ids[words[0]] if len(words) == 1 else tuple(chain.from_iterable(map(ids.__getitem__, words)))
-        find = memo.__getitem__
-        return [list(chain.from_iterable(map(find, units))) for units in split]
+        return self.encode_column(pa.array(texts, pa.large_string())).to_pylist()
 
 
 _LAST: dict[str, Encoder] = {}
 
 
 def worker_encoder(name: str, vocabulary) -> Encoder:
-    """The encoder of this worker process for the lexicon file ``name``; later tasks find it again with its memory."""
+    """The encoder of this worker process for the lexicon file ``name``; later tasks find it again."""
     if name not in _LAST:
         _LAST.clear()
         _LAST[name] = Encoder(vocabulary.value, Lexicon(SparkFiles.get(name)))
@@ -363,24 +455,32 @@ def frequent_words(docs: DataFrame, limit: int) -> list[str]:
     twice or more; a word that no task sees twice is not frequent. The words
     that start a text are counted as if a space stood before them.
     """
-    def run(batches):
-        seen: Counter = Counter()
-
-        def out():
-            words: Counter = Counter()
-            for unit, n in seen.items():
-                if n > 1:
-                    for w in WORD.findall(" " + unit):
-                        words[w] += n
-            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
+    def added(tables):
+        return pa.concat_tables(tables).group_by("unit", use_threads=False).aggregate([("n", "sum")]).rename_columns(["unit", "n"])
+
+    def out(units):
+        units = units.filter(pc.greater(units["n"], 1)).combine_chunks()
+        text = pc.binary_join_element_wise(SPACE, units["unit"], NOTHING).combine_chunks()
+        words, per_unit = cut_words(text)
+        coded = words.dictionary_encode()
+        n = np.zeros(len(coded.dictionary), np.int64)
+        np.add.at(n, coded.indices.to_numpy(), np.repeat(units["n"].to_numpy(), per_unit))
+        return pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.string()), pa.array(n)], names=["word", "n"])
 
+    def run(batches):
+        tables, rows = [], 0
         for part in slices(batches):
-            for text in part.column("text").to_pylist():
-                seen.update((text or "").split(" "))
-                if len(seen) > COUNTED:
-                    yield out()
-                    seen.clear()
-        yield out()
+            counted = pc.split_pattern(part.column("text").cast(pa.large_string()).fill_null(""), " ").flatten().value_counts()
+            tables.append(pa.table({"unit": counted.field("values"), "n": counted.field("counts")}))
+            rows += len(counted)
+            if rows > 2 * COUNTED:
+                tables = [added(tables)]
+                rows = len(tables[0])
+                if rows > COUNTED:
+                    yield out(tables[0])
+                    tables, rows = [], 0
+        if tables:
+            yield out(added(tables))
 
     counts = bounded_batches(docs.select("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return [r.word for r in counts.filter(F.octet_length("word") < LONG).orderBy(F.desc("n"), "word").limit(limit).collect()]
@@ -407,6 +507,14 @@ def prepared(docs: DataFrame, path: str, words: int = LEXICON_WORDS):
     return spark.sparkContext.broadcast(vocabulary), shared_file(spark, data.tobytes(), "lexicon")
 
 
+def in_a_row(shown: pa.Array, ids: pa.LargeListArray) -> Iterator[bytes]:
+    """What ``shown`` has for the ids of each list, one after the other."""
+    data, offsets = buffer(shown.take(ids.flatten()).view(pa.large_string()))
+    stops = offsets[np.cumsum(pc.list_value_length(ids).to_numpy())].tolist()
+    for a, b in zip([0, *stops], stops):
+        yield data[a:b].tobytes()
+
+
 def encoded(docs: DataFrame, path: str, words: int = LEXICON_WORDS, with_ids: bool = True) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, ids (if ``with_ids``), n_tokens,
     ids_sha256 (of the decimal ids joined by commas), decoded_sha256 (of the decoded text).
@@ -420,22 +528,17 @@ def encoded(docs: DataFrame, path: str, words: int = LEXICON_WORDS, with_ids: bo
 
     def run(batches):
         encoder = worker_encoder(name, vocabulary)
-        shown = [str(i) for i in range(len(encoder.vocabulary.token_bytes))]
-        gc.disable()  # there are many containers and no cycles
-        try:
-            yield from encode(batches, encoder, shown)
-        finally:
-            gc.enable()
-
-    def encode(batches, encoder, shown):
+        shown = pa.array([f"{i}," for i in range(len(encoder.vocabulary.token_bytes))], pa.large_string())
+        token_bytes = pa.array(encoder.vocabulary.token_bytes, pa.large_binary())
         for part in slices(batches):
-            ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
-            columns = [part.column("doc_id").cast(pa.int64()), pa.array(list(map(len, ids)), pa.int64()),
-                       pa.array([sha256(",".join(map(shown.__getitem__, x)).encode()).hexdigest() for x in ids], pa.string()),
-                       pa.array([sha256(encoder.vocabulary.decode(x).encode()).hexdigest() for x in ids], pa.string())]
+            ids = encoder.encode_column(part.column("text").fill_null(""))
+            n = pc.list_value_length(ids)
+            columns = [part.column("doc_id").cast(pa.int64()), n.cast(pa.int64()),
+                       pa.array([sha256(x[:-1]).hexdigest() for x in in_a_row(shown, ids)], pa.string()),
+                       pa.array([sha256(x.decode("utf-8", "replace").encode()).hexdigest() for x in in_a_row(token_bytes, ids)], pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
+                columns.append(ids.cast(pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
