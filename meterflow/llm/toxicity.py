@@ -19,10 +19,11 @@ logistic regression on leave-one-out votes of the examples.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -88,10 +89,32 @@ def form_hashes(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarra
         at = end
 
 
+class Terms(Mapping):
+    """The number of each term, which is its place in an ascending Arrow array without repeats."""
+
+    def __init__(self, names: pa.Array):
+        self.names = names
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.names.to_pylist())
+
+    def __getitem__(self, name: str) -> int:
+        at = bisect_left(self.names, name, key=lambda x: x.as_py())
+        if at == len(self) or self.names[at].as_py() != name:
+            raise KeyError(name)
+        return at
+
+    def values(self) -> range:
+        return range(len(self))
+
+
 class TermCounter:
     """Counts of known terms in texts; a term is known by the 64-bit hash of its letters."""
 
-    def __init__(self, terms: dict[str, int]):
+    def __init__(self, terms: Mapping[str, int]):
         self.size = max(len(terms), 1)
         names = np.array([t.rstrip("-") for t in terms], object)
         stems = np.array([t.endswith("-") for t in terms], bool)
@@ -157,7 +180,10 @@ def spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class BlockMaxIndex:
-    """Inverted index of unit vectors: the postings of a term lie in blocks of BLOCK examples."""
+    """Inverted index of unit vectors: the postings of a term lie in blocks of BLOCK examples.
+
+    The full rows of the common terms are made when first asked for, and not pickled.
+    """
 
     size: int  # examples
     begin: np.ndarray  # of each term: the first of its blocks, and the end
@@ -167,8 +193,25 @@ class BlockMaxIndex:
     example: np.ndarray  # of each posting
     weight: np.ndarray
     common: np.ndarray  # of each term: its row among the common terms, which have no postings, or -1
-    full: np.ndarray  # examples x common terms: the weights
-    single: np.ndarray  # common terms x examples: the same in single precision
+    commons: int  # common terms
+    held_by: np.ndarray  # of each weight of a common term: the example
+    held: np.ndarray  # its row
+    held_weight: np.ndarray  # the weight
+
+    @cached_property
+    def full(self) -> np.ndarray:
+        """Examples x common terms: the weights."""
+        out = np.zeros((self.size, self.commons))
+        out[self.held_by, self.held] = self.held_weight
+        return out
+
+    @cached_property
+    def single(self) -> np.ndarray:
+        """Common terms x examples: the same in single precision."""
+        return self.full.T.astype(np.float32)
+
+    def __getstate__(self) -> dict:
+        return {k: x for k, x in self.__dict__.items() if k not in ("full", "single")}
 
     @classmethod
     def build(cls, matrix: np.ndarray) -> BlockMaxIndex:
@@ -179,17 +222,16 @@ class BlockMaxIndex:
     @classmethod
     def of(cls, rows: list[tuple[np.ndarray, np.ndarray]], terms: int) -> BlockMaxIndex:
         """From (terms, weights) of each example."""
-        row = np.repeat(np.arange(len(rows)), [len(t) for t, _ in rows])
-        col = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in rows)])
+        row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(t) for t, _ in rows])
+        col = np.concatenate([np.zeros(0, np.int32), *(t for t, _ in rows)], dtype=np.int32)
         val = np.concatenate([np.zeros(0), *(x for _, x in rows)])
         held = np.bincount(col, minlength=terms)
         often = np.lexsort((np.arange(terms), -held))[:COMMON]
         often = often[16 * held[often] >= max(len(rows), 16)]
-        common = np.full(terms, -1)
+        common = np.full(terms, -1, np.int32)
         common[often] = np.arange(len(often))
-        full = np.zeros((len(rows), len(often)))
         rare = common[col] < 0
-        full[row[~rare], common[col[~rare]]] = val[~rare]
+        commons = row[~rare], common[col[~rare]], val[~rare]
         row, col, val = row[rare], col[rare], val[rare]
         order = np.lexsort((row, col))
         row, col, val = row[order], col[order], val[order]
@@ -197,8 +239,8 @@ class BlockMaxIndex:
         new[1:] = (col[1:] != col[:-1]) | (row[1:] // BLOCK != row[:-1] // BLOCK)
         start = np.flatnonzero(new)
         largest = np.maximum.reduceat(val, start) if len(val) else val
-        return cls(len(rows), np.searchsorted(col[start], np.arange(terms + 1)), (row[start] // BLOCK).astype(np.int32), largest,
-                   np.append(start, len(val)), row.astype(np.int32), val, common, full, full.T.astype(np.float32))
+        return cls(len(rows), np.searchsorted(col[start], np.arange(terms + 1)), row[start] // BLOCK, largest,
+                   np.append(start, len(val)), row, val, common, len(often), *commons)
 
     def of_common(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """What the common terms add to the cosine of each vector (terms, weights) with each example, within ``SLACK``."""
@@ -282,7 +324,7 @@ def arranged(rows: list[tuple[np.ndarray, np.ndarray]], size: int = BLOCK, width
 
 @dataclass
 class ToxicityModel:
-    terms: dict[str, int]
+    terms: Mapping[str, int]
     weight: np.ndarray  # of each term: inverse document frequency x association
     index: BlockMaxIndex
     doc_ids: np.ndarray
@@ -359,7 +401,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
     n1, n0 = max(sum(label.values()), 1), max(len(label) - sum(label.values()), 1)
     counted = (bounded_batches(examples).mapInArrow(example_words, "word string, y long").groupBy("word")
                .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).toArrow().sort_by("word"))  # the words of at most 4 * per_label texts
-    terms = {w: i for i, w in enumerate(counted["word"].to_pylist())}
+    terms = Terms(counted["word"].combine_chunks())
     a, b = (counted[c].to_numpy().astype(float) for c in "ab")
     chi = (n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2 / (n1 * n0 * (a + b) * np.maximum(n1 + n0 - a - b, 1.0))
     association = np.sqrt(np.minimum(chi / (n1 + n0), 1.0))
@@ -386,10 +428,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
         for part in slices(batches):
             found = count.arrays(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").cast(pa.int64()), pa.array([at for at, _ in found], pa.list_(pa.int64())),
-                 pa.array([n.astype(np.int64) for _, n in found], pa.list_(pa.int64()))], names=["doc_id", "at", "n"])
+                [part.column("doc_id").cast(pa.int64()), pa.array([at.astype(np.int32) for at, _ in found], pa.list_(pa.int32())),
+                 pa.array([n.astype(np.int32) for _, n in found], pa.list_(pa.int32()))], names=["doc_id", "at", "n"])
 
-    rows = bounded_batches(examples).mapInArrow(term_counts, "doc_id long, at array<long>, n array<long>").limit(8 * per_label).toArrow().combine_chunks()
+    rows = bounded_batches(examples).mapInArrow(term_counts, "doc_id long, at array<int>, n array<int>").limit(8 * per_label).toArrow().combine_chunks()
+    shared.destroy()
     found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for i, at, n in zip(rows["doc_id"].to_pylist(), rows["at"], rows["n"], strict=True):
         new = at.values.to_numpy(zero_copy_only=False), n.values.to_numpy(zero_copy_only=False)
@@ -400,24 +443,31 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: in
     none = float((sum(bare) * all1 / n1 + 0.01) / (sum(bare) * all1 / n1 + (len(bare) - sum(bare)) * all0 / n0 + 1))
     y = {i: float(label[i]) for i in with_terms}
 
-    def fitted(floor: float) -> tuple[float, ToxicityModel]:
-        """(log loss of the calibrated leave-one-out votes, model)."""
+    def vectors_of(floor: float) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
         weight = (floor + association) * idf
-        vectors = {i: unit(at, n.astype(float), weight) for i, (at, n) in found.items()}
-        ids = [with_terms[k] for k in arranged([vectors[i] for i in with_terms])]
-        truth = np.array([y[i] for i in ids])
+        return weight, {i: unit(found[i][0], found[i][1].astype(float), weight) for i in with_terms}
+
+    def model_of(weight: np.ndarray, vectors: dict[int, tuple[np.ndarray, np.ndarray]], ids: list[int], slope: float, offset: float) -> ToxicityModel:
         index = BlockMaxIndex.of([vectors[i] for i in ids], len(terms))
-        model = ToxicityModel(terms, weight, index, np.array(ids, np.int64), truth, rate, 0.0, float(np.log((rate + 1e-6) / (1 - rate + 1e-6))), none)
+        return ToxicityModel(terms, weight, index, np.array(ids, np.int64), np.array([y[i] for i in ids]), rate, slope, offset, none)
+
+    def voted(floor: float) -> tuple[float, float, list[int], float, float]:
+        """(log loss of the calibrated leave-one-out votes, floor, order of the examples, slope, offset); the index goes."""
+        weight, vectors = vectors_of(floor)
+        ids = [with_terms[k] for k in arranged([vectors[i] for i in with_terms])]
+        model = model_of(weight, vectors, ids, 0.0, float(np.log((rate + 1e-6) / (1 - rate + 1e-6))))
+        truth, index = model.toxic, model.index
         if len(set(truth.tolist())) < 2:
-            return 0.0, model
+            return 0.0, floor, ids, model.slope, model.offset
         stands_for = np.where(truth == 1, all1 / n1, all0 / n0)  # labelled rows that an example was drawn from
         votes = [model.vote(*index.nearest(*vectors[i], NEIGHBOURS, skip=at + row, base=base)) for at in range(0, len(ids), 256)
                  for row, (i, base) in enumerate(zip(ids[at:at + 256], index.of_common([vectors[i] for i in ids[at:at + 256]]), strict=True))]
         model.slope, model.offset = logistic(np.array(votes), truth, stands_for)
         p = np.clip([model.calibrated(v) for v in votes], 1e-9, 1 - 1e-9)
-        return float(-(stands_for * np.where(truth == 1, np.log(p), np.log(1 - p))).sum()), model
+        return float(-(stands_for * np.where(truth == 1, np.log(p), np.log(1 - p))).sum()), floor, ids, model.slope, model.offset
 
-    return min(map(fitted, FLOORS), key=lambda x: x[0])[1]
+    _, floor, *fitted = min(map(voted, FLOORS), key=lambda x: x[0])
+    return model_of(*vectors_of(floor), *fitted)
 
 
 def scores(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:

@@ -1,7 +1,12 @@
 """Exact neighbours against all cosines; held-out labels."""
+import gc
+import pickle
+import weakref
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from meterflow.llm import toxicity as tox
 
@@ -120,3 +125,47 @@ def test_a_rare_toxic_word_finds_its_example(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(63, 1)], "doc_id long, toxic int")
     row = next(r for r in tox.scores(df, tox.fit(df, labels)).collect() if r.doc_id == 62)
     assert [e.doc_id for e in row.evidence] == [63]
+
+
+def test_a_pickled_index_has_no_full_rows_and_finds_the_same():
+    rng = np.random.default_rng(5)
+    m = np.zeros((2000, 500))
+    for r in m:  # each of the terms is common
+        r[rng.choice(500, 50, False)] = 0.1 + rng.random(50)
+    m /= np.sqrt((m * m).sum(axis=1, keepdims=True))
+    index = tox.BlockMaxIndex.build(m)
+    want = [index.nearest(np.flatnonzero(r), r[r > 0], 15) for r in m[:20]]
+    assert index.single.shape == (500, 2000)
+    stored = pickle.dumps(index)
+    assert len(stored) < 2 << 20  # 12 MB of full rows, 1.6 MB of weights
+    back = pickle.loads(stored)
+    for r, (ids, cos) in zip(m, want, strict=False):
+        got = back.nearest(np.flatnonzero(r), r[r > 0], 15)
+        assert got[0].tolist() == ids.tolist() and got[1].tolist() == cos.tolist()
+
+
+def test_fit_holds_one_index_at_a_time(spark, monkeypatch):
+    of, made, alive = tox.BlockMaxIndex.of, [], []
+
+    def counted(rows, terms):
+        gc.collect()
+        alive.append(sum(x() is not None for x in made))
+        made.append(weakref.ref(index := of(rows, terms)))
+        return index
+
+    monkeypatch.setattr(tox.BlockMaxIndex, "of", staticmethod(counted))
+    docs = spark.createDataFrame([(i, f"{'awful nasty' if i % 2 else 'kind gentle'} words w{'abcdefghij'[i % 10]}") for i in range(60)], "doc_id long, text string")
+    model = tox.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
+    assert len(alive) >= len(tox.FLOORS) and not any(alive)
+    assert not {"full", "single"} & vars(model.index).keys()
+    assert isinstance(model.terms, tox.Terms) and {"awful", "awfu-", "nasty", "wa"} <= model.terms.keys()
+
+
+def test_terms_are_a_mapping():
+    names = sorted(["a", "awfu-", "awful", "zé", "日本", "𝒳"])
+    terms = tox.Terms(pa.array(names))
+    assert dict(terms) == dict(terms.items()) == {w: i for i, w in enumerate(names)}
+    assert list(terms.values()) == [terms[w] for w in names] and len(terms) == 6 and "b" not in terms and "𝒴" not in terms
+    with pytest.raises(KeyError):
+        terms["b"]
+    assert pickle.loads(pickle.dumps(terms)) == terms and not len(tox.Terms(pa.array([], pa.string())))
